@@ -112,9 +112,10 @@ def start_ingest(
             return
         # The query id is stored in the checkpoint, so a new checkpoint never overwrites older loads.
         load = f"{run.query.id}-{batch:010d}"
-        load_files(files.sparkSession, config, paths, load)
+        # In the caller's session, so that it sees the new files at once.
+        load_files(spark, config, paths, load)
         if on_load:
-            on_load(files.sparkSession, load)
+            on_load(spark, load)
         run.loads.append(load)
         run.files += len(paths)
 

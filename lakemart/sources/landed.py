@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ def read_landed(spark: SparkSession, paths: Sequence[str], declared: T.StructTyp
     """
     try:
         together = spark.read.option("mergeSchema", True).parquet(*[literal_path(p) for p in paths])
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
         middle = len(paths) // 2

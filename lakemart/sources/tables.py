@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +15,8 @@ from lakemart.operators.incremental import from_date, high_water_mark, merge_ups
 from lakemart.session import stable
 
 PARTITION = "_part"
+# Table option: overwriting replaces only the partitions that are written.
+PER_PARTITION = "partitionOverwriteMode"
 
 
 def source(spark: SparkSession, schema: str, table: str) -> DataFrame:
@@ -45,7 +46,7 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
     """Create an empty Parquet table unless it exists. Partition columns must be in `schema`."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    by = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    by = f" OPTIONS ({PER_PARTITION} 'dynamic') PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by}")
 
 
@@ -59,28 +60,19 @@ def add_missing_columns(spark: SparkSession, name: str, schema: T.StructType) ->
     return [f.name for f in new]
 
 
-@contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Within the block, overwriting a partitioned table replaces only the partitions that are written."""
-    option = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(option, "static")
-    spark.conf.set(option, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(option, before)
-
-
 def overwrite_partitions(df: DataFrame, name: str, balance_by: Sequence[str]) -> None:
-    """Replace the partitions of `name` that occur in `df`.
+    """Replace the partitions of `name` that occur in `df`; `df` may read the table.
 
     The rebalance step gathers each partition's rows into few files, and splits a partition that is too big for
-    one task over several.
+    one task over several. The table itself must say that overwriting is per partition, so that no session
+    setting can turn this into a loss of the other partitions.
     """
     spark = df.sparkSession
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Storage Properties'").first()
+    if described is None or f"{PER_PARTITION}=dynamic" not in described["data_type"]:
+        raise ConfigError(f"table '{name}' was not created with {PER_PARTITION}=dynamic")
     columns = spark.table(name).columns
-    with dynamic_overwrite(spark):
-        df.select(*columns).hint("rebalance", *balance_by).write.mode("overwrite").insertInto(name)
+    df.select(*columns).hint("rebalance", *balance_by).write.mode("overwrite").insertInto(name)
 
 
 @dataclass(frozen=True)
@@ -105,8 +97,13 @@ class MartTable:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
+    def stored(self) -> DataFrame:
+        """The table with its partition column, and without files that this session remembers from before."""
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name)
+
     def read(self) -> DataFrame:
-        return self.spark.table(self.name).drop(PARTITION)
+        return self.stored().drop(PARTITION)
 
     def _part(self, day: Column) -> Column:
         return F.trunc(day.cast("date"), self.partition_unit)
@@ -118,11 +115,12 @@ class MartTable:
     def replace(self, df: DataFrame) -> None:
         """Full rebuild. `df` must not read this table."""
         rows = self._with_part(df).hint("rebalance", PARTITION)
-        rows.write.mode("overwrite").partitionBy(PARTITION).saveAsTable(self.name)
+        writer = rows.write.mode("overwrite").option(PER_PARTITION, "dynamic")
+        writer.partitionBy(PARTITION).saveAsTable(self.name)
 
     def high_water_mark(self, column: str) -> dt.date | None:
         """Newest date. When the table is split by that column, only its newest partition is read."""
-        rows = self.spark.table(self.name)
+        rows = self.stored()
         if column == self.partition_on:
             newest = rows.agg(F.max(PARTITION).alias("part")).first()["part"]
             rows = from_date(rows, PARTITION, newest)
@@ -142,14 +140,14 @@ class MartTable:
             return
         part = F.col(PARTITION)
         among = part.isin([p for p in touched if p is not None])
-        target = self.spark.table(self.name).where(among | part.isNull() if None in touched else among)
+        target = self.stored().where(among | part.isNull() if None in touched else among)
         merged = merge_upsert(target, source, keys, null_safe=null_safe, validate=validate)
         overwrite_partitions(merged, self.name, [PARTITION])
 
     def replace_from(self, source: DataFrame, column: str, low: dt.date) -> None:
         """Replace everything from `low` on by `source`."""
         source = stable(self._with_part(source))
-        target = self.spark.table(self.name)
+        target = self.stored()
         if column == self.partition_on:
             target = target.where(F.col(PARTITION) >= self._part(F.lit(low)))
         merged = stable(replace_window(target, source, column, low))

@@ -1,0 +1,251 @@
+import datetime as dt
+
+import pytest
+from conftest import rows, ts
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from lakemart.config import ConfigError, IncrementalConfig, Watermark
+from lakemart.functions.audit import without_audit
+from lakemart.operators import joins
+from lakemart.operators.backfill import find_gap, load_times_by_month, missing_dates
+from lakemart.operators.incremental import merge_upsert, replace_window, watermark_filter
+from lakemart.operators.joins import DuplicateKeyError
+from lakemart.plans.pipeline import backfill, run_incremental
+from lakemart.sources.tables import MartTable
+
+D = dt.date
+KEYS = ["d", "k"]
+KIND = "d date, k string, n long"
+CONFIG = IncrementalConfig("m", "d", 3, KEYS)
+QUICK = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def frame(spark, *data, kind=KIND):
+    return spark.createDataFrame(list(data), kind)
+
+
+def days(spark, first, last):
+    span = range((last - first).days + 1)
+    return frame(spark, *[(first + dt.timedelta(days=i), "A", i) for i in span])
+
+
+def count_by_key(rows_):
+    from pyspark.sql import functions as F
+
+    return rows_.groupBy(*KEYS).agg(F.sum("n").alias("n"))
+
+
+def test_window_is_inclusive(spark):
+    target = days(spark, D(2024, 4, 1), D(2024, 4, 30))
+    source = days(spark, D(2024, 4, 1), D(2024, 5, 2))
+    assert rows(watermark_filter(source, target, Watermark("d", 3)), "d")[0] == (D(2024, 4, 27),)
+    assert rows(watermark_filter(source, target, Watermark("d", 0)), "d")[0] == (D(2024, 4, 30),)
+
+
+def test_missing_and_empty_target_keep_everything(spark):
+    source = days(spark, D(2024, 4, 1), D(2024, 4, 5))
+    assert watermark_filter(source, None, Watermark("d", 3)).count() == 5
+    assert watermark_filter(source, source.where("false"), Watermark("d", 3)).count() == 5
+
+
+def test_watermark_must_be_a_date(spark):
+    source = days(spark, D(2024, 4, 1), D(2024, 4, 5))
+    with pytest.raises(ConfigError, match="date or timestamp"):
+        watermark_filter(source, source, Watermark("n", 0))
+
+
+def test_watermark_reaches_the_scan_as_a_literal(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    times = spark.createDataFrame([(ts("2024-04-30 10:00"),), (ts("2024-04-01 10:00"),)], "at timestamp_ntz")
+    times.write.parquet(f"{tmp_path}/t")
+    staged = spark.read.parquet(f"{tmp_path}/t").select("at", F.to_date("at").alias("d"))
+    plan = watermark_filter(staged, staged, Watermark("d", 3))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(at,2024-04-27T00:00)" in plan and "Subquery" not in plan
+
+
+MERGE_TARGET = [(D(2024, 1, 1), "A", 1), (D(2024, 1, 2), "A", 2), (D(2024, 1, 2), None, 3)]
+MERGE_SOURCE = [(D(2024, 1, 2), "A", 20), (D(2024, 1, 2), None, 30), (D(2024, 1, 3), "B", 40)]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_merge_matches_null_keys_unless_told_otherwise(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(joins, "HOT_ROWS", 1)
+        monkeypatch.setattr(joins, "SPREAD", 3)
+    target, source = frame(spark, *MERGE_TARGET), frame(spark, *MERGE_SOURCE)
+    merged = merge_upsert(target, source.select("n", "k", "d"), KEYS)
+    assert rows(merged) == rows(frame(spark, MERGE_TARGET[0], *MERGE_SOURCE))
+    plain = merge_upsert(target, source, KEYS, null_safe=False)
+    assert rows(plain) == rows(frame(spark, MERGE_TARGET[0], MERGE_TARGET[2], *MERGE_SOURCE))
+
+
+def test_merge_rejects_duplicate_source_keys_and_other_columns(spark):
+    target = frame(spark, *MERGE_TARGET)
+    with pytest.raises(DuplicateKeyError):
+        merge_upsert(target, frame(spark, MERGE_SOURCE[1], MERGE_SOURCE[1]), KEYS)
+    with pytest.raises(ConfigError, match="differ"):
+        merge_upsert(target, target.withColumnRenamed("n", "m"), KEYS)
+
+
+def test_replace_window_drops_vanished_groups(spark):
+    target, source = frame(spark, *MERGE_TARGET), frame(spark, (D(2024, 1, 2), "B", 9))
+    assert rows(replace_window(target, source, "d", D(2024, 1, 2))) == [MERGE_TARGET[0], (D(2024, 1, 2), "B", 9)]
+
+
+entries = st.lists(
+    st.tuples(st.integers(0, 9), st.sampled_from(["A", "B", None]), st.integers(0, 99)), max_size=12
+).map(lambda xs: [(D(2024, 1, 1) + dt.timedelta(days=d), k, n) for d, k, n in xs])
+
+
+@QUICK
+@given(target=entries, source=entries)
+def test_merge_is_a_keyed_overwrite_and_idempotent(spark, target, source):
+    old, new = {(d, k): n for d, k, n in target}, {(d, k): n for d, k, n in source}
+    before = frame(spark, *[(d, k, n) for (d, k), n in old.items()])
+    change = frame(spark, *[(d, k, n) for (d, k), n in new.items()])
+    once = merge_upsert(before, change, KEYS)
+    assert {(r.d, r.k): r.n for r in once.collect()} == {**old, **new}
+    assert rows(merge_upsert(once, change, KEYS)) == rows(once)
+
+
+# --- stored marts ---------------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def mart(spark, schema):
+    return MartTable(spark, f"{schema}.mart", partition_on="d")
+
+
+def test_incremental_run_touches_only_the_window(spark, mart):
+    first = days(spark, D(2024, 1, 30), D(2024, 4, 30))
+    assert run_incremental(mart, first, count_by_key, CONFIG, now=ts("2024-05-01")).full
+    more = days(spark, D(2024, 1, 30), D(2024, 5, 2))
+    done = run_incremental(mart, more, count_by_key, CONFIG, now=ts("2024-05-03"))
+    assert (done.full, done.low) == (False, D(2024, 4, 27))
+    assert rows(without_audit(mart.read())) == rows(count_by_key(more))
+    by_time = {r[0]: r[1] for r in mart.read().groupBy("_loaded_at").count().collect()}
+    assert by_time == {ts("2024-05-01"): 88, ts("2024-05-03"): 6}
+    assert mart.read().columns == ["d", "k", "n", "_loaded_at", "_run_id", "_model_name"]
+
+
+def test_old_arrivals_need_a_backfill(spark, mart):
+    april, march = days(spark, D(2024, 4, 1), D(2024, 4, 30)), days(spark, D(2024, 3, 17), D(2024, 3, 31))
+    both = april.unionByName(march)
+    run_incremental(mart, april, count_by_key, CONFIG, now=ts("2024-05-01"))
+    run_incremental(mart, both, count_by_key, CONFIG, now=ts("2024-05-02"))
+    assert mart.read().where("d < DATE'2024-04-01'").count() == 0
+    gap = find_gap(both, mart.read(), "d").first()
+    assert (gap.missing_dates, gap.oldest_missing, gap.lookback_days) == (15, D(2024, 3, 17), 44)
+    assert missing_dates(both, mart.read(), "d").count() == 15
+    run_incremental(mart, both, count_by_key, CONFIG, late_arrival_days=45, now=ts("2024-05-03"))
+    assert rows(without_audit(mart.read())) == rows(both)
+    months = rows(load_times_by_month(mart.read(), "d"))
+    assert months == [
+        (D(2024, 3, 1), 15, ts("2024-05-03"), ts("2024-05-03")),
+        (D(2024, 4, 1), 30, ts("2024-05-03"), ts("2024-05-03")),
+    ]
+    assert find_gap(both, mart.read(), "d").first().lookback_days == 0
+
+
+def test_backfill_finds_its_own_lookback_and_leaves_other_months(spark, mart):
+    loaded = days(spark, D(2024, 1, 1), D(2024, 1, 31)).unionByName(days(spark, D(2024, 4, 1), D(2024, 4, 30)))
+    run_incremental(mart, loaded, count_by_key, CONFIG, now=ts("2024-05-01"))
+    done = backfill(
+        mart, loaded.unionByName(days(spark, D(2024, 3, 1), D(2024, 3, 31))), count_by_key, CONFIG, now=ts("2024-05-02")
+    )
+    assert done.low == D(2024, 3, 1)
+    months = {r[0]: r[3] for r in load_times_by_month(mart.read(), "d").collect()}
+    assert months[D(2024, 1, 1)] == ts("2024-05-01") and months[D(2024, 3, 1)] == ts("2024-05-02")
+
+
+def test_empty_mart_is_a_full_run(spark, mart):
+    data = days(spark, D(2024, 4, 1), D(2024, 4, 5))
+    run_incremental(mart, data.where("false"), count_by_key, CONFIG)
+    assert run_incremental(mart, data, count_by_key, CONFIG).full
+    assert mart.read().count() == 5
+
+
+def test_full_refresh_rebuilds(spark, mart):
+    run_incremental(mart, days(spark, D(2024, 4, 1), D(2024, 4, 9)), count_by_key, CONFIG)
+    small = days(spark, D(2024, 4, 1), D(2024, 4, 2))
+    assert run_incremental(mart, small, count_by_key, CONFIG, full_refresh=True).full
+    assert mart.read().count() == 2
+
+
+def test_replace_window_strategy_drops_partitions_that_become_empty(spark, mart):
+    run_incremental(mart, days(spark, D(2024, 3, 25), D(2024, 4, 2)), count_by_key, CONFIG)
+    shrunk = days(spark, D(2024, 3, 25), D(2024, 3, 31))
+    run_incremental(mart, shrunk, count_by_key, CONFIG, strategy="replace_window")
+    assert rows(mart.read(), "d")[-1] == (D(2024, 3, 31),)
+    with pytest.raises(ConfigError, match="strategy"):
+        run_incremental(mart, shrunk, count_by_key, CONFIG, strategy="append")
+
+
+def test_null_watermark_values_survive_a_merge(spark, mart):
+    mart.replace(frame(spark, (None, "A", 1), (D(2024, 1, 1), "A", 2)))
+    mart.upsert(frame(spark, (None, "A", 5), (D(2024, 2, 1), "A", 6)), KEYS)
+    assert rows(mart.read()) == [(None, "A", 5), (D(2024, 1, 1), "A", 2), (D(2024, 2, 1), "A", 6)]
+
+
+def test_table_without_partitions_and_wrong_partitioning(spark, schema):
+    table = MartTable(spark, f"{schema}.dim")
+    table.replace(frame(spark, *MERGE_TARGET))
+    table.upsert(frame(spark, *MERGE_SOURCE), KEYS)
+    assert rows(table.read()) == rows(frame(spark, MERGE_TARGET[0], *MERGE_SOURCE))
+    table.upsert(frame(spark, *MERGE_SOURCE).where("false"), KEYS)
+    assert table.read().count() == 4
+    with pytest.raises(ConfigError, match="must be one of"):
+        MartTable(spark, f"{schema}.dim", partition_on="d").upsert(frame(spark, *MERGE_SOURCE), ["k"])
+
+
+def test_merge_reads_only_touched_partitions(spark, mart):
+    mart.replace(days(spark, D(2024, 1, 1), D(2024, 6, 30)))
+    from pyspark.sql import functions as F
+
+    touched = spark.table(mart.name).where(F.col("_part").isin([D(2024, 6, 1)]))
+    assert len(touched.inputFiles()) < len(spark.table(mart.name).inputFiles())
+    untouched = set(spark.table(mart.name).where("_part < DATE'2024-06-01'").inputFiles())
+    mart.upsert(frame(spark, (D(2024, 6, 30), "A", -1)), KEYS)
+    assert set(spark.table(mart.name).where("_part < DATE'2024-06-01'").inputFiles()) == untouched
+    assert rows(mart.read().where("n = -1"), "d") == [(D(2024, 6, 30),)]
+
+
+@QUICK
+@given(
+    arrivals=st.lists(
+        st.tuples(st.integers(0, 9), st.integers(0, 3), st.sampled_from(["A", "B", None]), st.integers(0, 9)),
+        min_size=1,
+        max_size=15,
+    )
+)
+def test_loads_with_bounded_lateness_equal_a_full_rebuild(spark, arrivals):
+    """Events arrive up to 3 days late; running after every third day gives the same mart as one full run."""
+    import uuid
+
+    start = D(2024, 1, 27)
+    data = [(start + dt.timedelta(days=d), k, n, d + late) for d, late, k, n in arrivals]
+    everything = frame(spark, *data, kind="d date, k string, n long, arrived int")
+    name = f"p_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    mart = MartTable(spark, f"{name}.mart", partition_on="d")
+    for day in (2, 5, 8, 12):
+        run_incremental(mart, everything.where(f"arrived <= {day}"), count_by_key, CONFIG, audit=False)
+    assert rows(mart.read()) == rows(count_by_key(everything))
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_tables_without_the_option_are_never_overwritten(spark, schema):
+    name = f"{schema}.foreign"
+    frame(spark, *MERGE_TARGET).selectExpr("*", "0 AS _part").write.partitionBy("_part").saveAsTable(name)
+    with pytest.raises(ConfigError, match="partitionOverwriteMode"):
+        MartTable(spark, name).upsert(frame(spark, *MERGE_SOURCE), KEYS)
+    assert spark.table(name).count() == 3
+
+
+def test_full_refresh_removes_old_partitions(spark, mart):
+    mart.replace(days(spark, D(2024, 1, 1), D(2024, 4, 1)))
+    mart.replace(days(spark, D(2024, 4, 1), D(2024, 4, 2)))
+    assert mart.read().count() == 2
