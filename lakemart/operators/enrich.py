@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -35,6 +36,9 @@ ENRICHED_COLUMNS = [
     "dropoff_borough",
     "vendor_id",
 ]
+ROLES = ("pickup", "dropoff")
+# The marts group by pickup borough only. Leaving the other role out also leaves its column unread.
+MART_ROLES = ("pickup",)
 
 
 @dataclass(frozen=True)
@@ -60,11 +64,21 @@ def measured(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     )
 
 
-def enrich(trips: DataFrame, zones: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
-    """One row per kept trip with the zone and borough of both ends; an unknown zone gives nulls."""
+def _columns(roles: Sequence[str]) -> list[str]:
+    unused = {f"{r}_{c}" for r in ROLES if r not in roles for c in ("zone", "borough")}
+    return [c for c in ENRICHED_COLUMNS if c not in unused]
+
+
+def enrich(
+    trips: DataFrame, zones: DataFrame, rules: TripRules = TripRules(), roles: Sequence[str] = ROLES
+) -> DataFrame:
+    """One row per kept trip with the zone and borough of both ends; an unknown zone gives nulls.
+
+    `roles` limits the lookups to the ends that are needed.
+    """
     profile = profile_side(zones, ["location_id"])
     rows = measured(trips, rules)
-    for role in ("pickup", "dropoff"):
+    for role in roles:
         rows = lookup_join(
             rows,
             zones,
@@ -73,14 +87,16 @@ def enrich(trips: DataFrame, zones: DataFrame, rules: TripRules = TripRules()) -
             {"zone_name": f"{role}_zone", "borough": f"{role}_borough"},
             profile,
         )
-    return rows.select(*ENRICHED_COLUMNS)
+    return rows.select(*_columns(roles))
 
 
-def enrich_as_of(trips: DataFrame, zone_history: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
+def enrich_as_of(
+    trips: DataFrame, zone_history: DataFrame, rules: TripRules = TripRules(), roles: Sequence[str] = ROLES
+) -> DataFrame:
     """Like `enrich`, but with the zone attributes that were valid at each end of the trip."""
     profile = profile_side(zone_history, ["location_id"])
     rows = measured(trips, rules)
-    for role in ("pickup", "dropoff"):
+    for role in roles:
         rows = join_as_of(
             rows,
             zone_history,
@@ -90,4 +106,4 @@ def enrich_as_of(trips: DataFrame, zone_history: DataFrame, rules: TripRules = T
             {"zone_name": f"{role}_zone", "borough": f"{role}_borough"},
             profile,
         )
-    return rows.select(*ENRICHED_COLUMNS)
+    return rows.select(*_columns(roles))

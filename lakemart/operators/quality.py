@@ -120,23 +120,39 @@ class TableTests:
         }
 
 
+def _counted(df: DataFrame, row_tests: Mapping[str, Column], name: str, keys: Sequence[str], nulls: bool) -> DataFrame:
+    """Failures of a uniqueness test, and of the row tests counted along in the same pass over `df`."""
+    per_row = [F.sum(F.when(bad, 1).otherwise(0)).alias(f"_t{i}") for i, bad in enumerate(row_tests.values())]
+    groups = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("_n"), *per_row
+    )
+    repeated = F.col("_n") > 1
+    if not nulls:
+        repeated = repeated & F.col("_k0").isNotNull()
+    totals = [F.sum(f"_t{i}") for i in range(len(row_tests))] + [F.sum(F.when(repeated, 1).otherwise(0))]
+    return _as_rows(groups, [*row_tests, name], totals)
+
+
+def _as_rows(df: DataFrame, names: Sequence[str], totals: Sequence[Column]) -> DataFrame:
+    """One global aggregate, turned into one row per test."""
+    one = df.agg(*[F.coalesce(t, F.lit(0)).cast("bigint").alias(f"_f{i}") for i, t in enumerate(totals)])
+    pairs = [F.struct(F.lit(n).alias("test"), F.col(f"_f{i}").alias("failures")) for i, n in enumerate(names)]
+    return one.select(F.explode(F.array(*pairs)).alias("_r")).select("_r.*")
+
+
 def run_tests(df: DataFrame, tests: TableTests, now: dt.datetime | None = None) -> DataFrame:
-    """One row per test: table, test, failures. All single-row tests share one scan and one aggregate."""
-    parts = []
-    conditions = tests.row_conditions(now or utc_now())
-    if conditions:
-        counts = df.agg(
-            *[
-                F.coalesce(F.sum(F.when(bad, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"_t{i}")
-                for i, bad in enumerate(conditions.values())
-            ]
-        )
-        rows = [F.struct(F.lit(n).alias("test"), F.col(f"_t{i}").alias("failures")) for i, n in enumerate(conditions)]
-        parts.append(counts.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*"))
-    grouped = {f"unique:{c}": unique(df, c) for c in tests.unique}
-    grouped |= {f"unique_combination:{','.join(c)}": unique_combination(df, c) for c in tests.unique_combination}
-    for name, failing in grouped.items():
-        parts.append(failing.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("test"), "failures"))
+    """One row per test: table, test, failures.
+
+    All tests of single rows share one pass over the table, together with the first uniqueness test if there is
+    one. Each further uniqueness test groups by other columns and needs its own pass.
+    """
+    row_tests = tests.row_conditions(now or utc_now())
+    grouped = [(f"unique:{c}", [c], False) for c in tests.unique]
+    grouped += [(f"unique_combination:{','.join(c)}", list(c), True) for c in tests.unique_combination]
+    if grouped:
+        parts = [_counted(df, row_tests if i == 0 else {}, *test) for i, test in enumerate(grouped)]
+    else:
+        parts = [_as_rows(df, list(row_tests), [F.sum(F.when(bad, 1).otherwise(0)) for bad in row_tests.values()])]
     return reduce(DataFrame.unionByName, parts).select(F.lit(tests.table).alias("table"), "test", "failures")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakemart.config import ConfigError, DimensionConfig
 from lakemart.functions.audit import instant
 from lakemart.operators.incremental import merge_upsert
-from lakemart.operators.joins import SideProfile, profile_side, require_unique, same_type, spread_join
+from lakemart.operators.joins import DuplicateKeyError, SideProfile, profile_side, same_type, spread_join
 
 VALIDITY = ["valid_from", "valid_to", "updated_at"]
 # Broadcast history is scanned per key, so it also needs few versions per key.
@@ -27,9 +27,12 @@ class NullKeyError(ValueError):
 
 def require_keys(incoming: DataFrame, key: str) -> None:
     """One job: the business key must be set and unique."""
-    require_unique(incoming, [key], "incoming dimension")
-    if incoming.where(F.col(key).isNull()).limit(1).count():
+    per_key = incoming.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("copies"))
+    bad = per_key.where("copies > 1 OR key IS NULL").limit(1).collect()
+    if bad and bad[0]["key"] is None:
         raise NullKeyError(f"incoming dimension has a null '{key}'")
+    if bad:
+        raise DuplicateKeyError(f"incoming dimension has {bad[0]['copies']} rows for one '{key}'")
 
 
 def first_versions(incoming: DataFrame, now: dt.datetime) -> DataFrame:

@@ -7,20 +7,25 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart.config import ConfigError, IncrementalConfig, Project, schema_name, table_name
 from lakemart.functions.audit import utc_now, with_audit
 from lakemart.operators.backfill import find_gap
-from lakemart.operators.enrich import TripRules, enrich
+from lakemart.operators.enrich import MART_ROLES, TripRules, enrich, measured
 from lakemart.operators.incremental import from_date, window_start
 from lakemart.operators.marts import daily, hourly
-from lakemart.operators.quality import enforce, run_tests
+from lakemart.operators.quality import enforce, freshness, run_tests
 from lakemart.operators.scd import current
 from lakemart.operators.staging import stage
 from lakemart.plans import trips as t
 from lakemart.sources.history import HistoryTable
-from lakemart.sources.ingest import EVENT_DATE, IngestConfig, ingest_files
-from lakemart.sources.tables import MartTable, as_view, ensure_schema, source, write_table
+from lakemart.sources.ingest import EVENT_DATE, IngestConfig, IngestRun, ingest_files, start_ingest
+from lakemart.sources.tables import MartTable, as_view, ensure_schema, partition_values, source, write_table
+
+
+# The rows to build from, or a function that reads them from a date on (None: all).
+Upstream = DataFrame | Callable[[dt.date | None], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -34,7 +39,7 @@ class ModelRun:
 
 def run_incremental(
     mart: MartTable,
-    upstream: DataFrame,
+    upstream: Upstream,
     build: Callable[[DataFrame], DataFrame],
     config: IncrementalConfig,
     *,
@@ -51,7 +56,7 @@ def run_incremental(
     A missing or empty mart, or `full_refresh`, is a full run. The overrides hold for this run only: a wider
     `late_arrival_days` is a targeted backfill. `strategy="replace_window"` also removes groups of the window that
     the source no longer yields. `upstream` must have the watermark column; the filter on it is applied before
-    `build`, as a literal, so it reaches the scan.
+    `build`, as a literal, so it reaches the scan. An `upstream` function can prune its source further.
     """
     if strategy not in ("merge", "replace_window"):
         raise ConfigError(f"unknown strategy '{strategy}'")
@@ -59,6 +64,7 @@ def run_incremental(
     low = None
     if mart.exists() and not full_refresh:
         low = window_start(mart.high_water_mark(watermark.column), watermark)
+    upstream = upstream(low) if callable(upstream) else upstream
     rows = build(from_date(upstream, watermark.column, low))
     if audit:
         rows = with_audit(rows, config.model, run_id, now)
@@ -74,17 +80,24 @@ def run_incremental(
 
 def backfill(
     mart: MartTable,
-    upstream: DataFrame,
+    upstream: Upstream,
     build: Callable[[DataFrame], DataFrame],
     config: IncrementalConfig,
     *,
     late_arrival_days: int | None = None,
+    expected: DataFrame | None = None,
     **options,
 ) -> ModelRun:
-    """One run with a lookback wide enough for the dates that the mart lacks, or with the one given."""
+    """One run with a lookback wide enough for the dates that the mart lacks, or with the one given.
+
+    The dates to look for come from `expected` (by default all of `upstream`); pass rows that `build` keeps, so
+    that a date without any is not searched for again and again.
+    """
     if late_arrival_days is None:
         column = config.resolve(options.get("watermark_column")).column
-        gap = find_gap(upstream, mart.read(), column).first()
+        if expected is None:
+            expected = upstream(None) if callable(upstream) else upstream
+        gap = find_gap(expected, mart.read(), column).first()
         late_arrival_days = max(gap["lookback_days"], config.late_arrival_days)
     return run_incremental(mart, upstream, build, config, late_arrival_days=late_arrival_days, **options)
 
@@ -134,28 +147,42 @@ class Warehouse:
         base = self.spark.catalog.getDatabase(schema).locationUri.rstrip("/")
         return HistoryTable(self.spark, f"{schema}.zones_snapshot", f"{base}/zones_snapshot_data")
 
-    def _run(self, mart: MartTable, aggregate: Callable[[DataFrame], DataFrame], model: str, **options) -> ModelRun:
-        config = self.project.incremental_for(model)
-        zones = self.staged("taxi_zone_lookup")
-        low = None
-        if mart.exists() and not options.get("full_refresh"):
-            # The raw table is pruned by its partition column, which the staged rows no longer have.
-            rule = config.resolve(options.get("watermark_column"), options.get("late_arrival_days"))
-            low = window_start(mart.high_water_mark(rule.column), rule)
-        upstream = self.staged("yellow_trips_raw", low)
-        return run_incremental(
-            mart, upstream, lambda rows: aggregate(enrich(rows, zones, self.rules)), config, **options
-        )
+    def _trips_from(self, low: dt.date | None) -> DataFrame:
+        # Pruned by the raw table's partition column, which the staged rows no longer have.
+        return self.staged("yellow_trips_raw", low)
+
+    def _enriched(self, trips: DataFrame) -> DataFrame:
+        return enrich(trips, self.staged("taxi_zone_lookup"), self.rules, MART_ROLES)
+
+    def _build_daily(self, trips: DataFrame) -> DataFrame:
+        return daily(self._enriched(trips), self.rules)
 
     def run_daily(self, **options) -> ModelRun:
-        return self._run(self.daily_mart(), lambda rows: daily(rows, self.rules), "fct_trips_daily", **options)
+        config = self.project.incremental_for("fct_trips_daily")
+        return run_incremental(self.daily_mart(), self._trips_from, self._build_daily, config, **options)
+
+    def backfill_daily(self, **options) -> ModelRun:
+        """Find the dates that the daily mart lacks and merge them, with everything after the oldest of them."""
+        config, mart = self.project.incremental_for("fct_trips_daily"), self.daily_mart()
+        raw = self.raw("yellow_trips_raw")
+        if EVENT_DATE in raw.columns:
+            # Dates come from the catalog; only those that the mart lacks are opened, to see if they have valid trips.
+            name = f"{self.raw_schema}.yellow_trips_raw"
+            known = partition_values(self.spark, name, EVENT_DATE).select(F.col(EVENT_DATE).cast("date"))
+            lacking = known.dropna().join(mart.read().select(F.col("trip_date").alias(EVENT_DATE)), EVENT_DATE, "anti")
+            raw = raw.where(F.col(EVENT_DATE).isin([row[0] for row in lacking.collect()]))
+        candidates = measured(stage(raw, self.project.staging_for("yellow_trips_raw")), self.rules)
+        return backfill(mart, self._trips_from, self._build_daily, config, expected=candidates, **options)
 
     def run_hourly(self, incremental: bool = False, **options) -> ModelRun:
         """A full rebuild by default; `incremental=True` merges the recent window instead."""
-        options = {"audit": False, **options}
-        if not incremental:
-            options["full_refresh"] = True
-        return self._run(self.hourly_mart(), hourly, "fct_trips_hourly", **options)
+        options = {"audit": False, "full_refresh": not incremental, **options}
+        config = self.project.incremental_for("fct_trips_hourly")
+
+        def build(trips: DataFrame) -> DataFrame:
+            return hourly(self._enriched(trips))
+
+        return run_incremental(self.hourly_mart(), self._trips_from, build, config, **options)
 
     def snapshot_zones(self, now: dt.datetime | None = None) -> int:
         config = self.project.dimension_for("taxi_zones")
@@ -166,6 +193,17 @@ class Warehouse:
         rows = current(self.zone_history().read()).select(*columns)
         return write_table(rows, self.table("marts", "dim_taxi_zones"))
 
+    def freshness(self, now: dt.datetime | None = None) -> DataFrame:
+        """Age of the newest raw trip. Of a table split by date only the newest date up to now is read."""
+        now = now or utc_now()
+        raw = self.raw("yellow_trips_raw")
+        if EVENT_DATE in raw.columns:
+            dates = partition_values(self.spark, f"{self.raw_schema}.yellow_trips_raw", EVENT_DATE)
+            day = F.col(EVENT_DATE).cast("date")
+            newest = dates.agg(F.max(F.when(day <= F.lit(now.date()), day)).alias("day")).first()["day"]
+            raw = from_date(raw, EVENT_DATE, newest)
+        return freshness(raw, t.TRIP_FRESHNESS, now)
+
     def test(self, now: dt.datetime | None = None) -> DataFrame:
         """Run the declared tests of every table: one row per test."""
         mart, dim = self.daily_mart().read(), self.spark.table(self.table("marts", "dim_taxi_zones"))
@@ -190,12 +228,16 @@ class Warehouse:
         enforce_tests: bool = False,
         now: dt.datetime | None = None,
     ) -> dict[str, object]:
-        """Ingest, then zones history and dimension, then marts, then tests. An error stops the steps after it."""
+        """Ingest, then zones history and dimension, then marts, then tests. An error stops the steps after it.
+
+        Freshness is reported before the models run and stops nothing.
+        """
         now = now or utc_now()
         done: dict[str, object] = {}
         if ingest is not None:
             done["files"] = ingest_files(self.spark, ingest)
         self.prepare()
+        done["freshness"] = self.freshness(now).first().asDict()
         self.staging_views()
         done["snapshot_run"] = self.snapshot_zones(now)
         self.build_dimension()
@@ -205,3 +247,11 @@ class Warehouse:
         if enforce_tests:
             enforce(done["tests"])
         return done
+
+    def follow(self, ingest: IngestConfig, every: str | None = "15 minutes", **options) -> IngestRun:
+        """Poll the landing folder; each load of new files starts a build, and without new files nothing runs."""
+
+        def rebuild(spark: SparkSession, load: str) -> None:
+            self.build(**options)
+
+        return start_ingest(self.spark, ingest, every, rebuild)

@@ -18,13 +18,13 @@ from pyspark.sql import types as T
 from lakemart.config import DimensionConfig, FreshnessConfig, IncrementalConfig, StagingConfig
 from lakemart.functions.audit import with_audit, without_audit
 from lakemart.operators import backfill, incremental, quality, reconcile, scd
-from lakemart.operators.enrich import TripRules, enrich, enrich_as_of
+from lakemart.operators.enrich import MART_ROLES, ROLES, TripRules, enrich, enrich_as_of
 from lakemart.operators.marts import DAILY_KEYS, HOURLY_KEYS, daily, daily_measures, hourly
 from lakemart.operators.staging import stage, union_sources
 from lakemart.plans import trips as t
 from lakemart.plans.pipeline import backfill as run_backfill
 from lakemart.plans.pipeline import run_incremental
-from lakemart.session import scratch_path
+from lakemart.session import scratch_path, stable
 from lakemart.sources.history import HistoryTable
 from lakemart.sources.ingest import IngestConfig, ingest_files
 from lakemart.sources.landed import RESCUED, read_rescued_csv
@@ -163,17 +163,17 @@ def staged_zones(spark: SparkSession, sf: str, complete: bool = False) -> DataFr
     return t.stg_zones(raw_zones(spark, sf, complete))
 
 
-def enriched_trips(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich(staged_trips(spark, sf), staged_zones(spark, sf), DAYS)
+def enriched_trips(spark: SparkSession, sf: str, roles=ROLES) -> DataFrame:
+    return enrich(staged_trips(spark, sf), staged_zones(spark, sf), DAYS, roles)
 
 
-def enriched_events(spark: SparkSession, sf: str) -> DataFrame:
+def enriched_events(spark: SparkSession, sf: str, roles=ROLES) -> DataFrame:
     trips = stage(trips_from_events(read(spark, sf, "events")), EVENT_YELLOW)
-    return enrich(trips, zones_from_customers(spark, sf))
+    return enrich(trips, zones_from_customers(spark, sf), roles=roles)
 
 
 def full_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return daily(enriched_trips(spark, sf), DAYS)
+    return daily(enriched_trips(spark, sf, MART_ROLES), DAYS)
 
 
 def customer_states(spark: SparkSession, sf: str) -> list[DataFrame]:
@@ -234,7 +234,7 @@ def event_ingest(spark: SparkSession, sf: str, scratch: Scratch) -> IngestConfig
 
 def staged_build(spark: SparkSession, sf: str) -> Callable[[DataFrame], DataFrame]:
     zones = staged_zones(spark, sf)
-    return lambda trips: daily(enrich(trips, zones, DAYS), DAYS)
+    return lambda trips: daily(enrich(trips, zones, DAYS, MART_ROLES), DAYS)
 
 
 def run_loads(spark: SparkSession, sf: str, label: str, arrived: list) -> DataFrame:
@@ -290,7 +290,7 @@ def trips_enriched_as_of(spark, sf):
 
 
 def daily_mart(spark, sf):
-    trips = enrich(staged_trips(spark, sf), staged_zones(spark, sf, complete=True), DAYS)
+    trips = enrich(staged_trips(spark, sf), staged_zones(spark, sf, complete=True), DAYS, MART_ROLES)
     return as_double(daily(trips, DAYS))
 
 
@@ -303,11 +303,11 @@ def daily_mart_audited(spark, sf):
 
 
 def event_daily_mart(spark, sf):
-    return as_double(daily(enriched_events(spark, sf)))
+    return as_double(daily(enriched_events(spark, sf, MART_ROLES)))
 
 
 def hourly_mart(spark, sf):
-    return as_double(hourly(enriched_events(spark, sf)))
+    return as_double(hourly(enriched_events(spark, sf, MART_ROLES)))
 
 
 def watermark_window(spark, sf):
@@ -332,11 +332,14 @@ def watermark_zero_lookback(spark, sf):
 
 
 def _mart_halves(spark, sf):
-    """A mart of the card trips up to one date, and the whole mart from an earlier date on."""
-    trips = enriched_trips(spark, sf)
+    """A mart of the card trips up to one date, and the whole mart from an earlier date on.
+
+    The source of a merge is read several times, so it is computed once and stored.
+    """
+    trips = enriched_trips(spark, sf, MART_ROLES)
     older = trips.where((F.col("trip_date") <= SECOND_LOAD) & (F.col("payment_type") == 1))
     newer = trips.where(F.col("trip_date") > FIRST_LOAD)
-    return daily(older, DAYS), daily(newer, DAYS)
+    return daily(older, DAYS), stable(daily(newer, DAYS))
 
 
 def merge_upsert(spark, sf):
@@ -359,7 +362,7 @@ def merge_plain_equality(spark, sf):
 
 def replace_window(spark, sf):
     """A zone change relabels a borough; replacing the window leaves no row of the old label behind."""
-    trips = enriched_trips(spark, sf)
+    trips = enriched_trips(spark, sf, MART_ROLES)
     target = daily(trips, DAYS)
     relabelled = trips.withColumn("pickup_borough", F.coalesce("pickup_borough", F.lit("UNKNOWN")))
     source = daily(relabelled.where(F.col("trip_date") >= SECOND_LOAD), DAYS)
@@ -373,7 +376,7 @@ def stored_replace_window(spark, sf):
 
     def relabelled(rows):
         named = F.coalesce("pickup_borough", F.lit("UNKNOWN"))
-        return daily(enrich(rows, zones, DAYS).withColumn("pickup_borough", named), DAYS)
+        return daily(enrich(rows, zones, DAYS, MART_ROLES).withColumn("pickup_borough", named), DAYS)
 
     run_incremental(mart, trips, staged_build(spark, sf), DAILY)
     run_incremental(mart, trips, relabelled, DAILY, strategy="replace_window")
@@ -421,8 +424,12 @@ def hourly_incremental(spark, sf):
     mart = MartTable(spark, Scratch(spark, "hourly").table("fct_trips_hourly"), partition_on="trip_date")
     zones = zones_from_customers(spark, sf)
     trips = stage(trips_from_events(read(spark, sf, "events")), EVENT_YELLOW)
+
+    def build(rows):
+        return hourly(enrich(rows, zones, roles=MART_ROLES))
+
     for landed in (F.col("trip_date") <= dt.date(2024, 1, 15), F.lit(True)):
-        run_incremental(mart, trips.where(landed), lambda rows: hourly(enrich(rows, zones)), HOURLY, audit=False)
+        run_incremental(mart, trips.where(landed), build, HOURLY, audit=False)
     return as_double(mart.read())
 
 
@@ -515,7 +522,7 @@ def union_of_sources(spark, sf):
 
 
 def dq_not_null(spark, sf):
-    failing = quality.not_null(enriched_trips(spark, sf), "pickup_borough")
+    failing = quality.not_null(enriched_trips(spark, sf, MART_ROLES), "pickup_borough")
     return as_double(failing.select("trip_date", "pickup_location_id", "total_amount", "vendor_id"))
 
 
@@ -562,7 +569,7 @@ def dq_suite(spark, sf):
     results = [
         quality.run_tests(trips, t.STAGED_TRIP_TESTS, now),
         quality.run_tests(zones, t.STAGED_ZONE_TESTS, now),
-        quality.run_tests(daily(enrich(trips, zones, DAYS), DAYS), t.DAILY_TESTS, now),
+        quality.run_tests(full_daily(spark, sf), t.DAILY_TESTS, now),
     ]
     return results[0].unionByName(results[1]).unionByName(results[2])
 
@@ -675,7 +682,7 @@ def stream_daily(spark, sf):
     zones, mart = zones_from_customers(spark, sf), scratch.daily_mart(spark)
 
     def build(raw):
-        return daily(enrich(stage(trips_from_events(raw), EVENT_YELLOW), zones))
+        return daily(enrich(stage(trips_from_events(raw), EVENT_YELLOW), zones, roles=MART_ROLES))
 
     hook = refresh_on_load(config, mart, build, DAILY_KEYS, "fct_trips_daily")
     events = read(spark, sf, "events")
@@ -689,7 +696,7 @@ def _event_stream(spark, sf):
     landing, pattern = landing_of(spark, sf, "events")
     raw = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern).parquet(landing)
     trips = stage(trips_from_events(raw), EVENT_YELLOW)
-    return enrich(trips, zones_from_customers(spark, sf))
+    return enrich(trips, zones_from_customers(spark, sf), roles=MART_ROLES)
 
 
 def stream_event_time(spark, sf):

@@ -15,6 +15,8 @@ from lakemart.operators.incremental import from_date, high_water_mark, merge_ups
 from lakemart.session import stable
 
 PARTITION = "_part"
+# Fixed value: the directory name of a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Table option: overwriting replaces only the partitions that are written.
 PER_PARTITION = "partitionOverwriteMode"
 
@@ -60,6 +62,14 @@ def add_missing_columns(spark: SparkSession, name: str, schema: T.StructType) ->
     return [f.name for f in new]
 
 
+def partition_values(spark: SparkSession, name: str, column: str, within: dict[str, str] | None = None) -> DataFrame:
+    """Distinct values of a partition column as text, from the catalog alone: no file is opened."""
+    spec = ", ".join(f"{k} = '{v}'" for k, v in (within or {}).items())
+    listed = spark.sql(f"SHOW PARTITIONS {name}" + (f" PARTITION ({spec})" if spec else ""))
+    value = F.regexp_extract("partition", f"(?:^|/){column}=([^/]*)", 1)
+    return listed.select(F.when(value != NULL_PARTITION, value).alias(column)).distinct()
+
+
 def overwrite_partitions(df: DataFrame, name: str, balance_by: Sequence[str]) -> None:
     """Replace the partitions of `name` that occur in `df`; `df` may read the table.
 
@@ -122,7 +132,8 @@ class MartTable:
         """Newest date. When the table is split by that column, only its newest partition is read."""
         rows = self.stored()
         if column == self.partition_on:
-            newest = rows.agg(F.max(PARTITION).alias("part")).first()["part"]
+            parts = partition_values(self.spark, self.name, PARTITION)
+            newest = parts.agg(F.max(F.col(PARTITION).cast("date")).alias("part")).first()["part"]
             rows = from_date(rows, PARTITION, newest)
         return high_water_mark(rows, column)
 

@@ -12,20 +12,18 @@ from lakemart.config import FreshnessConfig
 from lakemart.functions.audit import with_audit
 from lakemart.operators.quality import TableTests, enforce, freshness, run_tests
 from lakemart.sources.ingest import EVENT_DATE, LOAD, IngestConfig, OnLoad
-from lakemart.sources.tables import MartTable
+from lakemart.sources.tables import MartTable, partition_values
 
 
 def rows_of_touched_dates(spark: SparkSession, config: IngestConfig, load: str) -> DataFrame | None:
     """All raw rows, from any load, of the dates that occur in `load`. None when the load has no dated row."""
-    raw = spark.table(config.table)
-    # Read from partition values only. At most one row per calendar day, hence safe to broadcast.
-    dates = raw.where(F.col(LOAD) == load).select(EVENT_DATE).where(F.col(EVENT_DATE).isNotNull()).distinct()
-    span = dates.agg(F.min(EVENT_DATE).alias("low"), F.max(EVENT_DATE).alias("high")).first()
-    if span["low"] is None:
+    # At most one value per calendar day. As literals they select the partition directories exactly, also when a
+    # stray date lies years away from the others.
+    listed = partition_values(spark, config.table, EVENT_DATE, {LOAD: load})
+    dates = [row[0] for row in listed.select(F.col(EVENT_DATE).cast("date")).dropna().collect()]
+    if not dates:
         return None
-    # The literal range prunes partition directories; the semi join makes it exact.
-    near = raw.where(F.col(EVENT_DATE).between(F.lit(span["low"]), F.lit(span["high"])))
-    return near.join(F.broadcast(dates), EVENT_DATE, "left_semi")
+    return spark.table(config.table).where(F.col(EVENT_DATE).isin(dates))
 
 
 def refresh_on_load(

@@ -115,3 +115,44 @@ def test_unknown_model_and_audit_free_read(spark, warehouse):
     with pytest.raises(ConfigError):
         warehouse.project.incremental_for("fct_unknown")
     assert without_audit(spark.range(1).withColumnRenamed("id", "_run_id")).columns == []
+
+
+def test_backfill_opens_only_the_dates_the_mart_lacks(spark, tmp_path, warehouse):
+    zones = spark.createDataFrame([(1, "Queens", "Z", "S"), (2, "Bronx", "Y", "S")], t.ZONE_SCHEMA)
+    zones.write.saveAsTable(f"{warehouse.raw_schema}.taxi_zone_lookup")
+    ingest = IngestConfig(
+        f"{tmp_path}/landing", f"{warehouse.raw_schema}.yellow_trips_raw", t.raw_trip_schema(),
+        f"{tmp_path}/checkpoint", "tpep_pickup_datetime",
+    )
+    trips(spark, ("2024-04-01 08:00", 1), ("2024-04-09 09:00", 2)).write.parquet(ingest.landing)
+    warehouse.build(ingest)
+    old = trips(spark, ("2024-02-20 08:00", 1), ("2019-05-05 08:00", 1))
+    old.write.mode("append").parquet(ingest.landing)
+    warehouse.build(ingest)
+    assert warehouse.daily_mart().read().count() == 2
+    # 2019 is before the staging limit, so it is neither found nor searched for.
+    assert warehouse.backfill_daily().low == dt.date(2024, 2, 20)
+    assert warehouse.daily_mart().read().count() == 3
+    assert warehouse.backfill_daily().low == dt.date(2024, 4, 6)
+
+
+def test_each_landed_file_starts_a_build(spark, tmp_path, warehouse):
+    zones = spark.createDataFrame([(1, "Queens", "Z", "S")], t.ZONE_SCHEMA)
+    zones.write.saveAsTable(f"{warehouse.raw_schema}.taxi_zone_lookup")
+    ingest = IngestConfig(
+        f"{tmp_path}/landing", f"{warehouse.raw_schema}.yellow_trips_raw", t.raw_trip_schema(),
+        f"{tmp_path}/checkpoint", "tpep_pickup_datetime",
+    )
+    trips(spark, ("2024-04-01 08:00", 1)).coalesce(1).write.parquet(ingest.landing)
+    run = warehouse.follow(ingest, every="1 second")
+    try:
+        run.query.processAllAvailable()
+        assert rows(warehouse.daily_mart().read(), "total_trips") == [(1,)]
+        trips(spark, ("2024-04-01 09:00", 1)).coalesce(1).write.mode("append").parquet(ingest.landing)
+        run.query.processAllAvailable()
+        assert rows(warehouse.daily_mart().read(), "total_trips") == [(2,)]
+    finally:
+        run.query.stop()
+    assert len(run.loads) == 2
+    age = warehouse.freshness(ts("2024-04-03 09:00")).first()
+    assert (age.status, age.age_hours) == ("warn", 48.0)
