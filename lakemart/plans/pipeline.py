@@ -14,11 +14,11 @@ from lakemart.functions.audit import utc_now, with_audit
 from lakemart.operators.backfill import find_gap
 from lakemart.operators.enrich import MART_ROLES, TripRules, enrich, measured
 from lakemart.operators.incremental import from_date, window_start
-from lakemart.operators.marts import daily, hourly
+from lakemart.operators.marts import daily, daily_from_rollup, hourly, hourly_from_rollup, rollup
 from lakemart.operators.quality import enforce, freshness, run_tests
-from lakemart.operators.scd import current
 from lakemart.operators.staging import stage
 from lakemart.plans import trips as t
+from lakemart.session import stable
 from lakemart.sources.history import HistoryTable
 from lakemart.sources.ingest import EVENT_DATE, IngestConfig, IngestRun, ingest_files, start_ingest
 from lakemart.sources.tables import MartTable, as_view, ensure_schema, partition_values, source, write_table
@@ -190,7 +190,7 @@ class Warehouse:
 
     def build_dimension(self) -> DataFrame:
         columns = ["location_id", "zone_name", "borough", "service_zone", "effective_from", "last_changed_at"]
-        rows = current(self.zone_history().read()).select(*columns)
+        rows = self.zone_history().current().select(*columns)
         return write_table(rows, self.table("marts", "dim_taxi_zones"))
 
     def freshness(self, now: dt.datetime | None = None) -> DataFrame:
@@ -204,11 +204,19 @@ class Warehouse:
             raw = from_date(raw, EVENT_DATE, newest)
         return freshness(raw, t.TRIP_FRESHNESS, now)
 
-    def test(self, now: dt.datetime | None = None) -> DataFrame:
-        """Run the declared tests of every table: one row per test."""
+    def rebuild_marts(self, now: dt.datetime | None = None) -> tuple[ModelRun, ModelRun]:
+        """Full rebuild of both marts from one pass over the trips."""
+        parts = stable(rollup(self._enriched(self._trips_from(None)), self.rules))
+        models = ("fct_trips_daily", "fct_trips_hourly")
+        self.daily_mart().replace(with_audit(daily_from_rollup(parts), models[0], now=now))
+        self.hourly_mart().replace(hourly_from_rollup(parts))
+        return ModelRun(models[0], True, None), ModelRun(models[1], True, None)
+
+    def test(self, now: dt.datetime | None = None, low: dt.date | None = None) -> DataFrame:
+        """Run the declared tests of every table: one row per test. `low` limits the trips to dates from then on."""
         mart, dim = self.daily_mart().read(), self.spark.table(self.table("marts", "dim_taxi_zones"))
         suites = [
-            (self.staged("yellow_trips_raw"), t.STAGED_TRIP_TESTS),
+            (self.staged("yellow_trips_raw", low), t.STAGED_TRIP_TESTS),
             (self.staged("taxi_zone_lookup"), t.STAGED_ZONE_TESTS),
             (mart, t.DAILY_TESTS),
             (self.zone_history().read(), t.HISTORY_TESTS),
@@ -225,12 +233,15 @@ class Warehouse:
         ingest: IngestConfig | None = None,
         *,
         full_refresh: bool = False,
+        hourly_incremental: bool = False,
         enforce_tests: bool = False,
         now: dt.datetime | None = None,
     ) -> dict[str, object]:
         """Ingest, then zones history and dimension, then marts, then tests. An error stops the steps after it.
 
-        Freshness is reported before the models run and stops nothing.
+        Freshness is reported before the models run and stops nothing. The hourly mart is rebuilt unless
+        `hourly_incremental` is set. Of the staged trips, the dates that this run reprocessed are tested; `test()`
+        covers all of them.
         """
         now = now or utc_now()
         done: dict[str, object] = {}
@@ -241,9 +252,12 @@ class Warehouse:
         self.staging_views()
         done["snapshot_run"] = self.snapshot_zones(now)
         self.build_dimension()
-        done["daily"] = self.run_daily(full_refresh=full_refresh, now=now)
-        done["hourly"] = self.run_hourly()
-        done["tests"] = self.test(now)
+        if full_refresh or not self.daily_mart().exists():
+            done["daily"], done["hourly"] = self.rebuild_marts(now)
+        else:
+            done["daily"] = self.run_daily(now=now)
+            done["hourly"] = self.run_hourly(incremental=hourly_incremental)
+        done["tests"] = self.test(now, done["daily"].low)
         if enforce_tests:
             enforce(done["tests"])
         return done

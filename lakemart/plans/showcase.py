@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from lakemart.config import DimensionConfig, FreshnessConfig, IncrementalConfig, StagingConfig
 from lakemart.functions.audit import with_audit, without_audit
-from lakemart.operators import backfill, incremental, quality, reconcile, scd
+from lakemart.operators import backfill, incremental, marts, quality, reconcile, scd
 from lakemart.operators.enrich import MART_ROLES, ROLES, TripRules, enrich, enrich_as_of
 from lakemart.operators.marts import DAILY_KEYS, HOURLY_KEYS, daily, daily_measures, hourly
 from lakemart.operators.staging import stage, union_sources
@@ -310,6 +310,14 @@ def hourly_mart(spark, sf):
     return as_double(hourly(enriched_events(spark, sf, MART_ROLES)))
 
 
+def daily_from_rollup(spark, sf):
+    return as_double(marts.daily_from_rollup(marts.rollup(enriched_trips(spark, sf, MART_ROLES), DAYS)))
+
+
+def hourly_from_rollup(spark, sf):
+    return as_double(marts.hourly_from_rollup(marts.rollup(enriched_events(spark, sf, MART_ROLES))))
+
+
 def watermark_window(spark, sf):
     loaded = staged_trips(spark, sf).where(F.col("trip_date") <= SECOND_LOAD)
     return as_double(incremental.watermark_filter(staged_trips(spark, sf), loaded, DAILY.resolve()))
@@ -730,6 +738,8 @@ QUERIES: dict[str, Query] = {
     "daily_mart_audited": daily_mart_audited,
     "event_daily_mart": event_daily_mart,
     "hourly_mart": hourly_mart,
+    "daily_from_rollup": daily_from_rollup,
+    "hourly_from_rollup": hourly_from_rollup,
     "watermark_window": watermark_window,
     "watermark_first_run": watermark_first_run,
     "watermark_empty_target": watermark_empty_target,

@@ -251,6 +251,8 @@ ORACLE: dict[str, str] = {
     ),
     "event_daily_mart": _with(EVENTS, _daily("event_enriched")),
     "hourly_mart": _with(EVENTS, _HOURLY.format(rows="event_enriched")),
+    "daily_from_rollup": _FULL_DAILY,
+    "hourly_from_rollup": _with(EVENTS, _HOURLY.format(rows="event_enriched")),
     "watermark_window": _with(
         TRIPS,
         f"""SELECT {_STAGED} FROM trips WHERE trip_date >= (

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lakemart.config import DimensionConfig
 from lakemart.functions.audit import utc_now
-from lakemart.operators.scd import advance, first_versions, require_keys
+from lakemart.operators.scd import advance, current, first_versions, require_keys
 from lakemart.session import stable
 
 RUN = "_run"
@@ -34,6 +34,10 @@ class HistoryTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def current(self) -> DataFrame:
+        """One row per key as of the newest run. The closed versions are not opened."""
+        return current(self._open_rows(self.run_number()))
+
     def run_number(self) -> int:
         """The newest visible run, 0 before the first."""
         if not self.exists():

@@ -40,7 +40,7 @@ class IngestConfig:
     checkpoint: str
     event_time: str | None = None
     pattern: str = "*.parquet"
-    max_files_per_batch: int = 1000
+    max_files_per_batch: int = 10_000
 
     @property
     def partition_columns(self) -> list[str]:

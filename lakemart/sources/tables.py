@@ -90,9 +90,9 @@ class MartTable:
     """A merge target: a Parquet table split by a coarse unit of one date column, or by nothing.
 
     The partition column is physical only; `read` hides it. It is fixed when the table is created, so a new grain
-    or key needs a full refresh. A merge rewrites only the partitions that the source touches. Each partition is
-    swapped in when the job commits; if the driver dies between two swaps, running the same window again repairs
-    the table, since the merge depends only on the keys.
+    or key needs a full refresh. A merge rewrites only the partitions that the source touches, and swaps each of
+    them in when the job commits. If the driver dies during a swap, that partition is missing: the newest one
+    lowers the high-water mark, so the next run refills it; an older one is a gap, which a backfill refills.
     """
 
     spark: SparkSession

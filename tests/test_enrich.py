@@ -8,7 +8,7 @@ from lakemart.functions.audit import AUDIT_COLUMNS, with_audit
 from lakemart.operators import joins
 from lakemart.operators.enrich import ENRICHED_COLUMNS, enrich
 from lakemart.operators.joins import DuplicateKeyError, lookup_join, profile_side, spread_hot_keys
-from lakemart.operators.marts import daily, hourly
+from lakemart.operators.marts import daily, daily_from_rollup, hourly, hourly_from_rollup, rollup
 
 PICKUP = ts("2024-04-10 08:00:00")
 
@@ -86,6 +86,24 @@ def test_hourly_measures(trip, zones):
     assert rows(found.drop("trip_date")) == [(8, "Queens", 2, 20.0, 24.0), (9, "Queens", 1, 30.0, 12.0)]
 
 
+def test_both_marts_from_one_rollup(trip, zones):
+    later = {"pickup_at": ts("2024-04-10 09:30"), "dropoff_at": ts("2024-04-10 10:00"), "payment_type": 2}
+    no_card = {"pickup_location_id": 2, "payment_type": 2}
+    found = enrich(trip({}, {}, later, no_card, {"pickup_location_id": 9, "tip_amount": None}), zones)
+    parts = rollup(found)
+    assert rows(daily_from_rollup(parts)) == rows(daily(found))
+    assert rows(hourly_from_rollup(parts)) == rows(hourly(found))
+    assert daily_from_rollup(parts).columns == daily(found).columns
+
+
+def test_unneeded_role_is_neither_joined_nor_read(spark, trip, zones, tmp_path):
+    trip({}).write.parquet(f"{tmp_path}/t")
+    found = daily(enrich(spark.read.parquet(f"{tmp_path}/t"), zones, roles=("pickup",)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1
+    assert "dropoff_location_id" not in plan and "vendor_id" not in plan and "tolls_amount" not in plan
+
+
 def test_audit_columns_are_constant_per_run(trip, zones):
     now = ts("2024-05-01 06:00")
     found = with_audit(daily(enrich(trip({}), zones)), "fct", "run-7", now)

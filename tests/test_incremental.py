@@ -237,6 +237,17 @@ def test_loads_with_bounded_lateness_equal_a_full_rebuild(spark, arrivals):
     spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
+def test_a_partition_lost_in_a_crash_is_refilled(spark, mart):
+    data = days(spark, D(2024, 2, 20), D(2024, 4, 10))
+    run_incremental(mart, data, count_by_key, CONFIG)
+    spark.sql(f"ALTER TABLE {mart.name} DROP PARTITION (_part = DATE'2024-04-01')")
+    run_incremental(mart, data, count_by_key, CONFIG)
+    assert rows(without_audit(mart.read())) == rows(data)
+    spark.sql(f"ALTER TABLE {mart.name} DROP PARTITION (_part = DATE'2024-03-01')")
+    backfill(mart, data, count_by_key, CONFIG)
+    assert rows(without_audit(mart.read())) == rows(data)
+
+
 def test_tables_without_the_option_are_never_overwritten(spark, schema):
     name = f"{schema}.foreign"
     frame(spark, *MERGE_TARGET).selectExpr("*", "0 AS _part").write.partitionBy("_part").saveAsTable(name)

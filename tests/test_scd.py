@@ -97,6 +97,8 @@ def test_stored_history_equals_the_operator(spark, schema, tmp_path, states):
         history.snapshot(incoming, CONFIG, now)
     assert ordered(history.read()) == AFTER_T3
     assert history.run_number() == 3
+    assert rows(history.current()) == rows(current(history.read()))
+    assert not any("closed" in f for f in history.current().inputFiles())
 
 
 def test_a_run_that_died_before_publishing_leaves_no_trace(spark, schema, tmp_path, states, monkeypatch):
