@@ -14,11 +14,19 @@ from pyspark.sql import functions as F
 from lakemart.config import ConfigError, DimensionConfig
 from lakemart.functions.audit import instant
 from lakemart.operators.incremental import merge_upsert
-from lakemart.operators.joins import DuplicateKeyError, SideProfile, profile_side, same_type, spread_join
+from lakemart.operators.joins import (
+    DuplicateKeyError,
+    SideProfile,
+    lookup_join,
+    profile_side,
+    same_type,
+    spread_join,
+)
 
 VALIDITY = ["valid_from", "valid_to", "updated_at"]
-# Broadcast history is scanned per key, so it also needs few versions per key.
+# Versions that one fact may be compared with: per key in a broadcast history, per key and chunk in a larger one.
 BROADCAST_VERSIONS = 64
+DAY = 86_400
 
 
 class NullKeyError(ValueError):
@@ -153,8 +161,8 @@ def join_as_of(
     """Left join that adds the attributes valid at time `at`: `valid_from <= at < valid_to`.
 
     Versions of one key must not overlap, as `snapshot` guarantees. A small history with few versions per key is
-    broadcast. Otherwise facts and versions are matched per key and day, so a fact is compared only with the
-    versions that start on its day and the one carried over from before, however long the key's history is.
+    broadcast. Otherwise facts and versions are matched per key and chunk of time, so a fact is compared with few
+    versions however long the history of its key is.
     """
     profile = profile or profile_side(history, [history_key])
     versions = history.select(
@@ -169,29 +177,81 @@ def join_as_of(
         joined = facts.join(F.broadcast(versions), (lhs == rhs) & valid, "left")
         return joined.drop("_hk", "_from", "_to")
 
-    per_day = _versions_by_day(facts, versions, fact_key, at)
-    dated = facts.withColumn("_fday", F.col(at).cast("date"))
-    joined = spread_join(dated, per_day, [fact_key, "_fday"], ["_hk", "_day"], "left", residual=valid)
-    return joined.drop("_fday", "_from", "_to")
+    facts, chunks = _chunked(facts, versions, fact_key, at, profile)
+    joined = spread_join(facts, chunks, [fact_key, "_fc"], ["_hk", "_c"], "left", residual=valid)
+    return joined.drop("_fc", "_from", "_to")
 
 
-def _versions_by_day(facts: DataFrame, versions: DataFrame, fact_key: str, at: str) -> DataFrame:
-    """For each key and day that facts ask for: the version carried over from earlier days; plus all versions on
-    the day they start. A key has at most one row per calendar day in the window below."""
+def _chunk_of(seconds: Column, width: Column | int) -> Column:
+    return F.floor(seconds / width) * width
+
+
+def _dense_keys(versions: DataFrame) -> DataFrame:
+    """Keys with too many versions on some day, with the widest chunk, in seconds, that has few enough of them."""
+    level = versions.groupBy("_hk", F.col("_sec").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    most: list[str] = []
+    for width in (60, 3_600, DAY):
+        level = level.groupBy("_hk", _chunk_of(F.col("_c"), width).alias("_c")).agg(
+            F.sum("_n").alias("_n"), *[F.max(m).alias(m) for m in most]
+        )
+        level = level.withColumn(f"_most{width}", F.col("_n"))
+        most.append(f"_most{width}")
+    per_key = level.groupBy("_hk").agg(*[F.max(m).alias(m) for m in most])
+    width = F.lit(1)
+    for name, seconds in ((f"_most{w}", w) for w in (60, 3_600, DAY)):
+        width = F.when(F.col(name) <= BROADCAST_VERSIONS, seconds).otherwise(width)
+    return per_key.select(F.col("_hk").alias("_dk"), width.alias("_w")).where(F.col("_w") < DAY)
+
+
+def _chunked(
+    facts: DataFrame, versions: DataFrame, fact_key: str, at: str, profile: SideProfile
+) -> tuple[DataFrame, DataFrame]:
+    """Cut time into chunks: facts with their chunk, and for each key and chunk the versions that can apply.
+
+    Those are the versions that start in the chunk and the one carried over from before. A chunk is a day, or less
+    for a key with many versions a day, so no fact meets more than a few versions however hot its key is. The
+    windows below hold one row per chunk of a day, or per day of a key: the calendar bounds both.
+    """
+    moment = F.unix_timestamp(F.col(at).cast(versions.schema["_from"].dataType))
     key, other = same_type(facts, versions, fact_key, "_hk")
-    versions = versions.withColumn("_hk", other)
-    asked = facts.select(key.alias("_hk"), F.col(at).cast("date").alias("_day")).dropna().distinct()
-    starting = versions.withColumn("_day", F.col("_from").cast("date"))
-    payload = F.struct(*[c for c in versions.columns if c != "_hk"])
-    last_start = starting.groupBy("_hk", "_day").agg(F.max_by(payload, F.col("_from")).alias("_last"))
-    days = asked.withColumn("_asked", F.lit(True)).join(last_start, ["_hk", "_day"], "full")
-    before = Window.partitionBy("_hk").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    versions = versions.withColumns({"_hk": other, "_sec": F.unix_timestamp("_from")})
+    facts = facts.withColumn("_fsec", moment)
+    dense = _dense_keys(versions) if profile.max_copies > BROADCAST_VERSIONS else None
+    size = profile_side(dense, ["_dk"]) if dense is not None else None
+    if size is not None and size.rows:
+        facts = lookup_join(facts, dense, fact_key, "_dk", {"_w": "_fw"}, size)
+        versions = versions.join(dense, F.col("_hk") == F.col("_dk"), "left").drop("_dk")
+    else:
+        facts, versions = facts.withColumn("_fw", F.lit(None)), versions.withColumn("_w", F.lit(None))
+    facts = facts.withColumn("_fc", _chunk_of(F.col("_fsec"), F.coalesce("_fw", F.lit(DAY))))
+    starting = versions.withColumns(
+        {"_c": _chunk_of(F.col("_sec"), F.coalesce("_w", F.lit(DAY))), "_d": _chunk_of(F.col("_sec"), DAY)}
+    ).drop("_w", "_sec")
+
+    payload = F.struct(*[c for c in starting.columns if c not in ("_hk", "_c", "_d")])
+    last = F.max_by(payload, F.col("_from")).alias("_last")
+    asked = facts.select(key.alias("_hk"), "_fc", _chunk_of(F.col("_fsec"), DAY).alias("_d")).dropna().distinct()
+    asked = asked.withColumnRenamed("_fc", "_c").withColumn("_asked", F.lit(True))
+    chunks = asked.join(starting.groupBy("_hk", "_d", "_c").agg(last), ["_hk", "_d", "_c"], "full")
+    days = chunks.groupBy("_hk", "_d").agg(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("_c"))))
+    days = days.toDF("_hk", "_d", "_last")
+
+    def before(*keys: str) -> Window:
+        return Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+
+    earlier_day = days.select(
+        "_hk", "_d", F.last("_last", ignorenulls=True).over(before("_hk", "_d")).alias("_day_carry")
+    )
+    same_day = F.last("_last", ignorenulls=True).over(before("_hk", "_d", "_c"))
     carried = (
-        days.withColumn("_carry", F.last("_last", ignorenulls=True).over(before))
-        .where(F.col("_asked") & F.col("_carry").isNotNull())
-        .select("_hk", "_day", "_carry.*")
+        chunks.withColumn("_carry", same_day)
+        .where("_asked")
+        .join(earlier_day, ["_hk", "_d"])
+        .withColumn("_carry", F.coalesce("_carry", "_day_carry"))
+        .where(F.col("_carry").isNotNull())
+        .select("_hk", "_c", "_carry.*")
     )
-    return carried.unionByName(starting.select(*carried.columns))
+    return facts.drop("_fsec", "_fw"), carried.unionByName(starting.select(*carried.columns))
 
 
 def scd1_upsert(target: DataFrame, incoming: DataFrame, key: str, validate: bool = True) -> DataFrame:

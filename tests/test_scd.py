@@ -134,11 +134,13 @@ def test_intervals_are_contiguous_with_one_open_row(spark, loads):
 FACTS = "fact int, k long, at timestamp_ntz"
 
 
-@pytest.fixture(params=["broadcast", "by_day", "by_day_with_hot_keys"])
+@pytest.fixture(params=["broadcast", "chunks", "few_per_chunk", "chunks_with_hot_keys"])
 def as_of_path(request, monkeypatch):
-    if request.param != "broadcast":
-        monkeypatch.setattr(scd, "BROADCAST_VERSIONS", 0)
-    if request.param == "by_day_with_hot_keys":
+    if request.param == "chunks":
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    if request.param in ("few_per_chunk", "chunks_with_hot_keys"):
+        monkeypatch.setattr(scd, "BROADCAST_VERSIONS", 1)
+    if request.param == "chunks_with_hot_keys":
         monkeypatch.setattr(joins, "HOT_ROWS", 2)
         monkeypatch.setattr(joins, "SPREAD", 4)
     return request.param
@@ -166,6 +168,26 @@ def test_as_of_many_versions_a_day_and_gaps(spark, as_of_path):
     assert got == expected
 
 
+def test_as_of_with_versions_of_very_different_density(spark, as_of_path):
+    """Key 1 changes within seconds, key 2 within minutes, key 3 every few weeks; days without versions lie between."""
+    steps = {1: dt.timedelta(milliseconds=700), 2: dt.timedelta(minutes=7), 3: dt.timedelta(days=17)}
+    data = []
+    for key, step in steps.items():
+        starts = [T1 + dt.timedelta(days=key) + step * i for i in range(40)]
+        data += [(key, f"{key}-{i}", a, b) for i, (a, b) in enumerate(zip(starts, [*starts[1:], None]))]
+    history = spark.createDataFrame(data, "id long, name string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    moments = [T1 + dt.timedelta(days=key) + step * i / 3 for key, step in steps.items() for i in range(-4, 130)]
+    facts_data = [(i, 1 + i % 3, at) for i, at in enumerate(m for m in moments for _ in range(3))]
+    facts = spark.createDataFrame(facts_data, FACTS)
+    found = join_as_of(facts, history, "k", "id", "at", {"name": "n"})
+    assert found.columns == ["fact", "k", "at", "n"]
+    expected = {
+        i: next((n for key, n, a, b in data if key == k and a <= at and (b is None or at < b)), None)
+        for i, k, at in facts_data
+    }
+    assert {r.fact: r.n for r in found.collect()} == expected
+
+
 def test_enrich_as_of_uses_the_zone_of_the_time(spark, trip, zones):
     first = snapshot(None, zones, t.ZONES, T1)
     history = snapshot(first, zones.replace("Queens", "Kings", "borough"), t.ZONES, ts("2024-04-10 08:10"))
