@@ -139,6 +139,16 @@ def snapshot(
     return still_closed.unionByName(advance(open_rows, incoming, config, now, hard_deletes))
 
 
+def load_dimension(
+    stored: DataFrame | None, incoming: DataFrame, config: DimensionConfig, now: dt.datetime
+) -> DataFrame:
+    """The stored dimension after loading `incoming`, by the type that its configuration records."""
+    if config.scd_type == 2:
+        return snapshot(stored, incoming, config, now)
+    require_keys(incoming, config.business_key)
+    return incoming if stored is None else scd1_upsert(stored, incoming, config.business_key, validate=False)
+
+
 def current(history: DataFrame) -> DataFrame:
     """One row per key as of now: the open versions, with the validity start and last change renamed."""
     attributes = [c for c in history.columns if c not in VALIDITY]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +24,19 @@ from lakemart.operators.marts import DAILY_KEYS, HOURLY_KEYS, daily, daily_measu
 from lakemart.operators.staging import stage, union_sources
 from lakemart.plans import trips as t
 from lakemart.plans.pipeline import backfill as run_backfill
-from lakemart.plans.pipeline import run_incremental
+from lakemart.plans.pipeline import Warehouse, run_incremental
 from lakemart.session import scratch_path, stable
 from lakemart.sources.history import HistoryTable
 from lakemart.sources.ingest import IngestConfig, ingest_files
-from lakemart.sources.landed import RESCUED, read_rescued_csv
-from lakemart.sources.tables import MartTable
-from lakemart.streaming.live import event_time_daily, event_time_hourly, refresh_on_load, start_event_time_mart
+from lakemart.sources.landed import RESCUED, load_reference_csv
+from lakemart.sources.tables import MartTable, write_table
+from lakemart.streaming.live import (
+    event_time_daily,
+    event_time_hourly,
+    record_on_load,
+    refresh_on_load,
+    start_event_time_mart,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -629,7 +636,8 @@ def reconcile_hash(spark, sf):
 
 
 def latest_rows(spark, sf):
-    mart = full_daily(spark, sf).select("trip_date", "pickup_borough", "total_trips")
+    mart = with_audit(full_daily(spark, sf), "fct_trips_daily", "run-1", LOAD_TIMES[0])
+    mart = mart.select("trip_date", "pickup_borough", "total_trips", "_loaded_at")
     return quality.latest_rows(mart, "trip_date", ["pickup_borough"], 10)
 
 
@@ -660,7 +668,8 @@ def ingest_schema_evolution(spark, sf):
 
 def csv_rescue(spark, sf):
     """Customers from CSV. Lines of those in debt have a field too many and a key that is no number."""
-    folder = Scratch(spark, "csv").folder("customers")
+    scratch = Scratch(spark, "csv")
+    folder = scratch.folder("customers")
     customers = read(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     good = customers.where("c_acctbal >= 0").drop("c_acctbal")
     bad = customers.where("c_acctbal < 0").select(
@@ -678,7 +687,10 @@ def csv_rescue(spark, sf):
             T.StructField("c_mktsegment", T.StringType()),
         ]
     )
-    return read_rescued_csv(spark, folder, schema).select("c_custkey", "c_name", "c_mktsegment", RESCUED)
+    table = scratch.table("customers_csv")
+    load_reference_csv(spark, folder, table, schema)
+    load_reference_csv(spark, folder, table, schema)  # does nothing, as the table exists
+    return spark.table(table).select("c_custkey", "c_name", "c_mktsegment", RESCUED)
 
 
 def stream_daily(spark, sf):
@@ -700,6 +712,50 @@ def stream_daily(spark, sf):
     return as_double(without_audit(mart.read()))
 
 
+def stream_checks(spark, sf):
+    """Tests of each load, recorded: a first landing without purchases and a second one of them."""
+    scratch = Scratch(spark, "checks")
+    config = IngestConfig(
+        scratch.folder("landing"), scratch.table("events_raw"), EVENT_SCHEMA, scratch.folder("checkpoint"), "ts"
+    )
+    tests = quality.TableTests(
+        "events_raw",
+        not_null=["event_id", "ts"],
+        unique=["event_id"],
+        accepted_values={"event_type": ["view", "click", "signup", "error"]},
+        no_future=["ts"],
+    )
+    hook = record_on_load(config, tests, scratch.table("test_results"))
+    events = read(spark, sf, "events")
+    for landed in ("event_type <> 'purchase'", "event_type = 'purchase'"):
+        events.where(landed).write.mode("append").parquet(config.landing)
+        ingest_files(spark, config, hook)
+    return spark.table(scratch.table("test_results")).select("table", "test", "failures")
+
+
+def dimension_by_type(spark, sf):
+    """One change set loaded into two dimensions, whose configurations say whether history is kept."""
+    first, second, _ = customer_states(spark, sf)
+    latest_only = DimensionConfig("latest", 1, "customer_id")
+    kept = scd.load_dimension(scd.load_dimension(None, first, CUSTOMERS, T1), second, CUSTOMERS, T2)
+    latest = scd.load_dimension(scd.load_dimension(None, first, latest_only, T1), second, latest_only, T2)
+    return union_sources({"type_1": latest, "type_2": kept}, "dimension")
+
+
+def warehouse_build(spark, sf):
+    """The whole warehouse of one environment: raw tables, staging, history, dimension, marts and tests."""
+    scratch = Scratch(spark, "warehouse")
+    staging = {c.table: c for c in (EVENT_YELLOW, t.zone_lookup())}
+    project = replace(t.trip_project(), staging=staging)
+    target = f"dev_{scratch.schema}"
+    warehouse = Warehouse(spark, target, scratch.schema, project, location=scratch.folder(target))
+    write_table(trips_from_events(read(spark, sf, "events")), scratch.table("yellow_trips_raw"))
+    write_table(raw_customer_zones(spark, sf), scratch.table("taxi_zone_lookup"))
+    warehouse.build(now=LOAD_TIMES[0])
+    warehouse.build(now=LOAD_TIMES[1], hourly_incremental=True)
+    return as_double(without_audit(warehouse.daily_mart().read()))
+
+
 def _event_stream(spark, sf):
     landing, pattern = landing_of(spark, sf, "events")
     raw = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern).parquet(landing)
@@ -788,6 +844,9 @@ QUERIES: dict[str, Query] = {
     "ingest_schema_evolution": ingest_schema_evolution,
     "csv_rescue": csv_rescue,
     "stream_daily": stream_daily,
+    "stream_checks": stream_checks,
+    "dimension_by_type": dimension_by_type,
+    "warehouse_build": warehouse_build,
     "stream_event_time": stream_event_time,
     "stream_event_time_hourly": stream_event_time_hourly,
 }

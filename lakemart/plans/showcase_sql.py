@@ -386,7 +386,8 @@ ORACLE: dict[str, str] = {
     ),
     "latest_rows": _with(
         ENRICHED,
-        """SELECT trip_date, pickup_borough, count(*) AS total_trips FROM enriched GROUP BY ALL
+        """SELECT trip_date, pickup_borough, count(*) AS total_trips, TIMESTAMP '2001-07-01' AS _loaded_at
+           FROM enriched GROUP BY trip_date, pickup_borough
            ORDER BY trip_date DESC, pickup_borough ASC NULLS FIRST LIMIT 10""",
     ),
     "ingest_idempotent": "SELECT * FROM events",
@@ -398,6 +399,21 @@ ORACLE: dict[str, str] = {
                CASE WHEN c_acctbal < 0 THEN 'key ' || c_custkey || ',' || c_name || ',' || c_mktsegment || ',extra'
                END AS _rescued_data FROM customer""",
     "stream_daily": _with(EVENTS, _daily("event_enriched")),
+    "stream_checks": """
+        SELECT 'events_raw' AS "table", test, CAST(failures AS BIGINT) AS failures FROM (
+            SELECT event_type = 'purchase' AS second_load, count(*) FILTER (WHERE event_id IS NULL) AS ids,
+                   count(*) FILTER (WHERE ts IS NULL) AS times,
+                   count(*) FILTER (WHERE event_type NOT IN ('view', 'click', 'signup', 'error')) AS types,
+                   count(event_id) - count(DISTINCT event_id) AS doubled,
+                   count(*) FILTER (WHERE ts > current_timestamp::TIMESTAMP) AS future
+            FROM events GROUP BY 1) g,
+        LATERAL (VALUES ('not_null:event_id', ids), ('not_null:ts', times), ('accepted_values:event_type', types),
+                        ('unique:event_id', doubled), ('no_future:ts', future)) v(test, failures)""",
+    "dimension_by_type": _states(
+        """SELECT 'type_2' AS dimension, customer_id, segment, nation_id, valid_from, valid_to, updated_at FROM h2
+           UNION ALL SELECT 'type_1', customer_id, segment, nation_id, NULL, NULL, NULL FROM s2"""
+    ),
+    "warehouse_build": _with(EVENTS, _daily("event_enriched")),
     "stream_event_time": _with(EVENTS, _daily("event_enriched")),
     "stream_event_time_hourly": _with(
         EVENTS,

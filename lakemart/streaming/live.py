@@ -6,13 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakemart.config import FreshnessConfig
 from lakemart.functions.audit import with_audit
 from lakemart.operators.quality import TableTests, enforce, freshness, run_tests
 from lakemart.sources.ingest import EVENT_DATE, LOAD, IngestConfig, OnLoad
-from lakemart.sources.tables import MartTable, partition_values
+from lakemart.sources.tables import MartTable, ensure_table, overwrite_partitions, partition_values
 
 
 def rows_of_touched_dates(spark: SparkSession, config: IngestConfig, load: str) -> DataFrame | None:
@@ -71,6 +72,24 @@ def check_on_load(
     return on_load
 
 
+def record_on_load(
+    config: IngestConfig,
+    tests: TableTests,
+    results: str,
+    build: Callable[[DataFrame], DataFrame] = lambda raw: raw,
+) -> OnLoad:
+    """A hook for `start_ingest`: store the test results of each load in table `results`, once per load."""
+    columns = {"table": T.StringType(), "test": T.StringType(), "failures": T.LongType(), LOAD: T.StringType()}
+    schema = T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+    def on_load(spark: SparkSession, load: str) -> None:
+        ensure_table(spark, results, schema, [LOAD])
+        rows = spark.table(config.table).where(F.col(LOAD) == load)
+        overwrite_partitions(run_tests(build(rows), tests).withColumn(LOAD, F.lit(load)), results, [LOAD])
+
+    return on_load
+
+
 def in_order(*hooks: OnLoad) -> OnLoad:
     """Run several hooks; a later one runs only if the earlier ones succeeded."""
 

@@ -208,6 +208,16 @@ def test_type_1_overwrites_old_ids_too(spark):
     assert rows(scd1_upsert(target, incoming, "vendor_id")) == [(1, "A"), (10, "new"), (9, "z")]
 
 
+def test_configuration_decides_how_a_dimension_is_loaded(spark):
+    before = spark.createDataFrame([(1, "a"), (2, "b")], "vendor_id int, vendor_name string")
+    after = spark.createDataFrame([(1, "A")], "vendor_id int, vendor_name string")
+    latest = scd.load_dimension(scd.load_dimension(None, before, t.VENDORS, T1), after, t.VENDORS, T2)
+    assert rows(latest) == [(1, "A"), (2, "b")]
+    config = DimensionConfig("vendors", 2, "vendor_id", ["vendor_name"])
+    kept = scd.load_dimension(scd.load_dimension(None, before, config, T1), after, config, T2)
+    assert rows(kept, "vendor_id", "vendor_name") == [(1, "A"), (1, "a"), (2, "b")]
+
+
 def test_second_dimension_by_configuration_only(spark):
     kind = "driver_id int, status string, license_type string"
     before = spark.createDataFrame([(1, "active", "A"), (2, "active", "B")], kind)
