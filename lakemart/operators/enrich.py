@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.measures import duration, percent_of
+from lakemart.functions.measures import elapsed_seconds, in_units, percent_of, seconds_range
 from lakemart.operators.joins import lookup_join, profile_side
 from lakemart.operators.scd import join_as_of
 
@@ -54,13 +54,19 @@ class TripRules:
 
 
 def measured(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
-    """Add duration and tip percentage and drop outliers. It runs before any join, on trip columns alone."""
+    """Add duration and tip percentage and drop outliers. It runs before any join, on trip columns alone.
+
+    The limits apply to the rounded duration; they are compared as whole seconds, so only kept rows are rounded.
+    """
     card_fare = (F.col("payment_type") == rules.card) & (F.col("fare_amount") > 0)
-    return (
-        trips.where(F.col("trip_distance") <= rules.max_distance)
-        .withColumn("trip_duration_minutes", duration("pickup_at", "dropoff_at", rules.duration_unit_seconds))
-        .where(F.col("trip_duration_minutes").between(rules.min_duration, rules.max_duration))
-        .withColumn("tip_pct", F.when(card_fare, percent_of("tip_amount", "fare_amount")))
+    seconds = elapsed_seconds("pickup_at", "dropoff_at")
+    limits = seconds_range(max(rules.min_duration, 0), rules.max_duration, rules.duration_unit_seconds)
+    kept = trips.where(F.col("trip_distance") <= rules.max_distance).where(seconds.between(*limits))
+    return kept.withColumns(
+        {
+            "trip_duration_minutes": in_units(seconds, rules.duration_unit_seconds),
+            "tip_pct": F.when(card_fare, percent_of("tip_amount", "fare_amount")),
+        }
     )
 
 

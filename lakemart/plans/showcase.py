@@ -1,8 +1,8 @@
 """Every operator as a query over the given tables.
 
 Trips are derived from lineitem, orders, customer and supplier (dates at midnight, so durations are in days), and
-from events (real times of day, durations in minutes). Amounts are decimals, so sums do not depend on the order in
-which rows are added; results are cast to double at the end.
+from events (real times of day, durations in minutes). Amounts are doubles, as in the raw trip files. Their sums depend
+on the order of adding in the last digits, so they are rounded far below a cent for comparison with other engines.
 """
 
 from __future__ import annotations
@@ -73,20 +73,17 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def as_double(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, for comparison with other engines."""
-    decimals = {f.name: F.col(f.name).cast("double") for f in df.schema if isinstance(f.dataType, T.DecimalType)}
-    return df.withColumns(decimals) if decimals else df
+def rounded(mart: DataFrame) -> DataFrame:
+    """Sums of amounts to six places. The exact sums have no more, so any order of adding gives the same value."""
+    sums = [c for c in ("total_fare_usd", "total_tips_usd", "total_revenue_usd") if c in mart.columns]
+    return mart.withColumns({c: F.round(c, 6) for c in sums})
 
 
 def raw_trips(spark: SparkSession, sf: str) -> DataFrame:
     lines, orders = read(spark, sf, "lineitem"), read(spark, sf, "orders")
     customers, suppliers = read(spark, sf, "customer"), read(spark, sf, "supplier")
-    fare, discount, tax = (
-        F.col("l_extendedprice").cast("decimal(12,2)"),
-        F.col("l_discount").cast("decimal(4,2)"),
-        F.col("l_tax").cast("decimal(4,2)"),
-    )
+    # Adding 0.0 turns the negative zeros of the data into plain ones.
+    fare, discount, tax = F.col("l_extendedprice"), F.col("l_discount") + 0.0, F.col("l_tax") + 0.0
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -102,9 +99,9 @@ def raw_trips(spark: SparkSession, sf: str) -> DataFrame:
         F.col("s_nationkey").alias("DOLocationID"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_type"),
         fare.alias("fare_amount"),
-        (fare * discount).cast("decimal(18,4)").alias("tip_amount"),
-        (fare * tax).cast("decimal(18,4)").alias("tolls_amount"),
-        (fare * (1 - discount) * (1 + tax)).cast("decimal(18,6)").alias("total_amount"),
+        (fare * discount).alias("tip_amount"),
+        (fare * tax).alias("tolls_amount"),
+        (fare * (1 - discount) * (1 + tax)).alias("total_amount"),
         F.col("l_linestatus"),
     )
 
@@ -125,8 +122,8 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     quarters = F.floor(F.col("value") * 4)
     seconds = (quarters * 15).cast("decimal(18,6)")
     zero = F.lit(0)
-    fare = F.col("value").cast("decimal(12,2)")
-    tip = (fare * F.lit("0.10").cast("decimal(4,2)")).cast("decimal(18,4)")
+    fare = F.col("value")
+    tip = fare * 0.1
     codes = {"error": 0, "purchase": 1, "view": 2, "click": 3}
     payment = F.lit(4)
     for name, code in codes.items():
@@ -142,8 +139,8 @@ def trips_from_events(events: DataFrame) -> DataFrame:
         payment.alias("payment_type"),
         fare.alias("fare_amount"),
         tip.alias("tip_amount"),
-        F.lit(0).cast("decimal(18,4)").alias("tolls_amount"),
-        (fare + tip).cast("decimal(18,4)").alias("total_amount"),
+        F.lit(0.0).alias("tolls_amount"),
+        (fare + tip).alias("total_amount"),
     )
 
 
@@ -250,14 +247,14 @@ def run_loads(spark: SparkSession, sf: str, label: str, arrived: list) -> DataFr
     trips = staged_trips(spark, sf)
     for landed in arrived:
         run_incremental(mart, trips.where(landed), build, DAILY)
-    return as_double(without_audit(mart.read()))
+    return rounded(without_audit(mart.read()))
 
 
 # --- queries --------------------------------------------------------------------------------------------------
 
 
 def stg_trips(spark, sf):
-    return as_double(staged_trips(spark, sf))
+    return staged_trips(spark, sf)
 
 
 def stg_zones(spark, sf):
@@ -277,11 +274,11 @@ def stg_events(spark, sf):
 
 
 def trips_enriched(spark, sf):
-    return as_double(enriched_trips(spark, sf))
+    return enriched_trips(spark, sf)
 
 
 def event_trips_enriched(spark, sf):
-    return as_double(enriched_events(spark, sf))
+    return enriched_events(spark, sf)
 
 
 def zone_versions(spark, sf):
@@ -293,57 +290,57 @@ def zone_versions(spark, sf):
 
 
 def trips_enriched_as_of(spark, sf):
-    return as_double(enrich_as_of(staged_trips(spark, sf), zone_versions(spark, sf), DAYS))
+    return enrich_as_of(staged_trips(spark, sf), zone_versions(spark, sf), DAYS)
 
 
 def daily_mart(spark, sf):
     trips = enrich(staged_trips(spark, sf), staged_zones(spark, sf, complete=True), DAYS, MART_ROLES)
-    return as_double(daily(trips, DAYS))
+    return rounded(daily(trips, DAYS))
 
 
 def daily_mart_null_borough(spark, sf):
-    return as_double(full_daily(spark, sf))
+    return rounded(full_daily(spark, sf))
 
 
 def daily_mart_audited(spark, sf):
-    return as_double(with_audit(full_daily(spark, sf), "fct_trips_daily", "run-1", LOAD_TIMES[0]))
+    return rounded(with_audit(full_daily(spark, sf), "fct_trips_daily", "run-1", LOAD_TIMES[0]))
 
 
 def event_daily_mart(spark, sf):
-    return as_double(daily(enriched_events(spark, sf, MART_ROLES)))
+    return rounded(daily(enriched_events(spark, sf, MART_ROLES)))
 
 
 def hourly_mart(spark, sf):
-    return as_double(hourly(enriched_events(spark, sf, MART_ROLES)))
+    return rounded(hourly(enriched_events(spark, sf, MART_ROLES)))
 
 
 def daily_from_rollup(spark, sf):
-    return as_double(marts.daily_from_rollup(marts.rollup(enriched_trips(spark, sf, MART_ROLES), DAYS)))
+    return rounded(marts.daily_from_rollup(marts.rollup(enriched_trips(spark, sf, MART_ROLES), DAYS)))
 
 
 def hourly_from_rollup(spark, sf):
-    return as_double(marts.hourly_from_rollup(marts.rollup(enriched_events(spark, sf, MART_ROLES))))
+    return rounded(marts.hourly_from_rollup(marts.rollup(enriched_events(spark, sf, MART_ROLES))))
 
 
 def watermark_window(spark, sf):
     loaded = staged_trips(spark, sf).where(F.col("trip_date") <= SECOND_LOAD)
-    return as_double(incremental.watermark_filter(staged_trips(spark, sf), loaded, DAILY.resolve()))
+    return incremental.watermark_filter(staged_trips(spark, sf), loaded, DAILY.resolve())
 
 
 def watermark_first_run(spark, sf):
-    return as_double(incremental.watermark_filter(staged_trips(spark, sf), None, DAILY.resolve()))
+    return incremental.watermark_filter(staged_trips(spark, sf), None, DAILY.resolve())
 
 
 def watermark_empty_target(spark, sf):
     """The target exists but has no rows, as nothing was picked up before the lower bound."""
     loaded = staged_trips(spark, sf).where(F.col("trip_date") < SINCE)
-    return as_double(incremental.watermark_filter(staged_trips(spark, sf), loaded, DAILY.resolve()))
+    return incremental.watermark_filter(staged_trips(spark, sf), loaded, DAILY.resolve())
 
 
 def watermark_zero_lookback(spark, sf):
     loaded = staged_trips(spark, sf).where(F.col("trip_date") <= SECOND_LOAD)
     rule = DAILY.resolve(late_arrival_days=0)
-    return as_double(incremental.watermark_filter(staged_trips(spark, sf), loaded, rule))
+    return incremental.watermark_filter(staged_trips(spark, sf), loaded, rule)
 
 
 def _mart_halves(spark, sf):
@@ -360,19 +357,19 @@ def _mart_halves(spark, sf):
 def merge_upsert(spark, sf):
     """Merge over complete keys: trips without a borough take no part."""
     target, source = (m.where("pickup_borough IS NOT NULL") for m in _mart_halves(spark, sf))
-    return as_double(incremental.merge_upsert(target, source, DAILY_KEYS, validate=False))
+    return rounded(incremental.merge_upsert(target, source, DAILY_KEYS, validate=False))
 
 
 def merge_null_key(spark, sf):
     """Merge with a null borough as a key value like any other."""
     target, source = _mart_halves(spark, sf)
-    return as_double(incremental.merge_upsert(target, source, DAILY_KEYS, validate=False))
+    return rounded(incremental.merge_upsert(target, source, DAILY_KEYS, validate=False))
 
 
 def merge_plain_equality(spark, sf):
     """The same merge with plain equality: rows with a null borough never match, so both stay."""
     target, source = _mart_halves(spark, sf)
-    return as_double(incremental.merge_upsert(target, source, DAILY_KEYS, null_safe=False, validate=False))
+    return rounded(incremental.merge_upsert(target, source, DAILY_KEYS, null_safe=False, validate=False))
 
 
 def replace_window(spark, sf):
@@ -381,7 +378,7 @@ def replace_window(spark, sf):
     target = daily(trips, DAYS)
     relabelled = trips.withColumn("pickup_borough", F.coalesce("pickup_borough", F.lit("UNKNOWN")))
     source = daily(relabelled.where(F.col("trip_date") >= SECOND_LOAD), DAYS)
-    return as_double(incremental.replace_window(target, source, "trip_date", SECOND_LOAD))
+    return rounded(incremental.replace_window(target, source, "trip_date", SECOND_LOAD))
 
 
 def stored_replace_window(spark, sf):
@@ -395,7 +392,7 @@ def stored_replace_window(spark, sf):
 
     run_incremental(mart, trips, staged_build(spark, sf), DAILY)
     run_incremental(mart, trips, relabelled, DAILY, strategy="replace_window")
-    return as_double(without_audit(mart.read()))
+    return rounded(without_audit(mart.read()))
 
 
 def incremental_equals_full(spark, sf):
@@ -422,7 +419,7 @@ def backfill_widened(spark, sf):
     run_incremental(mart, trips.where(F.col("trip_date") > SECOND_LOAD), build, DAILY)
     run_incremental(mart, trips, build, DAILY)
     run_backfill(mart, trips, build, DAILY)
-    return as_double(without_audit(mart.read()))
+    return rounded(without_audit(mart.read()))
 
 
 def full_refresh(spark, sf):
@@ -431,7 +428,7 @@ def full_refresh(spark, sf):
     trips = staged_trips(spark, sf)
     run_incremental(mart, trips.where(F.col("trip_date") > SECOND_LOAD), build, DAILY)
     run_incremental(mart, trips, build, DAILY, full_refresh=True)
-    return as_double(without_audit(mart.read()))
+    return rounded(without_audit(mart.read()))
 
 
 def hourly_incremental(spark, sf):
@@ -445,7 +442,7 @@ def hourly_incremental(spark, sf):
 
     for landed in (F.col("trip_date") <= dt.date(2024, 1, 15), F.lit(True)):
         run_incremental(mart, trips.where(landed), build, HOURLY, audit=False)
-    return as_double(mart.read())
+    return rounded(mart.read())
 
 
 def find_gap(spark, sf):
@@ -533,12 +530,12 @@ def union_of_sources(spark, sf):
     green = raw.where("l_linestatus <> 'O'").withColumnsRenamed(
         {"tpep_pickup_datetime": "lpep_pickup_datetime", "tpep_dropoff_datetime": "lpep_dropoff_datetime"}
     )
-    return as_double(union_sources({"yellow": yellow, "green": stage(green, t.green_trips())}))
+    return union_sources({"yellow": yellow, "green": stage(green, t.green_trips())})
 
 
 def dq_not_null(spark, sf):
     failing = quality.not_null(enriched_trips(spark, sf, MART_ROLES), "pickup_borough")
-    return as_double(failing.select("trip_date", "pickup_location_id", "total_amount", "vendor_id"))
+    return failing.select("trip_date", "pickup_location_id", "total_amount", "vendor_id")
 
 
 def dq_unique(spark, sf):
@@ -560,7 +557,7 @@ def dq_no_future(spark, sf):
 def dq_singular(spark, sf):
     """Any query for failing rows: trips that earned less than their fare."""
     trips = staged_trips(spark, sf)
-    return as_double(quality.singular(trips.where("total_amount < fare_amount")))
+    return quality.singular(trips.where("total_amount < fare_amount"))
 
 
 def dq_relationships(spark, sf):
@@ -615,7 +612,7 @@ def _handwritten_trips(spark, sf):
 
 def _corrected_trips(spark, sf):
     """The staged trips with a corrected toll on some, and one payment type left out."""
-    corrected = F.when(F.col("tolls_amount") == 0, F.lit(1).cast("decimal(18,4)")).otherwise(F.col("tolls_amount"))
+    corrected = F.when(F.col("tolls_amount") == 0, F.lit(1.0)).otherwise(F.col("tolls_amount"))
     return staged_trips(spark, sf).where("payment_type <> 5").withColumn("tolls_amount", corrected)
 
 
@@ -624,11 +621,11 @@ def reconcile_counts(spark, sf):
 
 
 def reconcile_equal(spark, sf):
-    return as_double(reconcile.two_way_diff(staged_trips(spark, sf), _handwritten_trips(spark, sf)))
+    return reconcile.two_way_diff(staged_trips(spark, sf), _handwritten_trips(spark, sf))
 
 
 def reconcile_diff(spark, sf):
-    return as_double(reconcile.two_way_diff(staged_trips(spark, sf), _corrected_trips(spark, sf)))
+    return reconcile.two_way_diff(staged_trips(spark, sf), _corrected_trips(spark, sf))
 
 
 def reconcile_hash(spark, sf):
@@ -709,7 +706,7 @@ def stream_daily(spark, sf):
     for landed in ("event_type <> 'view'", "event_type = 'view'"):
         events.where(landed).write.mode("append").parquet(config.landing)
         ingest_files(spark, config, hook)
-    return as_double(without_audit(mart.read()))
+    return rounded(without_audit(mart.read()))
 
 
 def stream_checks(spark, sf):
@@ -753,7 +750,7 @@ def warehouse_build(spark, sf):
     write_table(raw_customer_zones(spark, sf), scratch.table("taxi_zone_lookup"))
     warehouse.build(now=LOAD_TIMES[0])
     warehouse.build(now=LOAD_TIMES[1], hourly_incremental=True)
-    return as_double(without_audit(warehouse.daily_mart().read()))
+    return rounded(without_audit(warehouse.daily_mart().read()))
 
 
 def _event_stream(spark, sf):
@@ -769,7 +766,7 @@ def stream_event_time(spark, sf):
     mart = scratch.daily_mart(spark)
     rows = event_time_daily(_event_stream(spark, sf), "pickup_at", ["pickup_borough"], daily_measures())
     start_event_time_mart(rows, mart, DAILY_KEYS, scratch.folder("checkpoint")).awaitTermination()
-    return as_double(mart.read())
+    return rounded(mart.read())
 
 
 def stream_event_time_hourly(spark, sf):

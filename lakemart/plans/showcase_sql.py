@@ -9,14 +9,10 @@ BLOCKS: dict[str, str] = {
                c_nationkey AS pickup_location_id, s_nationkey AS dropoff_location_id,
                l_linenumber AS passenger_count, l_quantity AS trip_distance,
                CAST(left(o_orderpriority, 1) AS INTEGER) AS payment_type,
-               CAST(l_extendedprice AS DECIMAL(12,2)) AS fare_amount,
-               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2))
-                    AS DECIMAL(18,4)) AS tip_amount,
-               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))
-                    AS DECIMAL(18,4)) AS tolls_amount,
-               CAST(CAST(l_extendedprice AS DECIMAL(12,2))
-                    * CAST(1 - CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(5,2))
-                    * CAST(1 + CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(5,2)) AS DECIMAL(18,6)) AS total_amount,
+               l_extendedprice AS fare_amount, l_extendedprice * (l_discount + 0.0::DOUBLE) AS tip_amount,
+               l_extendedprice * (l_tax + 0.0::DOUBLE) AS tolls_amount,
+               l_extendedprice * (1::DOUBLE - (l_discount + 0.0::DOUBLE)) * (1::DOUBLE + (l_tax + 0.0::DOUBLE))
+                   AS total_amount,
                l_linestatus
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey""",
@@ -40,7 +36,7 @@ BLOCKS: dict[str, str] = {
         SELECT t.*, round(CAST(date_diff('second', pickup_at, dropoff_at) AS DOUBLE) / 86400, 2)
                     AS trip_duration_minutes,
                CASE WHEN payment_type = 1 AND fare_amount > 0
-                    THEN round(CAST(tip_amount AS DOUBLE) / CAST(fare_amount AS DOUBLE) * 100, 2) END AS tip_pct
+                    THEN round(tip_amount / fare_amount * 100, 2) END AS tip_pct
         FROM trips t
         WHERE round(CAST(date_diff('second', pickup_at, dropoff_at) AS DOUBLE) / 86400, 2) BETWEEN 1 AND 300
           AND trip_distance <= 100""",
@@ -57,12 +53,8 @@ BLOCKS: dict[str, str] = {
                floor(value * 4) / 8 AS trip_distance,
                CASE event_type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1 WHEN 'view' THEN 2
                                WHEN 'click' THEN 3 ELSE 4 END AS payment_type,
-               CAST(value AS DECIMAL(12,2)) AS fare_amount,
-               CAST(CAST(value AS DECIMAL(12,2)) * CAST(0.10 AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS tip_amount,
-               CAST(0 AS DECIMAL(18,4)) AS tolls_amount,
-               CAST(CAST(value AS DECIMAL(12,2))
-                    + CAST(CAST(value AS DECIMAL(12,2)) * CAST(0.10 AS DECIMAL(4,2)) AS DECIMAL(18,4))
-                    AS DECIMAL(18,4)) AS total_amount,
+               value AS fare_amount, value * 0.1::DOUBLE AS tip_amount, 0.0::DOUBLE AS tolls_amount,
+               value + value * 0.1::DOUBLE AS total_amount,
                CAST(ts AS DATE) AS trip_date, CAST(hour(ts) AS INTEGER) AS pickup_hour,
                CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week
         FROM events""",
@@ -72,7 +64,7 @@ BLOCKS: dict[str, str] = {
     "event_enriched": """
         SELECT t.*, date_diff('second', pickup_at, dropoff_at) / 60 AS trip_duration_minutes,
                CASE WHEN payment_type = 1 AND fare_amount > 0
-                    THEN round(CAST(tip_amount AS DOUBLE) / CAST(fare_amount AS DOUBLE) * 100, 2) END AS tip_pct,
+                    THEN round(tip_amount / fare_amount * 100, 2) END AS tip_pct,
                pu.zone_name AS pickup_zone, pu.borough AS pickup_borough,
                dz.zone_name AS dropoff_zone, dz.borough AS dropoff_borough
         FROM event_trips t LEFT JOIN event_zones pu ON t.pickup_location_id = pu.location_id
@@ -82,20 +74,17 @@ BLOCKS: dict[str, str] = {
           AND date_diff('second', pickup_at, dropoff_at) BETWEEN 60 AND 18000 AND trip_distance <= 100""",
 }
 
-_AMOUNTS = ", ".join(
-    f"CAST({c} AS DOUBLE) AS {c}" for c in ("fare_amount", "tip_amount", "tolls_amount", "total_amount")
-)
 _STAGED = (
     "vendor_id, pickup_at, dropoff_at, pickup_location_id, dropoff_location_id, passenger_count, trip_distance, "
-    f"payment_type, {_AMOUNTS}, trip_date, pickup_hour, day_of_week"
+    "payment_type, fare_amount, tip_amount, tolls_amount, total_amount, trip_date, pickup_hour, day_of_week"
 )
 _ENRICHED = (
     f"{_STAGED}, trip_duration_minutes, tip_pct, pickup_zone, pickup_borough, dropoff_zone, dropoff_borough"
 )
 _DAILY = """
     SELECT trip_date, pickup_borough, count(*) AS total_trips,
-           CAST(sum(fare_amount) AS DOUBLE) AS total_fare_usd, CAST(sum(tip_amount) AS DOUBLE) AS total_tips_usd,
-           CAST(sum(total_amount) AS DOUBLE) AS total_revenue_usd,
+           round(sum(fare_amount), 6) AS total_fare_usd, round(sum(tip_amount), 6) AS total_tips_usd,
+           round(sum(total_amount), 6) AS total_revenue_usd,
            avg(trip_distance) AS avg_trip_distance_miles, avg(trip_duration_minutes) AS avg_trip_duration_min,
            avg(CASE WHEN payment_type = 1 THEN tip_pct END) AS avg_tip_pct_credit_card,
            CAST(sum(CASE WHEN payment_type = 1 THEN 1 ELSE 0 END) AS BIGINT) AS credit_card_trips,
@@ -103,7 +92,7 @@ _DAILY = """
     FROM {rows} GROUP BY trip_date, pickup_borough"""
 _HOURLY = """
     SELECT trip_date, pickup_hour, pickup_borough, count(*) AS total_trips,
-           avg(trip_duration_minutes) AS avg_duration_min, CAST(sum(total_amount) AS DOUBLE) AS total_revenue_usd
+           avg(trip_duration_minutes) AS avg_duration_min, round(sum(total_amount), 6) AS total_revenue_usd
     FROM {rows} GROUP BY trip_date, pickup_hour, pickup_borough"""
 
 TRIPS = ("trips_raw", "trips_valid", "trips")
@@ -210,7 +199,7 @@ def _suite() -> str:
     return _with(ENRICHED, " UNION ALL ".join(parts), mart=_daily())
 
 
-_CORRECTED = """SELECT * REPLACE (CASE WHEN tolls_amount = 0 THEN CAST(1 AS DECIMAL(18,4)) ELSE tolls_amount END
+_CORRECTED = """SELECT * REPLACE (CASE WHEN tolls_amount = 0 THEN 1.0::DOUBLE ELSE tolls_amount END
                 AS tolls_amount) FROM trips WHERE payment_type <> 5"""
 _GAP_MART = "SELECT DISTINCT trip_date FROM enriched WHERE trip_date > DATE '1998-06-30'"
 
@@ -334,7 +323,7 @@ ORACLE: dict[str, str] = {
     ),
     "dq_not_null": _with(
         ENRICHED,
-        """SELECT trip_date, pickup_location_id, CAST(total_amount AS DOUBLE) AS total_amount, vendor_id
+        """SELECT trip_date, pickup_location_id, total_amount, vendor_id
            FROM enriched WHERE pickup_borough IS NULL""",
     ),
     "dq_unique": """SELECT l_orderkey AS value, count(*) AS n_records FROM lineitem

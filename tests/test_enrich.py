@@ -5,6 +5,7 @@ from conftest import rows, ts
 from pyspark.sql import functions as F
 
 from lakemart.functions.audit import AUDIT_COLUMNS, with_audit
+from lakemart.functions.measures import in_units, seconds_range
 from lakemart.operators import joins
 from lakemart.operators.enrich import ENRICHED_COLUMNS, enrich
 from lakemart.operators.joins import DuplicateKeyError, lookup_join, profile_side, spread_hot_keys
@@ -22,6 +23,21 @@ def test_duration_limits_are_inclusive(trip, zones):
     assert rows(found, "trip_duration_minutes") == [(1.0,), (300.0,)]
 
 
+@pytest.mark.parametrize("unit", [60, 3_600, 86_400])
+def test_durations_agree_with_rounding(spark, unit):
+    """Whole-number arithmetic gives the value of round() and the limits on it, at ties too."""
+    around = [edge * unit + d for edge in (0, 1, 7, 300) for d in range(-unit // 100 - 40, unit // 100 + 40)]
+    seconds = [s for s in around if s >= 0] + [10**9 + d for d in range(50)] + [unit * k // 200 for k in range(999)]
+    first, last = seconds_range(1, 300, unit)
+    s = F.col("s")
+    checked = spark.createDataFrame([(x,) for x in seconds], "s long").select(
+        F.round(s / unit, 2).alias("rounded"), in_units(s, unit).alias("counted"), s.between(first, last).alias("kept")
+    )
+    assert checked.where("rounded <> counted").count() == 0
+    assert checked.where("kept <> (rounded BETWEEN 1 AND 300)").count() == 0
+    assert checked.where("kept").count() > 0
+
+
 def test_distance_limit_is_inclusive_and_null_is_dropped(trip, zones):
     found = enrich(trip({"trip_distance": 100.0}, {"trip_distance": 100.01}, {"trip_distance": None}), zones)
     assert rows(found, "trip_distance") == [(100.0,)]
