@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.config import ConfigError, Watermark
-from lakemart.operators.joins import require_unique, without_matches
+from lakemart.operators.joins import SideProfile, require_unique, without_matches
 
 DATE_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -56,6 +56,7 @@ def merge_upsert(
     *,
     null_safe: bool = True,
     validate: bool = True,
+    profile: SideProfile | None = None,
 ) -> DataFrame:
     """The target after an upsert: rows with a key in `source` are replaced, new keys added, others kept.
 
@@ -65,7 +66,7 @@ def merge_upsert(
     source = _aligned(target, source)
     if validate:
         require_unique(source, keys, "merge source", null_safe=null_safe)
-    return without_matches(target, source, keys, null_safe=null_safe).unionByName(source)
+    return without_matches(target, source, keys, null_safe=null_safe, profile=profile).unionByName(source)
 
 
 def replace_window(target: DataFrame, source: DataFrame, column: str, low: dt.date) -> DataFrame:

@@ -48,19 +48,21 @@ class SideProfile:
         return self
 
 
+def row_width(df: DataFrame) -> Column:
+    """Approximate bytes of a row: the text form of each value plus a fixed part per column."""
+    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns]
+    return sum(widths, F.lit(0))
+
+
 def profile_side(df: DataFrame, keys: Sequence[str]) -> SideProfile:
     """Rows, approximate bytes and most rows per key of `df`, in one job.
 
     Rows with a null key count towards the size but not towards the copies, as they match nothing.
     """
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16) for c in df.columns),
-        F.lit(0),
-    )
     complete = F.lit(True)
     for key in keys:
         complete = complete & F.col(key).isNotNull()
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(width).alias("_b"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_width(df)).alias("_b"))
     row = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("_b"), F.lit(0)).alias("bytes"),
@@ -162,12 +164,20 @@ def lookup_join(
 
 
 def without_matches(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_safe: bool = True
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    *,
+    null_safe: bool = True,
+    profile: SideProfile | None = None,
 ) -> DataFrame:
-    """Target rows whose key is not in `source`. A small source is broadcast, so the target is not shuffled."""
+    """Target rows whose key is not in `source`. A small source is broadcast, so the target is not shuffled.
+
+    `profile` is the measured size of `source`, if it is known.
+    """
     names = [f"_src{i}" for i in range(len(keys))]
     wanted = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    if not profile_side(wanted, names).broadcastable:
+    if not (profile or profile_side(wanted, names)).broadcastable:
         return spread_join(target, wanted, keys, names, "left_anti", null_safe=null_safe)
     condition = F.lit(True)
     for key, name in zip(keys, names):

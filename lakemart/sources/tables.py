@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from lakemart.config import ConfigError, schema_name
 from lakemart.operators.incremental import from_date, high_water_mark, merge_upsert, replace_window
+from lakemart.operators.joins import SideProfile, row_width
 from lakemart.session import stable
 
 PARTITION = "_part"
@@ -145,14 +146,19 @@ class MartTable:
             # A changed row could sit in a partition that the source does not touch.
             raise ConfigError(f"'{self.name}' is split by '{self.partition_on}', which must be one of {list(keys)}")
         source = stable(self._with_part(source))
-        # One value per touched partition directory, which the catalog lists on the driver anyway.
-        touched = [row[0] for row in source.select(PARTITION).distinct().collect()]
-        if not touched:
+        # One row per touched partition directory, which the catalog lists on the driver anyway.
+        sizes = source.groupBy(PARTITION).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(row_width(source)).alias("bytes")
+        )
+        found = sizes.collect()
+        if not found:
             return
+        touched = [row[PARTITION] for row in found]
+        size = SideProfile(sum(r["rows"] for r in found), sum(r["bytes"] for r in found), 0, tuple(keys))
         part = F.col(PARTITION)
         among = part.isin([p for p in touched if p is not None])
         target = self.stored().where(among | part.isNull() if None in touched else among)
-        merged = merge_upsert(target, source, keys, null_safe=null_safe, validate=validate)
+        merged = merge_upsert(target, source, keys, null_safe=null_safe, validate=validate, profile=size)
         overwrite_partitions(merged, self.name, [PARTITION])
 
     def replace_from(self, source: DataFrame, column: str, low: dt.date) -> None:
