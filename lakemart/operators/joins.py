@@ -18,11 +18,10 @@ from lakemart.config import ConfigError
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A key is spread when it has at least HOT_ROWS rows and is among the HOT_KEYS heaviest. Every other key then holds
-# less than 1/HOT_KEYS of the rows, or fewer than HOT_ROWS.
+# A key with at least twice HOT_ROWS rows is spread, so that about HOT_ROWS of them go to one task. That is done for
+# the HOT_KEYS heaviest keys; every other key then holds less than 1/HOT_KEYS of the rows.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-SPREAD = 64
+HOT_KEYS = 10_000
 
 
 class DuplicateKeyError(ValueError):
@@ -90,11 +89,23 @@ def same_type(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     raise ConfigError(f"key types differ: {left_key} is {a.simpleString()}, {right_key} is {b.simpleString()}")
 
 
-def hot_hashes(df: DataFrame, key_hash: Column) -> list[int]:
-    """Hashes of the heaviest keys: at most HOT_KEYS numbers, from counts combined before the shuffle."""
+def hot_keys(df: DataFrame, key_hash: Column) -> dict[int, list[int]]:
+    """Hashes of the heaviest keys by the number of salts they need, a power of four.
+
+    The driver gets at most HOT_KEYS numbers, from counts combined before the shuffle. The rows of a stream cannot
+    be counted ahead, so none of its keys is known to be hot.
+    """
+    if df.isStreaming:
+        return {}
     counts = df.select(key_hash.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    heaviest = counts.where(F.col("_n") >= HOT_ROWS).orderBy(F.desc("_n"), "_h").limit(HOT_KEYS)
-    return [row["_h"] for row in heaviest.collect()]
+    heaviest = counts.where(F.col("_n") >= 2 * HOT_ROWS).orderBy(F.desc("_n"), "_h").limit(HOT_KEYS)
+    tiers: dict[int, list[int]] = {}
+    for row in heaviest.collect():
+        salts = 4
+        while salts * HOT_ROWS < row["_n"]:
+            salts *= 4
+        tiers.setdefault(salts, []).append(row["_h"])
+    return tiers
 
 
 def spread_hot_keys(
@@ -111,11 +122,13 @@ def spread_hot_keys(
     right = right.withColumns({f"_rk{i}": b for i, (_, b) in enumerate(pairs)})
     left_hash = F.xxhash64(*[F.col(f"_jk{i}") for i in range(len(pairs))])
     right_hash = F.xxhash64(*[F.col(f"_rk{i}") for i in range(len(pairs))])
-    hot = hot_hashes(left, left_hash)
-    if not hot:
+    tiers = hot_keys(left, left_hash)
+    if not tiers:
         return left.withColumn("_salt", F.lit(0)), right.withColumn("_rsalt", F.lit(0))
-    salt = F.when(left_hash.isin(hot), F.pmod(F.spark_partition_id(), F.lit(SPREAD))).otherwise(F.lit(0))
-    copies = F.when(right_hash.isin(hot), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    salt, copies = F.lit(0), F.array(F.lit(0))
+    for salts, hashes in tiers.items():
+        salt = F.when(left_hash.isin(hashes), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(salt)
+        copies = F.when(right_hash.isin(hashes), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(copies)
     return left.withColumn("_salt", salt), right.withColumn("_rsalt", F.explode(copies))
 
 

@@ -290,7 +290,7 @@ def zone_versions(spark, sf):
 
 
 def trips_enriched_as_of(spark, sf):
-    return enrich_as_of(staged_trips(spark, sf), zone_versions(spark, sf), DAYS)
+    return enrich_as_of(staged_trips(spark, sf), stable(zone_versions(spark, sf)), DAYS)
 
 
 def daily_mart(spark, sf):
@@ -512,7 +512,7 @@ def scd2_current(spark, sf):
 def scd2_as_of(spark, sf):
     """Each order with the segment its customer had at the time."""
     orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    history = customer_history(spark, sf)
+    history = stable(customer_history(spark, sf))
     return scd.join_as_of(orders, history, "o_custkey", "customer_id", "o_orderdate", {"segment": "segment"})
 
 

@@ -55,5 +55,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def stable(df: DataFrame) -> DataFrame:
     """Compute `df` once, into the shared folder. Later reads neither recompute it nor depend on executors."""
-    shared_dir(df.sparkSession)
+    root, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return df.checkpoint(eager=True)

@@ -143,7 +143,6 @@ def tiny_bounds(monkeypatch):
     """Bounds so small that a few rows take the path of a big side with hot keys."""
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
     monkeypatch.setattr(joins, "HOT_ROWS", 10)
-    monkeypatch.setattr(joins, "SPREAD", 5)
 
 
 def test_large_side_with_hot_and_null_keys_gives_the_same_rows(spark, tiny_bounds):
@@ -158,11 +157,15 @@ def test_large_side_with_hot_and_null_keys_gives_the_same_rows(spark, tiny_bound
 
 
 def test_hot_key_is_spread_over_several_salts(spark, tiny_bounds):
-    facts = spark.range(0, 200, numPartitions=10).selectExpr("id", "7L AS k")
-    dim = spark.createDataFrame([(7, "x"), (8, "y")], "key long, name string")
+    facts = spark.range(0, 250, numPartitions=10).selectExpr("id", "CASE WHEN id % 5 > 0 THEN 7L ELSE id END AS k")
+    facts = facts.unionByName(spark.range(0, 30, numPartitions=6).selectExpr("id", "8L AS k"))
+    dim = spark.createDataFrame([(7, "x"), (8, "y"), (9, "z")], "key long, name string")
     left, right = spread_hot_keys(facts, dim, ["k"], ["key"])
-    assert left.groupBy("_salt").count().count() == 5
-    assert rows(right.groupBy("key").count()) == [(7, 5), (8, 1)]
+    # 200 rows need 20 salts of 10 rows, 30 rows need 3; the next powers of four are 64 and 4.
+    assert rows(right.groupBy("key").count()) == [(7, 64), (8, 4), (9, 1)]
+    spread = {r.k: r.n for r in left.groupBy("k").agg(F.count_distinct("_salt").alias("n")).collect()}
+    assert spread[7] == 10 and spread[8] == 4
+    assert set(n for k, n in spread.items() if k not in (7, 8)) == {1}
 
 
 def test_join_strategy_follows_the_measured_size(spark, zones, trip, monkeypatch):

@@ -74,7 +74,6 @@ def test_merge_matches_null_keys_unless_told_otherwise(spark, monkeypatch, small
     if not small:
         monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
         monkeypatch.setattr(joins, "HOT_ROWS", 1)
-        monkeypatch.setattr(joins, "SPREAD", 3)
     target, source = frame(spark, *MERGE_TARGET), frame(spark, *MERGE_SOURCE)
     merged = merge_upsert(target, source.select("n", "k", "d"), KEYS)
     assert rows(merged) == rows(frame(spark, MERGE_TARGET[0], *MERGE_SOURCE))

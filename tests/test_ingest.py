@@ -211,6 +211,20 @@ def test_tests_run_per_load_and_stop_the_mart(spark, land, config, schema):
     assert mart.read().count() == 1
 
 
+def test_stream_joins_a_dimension_too_big_to_broadcast(spark, tmp_path, trip, zones, monkeypatch):
+    from lakemart.operators import joins
+    from lakemart.operators.enrich import enrich
+
+    trips = trip({}, {"pickup_location_id": 999})
+    trips.write.parquet(f"{tmp_path}/trips")
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    stream = enrich(spark.readStream.schema(trips.schema).parquet(f"{tmp_path}/trips"), zones)
+    seen = []
+    writer = stream.writeStream.foreachBatch(lambda batch, _: seen.extend(rows(batch, "pickup_borough")))
+    writer.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    assert seen == [(None,), ("Queens",)]
+
+
 def test_event_time_mart_drops_only_rows_beyond_the_lateness(spark, tmp_path, schema, trip):
     landing, name = f"{tmp_path}/trips", f"{schema}.daily"
     mart = MartTable(spark, name, partition_on="trip_date")
