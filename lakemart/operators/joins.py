@@ -86,6 +86,8 @@ def same_type(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
         return lhs, rhs
     if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
         return lhs.cast("bigint"), rhs.cast("bigint")
+    if all(isinstance(t, (T.IntegralType, T.FloatType, T.DoubleType)) for t in (a, b)):
+        return lhs.cast("double"), rhs.cast("double")
     raise ConfigError(f"key types differ: {left_key} is {a.simpleString()}, {right_key} is {b.simpleString()}")
 
 

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows, ts
 from pyspark.sql import functions as F
 
+from lakemart.config import ConfigError
 from lakemart.functions.audit import AUDIT_COLUMNS, with_audit
 from lakemart.functions.measures import in_units, seconds_range
 from lakemart.operators import joins
@@ -168,6 +169,15 @@ def test_hot_key_is_spread_over_several_salts(spark, tiny_bounds):
     assert set(n for k, n in spread.items() if k not in (7, 8)) == {1}
 
 
+def test_key_types_are_brought_together_or_refused(spark, tiny_bounds):
+    dim = spark.createDataFrame([(1, "x"), (2, "y")], "key int, name string")
+    for kind in ("double", "long", "int"):
+        facts = spark.createDataFrame([(1,), (3,)], "k int").selectExpr(f"CAST(k AS {kind}) AS k")
+        assert rows(lookup_join(facts, dim, "k", "key", {"name": "n"}), "n") == [(None,), ("x",)]
+    with pytest.raises(ConfigError, match="key types differ"):
+        lookup_join(facts.selectExpr("CAST(k AS STRING) AS k"), dim, "k", "key", {"name": "n"})
+
+
 def test_join_strategy_follows_the_measured_size(spark, zones, trip, monkeypatch):
     def plan(df):
         return df._jdf.queryExecution().executedPlan().toString()

@@ -4,6 +4,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from lakemart.operators import joins, scd
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
@@ -26,5 +27,24 @@ def test_query_matches(spark, duck, name):
     assert not [bad for bad in ("Cartesian", "NestedLoop", "EvalPython", "InPandas") if bad in plan]
 
 
+# One query per operator that treats a big side or a hot key in its own way.
+BIG_SIDES = [
+    "trips_enriched", "daily_mart_null_borough", "trips_enriched_as_of", "merge_null_key", "merge_plain_equality",
+    "incremental_equals_full", "scd2_as_of", "scd1_upsert", "dq_relationships", "stream_event_time",
+]
+
+
+@pytest.mark.parametrize("name", BIG_SIDES)
+def test_query_matches_when_no_side_can_be_broadcast(spark, duck, name, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
+    monkeypatch.setattr(scd, "BROADCAST_VERSIONS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert differences(QUERIES[name](spark, SF), duck, ORACLE[name]) == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
