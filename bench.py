@@ -100,9 +100,10 @@ def main() -> None:
     facts["rows_full"] = staged().count()
     facts["rows_incremental_3d"] = staged(recent.low).where(F.col("trip_date") >= F.lit(recent.low)).count()
     facts["rows_backfill_45d"] = staged(wide.low).where(F.col("trip_date") >= F.lit(wide.low)).count()
-    facts["files_full"] = len(staged().inputFiles())
-    facts["files_incremental_3d"] = len(staged(recent.low).inputFiles())
-    facts["files_backfill_45d"] = len(staged(wide.low).inputFiles())
+    for name, low in {"full": None, "incremental_3d": recent.low, "backfill_45d": wide.low}.items():
+        files = staged(low).inputFiles()
+        sizes = spark.read.format("binaryFile").load(files).agg(F.sum("length").alias("bytes"))
+        facts[f"files_{name}"], facts[f"bytes_{name}"] = len(files), sizes.first()["bytes"]
 
     print(
         json.dumps(

@@ -230,7 +230,7 @@ def _chunked(
     size = profile_side(dense, ["_dk"]) if dense is not None else None
     if size is not None and size.rows:
         facts = lookup_join(facts, dense, fact_key, "_dk", {"_w": "_fw"}, size)
-        versions = versions.join(dense, F.col("_hk") == F.col("_dk"), "left").drop("_dk")
+        versions = lookup_join(versions, dense, "_hk", "_dk", {"_w": "_w"}, size)
     else:
         facts, versions = facts.withColumn("_fw", F.lit(None)), versions.withColumn("_w", F.lit(None))
     facts = facts.withColumn("_fc", _chunk_of(F.col("_fsec"), F.coalesce("_fw", F.lit(DAY))))
