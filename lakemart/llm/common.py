@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +18,23 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, unless PYTHONPATH or an installation does so already."""
+    package = Path(__file__).resolve().parent.parent
+    root, context = package.parent, spark.sparkContext
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if context.applicationId in _shipped or str(root) in paths or root.name == "site-packages":
+        return
+    folder = tempfile.mkdtemp(prefix="lakemart-package-")  # read by the driver alone, which serves it to executors
+    context.addPyFile(shutil.make_archive(f"{folder}/lakemart_package", "zip", root, package.name))
+    _shipped.add(context.applicationId)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

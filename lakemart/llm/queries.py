@@ -4,25 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import mixing, quality
+from lakemart.llm import bpe, counts, mixing, pii, quality, token_store
 from lakemart.llm.common import read
+from lakemart.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-store")
+    token_store.write(read(spark, sf_dir, "documents"), folder, WORD_BPE, end_id=2)
+    found = token_store.read(spark, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count_tokens(read(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(read(spark, sf_dir, "documents"))
+
+
 def op6_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.withColumn("position", F.get("passes", F.lit(0))["position"]).drop("passes")
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(read(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(encoded, BYTE_BPE, public_tokenizers.PATTERN))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_token_store": op2_token_store,
+    "op3_token_counts": op3_token_counts,
+    "op5_deobfuscation": op5_deobfuscation,
+    "op10_byte_bpe": op10_byte_bpe,
     "op4_decision_list": op4_decision_list,
     "op6_curriculum": op6_curriculum,
 }
