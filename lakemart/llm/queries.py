@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, counts, mixing, pii, quality, token_store
+from lakemart.llm import bpe, counts, mixing, pii, quality, token_store, topk
 from lakemart.llm.common import read
 from lakemart.session import scratch_path
 
@@ -43,6 +43,11 @@ def op6_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("position", F.get("passes", F.lit(0))["position"]).drop("passes")
 
 
+def op7_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantized(read(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.where(F.col("vec_id") % 20 == 0), vectors)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(read(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode(encoded, BYTE_BPE, public_tokenizers.PATTERN))
@@ -52,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_store": op2_token_store,
     "op3_token_counts": op3_token_counts,
     "op5_deobfuscation": op5_deobfuscation,
+    "op7_uniform_threshold": op7_uniform_threshold,
     "op10_byte_bpe": op10_byte_bpe,
     "op4_decision_list": op4_decision_list,
     "op6_curriculum": op6_curriculum,

@@ -40,4 +40,20 @@ SELECT doc_id, size, source_size, target, (first_pass + second_pass)::BIGINT AS
 FROM taken
 """
 
-ORACLE = {"op6_curriculum": OP6}
+OP7 = """
+WITH used AS (
+    SELECT vec_id, list_transform(embedding, lambda v: FLOOR(64 * v::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+      AND len(list_filter(embedding, lambda v: NOT isfinite(v))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM used q JOIN used c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, (ROW_NUMBER() OVER w)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY ROW_NUMBER() OVER w <= 20
+"""
+
+ORACLE = {"op6_curriculum": OP6, "op7_uniform_threshold": OP7}
