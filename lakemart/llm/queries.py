@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, counts, mixing, pii, quality, token_store, topk
+from lakemart.llm import bpe, counts, mixing, pii, quality, spans, token_store, topk, urls
 from lakemart.llm.common import read
 from lakemart.session import scratch_path
 
@@ -48,6 +48,28 @@ def op7_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where(F.col("vec_id") % 20 == 0), vectors)
 
 
+def op8_sentence_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spans.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    size = lambda s: s["end"] - s["begin"]
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + size(s))
+    return found.select(
+        "doc_id", F.size("removed").cast("long").alias("n_spans"), gone.alias("n_removed"), "removed",
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+RULES = (
+    urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"), urls.Rule("allow", "com", "/fr/"), urls.Rule("block", "com", "/de/"),
+)
+# Listed: names, and all below them, with a label that has one of these words, alone or between hyphens.
+LISTED = r"^([^./]*-)?(ad|ads|adserver|banner|click|pixel|popup|track|tracker|tracking)(-[^./]*)?\.[^/]+/$"
+
+
+def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), RULES, F.col("key").rlike(LISTED))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(read(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode(encoded, BYTE_BPE, public_tokenizers.PATTERN))
@@ -58,6 +80,8 @@ QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
     "op5_deobfuscation": op5_deobfuscation,
     "op7_uniform_threshold": op7_uniform_threshold,
+    "op8_sentence_runs": op8_sentence_runs,
+    "op9_bloom_cascade": op9_bloom_cascade,
     "op10_byte_bpe": op10_byte_bpe,
     "op4_decision_list": op4_decision_list,
     "op6_curriculum": op6_curriculum,

@@ -56,4 +56,30 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY ROW_NUMBER() OVER w <= 20
 """
 
-ORACLE = {"op6_curriculum": OP6, "op7_uniform_threshold": OP7}
+# A page is listed if its host or a parent of two labels or more begins with a label that has a listed word.
+OP9 = r"""
+WITH split AS (
+    SELECT page_id,
+           translate(COALESCE(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           COALESCE(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages
+), ruled AS (
+    SELECT *, CASE
+        WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+    FROM split
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(host, '(^|\.)([^./]*-)?(ad|ads|adserver|banner|click|pixel|popup|track|tracker|tracking)(-[^./]*)?\.[^/]+$')
+        THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+ORACLE = {"op6_curriculum": OP6, "op7_uniform_threshold": OP7, "op9_bloom_cascade": OP9}
