@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, counts, mixing, pii, quality, spans, token_store, topk, urls
+from lakemart.llm import bpe, counts, mixing, neardup, pii, quality, spans, token_store, topk, urls
 from lakemart.llm.common import read
 from lakemart.session import scratch_path
 
@@ -19,6 +19,11 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.classes(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_texts", (F.col("doc_id") == F.col("class_id")).alias("stays"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-store")
     token_store.write(read(spark, sf_dir, "documents"), folder, WORD_BPE, end_id=2)
@@ -76,6 +81,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_weighted_minhash": op1_weighted_minhash,
     "op2_token_store": op2_token_store,
     "op3_token_counts": op3_token_counts,
     "op5_deobfuscation": op5_deobfuscation,
