@@ -59,6 +59,11 @@ class JsonCodec:
         self.tokenizer.no_padding()
         self.by_word = blank_free(self.tokenizer)
         self.known: dict[str, bytes] = {}
+        # Which ids end a word, if the model marks that.
+        vocab, suffix = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
 
     def with_offsets(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the begin and end of each token in characters."""
@@ -90,6 +95,23 @@ class JsonCodec:
         return [b"".join([known[w] for w in words]) for words in split]
 
     def _learn(self, words: list[str]) -> None:
+        """Letter runs are encoded as one text and told apart by their last tokens, other words one by one."""
+        letters = [w for w in words if w.lower().isalpha()]
+        for i in range(0, len(letters), AT_ONCE):
+            self._learn_joined(letters[i : i + AT_ONCE])
+        self._learn_each([w for w in words if w not in self.known])
+
+    def _learn_joined(self, words: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=UINT32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(words) and stops[-1] == len(ids):
+            raw, width = ids.tobytes(), UINT32.itemsize
+            begin = 0
+            for w, stop in zip(words, (stops * width).tolist()):
+                self.known[w] = raw[begin:stop]
+                begin = stop
+
+    def _learn_each(self, words: list[str]) -> None:
         for i in range(0, len(words), AT_ONCE):
             some = words[i : i + AT_ONCE]
             for w, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
