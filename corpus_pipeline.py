@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import mixing, quality
-from lakemart.llm.common import read, stored
+from lakemart.llm import bpe, mixing, neardup, pii, quality
+from lakemart.llm.common import read, ship_package, stored
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,12 +16,38 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, read(spark, sf_dir, "labels"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest doc_id."""
+    ship_package(spark)
+    return neardup.one_of_each(docs)
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind."""
+    ship_package(spark)
+    return pii.redacted(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, once for each pass of the mix."""
+    ship_package(spark)
     return mixing.mixed_texts(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("mix_sources", mix_sources)]
+def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, checked by decoding them: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    ship_package(spark)
+    encoded = bpe.encode(docs, BYTE_BPE, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(encoded, BYTE_BPE, public_tokenizers.PATTERN))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("redact_pii", redact_pii),
+    ("mix_sources", mix_sources),
+    ("encode_bytes", encode_bytes),
+]
 
 # Learned rules, sampled signatures and token ids are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
