@@ -158,6 +158,8 @@ def mixed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
         row, key, size, F.col(at)["words"].alias(words), F.col(at)["position"].alias(place)
     )
     chosen = known.dropDuplicates([row, key]).join(uses, [row, key])
-    prefix = F.concat(F.lit(f"^(?:[\\x20\\x09-\\x0D]*{WORD}){{"), F.col(words).cast("string"), F.lit("}"))
-    cut = F.when(F.col(words) < F.col(size), F.regexp_substr(F.col(text), prefix)).otherwise(F.col(text))
+    # Each word with the white space before it; only evaluated for documents taken in part.
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0))
+    prefix = F.array_join(F.slice(pieces, F.lit(1), F.col(words).cast("int")), "")
+    cut = F.when(F.col(words) < F.col(size), prefix).otherwise(F.col(text))
     return chosen.withColumn(text, cut).orderBy(place, key).select(*docs.columns)
