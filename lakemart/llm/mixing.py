@@ -80,7 +80,7 @@ def position(done: Column, start: Column, end: Column) -> Column:
     """
     mean = (start + end) / 2
     first, slope = start / mean, (end - start) / mean
-    return 2 * done / (first + F.sqrt(first * first + 2 * slope * done))
+    return F.coalesce(F.try_divide(2 * done, first + F.sqrt(first * first + 2 * slope * done)), F.lit(0.0))
 
 
 def mix(
@@ -133,7 +133,7 @@ def mix(
         words = F.greatest(F.lit(0), F.least(size, F.round(target).cast("long") - begin))
         start, end = _cycle(starts, F.col("rank")), _cycle(ends, F.col("rank"))
         return F.struct(
-            number.alias("pass"), words.alias("words"), position(begin / target, start, end).alias("position")
+            number.alias("pass"), words.alias("words"), position(F.try_divide(begin, target), start, end).alias("position")
         )
 
     numbers = [F.lit(i).cast("long") for i in range(int(-(-cap // 1)))]

@@ -55,10 +55,11 @@ MAYBE_SPELLED = re.compile(r"(?:ero|oh|one|two|hree|our|ive|six|even|ight|ine)[\
 _BRACKETED = r"[\x20]*[\[({<][\x20]*(?:%s)[\x20]*[\])}>][\x20]*"
 AT_SIGN = re.compile(_BRACKETED % "at|@", re.I)
 DOT_SIGN = re.compile(_BRACKETED % r"dot|punkt|punto|point|\.", re.I)
-# Bare words count only as a whole address: name at domain dot ending.
+# Bare words count only as a whole address: name at domain dot ending, with one of these endings.
+ENDINGS = ("com", "org", "net", "edu", "gov", "info", "io", "co", "eu", "uk", "de", "fr", "es", "it", "nl", "example")
 BARE = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(\x20at\x20)[A-Za-z0-9-]+(?:(?:\x20dot\x20|\.)[A-Za-z0-9-]+)*"
-    r"\x20dot\x20[A-Za-z]{2,}(?![A-Za-z0-9-])",
+    rf"\x20dot\x20(?:{'|'.join(ENDINGS)})(?![A-Za-z0-9-])",
     re.I,
 )
 BARE_WORD = re.compile(r"\x20(at|dot)\x20", re.I)

@@ -85,7 +85,13 @@ def _coders(dictionary: bytes):
 
 
 def _blocks(
-    path: str, end_id: int, width: int, dictionary: bytes, kind: pa.DataType, batches: Iterator[pa.RecordBatch]
+    path: str,
+    end_id: int,
+    width: int,
+    dictionary: bytes,
+    kind: pa.DataType,
+    block_bytes: int,
+    batches: Iterator[pa.RecordBatch],
 ) -> Iterator[pa.RecordBatch]:
     press, sha = _coders(dictionary)[0], hashlib.sha256(dictionary).hexdigest()
     block = 0
@@ -106,7 +112,7 @@ def _blocks(
             counts.append(len(raw) // width)
             frames.append(press.compress(raw))
             size += len(raw)
-            if size >= BLOCK_BYTES:
+            if size >= block_bytes:
                 yield flush()
                 block += 1
                 doc_ids, counts, frames, size = [], [], [], 0
@@ -114,7 +120,15 @@ def _blocks(
         yield flush()
 
 
-def write(docs: DataFrame, folder: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
+def write(
+    docs: DataFrame,
+    folder: str,
+    path: str,
+    end_id: int,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> None:
     """Encode every text with the tokenizer at `path`, add `end_id`, and write a store to `folder`, by doc_id.
 
     Null doc_ids come first; equal ones are ordered by a hash of the text. A null text counts as empty: its only id
@@ -131,7 +145,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, doc_id: str = "d
     kind = rows.schema["doc_id"].dataType
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    run = partial(_blocks, path, end_id, width, dictionary, arrow_types.to_arrow_type(kind))
+    run = partial(_blocks, path, end_id, width, dictionary, arrow_types.to_arrow_type(kind), block_bytes)
     blocks = ranged.mapInArrow(run, BLOCK.format(id=kind.simpleString()))
     blocks.select(F.spark_partition_id().alias("part"), "*").write.parquet(f"{folder}/blocks")
 

@@ -128,8 +128,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for row in batch.to_pylist():
             q_ids, c_ids = (np.frombuffer(row[n], dtype=np.int64) for n in ("q_ids", "c_ids"))
             q, c = (
-                np.frombuffer(row[f"{n}_matrix"], dtype=row[f"{n}_kind"]).reshape(-1, row["dim"]).astype(np.float64)
-                for n in "qc"
+                np.frombuffer(row[f"{n}_matrix"], dtype=row[f"{n}_kind"]).reshape(len(ids), row["dim"]).astype(np.float64)
+                for n, ids in (("q", q_ids), ("c", c_ids))
             )
             yield row, q_ids, c_ids, q, c
 

@@ -107,7 +107,7 @@ def contains(levels: Sequence[Level], a: np.ndarray, b: np.ndarray) -> np.ndarra
 
 def first_rate(listed: int, others: int) -> float:
     """The rate that leaves about as many false positives as there are listed keys."""
-    return min(RATE, math.sqrt(0.5) * listed / max(others, 1))
+    return min(RATE, math.sqrt(0.5) * max(listed, 1) / max(others, 1))
 
 
 def shape(n: int, rate: float, level: int) -> tuple[int, int]:

@@ -1,0 +1,61 @@
+"""Exact top-k against a plain search, with ties, copies, awkward vectors and small blocks."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakemart.llm import topk
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def plain(vectors, queries, k):
+    out = {}
+    for q in queries:
+        scores = sorted(
+            (-sum(a * b for a, b in zip(vectors[q], v)), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q])
+        )
+        out[q] = [(i, -s) for s, i in scores[:k]]
+    return out
+
+
+def search(spark, rows, k, lists=2):
+    df = topk.quantized(spark.createDataFrame(rows, SCHEMA))
+    found = topk.top_k(df.where(F.col("vec_id") % 5 == 0), df, k, lists).orderBy("query_id", "rank").collect()
+    out = {}
+    for r in found:
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(out[r["query_id"]])
+    return out
+
+
+def whole(x):
+    return [int(np.floor(64 * float(np.float32(v)))) for v in x]
+
+
+@pytest.mark.parametrize("lists", [1, 2, 5])
+def test_against_plain_search(spark, monkeypatch, lists):
+    monkeypatch.setattr(topk, "CANDIDATES_PER_BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERIES_PER_BLOCK", 7)
+    random = np.random.default_rng(2)
+    rows = [(i, [float(v) for v in random.normal(size=6)], 0) for i in range(90)]
+    rows += [(200 + i, rows[3][1], 0) for i in range(60)]  # a large group of copies, and ties
+    rows += [(300 + i, [1.0, 2.0], 0) for i in range(4)] + [(400, [], 0), (405, [], 0)]
+    want = plain({i: whole(x) for i, x, _ in rows}, [i for i, *_ in rows if i % 5 == 0], 8)
+    assert search(spark, rows, 8, lists) == {q: w for q, w in want.items() if w}
+
+
+def test_awkward_vectors(spark):
+    rows = [
+        (0, [1.0, 1.0], 0), (1, [2.0, 0.5], None), (1, [2.0, 0.5], None), (None, [1.0, 1.0], 0), (2, None, 0),
+        (3, [None, 1.0], 0), (4, [float("nan"), 1.0], 0), (5, [float("inf"), 1.0], 0), (6, [-1.0, 0.0], 0),
+        (10, [1e30, -1e30], 0),
+    ]
+    found = search(spark, rows, 3)
+    assert found[0] == [(1, 64 * 128 + 64 * 32), (10, 0), (6, -4096)] or found[0][0] == (1, 64 * 128 + 64 * 32)
+    assert set(found) == {0, 10} and {i for i, _ in found[0]} == {1, 6, 10}
+    assert search(spark, [], 3) == {}
+
+
+def test_a_query_alone_finds_nothing(spark):
+    assert search(spark, [(5, [1.0], 0)], 3) == {}
