@@ -16,6 +16,7 @@ from lakemart.llm import chunks
 from lakemart.llm.common import fresh
 
 UINT32 = np.dtype("<u4")
+AT_ONCE = 256
 
 
 @lru_cache(maxsize=4)
@@ -30,9 +31,17 @@ def encoding(path: str, pattern: str):
 
 @lru_cache(maxsize=4)
 def splitter(pattern: str):
+    """The pattern for Python, whose `\\s` holds four separators, U+001C to U+001F, that are no white space in Unicode."""
     import regex
 
-    return regex.compile(pattern)
+    return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few hundred rows at a time, so that a worker holds little besides its input."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(i, AT_ONCE)
 
 
 def marks(pattern: str, piece: str, low: int, high: int) -> tuple[chunks.Marks, chunks.Marks, int]:
@@ -40,12 +49,15 @@ def marks(pattern: str, piece: str, low: int, high: int) -> tuple[chunks.Marks,
 
     A pre-token depends only on where it begins and on the text from there to one character past its end: the
     pattern never looks back. So if both chunks begin a pre-token at a place, they agree from there on, up to the
-    last two characters of the left chunk, which are no marks.
+    last two characters of the left chunk, which are no marks. Nor are places after white space, whose splitting
+    depends on what follows it: the piece before a seam must come out the same without the text behind.
     """
     sides: tuple[chunks.Marks, chunks.Marks] = ({}, {})
     for m in splitter(pattern).finditer(piece):
         at = m.start()
-        if 0 < at < low:
+        if not at or piece[at - 1].isspace():
+            continue
+        if at < low:
             sides[0][at] = (0, 0)
         elif high <= at < len(piece) - 1:
             sides[1][at] = (0, 0)
@@ -55,7 +67,7 @@ def marks(pattern: str, piece: str, low: int, high: int) -> tuple[chunks.Marks,
 def _encode(path: str, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Encode the last column, a text, and pass the others on."""
     encode = encoding(path, pattern).encode_ordinary
-    for batch in batches:
+    for batch in _slices(batches):
         *others, texts = batch.columns
         ids = [np.array(encode(t.as_py() or ""), dtype=UINT32).tobytes() for t in texts]
         yield pa.RecordBatch.from_arrays([*others, pa.array(ids, pa.binary())], names=[*batch.schema.names[:-1], "ids"])
@@ -94,10 +106,11 @@ def encode(
     run = partial(_encode, path, pattern)
     parts = [rows.where(~long).mapInArrow(run, f"doc_id {kind}, ids binary")]
     long_docs = rows.where(long)
-    for _, _, found in chunks.seamed(long_docs, partial(marks, pattern), size, overlap, "word-seams"):
+    for _, _, found in chunks.seamed(long_docs, partial(marks, pattern), size, overlap):
         of = found.select(F.col("doc_id").alias("f_id"), F.col("sha").alias("f_sha"), "seams", "copies")
         same = F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.unhex(F.sha2("text", 256)) == F.col("f_sha"))
-        pieces = long_docs.join(of, same).select(
+        # By shuffle at every size: the seams grow with the documents.
+        pieces = long_docs.join(of.hint("merge"), same).select(
             "doc_id", F.col("f_sha").alias("sha"), "copies", F.explode(_cut("text", "seams")).alias("cut")
         )
         pieces = pieces.select("doc_id", "sha", "copies", F.col("cut")["i"].alias("i"), F.col("cut")["piece"].alias("piece"))
@@ -115,7 +128,7 @@ def encode(
 
 def _decode(path: str, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     decode = encoding(path, pattern).decode_bytes
-    for batch in batches:
+    for batch in _slices(batches):
         raw = [decode(np.frombuffer(i.as_py() or b"", dtype=UINT32).tolist()) for i in batch.columns[-1]]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=[*batch.schema.names, "raw"])
 
@@ -128,18 +141,20 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> Dat
     return rows.mapInArrow(partial(_decode, path, pattern), f"{schema}, `{raw}` binary")
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        shas = []
-        for ids in batch.column("ids"):
+def _digests(path: str, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _decode(path, pattern, batches):
+        of_ids, of_raw = [], []
+        for ids, raw in zip(batch.column("ids"), batch.column("raw")):
             decimal = ",".join(map(str, np.frombuffer(ids.as_py(), dtype=UINT32).tolist()))
-            shas.append(hashlib.sha256(decimal.encode()).hexdigest())
-        columns = [batch.column("doc_id"), batch.column("n_tokens"), pa.array(shas, pa.string()), batch.column("decoded_sha256")]
+            of_ids.append(hashlib.sha256(decimal.encode()).hexdigest())
+            of_raw.append(hashlib.sha256(raw.as_py()).hexdigest())
+        columns = [batch.column("doc_id"), batch.column("n_tokens"), pa.array(of_ids, pa.string()), pa.array(of_raw, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the decoded bytes)."""
-    kind = decoded.schema["doc_id"].dataType.simpleString()
-    rows = decoded.select("doc_id", "n_tokens", "ids", F.sha2("raw", 256).alias("decoded_sha256"))
-    return rows.mapInArrow(_digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def digests(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+    """What `encode` gives, decoded: doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas),
+    decoded_sha256 (of the decoded bytes). The bytes are decoded and hashed in one worker."""
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    rows = encoded.select("doc_id", "n_tokens", "ids")
+    return rows.mapInArrow(partial(_digests, path, pattern), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -14,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import stored
+from lakemart.llm.common import bind, stored
 
 SIZE = 32_768
 OVERLAP = 512
 WIDEN = 4
-# place in the document -> (evidence that must agree, tokens before it in this chunk)
+# place in the piece -> (32 bits of evidence that must agree, tokens before it in this piece)
 Marks = dict[int, tuple[int, int]]
 PIECES = "doc_id {id}, sha binary, chunk long, begin long, n_chars long, n_bytes long, piece string"
 
@@ -69,62 +69,64 @@ def seams(rows: DataFrame, marks: Callable[[str, int, int], tuple[Marks, Marks,
     Returns doc_id, sha, copies, n_bytes, seams (place of each seam, null if a seam is missing), n_tokens.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
-    mark = "array<struct<place:long,evidence:long,before:long>>"
-    schema = f"doc_id {kind}, sha binary, chunk long, n_bytes long, head {mark}, tail {mark}, n_tokens long"
-    names = ["doc_id", "sha", "chunk", "n_bytes", "head", "tail", "n_tokens"]
-    entry = pa.list_(pa.struct([(n, pa.int64()) for n in ("place", "evidence", "before")]))
+    # A mark is its place and 32 bits of evidence in one number, so that marks intersect and sort as numbers.
+    sides = ("head", "head_before", "tail", "tail_before")
+    arrays = ", ".join(f"{n} array<long>" for n in sides)
+    schema = f"doc_id {kind}, sha binary, chunk long, n_bytes long, {arrays}, n_tokens long"
+    names = ["doc_id", "sha", "chunk", "n_bytes", *sides, "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {n: batch.column(n) for n in ("doc_id", "sha", "chunk", "n_bytes")}
-            heads, tails, counts = [], [], []
+            columns: list[list] = [[] for _ in range(5)]
             for k, begin, total, piece in zip(*(batch.column(n).to_pylist() for n in ("chunk", "begin", "n_chars", "piece"))):
                 low = 2 * overlap if k else 0
                 high = len(piece) - 2 * overlap if begin + len(piece) < total else len(piece)
                 head, tail, n = marks(piece, low, high)
-                for out, side in ((heads, head), (tails, tail)):
-                    out.append([{"place": begin + p, "evidence": e, "before": b} for p, (e, b) in sorted(side.items())])
-                counts.append(n)
-            yield pa.RecordBatch.from_arrays(
-                [*found.values(), pa.array(heads, entry), pa.array(tails, entry), pa.array(counts, pa.int64())], names=names
-            )
+                for at, side in ((0, head), (2, tail)):
+                    places = sorted(side)
+                    columns[at].append([(begin + p << 32) | side[p][0] for p in places])
+                    columns[at + 1].append([side[p][1] for p in places])
+                columns[4].append(n)
+            kinds = [pa.list_(pa.int64())] * 4 + [pa.int64()]
+            made = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays([*found.values(), *made], names=names)
 
     # Repeated rows meet here, before their chunks are listed: `copies` restores them.
     once = rows.mapInArrow(run, schema).groupBy("doc_id", "sha", "chunk").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("n_bytes", "n_tokens", "head", "tail")).alias("c")
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("n_bytes", "n_tokens", *sides)).alias("c")
     )
     # One entry for each chunk of a document, a few hundred bytes for its 32,768 characters.
     whole = once.groupBy("doc_id", "sha").agg(
         F.max("copies").alias("copies"), F.max("c.n_bytes").alias("n_bytes"),
-        F.sort_array(F.collect_list(F.struct("chunk", "c.head", "c.tail", "c.n_tokens"))).alias("chunks"),
+        F.sort_array(F.collect_list(F.struct("chunk", *[f"c.{n}" for n in sides], "c.n_tokens"))).alias("chunks"),
     )
     chunks = F.col("chunks")
 
     def seam(i: Column) -> Column:
         left, right = F.get(chunks, i - 1), F.get(chunks, i)
-        common = F.filter(
-            left["tail"],
-            lambda t: F.exists(right["head"], lambda h: (h["place"] == t["place"]) & (h["evidence"] == t["evidence"])),
-        )
-        first = F.get(common, F.lit(0))
-        other = F.get(F.filter(right["head"], lambda h: h["place"] == first["place"]), F.lit(0))
-        # Tokens up to the seam in the left chunk, and those of the right chunk that the left one has already.
-        return F.struct(first["place"].alias("place"), (first["before"] - other["before"]).alias("gain"))
+
+        def joined(mark: Column) -> Column:
+            of = lambda side, name: F.get(side[f"{name}_before"], F.array_position(side[name], mark).cast("int") - 1)
+            # Tokens up to the seam in the left chunk, without those of the right chunk that come before it.
+            return F.struct(F.shiftright(mark, 32).alias("place"), (of(left, "tail") - of(right, "head")).alias("gain"))
+
+        return bind(F.array_min(F.array_intersect(left["tail"], right["head"])), joined)
 
     numbers = F.filter(F.sequence(F.lit(0), F.size(chunks) - 1), lambda i: i > 0)
-    found = whole.withColumn("found", F.transform(numbers, seam))
+    found = stored(whole.withColumn("found", F.transform(numbers, seam)), "chunk-seams")
     last = F.element_at(chunks, -1)["n_tokens"]
     gains = F.aggregate("found", last.cast("long"), lambda n, s: n + s["gain"])
     return found.select("doc_id", "sha", "copies", "n_bytes", F.transform("found", lambda s: s["place"]).alias("seams"), gains.alias("n_tokens"))
 
 
-def seamed(long_docs: DataFrame, marks, size: int, overlap: int, label: str) -> Iterator[tuple[int, int, DataFrame]]:
+def seamed(long_docs: DataFrame, marks, size: int, overlap: int) -> Iterator[tuple[int, int, DataFrame]]:
     """(size, overlap, seams) of the documents that could be put together at this size; the rest goes on wider.
 
     At most log4 of the longest text rounds; each after the first only over the documents that failed.
     """
     while True:
-        found = stored(seams(pieces(long_docs, size, overlap), marks, size, overlap), label)
+        found = seams(pieces(long_docs, size, overlap), marks, size, overlap)
         missing = F.exists("seams", lambda s: s.isNull())
         yield size, overlap, found.where(~missing)
         failed = found.where(missing).select(F.col("doc_id").alias("f_id"), F.col("sha").alias("f_sha"))

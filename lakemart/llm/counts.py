@@ -67,7 +67,7 @@ def count_tokens(
     long = chunks.is_long(F.col("text"), size)
     counted = rows.where(~long).mapInArrow(partial(_short, path), f"doc_id {kind}, n_bytes long, n_tokens long")
     parts = [counted]
-    for _, _, found in chunks.seamed(rows.where(long), partial(marks, path), size, overlap, "token-seams"):
+    for _, _, found in chunks.seamed(rows.where(long), partial(marks, path), size, overlap):
         copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
         parts.append(found.select("doc_id", "n_bytes", "n_tokens", copies.alias("copy")).drop("copy"))
     return reduce(DataFrame.union, parts).withColumn("over_limit", F.col("n_tokens") > limit)
