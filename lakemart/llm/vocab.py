@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 from functools import lru_cache
 
 import numpy as np
@@ -12,6 +13,10 @@ REMEMBERED = 1_000_000
 # Words encoded in one call.
 AT_ONCE = 2_000
 UINT32 = np.dtype("<u4")
+# Marks at the end of a word: a run of them is encoded by itself. The apostrophe may belong to letters.
+MARKS = string.punctuation.replace("'", "")
+# The last character of Latin letters that are composed as far as they can be.
+LATIN = "\u024f"
 
 # Fixed value: a normalizer and splitter for which a blank ends every token and leaves no trace.
 BLANK_FREE = {
@@ -52,13 +57,18 @@ class JsonCodec:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.by_word = blank_free(self.tokenizer)
         self.known: dict[str, bytes] = {}
+        # The same model for runs of lower-case Latin letters, which the normalizer and the splitter leave as they are.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         # Which ids end a word, if the model marks that.
         vocab, suffix = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -76,33 +86,50 @@ class JsonCodec:
         if not self.by_word:
             found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(e.ids, dtype=UINT32).tobytes() for e in found]
-        # Blanks separate: the library encodes each different word once.
+        # Blanks separate: the library encodes each different word once. One look-up for each word; only texts with
+        # words that are new are looked up again.
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > REMEMBERED:
             self.known = {}
-        known = self.known
-        known[""] = b""
-        new = {w for words in split for w in words if w not in known}
-        # A letter run before one full stop or comma is encoded apart from it (in lower case, which the normalizer
-        # makes first, it must be letters still), and ASCII letters by their lower case.
-        ended = [w for w in new if w[-1] in ".," and w[:-1].isalpha() and w.lower()[:-1].isalpha()]
-        plain = {w[:-1] for w in ended} | new.difference(ended)
-        cased = [w for w in plain if w.isascii() and w.isalpha() and not w.islower()]
-        lower = {w.lower() for w in cased} | plain.difference(cased) | set(".,")
-        self._learn([w for w in lower if w not in known])
-        known.update([(w, known[w.lower()]) for w in cased])
-        known.update([(w, known[w[:-1]] + known[w[-1]]) for w in ended])
-        return [b"".join([known[w] for w in words]) for words in split]
+        self.known[""] = b""
+        found = [list(map(self.known.get, words)) for words in split]
+        open_ = [i for i, ids in enumerate(found) if None in ids]
+        self._learn_words({w for i in open_ for w, ids in zip(split[i], found[i]) if ids is None})
+        for i in open_:
+            found[i] = map(self.known.__getitem__, split[i])
+        return [b"".join(ids) for ids in found]
+
+    def _learn_words(self, new: set[str]) -> None:
+        """Letters are encoded apart from the marks at their end, and Latin letters by their lower case, which the
+        normalizer makes first; in both cases only if they are letters in lower case, too."""
+        known, ended, plain, cased = self.known, [], set(), []
+        for w in new:
+            core = w.rstrip(MARKS)
+            low = core.lower()
+            if not core.isalpha() or not low.isalpha():
+                plain.add(w)
+                continue
+            if core != w:
+                ended.append((w, core, w[len(core) :]))
+            if low != core and max(core) <= LATIN:
+                cased.append((core, low))
+            else:
+                plain.add(core)
+        plain.update(low for _, low in cased)
+        plain.update(marks for _, _, marks in ended)
+        self._learn([w for w in plain if w not in known])
+        known.update([(w, known[low]) for w, low in cased])
+        known.update([(w, known[core] + known[marks]) for w, core, marks in ended])
 
     def _learn(self, words: list[str]) -> None:
         """Letter runs are encoded as one text and told apart by their last tokens, other words one by one."""
-        letters = [w for w in words if w.lower().isalpha()]
+        letters = [w for w in words if w.isalpha() and max(w) <= LATIN and w.lower() == w]
         for i in range(0, len(letters), AT_ONCE):
             self._learn_joined(letters[i : i + AT_ONCE])
         self._learn_each([w for w in words if w not in self.known])
 
     def _learn_joined(self, words: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=UINT32)
+        ids = np.array(self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=UINT32)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) == len(words) and stops[-1] == len(ids):
             raw, width = ids.tobytes(), UINT32.itemsize
