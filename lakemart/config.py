@@ -23,6 +23,9 @@ class StagingConfig:
     filters: Sequence[str] = ()
 
     def __post_init__(self) -> None:
+        for section, empty in (("rename", {}), ("passthrough", ()), ("derived_columns", {}), ("filters", ())):
+            if getattr(self, section) is None:  # a section left empty in a YAML file
+                object.__setattr__(self, section, empty)
         if not self.source_name:
             raise ConfigError(f"staging config for '{self.table}' needs a source_name")
         if not self.output_columns:
@@ -61,6 +64,8 @@ class IncrementalConfig:
     keys: Sequence[str] = ()
 
     def __post_init__(self) -> None:
+        keys = () if self.keys is None else (self.keys,) if isinstance(self.keys, str) else tuple(self.keys)
+        object.__setattr__(self, "keys", keys)
         self.resolve()
 
     def resolve(self, watermark_column: str | None = None, late_arrival_days: int | None = None) -> Watermark:
@@ -119,21 +124,27 @@ class Project:
     def from_mapping(cls, conf: Mapping, keys: Mapping[str, Sequence[str]] | None = None) -> Project:
         """Build from plain nested mappings, e.g. a parsed YAML or JSON file.
 
-        Sections: `staging_configs`, `incremental_configs`, `dimension_configs`. `keys` gives the merge keys of
-        models whose incremental entry does not list them.
+        Sections: `staging_configs`, `incremental_configs`, `dimension_configs`. The merge keys of a model are the
+        `keys` or the `unique_key` of its incremental entry, one name or a list; `keys` gives those of models whose
+        entry has neither. A model without keys can be rebuilt, but not merged.
         """
         keys = keys or {}
+
+        def incremental(model: str, entry: Mapping | None) -> IncrementalConfig:
+            found = {"watermark_column": None, "keys": keys.get(model, ()), **(entry or {})}
+            unique = found.pop("unique_key", None)
+            return IncrementalConfig(model=model, **{**found, **({"keys": unique} if unique else {})})
+
         return cls(
             staging={
                 t: StagingConfig(table=t, **{"source_name": None, **(c or {})})
-                for t, c in conf.get("staging_configs", {}).items()
+                for t, c in (conf.get("staging_configs") or {}).items()
             },
             incremental={
-                m: IncrementalConfig(model=m, **{"watermark_column": None, "keys": keys.get(m, ()), **(c or {})})
-                for m, c in conf.get("incremental_configs", {}).items()
+                m: incremental(m, c) for m, c in (conf.get("incremental_configs") or {}).items()
             },
             dimensions={
-                d: DimensionConfig(name=d, **c) for d, c in conf.get("dimension_configs", {}).items()
+                d: DimensionConfig(name=d, **c) for d, c in (conf.get("dimension_configs") or {}).items()
             },
         )
 

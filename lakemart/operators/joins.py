@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.config import ConfigError
+from lakemart.session import stable
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A key with at least twice HOT_ROWS rows is spread, so that about HOT_ROWS of them go to one task. That is done for
-# the HOT_KEYS heaviest keys; every other key then holds less than 1/HOT_KEYS of the rows.
+# A key with at least twice HOT_ROWS rows is spread, so that about HOT_ROWS of them go to one task. Up to
+# LITERAL_KEYS hot keys are written into the plan; a longer list is joined as a table.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
+LITERAL_KEYS = 1_000
+# Rows of a stream cannot be counted ahead: every key of a stream is spread over so many salts.
+STREAM_SALTS = 8
 
 
 class DuplicateKeyError(ValueError):
@@ -91,23 +94,14 @@ def same_type(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     raise ConfigError(f"key types differ: {left_key} is {a.simpleString()}, {right_key} is {b.simpleString()}")
 
 
-def hot_keys(df: DataFrame, key_hash: Column) -> dict[int, list[int]]:
-    """Hashes of the heaviest keys by the number of salts they need, a power of four.
+def hot_keys(df: DataFrame, key_hash: Column) -> DataFrame:
+    """Hashes of the keys with at least twice HOT_ROWS rows: `_h`, `_salts` (a power of four).
 
-    The driver gets at most HOT_KEYS numbers, from counts combined before the shuffle. The rows of a stream cannot
-    be counted ahead, so none of its keys is known to be hot.
+    Counts are combined before the shuffle. There is at most one such key for each 2 * HOT_ROWS rows.
     """
-    if df.isStreaming:
-        return {}
     counts = df.select(key_hash.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    heaviest = counts.where(F.col("_n") >= 2 * HOT_ROWS).orderBy(F.desc("_n"), "_h").limit(HOT_KEYS)
-    tiers: dict[int, list[int]] = {}
-    for row in heaviest.collect():
-        salts = 4
-        while salts * HOT_ROWS < row["_n"]:
-            salts *= 4
-        tiers.setdefault(salts, []).append(row["_h"])
-    return tiers
+    salts = F.pow(F.lit(4), F.greatest(F.lit(1), F.ceil(F.log(4.0, F.col("_n") / float(HOT_ROWS)))))
+    return counts.where(F.col("_n") >= 2 * HOT_ROWS).select("_h", salts.cast("int").alias("_salts"))
 
 
 def spread_hot_keys(
@@ -124,14 +118,43 @@ def spread_hot_keys(
     right = right.withColumns({f"_rk{i}": b for i, (_, b) in enumerate(pairs)})
     left_hash = F.xxhash64(*[F.col(f"_jk{i}") for i in range(len(pairs))])
     right_hash = F.xxhash64(*[F.col(f"_rk{i}") for i in range(len(pairs))])
-    tiers = hot_keys(left, left_hash)
-    if not tiers:
+
+    def salted(salts: Column) -> Column:
+        return F.when(salts > 1, F.pmod(F.spark_partition_id(), salts)).otherwise(F.lit(0))
+
+    def copied(salts: Column) -> Column:
+        return F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)
+
+    if left.isStreaming:
+        return left.withColumn("_salt", salted(F.lit(STREAM_SALTS))), right.withColumn(
+            "_rsalt", F.explode(copied(F.lit(STREAM_SALTS)))
+        )
+    hot = stable(hot_keys(left, left_hash))
+    # One row more than is allowed tells a long list from a short one.
+    listed = hot.limit(LITERAL_KEYS + 1).collect()
+    if not listed:
         return left.withColumn("_salt", F.lit(0)), right.withColumn("_rsalt", F.lit(0))
-    salt, copies = F.lit(0), F.array(F.lit(0))
-    for salts, hashes in tiers.items():
-        salt = F.when(left_hash.isin(hashes), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(salt)
-        copies = F.when(right_hash.isin(hashes), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(copies)
-    return left.withColumn("_salt", salt), right.withColumn("_rsalt", F.explode(copies))
+    if len(listed) <= LITERAL_KEYS:
+        tiers: dict[int, list[int]] = {}
+        for row in listed:
+            tiers.setdefault(row["_salts"], []).append(row["_h"])
+
+        def salts(key_hash: Column) -> Column:
+            found = F.lit(1)
+            for n, hashes in tiers.items():
+                found = F.when(key_hash.isin(hashes), F.lit(n)).otherwise(found)
+            return found
+
+        return left.withColumn("_salt", salted(salts(left_hash))), right.withColumn(
+            "_rsalt", F.explode(copied(salts(right_hash)))
+        )
+    size = profile_side(hot, ["_h"])
+    table = F.broadcast(hot) if size.broadcastable else hot
+    a = left.withColumn("_lh", left_hash).join(table, F.col("_lh") == F.col("_h"), "left")
+    b = right.withColumn("_lh", right_hash).join(table, F.col("_lh") == F.col("_h"), "left")
+    a = a.withColumn("_salt", salted(F.coalesce("_salts", F.lit(1))))
+    b = b.withColumn("_rsalt", F.explode(copied(F.col("_salts"))))
+    return a.drop("_lh", "_h", "_salts"), b.drop("_lh", "_h", "_salts")
 
 
 def spread_join(
@@ -170,6 +193,10 @@ def lookup_join(
     The dimension must have one row per key, else facts would multiply; that is checked. Pass `profile` to join
     the same dimension in several roles without measuring it again.
     """
+    taken = {c.lower() for c in facts.columns}
+    clash = [out for out in columns.values() if out.lower() in taken]
+    if clash:
+        raise ConfigError(f"lookup columns {clash} exist on the fact side")
     profile = (profile or profile_side(dim, [dim_key])).require_unique("lookup side")
     right = dim.select(F.col(dim_key).alias("_lookup"), *[F.col(c).alias(out) for c, out in columns.items()])
     if profile.broadcastable:
@@ -190,6 +217,9 @@ def without_matches(
 
     `profile` is the measured size of `source`, if it is known.
     """
+    if not keys:
+        # Without a condition every target row would match.
+        raise ConfigError("a merge needs at least one key column")
     names = [f"_src{i}" for i in range(len(keys))]
     wanted = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
     if not (profile or profile_side(wanted, names)).broadcastable:

@@ -13,8 +13,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakemart.config import FreshnessConfig
+from lakemart.config import ConfigError, FreshnessConfig
 from lakemart.functions.audit import instant, utc_now
 from lakemart.operators.joins import without_matches
 
@@ -84,13 +85,18 @@ def freshness(
     A future-dated row would hide that a source is stale, so such rows are left out unless asked for.
     """
     at = instant(now or utc_now())
-    loaded = F.col(config.loaded_at_field).cast("timestamp_ntz")
+    loaded = F.col(config.loaded_at_field)
+    if isinstance(df.schema[config.loaded_at_field].dataType, T.TimestampType):
+        # An instant as its wall clock in UTC, whatever the zone of the session.
+        loaded = F.timestamp_add("MICROSECOND", F.unix_micros(loaded), F.expr("TIMESTAMP_NTZ'1970-01-01'"))
+    loaded = loaded.cast("timestamp_ntz")
     counted = F.when(loaded <= at, loaded) if ignore_future else loaded
     summary = df.agg(
         F.max(counted).alias("max_loaded_at"),
         F.coalesce(F.sum(F.when(loaded > at, 1).otherwise(0)), F.lit(0)).alias("future_rows"),
     )
-    micros = F.unix_micros(at.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))
+    # Between two wall clocks, so that no zone and no change to summer time comes in.
+    micros = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), at)
     age = micros / F.lit(3_600_000_000)
     status = (
         F.when(F.col("max_loaded_at").isNull() | (age > config.error_after_hours), "error")
@@ -110,6 +116,8 @@ class TableTests:
     accepted_values: Mapping[str, Sequence] = field(default_factory=dict)
     unique_combination: Sequence[Sequence[str]] = ()
     no_future: Sequence[str] = ()
+    # (column, parent table, parent column): each value must occur in the parent.
+    relationships: Sequence[tuple[str, str, str]] = ()
 
     def row_conditions(self, now: dt.datetime) -> dict[str, Column]:
         """For each test that looks at single rows, the condition of a failing row."""
@@ -140,11 +148,17 @@ def _as_rows(df: DataFrame, names: Sequence[str], totals: Sequence[Column]) -> D
     return one.select(F.explode(F.array(*pairs)).alias("_r")).select("_r.*")
 
 
-def run_tests(df: DataFrame, tests: TableTests, now: dt.datetime | None = None) -> DataFrame:
-    """One row per test: table, test, failures.
+def run_tests(
+    df: DataFrame,
+    tests: TableTests,
+    now: dt.datetime | None = None,
+    parents: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """One row per test: table, test, failures. `parents` holds the tables that `relationships` name.
 
     All tests of single rows share one pass over the table, together with the first uniqueness test if there is
-    one. Each further uniqueness test groups by other columns and needs its own pass.
+    one. Each further uniqueness test groups by other columns and needs its own pass, and so does each relationship.
+    A table without tests gives no rows.
     """
     row_tests = tests.row_conditions(now or utc_now())
     grouped = [(f"unique:{c}", [c], False) for c in tests.unique]
@@ -152,7 +166,17 @@ def run_tests(df: DataFrame, tests: TableTests, now: dt.datetime | None = None)
     if grouped:
         parts = [_counted(df, row_tests if i == 0 else {}, *test) for i, test in enumerate(grouped)]
     else:
-        parts = [_as_rows(df, list(row_tests), [F.sum(F.when(bad, 1).otherwise(0)) for bad in row_tests.values()])]
+        parts = []
+        if row_tests:
+            totals = [F.sum(F.when(bad, 1).otherwise(0)) for bad in row_tests.values()]
+            parts.append(_as_rows(df, list(row_tests), totals))
+    for column, parent, parent_column in tests.relationships:
+        if parent not in (parents or {}):
+            raise ConfigError(f"tests of '{tests.table}' need the table '{parent}'")
+        orphans = relationships(df, column, parents[parent], parent_column)
+        parts.append(_as_rows(orphans, [f"relationships:{column}"], [F.sum("n_records")]))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "table string, test string, failures bigint")
     return reduce(DataFrame.unionByName, parts).select(F.lit(tests.table).alias("table"), "test", "failures")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.config import ConfigError
 
@@ -15,6 +16,37 @@ def _named_alike(original: DataFrame, generated: DataFrame) -> list[str]:
     return columns
 
 
+def _common_types(original: DataFrame, generated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the same columns, in one order and of one type each, so that equal values have equal hashes.
+
+    Whole numbers meet as bigint, other numbers as double, dates and timestamps as timestamps; types that have no
+    common form are an error.
+    """
+    columns = _named_alike(original, generated)
+    casts: dict[str, str] = {}
+    for c in columns:
+        a, b = original.schema[c].dataType, generated.schema[c].dataType
+        if a == b:
+            continue
+        both = (a, b)
+        if all(isinstance(t, T.IntegralType) for t in both):
+            casts[c] = "bigint"
+        elif all(isinstance(t, T.DecimalType | T.IntegralType) for t in both):
+            casts[c] = "decimal(38,18)"
+        elif all(isinstance(t, T.NumericType) for t in both):
+            casts[c] = "double"
+        elif all(isinstance(t, T.DateType | T.TimestampNTZType) for t in both):
+            casts[c] = "timestamp_ntz"
+        elif all(isinstance(t, T.DateType | T.TimestampType | T.TimestampNTZType) for t in both):
+            casts[c] = "timestamp"
+        elif any(isinstance(t, T.NullType) for t in both):
+            casts[c] = next(t for t in both if not isinstance(t, T.NullType)).simpleString()
+        else:
+            raise ConfigError(f"column '{c}' is {a.simpleString()} on one side and {b.simpleString()} on the other")
+    picked = [F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c) for c in columns]
+    return original.select(*picked), generated.select(*picked)
+
+
 def row_counts(original: DataFrame, generated: DataFrame) -> DataFrame:
     """One row with both counts."""
     sides = original.select(F.lit(1).alias("o"), F.lit(0).alias("g")).unionAll(
@@ -32,7 +64,8 @@ def two_way_diff(original: DataFrame, generated: DataFrame) -> DataFrame:
     Columns are matched by name. Copies are counted before the shuffle, so a row repeated many times stays cheap,
     and a difference in the number of copies is reported too.
     """
-    columns = _named_alike(original, generated)
+    original, generated = _common_types(original, generated)
+    columns = original.columns
     sides = original.select(*columns, F.lit(1).alias("_o"), F.lit(0).alias("_g")).unionAll(
         generated.select(*columns, F.lit(0).alias("_o"), F.lit(1).alias("_g"))
     )
@@ -58,7 +91,7 @@ def content_hash(df: DataFrame) -> DataFrame:
 
 def same_content(original: DataFrame, generated: DataFrame) -> DataFrame:
     """One row: both counts and whether the content hashes agree."""
-    _named_alike(original, generated)
+    original, generated = _common_types(original, generated)
     sides = content_hash(original).withColumn("side", F.lit("o")).unionByName(
         content_hash(generated).withColumn("side", F.lit("g"))
     )

@@ -22,6 +22,7 @@ from lakemart.operators.joins import (
     same_type,
     spread_join,
 )
+from lakemart.session import stable
 
 VALIDITY = ["valid_from", "valid_to", "updated_at"]
 # Versions that one fact may be compared with: per key in a broadcast history, per key and chunk in a larger one.
@@ -29,6 +30,10 @@ BROADCAST_VERSIONS = 64
 DAY = 86_400
 
 
+class OverlapError(ValueError):
+    """Two versions of one key hold at the same time."""
+
+
 class NullKeyError(ValueError):
     """An incoming dimension row has no business key."""
 
@@ -43,6 +48,37 @@ def require_keys(incoming: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"incoming dimension has {bad[0]['copies']} rows for one '{key}'")
 
 
+def require_disjoint(history: DataFrame, key: str) -> None:
+    """Raise if two versions of a key overlap, one is empty or backward, or a key has two open versions.
+
+    A version is compared with the next one of its key. Keys are ordered in ranges of (key, valid_from), which also
+    cut the versions of a hot key; the last row of a range is compared with the first of the next one. Rows with a
+    null key match no fact and are left out.
+    """
+    order = ["_key", "_from"]
+    rows = history.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")
+    )
+    ranges = stable(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy("_part", "_key").orderBy("_from")
+    pairs = ranges.select("_key", "_from", "_to", F.lead("_from").over(inside).alias("_next"))
+    ends = ranges.groupBy("_part").agg(
+        F.max(F.struct("_key", "_from", "_to")).alias("_last"), F.min(F.struct("_key", "_from")).alias("_first")
+    )
+    # One row for each range.
+    following = ends.withColumn("_after", F.lead("_first").over(Window.orderBy("_part")))
+    across = following.where(F.col("_after._key") == F.col("_last._key")).select(
+        "_last._key", "_last._from", "_last._to", F.col("_after._from").alias("_next")
+    )
+    overlap = F.col("_next").isNotNull() & (F.col("_to").isNull() | (F.col("_to") > F.col("_next")))
+    # A second version that starts at the same moment overlaps unless the first is empty, which is wrong as well.
+    backward = F.col("_from").isNull() | (F.col("_to") <= F.col("_from"))
+    bad = pairs.unionByName(across).where(overlap | backward).limit(1).collect()
+    if bad:
+        row = bad[0]
+        raise OverlapError(f"versions of key {row['_key']!r} overlap: {row['_from']} to {row['_to']}, next {row['_next']}")
+
+
 def first_versions(incoming: DataFrame, now: dt.datetime) -> DataFrame:
     """The first load: every row is current since `now`."""
     return incoming.withColumns(
@@ -54,6 +90,24 @@ def first_versions(incoming: DataFrame, now: dt.datetime) -> DataFrame:
     )
 
 
+def history_columns(history: DataFrame, incoming: DataFrame) -> list[str]:
+    """The attributes of the history, and then the new ones of `incoming`; names match in any letter case."""
+    attributes = [c for c in history.columns if c not in VALIDITY]
+    known = {c.lower() for c in attributes}
+    return [*attributes, *[c for c in incoming.columns if c.lower() not in known]]
+
+
+def with_columns_of(df: DataFrame, attributes: list[str], other: DataFrame) -> DataFrame:
+    """`df` with the attributes it lacks, as nulls of the type that they have in `other`, and with their spelling."""
+    own = {c.lower(): c for c in df.columns}
+    kinds = {f.name.lower(): f.dataType for f in other.schema}
+    picked = [
+        F.col(f"`{own[c.lower()]}`").alias(c) if c.lower() in own else F.lit(None).cast(kinds[c.lower()]).alias(c)
+        for c in attributes
+    ]
+    return df.select(*picked, *[c for c in VALIDITY if c in df.columns])
+
+
 def advance(
     current_rows: DataFrame,
     incoming: DataFrame,
@@ -68,11 +122,14 @@ def advance(
     """
     if hard_deletes not in ("keep", "close"):
         raise ConfigError("hard_deletes must be 'keep' or 'close'")
-    key, attributes = config.business_key, incoming.columns
-    missing = [c for c in config.tracked_columns if c not in attributes]
-    if missing or key not in attributes:
+    key = config.business_key
+    missing = [c for c in config.tracked_columns if c not in incoming.columns]
+    if missing or key not in incoming.columns:
         raise ConfigError(f"dimension '{config.name}': incoming data lacks {missing or [key]}")
     at, open_end = instant(now), F.lit(None).cast("timestamp_ntz")
+    attributes = history_columns(current_rows, incoming)
+    current_rows = with_columns_of(current_rows, attributes, incoming)
+    incoming = with_columns_of(incoming, attributes, current_rows)
 
     old = current_rows.select(F.col(key).alias("_ok"), F.struct(*attributes, *VALIDITY).alias("_old"))
     new = incoming.select(F.col(key).alias("_nk"), F.struct(*attributes).alias("_new"))
@@ -127,14 +184,16 @@ def snapshot(
     """The whole history after a snapshot at `now`. Closed versions pass through untouched.
 
     A row whose tracked columns changed is closed and inserted anew, a new key is inserted, and a key that is
-    missing from `incoming` stays current unless `hard_deletes="close"`.
+    missing from `incoming` stays current unless `hard_deletes="close"`. Columns are only ever added: one that
+    `incoming` lacks stays in the history and is null in new versions, and a new one is null in old versions.
     """
     if validate:
         require_keys(incoming, config.business_key)
     if history is None:
         return first_versions(incoming, now)
-    columns = [*incoming.columns, *VALIDITY]
-    still_closed = history.where(F.col("valid_to").isNotNull()).select(*columns)
+    attributes = history_columns(history, incoming)
+    closed = history.where(F.col("valid_to").isNotNull())
+    still_closed = with_columns_of(closed, attributes, incoming).select(*attributes, *VALIDITY)
     open_rows = history.where(F.col("valid_to").isNull())
     return still_closed.unionByName(advance(open_rows, incoming, config, now, hard_deletes))
 
@@ -167,13 +226,17 @@ def join_as_of(
     at: str,
     columns: Mapping[str, str],
     profile: SideProfile | None = None,
+    validate: bool = True,
 ) -> DataFrame:
     """Left join that adds the attributes valid at time `at`: `valid_from <= at < valid_to`.
 
-    Versions of one key must not overlap, as `snapshot` guarantees. A small history with few versions per key is
-    broadcast. Otherwise facts and versions are matched per key and chunk of time, so a fact is compared with few
-    versions however long the history of its key is.
+    Versions of one key must not overlap, as `snapshot` guarantees; that is checked (`validate`), since an overlap
+    has no one answer. A small history with few versions per key is broadcast. Otherwise facts and versions are
+    matched per key and chunk of time, so a fact is compared with few versions however long the history of its key
+    is.
     """
+    if validate:
+        require_disjoint(history, history_key)
     profile = profile or profile_side(history, [history_key])
     versions = history.select(
         F.col(history_key).alias("_hk"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,27 @@ from lakemart.operators.enrich import MART_ROLES, TripRules, enrich, measured
 from lakemart.operators.incremental import from_date, window_start
 from lakemart.operators.marts import daily, daily_from_rollup, hourly, hourly_from_rollup, rollup
 from lakemart.operators.quality import enforce, freshness, run_tests
+from lakemart.operators.scd import require_keys
 from lakemart.operators.staging import stage
 from lakemart.plans import trips as t
 from lakemart.session import stable
 from lakemart.sources.history import HistoryTable
 from lakemart.sources.ingest import EVENT_DATE, IngestConfig, IngestRun, ingest_files, start_ingest
-from lakemart.sources.tables import MartTable, as_view, ensure_schema, partition_values, source, write_table
+from lakemart.sources.tables import (
+    MartTable,
+    as_view,
+    ensure_schema,
+    ensure_table,
+    overwrite_partitions,
+    partition_values,
+    source,
+    write_table,
+)
 
 
+DAILY_KEYS = {"trip_date", "pickup_borough"}
+HOURLY_KEYS = DAILY_KEYS | {"pickup_hour"}
+
 # The rows to build from, or a function that reads them from a date on (None: all).
 Upstream = DataFrame | Callable[[dt.date | None], DataFrame]
 
@@ -47,6 +61,7 @@ def run_incremental(
     watermark_column: str | None = None,
     late_arrival_days: int | None = None,
     strategy: str = "merge",
+    unique_keys: bool = False,
     audit: bool = True,
     run_id: str | None = None,
     now: dt.datetime | None = None,
@@ -57,9 +72,12 @@ def run_incremental(
     `late_arrival_days` is a targeted backfill. `strategy="replace_window"` also removes groups of the window that
     the source no longer yields. `upstream` must have the watermark column; the filter on it is applied before
     `build`, as a literal, so it reaches the scan. An `upstream` function can prune its source further.
+    `unique_keys` says that `build` groups by the keys, so that a merge need not check them.
     """
     if strategy not in ("merge", "replace_window"):
         raise ConfigError(f"unknown strategy '{strategy}'")
+    if strategy == "merge" and not config.keys:
+        raise ConfigError(f"no merge keys configured for '{config.model}'")
     watermark = config.resolve(watermark_column, late_arrival_days)
     low = None
     if mart.exists() and not full_refresh:
@@ -71,8 +89,7 @@ def run_incremental(
     if low is None:
         mart.replace(rows)
     elif strategy == "merge":
-        # Keys are the group-by keys of the aggregate when they are configured, hence unique.
-        mart.upsert(rows, config.keys, validate=False)
+        mart.upsert(rows, config.keys, validate=not unique_keys)
     else:
         mart.replace_from(rows, watermark.column, low)
     return ModelRun(config.model, low is None, low)
@@ -112,6 +129,8 @@ class Warehouse:
     project: Project = field(default_factory=t.trip_project)
     rules: TripRules = TripRules()
     location: str | None = None
+    # Raw trip tables that feed the marts. A further source is a deliberate choice.
+    trip_sources: Sequence[str] = ("yellow_trips_raw",)
 
     def table(self, layer: str, name: str) -> str:
         return table_name(self.target, layer, name)
@@ -143,13 +162,32 @@ class Warehouse:
         return MartTable(self.spark, self.table("marts", "fct_trips_hourly"), partition_on="trip_date")
 
     def zone_history(self) -> HistoryTable:
+        return self.history("zones_snapshot")
+
+    def history(self, name: str) -> HistoryTable:
         schema = schema_name(self.target, "snapshots")
         base = self.spark.catalog.getDatabase(schema).locationUri.rstrip("/")
-        return HistoryTable(self.spark, f"{schema}.zones_snapshot", f"{base}/zones_snapshot_data")
+        return HistoryTable(self.spark, f"{schema}.{name}", f"{base}/{name}_data")
+
+    def load_dimension(self, name: str, incoming: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+        """Load the configured dimension `name` and return what is stored: the history of a type 2 dimension
+        (`<name>_snapshot`), the latest rows of a type 1 dimension (`dim_<name>`)."""
+        config = self.project.dimension_for(name)
+        if config.scd_type == 2:
+            history = self.history(f"{name}_snapshot")
+            history.snapshot(incoming, config, now)
+            return history.read()
+        require_keys(incoming, config.business_key)
+        table = MartTable(self.spark, self.table("marts", f"dim_{name}"))
+        if table.exists():
+            table.upsert(incoming, [config.business_key], null_safe=False, validate=False)
+        else:
+            table.replace(incoming)
+        return table.read()
 
     def _trips_from(self, low: dt.date | None) -> DataFrame:
         # Pruned by the raw table's partition column, which the staged rows no longer have.
-        return self.staged("yellow_trips_raw", low)
+        return reduce(DataFrame.unionByName, [self.staged(name, low) for name in self.trip_sources])
 
     def _enriched(self, trips: DataFrame) -> DataFrame:
         return enrich(trips, self.staged("taxi_zone_lookup"), self.rules, MART_ROLES)
@@ -159,25 +197,39 @@ class Warehouse:
 
     def run_daily(self, **options) -> ModelRun:
         config = self.project.incremental_for("fct_trips_daily")
+        options = {"unique_keys": self._groups_by(config, DAILY_KEYS), **options}
         return run_incremental(self.daily_mart(), self._trips_from, self._build_daily, config, **options)
 
+    @staticmethod
+    def _groups_by(config: IncrementalConfig, keys: set[str]) -> bool:
+        """Whether the configured keys contain those that the mart groups by, which makes them unique."""
+        return keys <= set(config.keys)
+
     def backfill_daily(self, **options) -> ModelRun:
         """Find the dates that the daily mart lacks and merge them, with everything after the oldest of them."""
         config, mart = self.project.incremental_for("fct_trips_daily"), self.daily_mart()
-        raw = self.raw("yellow_trips_raw")
+        candidates = reduce(DataFrame.unionByName, [self._lacking(name, mart) for name in self.trip_sources])
+        options = {"unique_keys": self._groups_by(config, DAILY_KEYS), **options}
+        return backfill(
+            mart, self._trips_from, self._build_daily, config, expected=measured(candidates, self.rules), **options
+        )
+
+    def _lacking(self, table: str, mart: MartTable) -> DataFrame:
+        """Staged trips that may fill dates which the mart lacks."""
+        raw = self.raw(table)
         if EVENT_DATE in raw.columns:
             # Dates come from the catalog; only those that the mart lacks are opened, to see if they have valid trips.
-            name = f"{self.raw_schema}.yellow_trips_raw"
-            known = partition_values(self.spark, name, EVENT_DATE).select(F.col(EVENT_DATE).cast("date"))
-            lacking = known.dropna().join(mart.read().select(F.col("trip_date").alias(EVENT_DATE)), EVENT_DATE, "anti")
+            known = partition_values(self.spark, f"{self.raw_schema}.{table}", EVENT_DATE)
+            known = known.select(F.col(EVENT_DATE).cast("date")).dropna()
+            lacking = known.join(mart.read().select(F.col("trip_date").alias(EVENT_DATE)), EVENT_DATE, "anti")
             raw = raw.where(F.col(EVENT_DATE).isin([row[0] for row in lacking.collect()]))
-        candidates = measured(stage(raw, self.project.staging_for("yellow_trips_raw")), self.rules)
-        return backfill(mart, self._trips_from, self._build_daily, config, expected=candidates, **options)
+        return stage(raw, self.project.staging_for(table))
 
     def run_hourly(self, incremental: bool = False, **options) -> ModelRun:
         """A full rebuild by default; `incremental=True` merges the recent window instead."""
-        options = {"audit": False, "full_refresh": not incremental, **options}
         config = self.project.incremental_for("fct_trips_hourly")
+        unique = self._groups_by(config, HOURLY_KEYS)
+        options = {"audit": False, "full_refresh": not incremental, "unique_keys": unique, **options}
 
         def build(trips: DataFrame) -> DataFrame:
             return hourly(self._enriched(trips))
@@ -215,14 +267,16 @@ class Warehouse:
     def test(self, now: dt.datetime | None = None, low: dt.date | None = None) -> DataFrame:
         """Run the declared tests of every table: one row per test. `low` limits the trips to dates from then on."""
         mart, dim = self.daily_mart().read(), self.spark.table(self.table("marts", "dim_taxi_zones"))
+        zones = self.staged("taxi_zone_lookup")
+        parents = {"stg_zones": zones}
         suites = [
             (self.staged("yellow_trips_raw", low), t.STAGED_TRIP_TESTS),
-            (self.staged("taxi_zone_lookup"), t.STAGED_ZONE_TESTS),
+            (zones, t.STAGED_ZONE_TESTS),
             (mart, t.DAILY_TESTS),
             (self.zone_history().read(), t.HISTORY_TESTS),
             (dim, t.DIMENSION_TESTS),
         ]
-        results = [run_tests(rows, tests, now) for rows, tests in suites]
+        results = [run_tests(rows, tests, now, parents) for rows, tests in suites]
         combined = results[0]
         for result in results[1:]:
             combined = combined.unionByName(result)
@@ -234,14 +288,15 @@ class Warehouse:
         *,
         full_refresh: bool = False,
         hourly_incremental: bool = False,
-        enforce_tests: bool = False,
+        enforce_tests: bool = True,
         now: dt.datetime | None = None,
     ) -> dict[str, object]:
         """Ingest, then zones history and dimension, then marts, then tests. An error stops the steps after it.
 
         Freshness is reported before the models run and stops nothing. The hourly mart is rebuilt unless
         `hourly_incremental` is set. Of the staged trips, the dates that this run reprocessed are tested; `test()`
-        covers all of them.
+        covers all of them. The results are stored in the table `test_results` of the marts, one partition for each
+        build, before a failure raises; `enforce_tests=False` only stores them.
         """
         now = now or utc_now()
         done: dict[str, object] = {}
@@ -257,13 +312,25 @@ class Warehouse:
         else:
             done["daily"] = self.run_daily(now=now)
             done["hourly"] = self.run_hourly(incremental=hourly_incremental)
-        done["tests"] = self.test(now, done["daily"].low)
+        done["tests"] = self._stored_tests(self.test(now, done["daily"].low), now)
         if enforce_tests:
             enforce(done["tests"])
         return done
 
+    def _stored_tests(self, results: DataFrame, now: dt.datetime) -> DataFrame:
+        """Run the tests once, store their results by build, and return the stored rows: one for each test."""
+        name, build = self.table("marts", "test_results"), now.isoformat()
+        rows = results.withColumn("_build", F.lit(build))
+        ensure_table(self.spark, name, rows.schema, ["_build"])
+        overwrite_partitions(rows, name, ["_build"])
+        return self.spark.table(name).where(F.col("_build") == build).drop("_build")
+
     def follow(self, ingest: IngestConfig, every: str | None = "15 minutes", **options) -> IngestRun:
-        """Poll the landing folder; each load of new files starts a build, and without new files nothing runs."""
+        """Poll the landing folder; each load of new files starts a build, and without new files nothing runs.
+
+        Builds enforce their tests, and refresh the hourly mart incrementally unless `hourly_incremental=False`.
+        """
+        options = {"hourly_incremental": True, **options}
 
         def rebuild(spark: SparkSession, load: str) -> None:
             self.build(**options)

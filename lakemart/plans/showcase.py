@@ -505,6 +505,28 @@ def scd2_stored(spark, sf):
     return history.read()
 
 
+def _stored_history(spark, label, config, *states):
+    scratch = Scratch(spark, label)
+    history = HistoryTable(spark, scratch.table("snapshot"), scratch.folder("data"))
+    for state, now in zip(states, (T1, T2, T3)):
+        history.snapshot(state, config, now)
+    return history.read()
+
+
+def scd2_added_column(spark, sf):
+    """The source gains a column: null in the versions from before."""
+    first, second, _ = customer_states(spark, sf)
+    tier = F.concat(F.lit("t"), F.col("nation_id").cast("string"))
+    return _stored_history(spark, "added", CUSTOMERS, first, second.withColumn("tier", tier))
+
+
+def scd2_dropped_column(spark, sf):
+    """The source loses a column that is not tracked: it stays in the history and is null in new versions."""
+    first, second, _ = customer_states(spark, sf)
+    config = DimensionConfig("customers", 2, "customer_id", ["segment"])
+    return _stored_history(spark, "dropped", config, first, second.drop("nation_id"))
+
+
 def scd2_current(spark, sf):
     return scd.current(customer_history(spark, sf))
 
@@ -577,11 +599,13 @@ def dq_freshness_with_future(spark, sf):
 def dq_suite(spark, sf):
     """The declared tests of the staged trips, the zones and the daily mart."""
     now = dt.datetime(2001, 1, 1)
-    trips, zones = staged_trips(spark, sf), staged_zones(spark, sf)
+    # The four-way join behind the trips is done once, for their own tests and for the mart.
+    trips, zones = stable(staged_trips(spark, sf)), staged_zones(spark, sf)
+    mart = daily(enrich(trips, zones, DAYS, MART_ROLES), DAYS)
     results = [
-        quality.run_tests(trips, t.STAGED_TRIP_TESTS, now),
+        quality.run_tests(trips, t.STAGED_TRIP_TESTS, now, {"stg_zones": zones}),
         quality.run_tests(zones, t.STAGED_ZONE_TESTS, now),
-        quality.run_tests(full_daily(spark, sf), t.DAILY_TESTS, now),
+        quality.run_tests(mart, t.DAILY_TESTS, now),
     ]
     return results[0].unionByName(results[1]).unionByName(results[2])
 
@@ -632,6 +656,13 @@ def reconcile_hash(spark, sf):
     return reconcile.same_content(staged_trips(spark, sf), _handwritten_trips(spark, sf))
 
 
+def reconcile_hash_types(spark, sf):
+    """The same rows with whole numbers of another width."""
+    trips = staged_trips(spark, sf)
+    wider = {c: F.col(c).cast("bigint") for c in ("pickup_hour", "day_of_week", "payment_type")}
+    return reconcile.same_content(trips, trips.withColumns(wider))
+
+
 def latest_rows(spark, sf):
     mart = with_audit(full_daily(spark, sf), "fct_trips_daily", "run-1", LOAD_TIMES[0])
     mart = mart.select("trip_date", "pickup_borough", "total_trips", "_loaded_at")
@@ -663,6 +694,38 @@ def ingest_schema_evolution(spark, sf):
     return spark.table(config.table).select(*declared.fieldNames(), "value")
 
 
+def ingest_column_case(spark, sf):
+    """A column that is not declared comes as `value` in the earlier files and as `VALUE` in the later ones."""
+    scratch = Scratch(spark, "case")
+    declared = T.StructType(EVENT_SCHEMA.fields[:4])
+    config = IngestConfig(
+        scratch.folder("landing"), scratch.table("events_raw"), declared, scratch.folder("checkpoint"), "ts"
+    )
+    events = read(spark, sf, "events").drop("props")
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for rows in (events.where(early), events.where(~early).withColumnRenamed("value", "VALUE")):
+        rows.write.mode("append").parquet(config.landing)
+        ingest_files(spark, config)
+    return spark.table(config.table).select(*declared.fieldNames(), F.col("value").alias("value"))
+
+
+def csv_reordered(spark, sf):
+    """Customers from CSV whose header names the columns in another order than the schema."""
+    scratch = Scratch(spark, "csv-order")
+    read(spark, sf, "customer").select("c_name", "c_mktsegment", "c_custkey").write.option("header", True).csv(
+        scratch.folder("customers")
+    )
+    schema = T.StructType(
+        [
+            T.StructField("c_custkey", T.LongType()),
+            T.StructField("c_name", T.StringType()),
+            T.StructField("c_mktsegment", T.StringType()),
+        ]
+    )
+    load_reference_csv(spark, scratch.folder("customers"), scratch.table("customers_csv"), schema)
+    return spark.table(scratch.table("customers_csv"))
+
+
 def csv_rescue(spark, sf):
     """Customers from CSV. Lines of those in debt have a field too many and a key that is no number."""
     scratch = Scratch(spark, "csv")
@@ -709,6 +772,27 @@ def stream_daily(spark, sf):
     return rounded(without_audit(mart.read()))
 
 
+def stream_daily_relabel(spark, sf):
+    """A mart whose group label depends on the date's rows, so that the second landing renames groups."""
+    scratch = Scratch(spark, "relabel")
+    config = IngestConfig(
+        scratch.folder("landing"), scratch.table("events_raw"), EVENT_SCHEMA, scratch.folder("checkpoint"), "ts"
+    )
+    mart = scratch.daily_mart(spark)
+
+    def build(raw):
+        per_date = raw.groupBy(F.to_date("ts").alias("trip_date")).agg(F.count(F.lit(1)).alias("total_trips"))
+        label = F.concat(F.lit("n"), F.col("total_trips").cast("string"))
+        return per_date.select("trip_date", label.alias("pickup_borough"), "total_trips")
+
+    hook = refresh_on_load(config, mart, build, DAILY_KEYS, "fct_trips_daily")
+    events = read(spark, sf, "events")
+    for landed in ("event_type <> 'view'", "event_type = 'view'"):
+        events.where(landed).write.mode("append").parquet(config.landing)
+        ingest_files(spark, config, hook)
+    return without_audit(mart.read())
+
+
 def stream_checks(spark, sf):
     """Tests of each load, recorded: a first landing without purchases and a second one of them."""
     scratch = Scratch(spark, "checks")
@@ -739,17 +823,71 @@ def dimension_by_type(spark, sf):
     return union_sources({"type_1": latest, "type_2": kept}, "dimension")
 
 
-def warehouse_build(spark, sf):
-    """The whole warehouse of one environment: raw tables, staging, history, dimension, marts and tests."""
-    scratch = Scratch(spark, "warehouse")
-    staging = {c.table: c for c in (EVENT_YELLOW, t.zone_lookup())}
+def _event_warehouse(spark, sf, label, yellow=None, **options):
+    """A warehouse over raw tables made from events and customers."""
+    scratch = Scratch(spark, label)
+    staging = {c.table: c for c in (EVENT_YELLOW, t.green_trips(), t.zone_lookup())}
     project = replace(t.trip_project(), staging=staging)
     target = f"dev_{scratch.schema}"
-    warehouse = Warehouse(spark, target, scratch.schema, project, location=scratch.folder(target))
-    write_table(trips_from_events(read(spark, sf, "events")), scratch.table("yellow_trips_raw"))
+    warehouse = Warehouse(spark, target, scratch.schema, project, location=scratch.folder(target), **options)
+    events = read(spark, sf, "events")
+    write_table(trips_from_events(events if yellow is None else events.where(yellow)), scratch.table("yellow_trips_raw"))
     write_table(raw_customer_zones(spark, sf), scratch.table("taxi_zone_lookup"))
-    warehouse.build(now=LOAD_TIMES[0])
-    warehouse.build(now=LOAD_TIMES[1], hourly_incremental=True)
+    return warehouse
+
+
+def warehouse_tests(spark, sf):
+    """The results of the tests of a first build, as it stores them."""
+    warehouse = _event_warehouse(spark, sf, "warehouse-tests")
+    return warehouse.build(now=dt.datetime(2024, 1, 20, 12), enforce_tests=False)["tests"]
+
+
+def staging_view(spark, sf):
+    """The staged trips through the view that a build registers."""
+    _event_warehouse(spark, sf, "views").staging_views()
+    return spark.table("stg_trips")
+
+
+def daily_two_sources(spark, sf):
+    """The daily mart from yellow and green trips; the green ones are the page views within the yellow dates."""
+    sources = ("yellow_trips_raw", "green_trips_raw")
+    warehouse = _event_warehouse(spark, sf, "two-sources", "event_type <> 'view'", trip_sources=sources)
+    within = "event_type = 'view' AND ts BETWEEN TIMESTAMP_NTZ'2024-01-02 00:00:00' AND TIMESTAMP_NTZ'2024-01-29 00:00:00'"
+    green = trips_from_events(read(spark, sf, "events").where(within)).withColumnsRenamed(
+        {"tpep_pickup_datetime": "lpep_pickup_datetime", "tpep_dropoff_datetime": "lpep_dropoff_datetime"}
+    )
+    write_table(green, f"{warehouse.raw_schema}.green_trips_raw")
+    warehouse.prepare()
+    warehouse.run_daily(now=LOAD_TIMES[0])
+    return rounded(without_audit(warehouse.daily_mart().read()))
+
+
+def dimension_stored_type1(spark, sf):
+    """Suppliers as vendors, some renamed by the second load: a stored dimension without history."""
+    warehouse = _event_warehouse(spark, sf, "type1")
+    warehouse.prepare()
+    vendors = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("vendor_id"), F.col("s_name").alias("vendor_name"), "s_nationkey")
+    warehouse.load_dimension("vendors", vendors.drop("s_nationkey"), T1)
+    renamed = vendors.where("s_nationkey < 5").select("vendor_id", F.concat("vendor_name", F.lit("!")).alias("vendor_name"))
+    return warehouse.load_dimension("vendors", renamed, T2)
+
+
+def driver_status_history(spark, sf):
+    """Customers as drivers whose status changes: a second stored type 2 dimension, by its configuration alone."""
+    warehouse = _event_warehouse(spark, sf, "drivers")
+    warehouse.prepare()
+    for state, now in zip(customer_states(spark, sf)[:2], (T1, T2)):
+        license_type = F.concat(F.lit("n"), F.col("nation_id").cast("string")).alias("license_type")
+        drivers = state.select(F.col("customer_id").alias("driver_id"), F.col("segment").alias("status"), license_type)
+        history = warehouse.load_dimension("driver_status", drivers, now)
+    return history
+
+
+def warehouse_build(spark, sf):
+    """The whole warehouse of one environment: raw tables, staging, history, dimension, marts and tests."""
+    warehouse = _event_warehouse(spark, sf, "warehouse")
+    warehouse.build(now=LOAD_TIMES[0], enforce_tests=False)
+    warehouse.build(now=LOAD_TIMES[1], hourly_incremental=True, enforce_tests=False)
     return rounded(without_audit(warehouse.daily_mart().read()))
 
 
@@ -844,6 +982,17 @@ QUERIES: dict[str, Query] = {
     "stream_checks": stream_checks,
     "dimension_by_type": dimension_by_type,
     "warehouse_build": warehouse_build,
+    "warehouse_tests": warehouse_tests,
+    "staging_view": staging_view,
+    "daily_two_sources": daily_two_sources,
+    "dimension_stored_type1": dimension_stored_type1,
+    "driver_status_history": driver_status_history,
+    "ingest_column_case": ingest_column_case,
+    "csv_reordered": csv_reordered,
+    "scd2_added_column": scd2_added_column,
+    "scd2_dropped_column": scd2_dropped_column,
+    "reconcile_hash_types": reconcile_hash_types,
+    "stream_daily_relabel": stream_daily_relabel,
     "stream_event_time": stream_event_time,
     "stream_event_time_hourly": stream_event_time_hourly,
 }

@@ -190,6 +190,8 @@ def _suite() -> str:
     )
     doubled = "(SELECT location_id FROM zones GROUP BY 1 HAVING count(*) > 1)"
     parts.append(rows("stg_zones", "unique:location_id", doubled, "true"))
+    orphan = "pickup_location_id IS NOT NULL AND pickup_location_id NOT IN (SELECT location_id FROM zones)"
+    parts.append(rows("stg_trips", "relationships:pickup_location_id", "trips", orphan))
     parts += [
         rows("fct_trips_daily", f"not_null:{c}", "mart", f"{c} IS NULL")
         for c in ("trip_date", "pickup_borough", "total_trips")
@@ -199,6 +201,45 @@ def _suite() -> str:
     return _with(ENRICHED, " UNION ALL ".join(parts), mart=_daily())
 
 
+_EVENT_STAGED = """SELECT * FROM event_trips WHERE pickup_at < dropoff_at AND trip_distance > 0 AND total_amount > 0
+                   AND pickup_at >= TIMESTAMP '2024-01-02 00:00:00' AND pickup_at <= TIMESTAMP '2024-01-29 00:00:00'"""
+
+
+def _warehouse_tests() -> str:
+    def rows(table: str, test: str, relation: str, condition: str) -> str:
+        return f"SELECT '{table}' AS \"table\", '{test}' AS test, count(*) AS failures FROM {relation} WHERE {condition}"
+
+    null = {
+        "stg_trips": ("trips", ("pickup_at", "dropoff_at", "trip_distance", "pickup_location_id", "total_amount")),
+        "stg_zones": ("event_zones", ("location_id", "borough")),
+        "fct_trips_daily": ("mart", ("trip_date", "pickup_borough", "total_trips")),
+    }
+    parts = [rows(t, f"not_null:{c}", r, f"{c} IS NULL") for t, (r, columns) in null.items() for c in columns]
+    # The first build opens one version for each zone, with all its columns set.
+    parts += [rows("zones_snapshot", f"not_null:{c}", "event_zones", "false") for c in ("location_id", "valid_from")]
+    dimension = ("not_null:location_id", "not_null:zone_name", "not_null:effective_from", "unique:location_id")
+    parts += [rows("dim_taxi_zones", test, "event_zones", "false") for test in dimension]
+    parts += [
+        rows("stg_trips", "accepted_values:payment_type", "trips", "payment_type NOT BETWEEN 0 AND 6"),
+        rows("stg_trips", "no_future:pickup_at", "trips", "pickup_at > TIMESTAMP '2024-01-20 12:00:00'"),
+        rows(
+            "stg_trips",
+            "relationships:pickup_location_id",
+            "trips",
+            "pickup_location_id NOT IN (SELECT location_id FROM event_zones)",
+        ),
+        rows(
+            "stg_zones",
+            "accepted_values:borough",
+            "event_zones",
+            "borough NOT IN ('Manhattan','Queens','Brooklyn','Bronx','Staten Island','EWR','N/A','Unknown')",
+        ),
+        rows("stg_zones", "unique:location_id", "event_zones", "false"),
+        rows("fct_trips_daily", "unique_combination:trip_date,pickup_borough", "mart", "false"),
+    ]
+    return _with(EVENTS, " UNION ALL ".join(parts), trips=_EVENT_STAGED, mart=_daily("event_enriched"))
+
+
 _CORRECTED = """SELECT * REPLACE (CASE WHEN tolls_amount = 0 THEN 1.0::DOUBLE ELSE tolls_amount END
                 AS tolls_amount) FROM trips WHERE payment_type <> 5"""
 _GAP_MART = "SELECT DISTINCT trip_date FROM enriched WHERE trip_date > DATE '1998-06-30'"
@@ -403,6 +444,31 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT 'type_1', customer_id, segment, nation_id, NULL, NULL, NULL FROM s2"""
     ),
     "warehouse_build": _with(EVENTS, _daily("event_enriched")),
+    "warehouse_tests": _warehouse_tests(),
+    "staging_view": _with(EVENTS, f"SELECT {_STAGED} FROM trips", trips=_EVENT_STAGED),
+    "daily_two_sources": _with(EVENTS, _daily("event_enriched")),
+    "dimension_stored_type1": """SELECT s_suppkey AS vendor_id,
+                                        CASE WHEN s_nationkey < 5 THEN s_name || '!' ELSE s_name END AS vendor_name
+                                 FROM supplier""",
+    "driver_status_history": _states(
+        """SELECT customer_id AS driver_id, segment AS status, 'n' || nation_id AS license_type, valid_from, valid_to,
+                  updated_at FROM h2"""
+    ),
+    "ingest_column_case": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "csv_reordered": "SELECT c_custkey, c_name, c_mktsegment, CAST(NULL AS VARCHAR) AS _rescued_data FROM customer",
+    "scd2_added_column": _states(
+        "SELECT *, CASE WHEN valid_from = TIMESTAMP '1998-01-01' THEN 't' || nation_id END AS tier FROM h2"
+    ),
+    "scd2_dropped_column": _states(
+        "SELECT * REPLACE (CASE WHEN valid_from < TIMESTAMP '1998-01-01' THEN nation_id END AS nation_id) FROM h2"
+    ),
+    "reconcile_hash_types": _with(
+        TRIPS,
+        """SELECT (SELECT count(*) FROM trips) AS original_count, (SELECT count(*) FROM trips) AS generated_count,
+                  true AS equal""",
+    ),
+    "stream_daily_relabel": """SELECT CAST(ts AS DATE) AS trip_date, 'n' || count(*) AS pickup_borough,
+                                      count(*) AS total_trips FROM events GROUP BY 1""",
     "stream_event_time": _with(EVENTS, _daily("event_enriched")),
     "stream_event_time_hourly": _with(
         EVENTS,

@@ -13,11 +13,6 @@ from lakemart.operators.quality import TableTests
 from lakemart.operators.staging import stage
 
 # Raw column names, accepted codes and boroughs, lookback days and freshness hours of the trip data.
-RENAMED_IDS = {
-    "VendorID": "vendor_id",
-    "PULocationID": "pickup_location_id",
-    "DOLocationID": "dropoff_location_id",
-}
 PASSED_THROUGH = [
     "passenger_count",
     "trip_distance",
@@ -31,20 +26,18 @@ PAYMENT_TYPES = [0, 1, 2, 3, 4, 5, 6]
 BOROUGHS = ["Manhattan", "Queens", "Brooklyn", "Bronx", "Staten Island", "EWR", "N/A", "Unknown"]
 YELLOW_SINCE = dt.date(2020, 1, 1)
 LATE_ARRIVAL_DAYS = 3
-TRIP_FRESHNESS_HOURS = (25, 49)
 
 
 def _trip_staging(table: str, pickup: str, dropoff: str, extra_filters: list[str]) -> StagingConfig:
-    ids = RENAMED_IDS
     return StagingConfig(
         table=table,
         source_name="raw",
         rename={
-            "VendorID": ids["VendorID"],
+            "VendorID": "vendor_id",
             pickup: "pickup_at",
             dropoff: "dropoff_at",
-            "PULocationID": ids["PULocationID"],
-            "DOLocationID": ids["DOLocationID"],
+            "PULocationID": "pickup_location_id",
+            "DOLocationID": "dropoff_location_id",
         },
         passthrough=PASSED_THROUGH,
         derived_columns={
@@ -139,7 +132,7 @@ DRIVER_STATUS = DimensionConfig(
     tracked_columns=["status", "license_type"],
     reason="past status is needed for compliance reports",
 )
-TRIP_FRESHNESS = FreshnessConfig("tpep_pickup_datetime", *TRIP_FRESHNESS_HOURS)
+TRIP_FRESHNESS = FreshnessConfig("tpep_pickup_datetime", warn_after_hours=25, error_after_hours=49)
 
 
 def trip_project(as_of: dt.date | None = None) -> Project:
@@ -168,6 +161,7 @@ STAGED_TRIP_TESTS = TableTests(
     not_null=["pickup_at", "dropoff_at", "trip_distance", "pickup_location_id", "total_amount"],
     accepted_values={"payment_type": PAYMENT_TYPES},
     no_future=["pickup_at"],
+    relationships=[("pickup_location_id", "stg_zones", "location_id")],
 )
 STAGED_ZONE_TESTS = TableTests(
     "stg_zones",

@@ -2,8 +2,9 @@
 
 Layout below `location`: `open/_run=<n>` holds the open versions after run n, `closed/_run=<n>` those that run n
 closed. The catalog view reads `open` of the newest run and `closed` up to it, so a run becomes visible when the
-view is replaced, and a run that died before that is overwritten by the next one. Older `open` runs stay for
-rollback.
+view is replaced, and a run that died before that is overwritten by the next one. The last `KEEP_RUNS` runs of
+`open` stay for rollback; older ones are deleted after a run has been published. A run that changes nothing is not
+published. Without its view a history that has files is never written to: `restore` brings the view back.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.config import DimensionConfig
-from lakemart.functions.audit import utc_now
+from lakemart.config import ConfigError, DimensionConfig
+from lakemart.functions.audit import instant, utc_now
 from lakemart.operators.scd import advance, current, first_versions, require_keys
 from lakemart.session import stable
 
 RUN = "_run"
+KEEP_RUNS = 2
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,26 @@ class HistoryTable:
         found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").where("key = 'run'").first()
         return int(found["value"])
 
+    def stored_runs(self) -> list[int]:
+        """The runs that have open versions on disk: a handful, see `KEEP_RUNS`."""
+        files, folder = self._folder("open")
+        if not files.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return sorted(int(n.removeprefix(f"{RUN}=")) for n in names if n.startswith(f"{RUN}="))
+
+    def restore(self, run: int | None = None) -> int:
+        """Publish a stored run again, by default the newest one, after its view was lost or to roll back."""
+        run = run or max(self.stored_runs(), default=0)
+        if run not in self.stored_runs():
+            raise ConfigError(f"history '{self.name}' has no stored run {run}")
+        self._publish(run)
+        return run
+
+    def _folder(self, part: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.location}/{part}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def _open_rows(self, run: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.location}/open/{RUN}={run}")
 
@@ -55,27 +77,41 @@ class HistoryTable:
         now: dt.datetime | None = None,
         hard_deletes: str = "keep",
     ) -> int:
-        """Compare `incoming` with the open versions and publish the result. Returns the number of the run."""
+        """Compare `incoming` with the open versions and publish the result. Returns the number of the newest run."""
         require_keys(incoming, config.business_key)
         now, last = now or utc_now(), self.run_number()
+        if last == 0 and self.stored_runs():
+            raise ConfigError(f"history '{self.name}' has files in {self.location} but no view; restore() it first")
         run = last + 1
         if last == 0:
             self._write(first_versions(incoming, now), "open", run)
             self._write(first_versions(incoming, now).limit(0), "closed", run)
         else:
             versions = stable(advance(self._open_rows(last), incoming, config, now, hard_deletes))
+            changed = (F.col("valid_to") == instant(now)) | (F.col("updated_at") == instant(now))
+            if versions.columns == self._open_rows(last).columns and versions.where(changed).isEmpty():
+                return last
             self._write(versions.where(F.col("valid_to").isNull()), "open", run)
             self._write(versions.where(F.col("valid_to").isNotNull()), "closed", run)
         self._publish(run)
+        self._purge(run)
         return run
 
+    def _purge(self, run: int) -> None:
+        files, folder = self._folder("open")
+        for old in self.stored_runs():
+            if old <= run - KEEP_RUNS:
+                files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{RUN}={old}"), True)
+
     def _write(self, rows: DataFrame, part: str, run: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.location}/{part}/{RUN}={run}")
 
     def _publish(self, run: int) -> None:
         columns = ", ".join(f"`{c}`" for c in self._open_rows(run).columns)
+        # Runs from before a column was added do not have it: their schemas are merged.
+        merged = "WITH (`mergeSchema` = 'true')"
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('run' = '{run}') AS "
-            f"SELECT {columns} FROM parquet.`{self.location}/open` WHERE {RUN} = {run} "
-            f"UNION ALL SELECT {columns} FROM parquet.`{self.location}/closed` WHERE {RUN} <= {run}"
+            f"SELECT {columns} FROM parquet.`{self.location}/open` {merged} WHERE {RUN} = {run} "
+            f"UNION ALL SELECT {columns} FROM parquet.`{self.location}/closed` {merged} WHERE {RUN} <= {run}"
         )

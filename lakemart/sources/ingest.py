@@ -88,8 +88,11 @@ def load_files(spark: SparkSession, config: IngestConfig, paths: list[str], load
     rows = rows.withColumn(LOAD, F.lit(load))
     ensure_table(spark, config.table, config.table_schema(), config.partition_columns)
     add_missing_columns(spark, config.table, rows.schema)
-    for name in set(spark.table(config.table).columns) - set(rows.columns):
-        rows = rows.withColumn(name, F.lit(None))
+    # Column names match in any letter case, as they do everywhere in Spark.
+    known = {c.lower() for c in rows.columns}
+    for name in spark.table(config.table).columns:
+        if name.lower() not in known:
+            rows = rows.withColumn(name, F.lit(None))
     overwrite_partitions(rows, config.table, config.partition_columns)
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,46 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+# From narrow to wide: a value keeps its meaning when it moves to the right.
+WIDENING = (
+    (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType),
+    (T.FloatType, T.DoubleType),
+    (T.DateType, T.TimestampNTZType),
+    (T.DateType, T.TimestampType),
+    # The same instants or wall clocks under two names; files do not always tell them apart.
+    (T.TimestampType, T.TimestampNTZType),
+    (T.TimestampNTZType, T.TimestampType),
+)
+
+
+def widens(stored: T.DataType, declared: T.DataType) -> bool:
+    """Whether every stored value can be read as the declared type without a look at it."""
+    if stored == declared or isinstance(stored, T.NullType):
+        return True
+    if isinstance(stored, T.DecimalType) and isinstance(declared, T.DecimalType):
+        whole = declared.precision - declared.scale >= stored.precision - stored.scale
+        return whole and declared.scale >= stored.scale
+    for line in WIDENING:
+        if type(stored) in line and type(declared) in line:
+            return line.index(type(stored)) < line.index(type(declared))
+    return False
+
+
+def lossless(stored: T.StructField, declared: T.DataType) -> Column:
+    """A stored column as its declared type. A value that would change, say 1.7 as a whole number, is an error."""
+    value = F.col(f"`{stored.name}`")
+    if widens(stored.dataType, declared):
+        return value if stored.dataType == declared else value.cast(declared)
+    read = value.try_cast(declared)
+    kept = read.isNotNull()
+    if not isinstance(stored.dataType, T.StringType):
+        kept = kept & (read.cast(stored.dataType) == value)
+    drift = f"column '{stored.name}' is declared {declared.simpleString()}, which cannot hold the stored value "
+    return F.when(kept | value.isNull(), read).otherwise(
+        F.raise_error(F.concat(F.lit(drift), value.cast("string"))).cast(declared)
+    )
+
+
 def conform(df: DataFrame, declared: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Declared columns first, with their declared types (null when absent), then any new ones, then `keep`."""
     stored = {f.name.lower(): f for f in df.schema}
@@ -30,8 +70,7 @@ def conform(df: DataFrame, declared: T.StructType, keep: Sequence[str] = ()) ->
         found = stored.get(field.name.lower())
         if found is None:
             return F.lit(None).cast(field.dataType).alias(field.name)
-        value = F.col(f"`{found.name}`")
-        return (value if found.dataType == field.dataType else value.cast(field.dataType)).alias(field.name)
+        return lossless(found, field.dataType).alias(field.name)
 
     new = [F.col(f"`{f.name}`") for f in df.schema if f.name.lower() not in names]
     return df.select(*[column(f) for f in declared], *new, *keep)
@@ -59,18 +98,50 @@ def read_rescued_csv(
 ) -> DataFrame:
     """CSV with a header. A line that does not fit the schema is kept whole in the `rescued` column.
 
-    Without a schema it is inferred, as for small reference files. Text such as `N/A` stays text.
+    Without a schema it is inferred, as for small reference files. Text such as `N/A` stays text. Columns are found
+    by the names in each file's header, in any order and letter case. Declared ones that a file lacks are null;
+    values of others are kept in `rescued` as JSON.
     """
     if schema is None:
         schema = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
-    full = T.StructType([*schema.fields, T.StructField(rescued, T.StringType())])
-    return (
-        spark.read.schema(full)
+    # One line for each file: reference data is a few files.
+    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header")).collect()
+    files: dict[str, list[str]] = {}
+    for row in sorted(headers, key=lambda r: r["file"]):
+        files.setdefault(row["header"], []).append(literal_path(row["file"]))
+    parts = [_rescued_csv(spark, group, schema, rescued) for group in files.values()]
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(rescued, T.StringType())]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _rescued_csv(spark: SparkSession, files: list[str], schema: T.StructType, rescued: str) -> DataFrame:
+    """Files with one header, by its names."""
+    declared = {f.name.lower(): f for f in schema}
+    header = spark.read.option("header", True).csv(files[:1]).columns
+    fields = [T.StructField(c, declared[c.lower()].dataType if c.lower() in declared else T.StringType()) for c in header]
+    rows = (
+        spark.read.schema(T.StructType([*fields, T.StructField(rescued, T.StringType())]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", rescued)
-        .csv(path)
+        .csv(files)
     )
+    stored = {c.lower(): c for c in header}
+
+    def column(f: T.StructField):
+        found = stored.get(f.name.lower())
+        return (F.lit(None).cast(f.dataType) if found is None else F.col(f"`{found}`")).alias(f.name)
+
+    more = [F.col(f"`{c}`") for c in header if c.lower() not in declared]
+    kept = F.col(rescued)
+    if more:
+        surplus = F.when(F.coalesce(*more).isNotNull(), F.to_json(F.struct(*more)))
+        kept = F.coalesce(kept, surplus)
+    return rows.select(*[column(f) for f in schema], kept.alias(rescued))
 
 
 def load_reference_csv(spark: SparkSession, path: str, table: str, schema: T.StructType | None = None) -> bool:

@@ -132,16 +132,24 @@ class MartTable:
     def high_water_mark(self, column: str) -> dt.date | None:
         """Newest date. When the table is split by that column, only its newest partition is read."""
         rows = self.stored()
-        if column == self.partition_on:
-            parts = partition_values(self.spark, self.name, PARTITION)
-            newest = parts.agg(F.max(F.col(PARTITION).cast("date")).alias("part")).first()["part"]
-            rows = from_date(rows, PARTITION, newest)
-        return high_water_mark(rows, column)
+        if column != self.partition_on:
+            return high_water_mark(rows, column)
+        part = F.col(PARTITION).cast("date")
+        parts, newest = partition_values(self.spark, self.name, PARTITION).select(part.alias(PARTITION)), None
+        while True:
+            # A partition may be left without rows by a crash between two swaps; then an older one has the mark.
+            older = parts if newest is None else parts.where(F.col(PARTITION) < F.lit(newest))
+            newest = older.agg(F.max(PARTITION).alias("part")).first()["part"]
+            mark = None if newest is None else high_water_mark(rows.where(F.col(PARTITION) == F.lit(newest)), column)
+            if newest is None or mark is not None:
+                return mark
 
     def upsert(
         self, source: DataFrame, keys: Sequence[str], *, null_safe: bool = True, validate: bool = True
     ) -> None:
-        """Merge `source` into the table by key."""
+        """Merge `source` into the table by key. `validate` checks that its keys are unique."""
+        if not keys:
+            raise ConfigError(f"a merge into '{self.name}' needs at least one key column")
         if self.partition_on and self.partition_on not in keys:
             # A changed row could sit in a partition that the source does not touch.
             raise ConfigError(f"'{self.name}' is split by '{self.partition_on}', which must be one of {list(keys)}")
@@ -167,7 +175,22 @@ class MartTable:
         target = self.stored()
         if column == self.partition_on:
             target = target.where(F.col(PARTITION) >= self._part(F.lit(low)))
-        merged = stable(replace_window(target, source, column, low))
+        self._swap(target, stable(replace_window(target, source, column, low)))
+
+    def replace_dates(self, source: DataFrame, column: str, dates: Sequence[dt.date]) -> None:
+        """Replace the given dates by `source`, which holds rows of no other date. Groups it lacks disappear."""
+        if not dates:
+            return
+        source = stable(self._with_part(source))
+        target, day = self.stored(), F.col(column).cast("date")
+        if column == self.partition_on:
+            parts = [row[0] for row in self.spark.createDataFrame([(d,) for d in dates], "d date").select(self._part(F.col("d"))).distinct().collect()]
+            target = target.where(F.col(PARTITION).isin(parts))
+        kept = target.where(~day.isin(list(dates)) | day.isNull())
+        self._swap(target, stable(kept.unionByName(source.select(*target.columns))))
+
+    def _swap(self, target: DataFrame, merged: DataFrame) -> None:
+        """Put `merged` in the place of `target`, some partitions of this table, and drop those it leaves empty."""
         emptied = target.select(PARTITION).distinct().join(merged.select(PARTITION).distinct(), PARTITION, "left_anti")
         stale = [row[0] for row in emptied.collect()]
         overwrite_partitions(merged, self.name, [PARTITION])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,22 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakemart.config import FreshnessConfig
+from lakemart.config import ConfigError, FreshnessConfig
 from lakemart.functions.audit import with_audit
 from lakemart.operators.quality import TableTests, enforce, freshness, run_tests
 from lakemart.sources.ingest import EVENT_DATE, LOAD, IngestConfig, OnLoad
 from lakemart.sources.tables import MartTable, ensure_table, overwrite_partitions, partition_values
 
 
-def rows_of_touched_dates(spark: SparkSession, config: IngestConfig, load: str) -> DataFrame | None:
-    """All raw rows, from any load, of the dates that occur in `load`. None when the load has no dated row."""
+def touched_dates(spark: SparkSession, config: IngestConfig, load: str) -> list[dt.date]:
+    """The dates that occur in `load`."""
     # At most one value per calendar day. As literals they select the partition directories exactly, also when a
     # stray date lies years away from the others.
     listed = partition_values(spark, config.table, EVENT_DATE, {LOAD: load})
-    dates = [row[0] for row in listed.select(F.col(EVENT_DATE).cast("date")).dropna().collect()]
-    if not dates:
-        return None
-    return spark.table(config.table).where(F.col(EVENT_DATE).isin(dates))
+    return [row[0] for row in listed.select(F.col(EVENT_DATE).cast("date")).dropna().collect()]
 
 
 def refresh_on_load(
@@ -34,20 +32,24 @@ def refresh_on_load(
     keys: Sequence[str],
     model: str,
 ) -> OnLoad:
-    """A hook for `start_ingest`: recompute the dates a load touched, from all raw rows, and merge them.
+    """A hook for `start_ingest`: recompute the dates a load touched, from all raw rows, and replace them.
 
     Files with old dates are picked up like any other, without a lookback to widen. Replaying a load gives the
-    same rows. `build` maps raw rows to mart rows; `config.event_time` must be the mart's date.
+    same rows, and a group that the rows no longer yield, say after a relabel, disappears. `build` maps raw rows to
+    mart rows; `config.event_time` must be the mart's date, which is one of the `keys` and splits the mart.
     """
+    if mart.partition_on not in keys:
+        raise ConfigError(f"'{mart.name}' must be split by its date, one of {list(keys)}")
 
     def on_load(spark: SparkSession, load: str) -> None:
-        rows = rows_of_touched_dates(spark, config, load)
-        if rows is None:
+        dates = touched_dates(spark, config, load)
+        if not dates:
             return
         target = mart.on(spark)
+        rows = spark.table(config.table).where(F.col(EVENT_DATE).isin(dates))
         result = with_audit(build(rows), model)
         if target.exists():
-            target.upsert(result, keys, validate=False)
+            target.replace_dates(result, mart.partition_on, dates)
         else:
             target.replace(result)
 
