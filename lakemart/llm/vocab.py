@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import os
 import string
+import struct
 from functools import lru_cache
 
 import numpy as np
 
 # Words whose ids a worker remembers. Beyond that it forgets them all: a matter of speed alone.
 REMEMBERED = 1_000_000
-# Words encoded in one call.
-AT_ONCE = 2_000
 UINT32 = np.dtype("<u4")
 # Marks at the end of a word: a run of them is encoded by itself. The apostrophe may belong to letters.
 MARKS = string.punctuation.replace("'", "")
@@ -30,8 +30,6 @@ BLANK_FREE = {
 
 
 def _config(tokenizer) -> dict:
-    import json
-
     config = json.loads(tokenizer.to_str())
     config["model"] = {k: v for k, v in config["model"].items() if k not in ("vocab", "merges")}
     return config
@@ -52,28 +50,55 @@ def blank_free(tokenizer) -> bool:
     )
 
 
+class Words(dict):
+    """Words and their ids as bytes, encoded when they are first asked for.
+
+    A word is what stands between two blanks. Letters are encoded apart from the marks at their end, and Latin letters
+    by their lower case, which the normalizer makes first; in both cases only if they are letters in lower case, too.
+    Lower-case Latin letters are one piece, which the normalizer and the splitter leave as it is: the model alone
+    encodes it. All else goes through the whole tokenizer.
+    """
+
+    def __init__(self, tokenizer):
+        from tokenizers import pre_tokenizers
+
+        super().__init__()
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def __missing__(self, word: str) -> bytes:
+        core = word.rstrip(MARKS)
+        low = core.lower()
+        if not core.isalpha() or not low.isalpha():
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        elif core != word:
+            found = self[core] + self[word[len(core) :]]
+        elif max(low) > LATIN or max(core) > LATIN:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        elif low != core:
+            found = self[low]
+        else:
+            piece = core if core.isascii() else self.bytes.pre_tokenize_str(core)[0][0]
+            ids = [token.id for token in self.model.tokenize(piece)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = found
+        return found
+
+
 class JsonCodec:
     """A tokenizers file. No added, begin or end tokens, no truncation, no padding."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.by_word = blank_free(self.tokenizer)
-        self.known: dict[str, bytes] = {}
-        # The same model for runs of lower-case Latin letters, which the normalizer and the splitter leave as they are.
-        self.letters = Tokenizer(self.tokenizer.model)
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
-        # Which ids end a word, if the model marks that.
-        vocab, suffix = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        if suffix:
-            self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        self.words = Words(self.tokenizer)
 
     def with_offsets(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the begin and end of each token in characters."""
@@ -86,63 +111,11 @@ class JsonCodec:
         if not self.by_word:
             found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(e.ids, dtype=UINT32).tobytes() for e in found]
-        # Blanks separate: the library encodes each different word once. One look-up for each word; only texts with
-        # words that are new are looked up again.
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        self.known[""] = b""
-        found = [list(map(self.known.get, words)) for words in split]
-        open_ = [i for i, ids in enumerate(found) if None in ids]
-        self._learn_words({w for i in open_ for w, ids in zip(split[i], found[i]) if ids is None})
-        for i in open_:
-            found[i] = map(self.known.__getitem__, split[i])
-        return [b"".join(ids) for ids in found]
-
-    def _learn_words(self, new: set[str]) -> None:
-        """Letters are encoded apart from the marks at their end, and Latin letters by their lower case, which the
-        normalizer makes first; in both cases only if they are letters in lower case, too."""
-        known, ended, plain, cased = self.known, [], set(), []
-        for w in new:
-            core = w.rstrip(MARKS)
-            low = core.lower()
-            if not core.isalpha() or not low.isalpha():
-                plain.add(w)
-                continue
-            if core != w:
-                ended.append((w, core, w[len(core) :]))
-            if low != core and max(core) <= LATIN:
-                cased.append((core, low))
-            else:
-                plain.add(core)
-        plain.update(low for _, low in cased)
-        plain.update(marks for _, _, marks in ended)
-        self._learn([w for w in plain if w not in known])
-        known.update([(w, known[low]) for w, low in cased])
-        known.update([(w, known[core] + known[marks]) for w, core, marks in ended])
-
-    def _learn(self, words: list[str]) -> None:
-        """Letter runs are encoded as one text and told apart by their last tokens, other words one by one."""
-        letters = [w for w in words if w.isalpha() and max(w) <= LATIN and w.lower() == w]
-        for i in range(0, len(letters), AT_ONCE):
-            self._learn_joined(letters[i : i + AT_ONCE])
-        self._learn_each([w for w in words if w not in self.known])
-
-    def _learn_joined(self, words: list[str]) -> None:
-        ids = np.array(self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=UINT32)
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) == len(words) and stops[-1] == len(ids):
-            raw, width = ids.tobytes(), UINT32.itemsize
-            begin = 0
-            for w, stop in zip(words, (stops * width).tolist()):
-                self.known[w] = raw[begin:stop]
-                begin = stop
-
-    def _learn_each(self, words: list[str]) -> None:
-        for i in range(0, len(words), AT_ONCE):
-            some = words[i : i + AT_ONCE]
-            for w, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[w] = np.array(found.ids, dtype=UINT32).tobytes()
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        self.words[""] = b""
+        # Blanks separate: the library encodes each different word once.
+        return [b"".join(map(self.words.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 class PieceCodec:
