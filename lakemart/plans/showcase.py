@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from lakemart.config import DimensionConfig, FreshnessConfig, IncrementalConfig, StagingConfig
 from lakemart.functions.audit import with_audit, without_audit
 from lakemart.operators import backfill, incremental, marts, quality, reconcile, scd
-from lakemart.operators.enrich import MART_ROLES, ROLES, TripRules, enrich, enrich_as_of
+from lakemart.operators.enrich import MART_ROLES, ROLES, TripRules, enrich, enrich_as_of, measured
 from lakemart.operators.marts import DAILY_KEYS, HOURLY_KEYS, daily, daily_measures, hourly
 from lakemart.operators.staging import stage, union_sources
 from lakemart.plans import trips as t
@@ -753,6 +753,17 @@ def csv_rescue(spark, sf):
     return spark.table(table).select("c_custkey", "c_name", "c_mktsegment", RESCUED)
 
 
+def duration_limits(spark, sf):
+    """Trips of about a minute and of about 300, whose duration in minutes has to be rounded."""
+    events = read(spark, sf, "events")
+    even = F.col("VendorID") % 2 == 0
+    seconds = F.when(even, 57 + F.col("VendorID") % 7).otherwise(17_996 + F.col("VendorID") % 9)
+    zero = F.lit(0)
+    until = F.col("tpep_pickup_datetime") + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+    trips = stage(trips_from_events(events).withColumn("tpep_dropoff_datetime", until), EVENT_YELLOW)
+    return measured(trips, TripRules()).select("vendor_id", "trip_duration_minutes")
+
+
 def stream_daily(spark, sf):
     """A mart that follows the ingest. The second landing adds trips to dates that were loaded before."""
     scratch = Scratch(spark, "live")
@@ -984,6 +995,7 @@ QUERIES: dict[str, Query] = {
     "warehouse_build": warehouse_build,
     "warehouse_tests": warehouse_tests,
     "staging_view": staging_view,
+    "duration_limits": duration_limits,
     "daily_two_sources": daily_two_sources,
     "dimension_stored_type1": dimension_stored_type1,
     "driver_status_history": driver_status_history,

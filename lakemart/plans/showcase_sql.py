@@ -446,6 +446,15 @@ ORACLE: dict[str, str] = {
     "warehouse_build": _with(EVENTS, _daily("event_enriched")),
     "warehouse_tests": _warehouse_tests(),
     "staging_view": _with(EVENTS, f"SELECT {_STAGED} FROM trips", trips=_EVENT_STAGED),
+    "duration_limits": _with(
+        EVENTS,
+        """SELECT vendor_id, round(seconds / 60::DOUBLE, 2) AS trip_duration_minutes
+           FROM (SELECT *, CASE WHEN vendor_id % 2 = 0 THEN 57 + vendor_id % 7 ELSE 17996 + vendor_id % 9 END AS seconds
+                 FROM event_trips)
+           WHERE trip_distance > 0 AND trip_distance <= 100 AND total_amount > 0
+             AND pickup_at >= TIMESTAMP '2024-01-02 00:00:00' AND pickup_at <= TIMESTAMP '2024-01-29 00:00:00'
+             AND round(seconds / 60::DOUBLE, 2) BETWEEN 1 AND 300""",
+    ),
     "daily_two_sources": _with(EVENTS, _daily("event_enriched")),
     "dimension_stored_type1": """SELECT s_suppkey AS vendor_id,
                                         CASE WHEN s_nationkey < 5 THEN s_name || '!' ELSE s_name END AS vendor_name

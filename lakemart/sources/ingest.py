@@ -6,7 +6,9 @@ batch writes its own partitions by overwriting, so a batch that is replayed afte
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakemart.config import ConfigError
+from lakemart.session import scratch_path
 from lakemart.sources.landed import SOURCE_FILE, read_landed
 from lakemart.sources.tables import add_missing_columns, ensure_table, overwrite_partitions
 
@@ -24,6 +28,9 @@ LISTING = "path string, modificationTime timestamp, length bigint, content binar
 # Files older than the newest by more than this are ignored; historical files must not be.
 MAX_FILE_AGE = "36500d"
 
+# Table property that a running compaction sets, see `compact`.
+COMPACTION = "lakemart.compaction"
+
 OnLoad = Callable[[SparkSession, str], None]
 
 
@@ -41,6 +48,16 @@ class IngestConfig:
     event_time: str | None = None
     pattern: str = "*.parquet"
     max_files_per_batch: int = 10_000
+    # What becomes of a file once it is loaded: "off", "archive" (moved to `archive`) or "delete". Listing a folder
+    # that keeps every file ever landed takes longer each time.
+    clean_source: str = "off"
+    archive: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.clean_source not in ("off", "archive", "delete"):
+            raise ConfigError("clean_source must be 'off', 'archive' or 'delete'")
+        if (self.clean_source == "archive") != bool(self.archive):
+            raise ConfigError("clean_source 'archive' needs an archive folder, and only that")
 
     @property
     def partition_columns(self) -> list[str]:
@@ -69,15 +86,17 @@ class IngestRun:
 
 def landed_files(spark: SparkSession, config: IngestConfig) -> DataFrame:
     """A stream with one row per new file. Only the listing is read, never the content."""
-    return (
+    reader = (
         spark.readStream.schema(LISTING)
         .format("binaryFile")
         .option("pathGlobFilter", config.pattern)
         .option("maxFileAge", MAX_FILE_AGE)
         .option("maxFilesPerTrigger", config.max_files_per_batch)
-        .load(config.landing)
-        .select("path")
+        .option("cleanSource", config.clean_source)
     )
+    if config.archive:
+        reader = reader.option("sourceArchiveDir", config.archive)
+    return reader.load(config.landing).select("path")
 
 
 def load_files(spark: SparkSession, config: IngestConfig, paths: list[str], load: str) -> None:
@@ -133,3 +152,66 @@ def start_ingest(
 def ingest_files(spark: SparkSession, config: IngestConfig, on_load: OnLoad | None = None) -> int:
     """Load every file that was not loaded before and return how many there were."""
     return start_ingest(spark, config, on_load=on_load).wait().files
+
+
+def _partitions(spark: SparkSession, table: str) -> DataFrame:
+    """Date and load of each partition of a raw table, from the catalog."""
+    listed = spark.sql(f"SHOW PARTITIONS {table}")
+    value = lambda column: F.regexp_extract("partition", f"(?:^|/){column}=([^/]*)", 1)
+    return listed.select(value(EVENT_DATE).try_cast("date").alias(EVENT_DATE), value(LOAD).alias(LOAD))
+
+
+def compact(spark: SparkSession, config: IngestConfig, before: dt.date) -> int:
+    """Put the loads of each date before `before` into one partition. Returns the number of partitions replaced.
+
+    The newest load of each ingest is left alone, as a replay may write it again. A crash loses nothing and doubles
+    nothing for good: what is replaced is listed in the shared folder and named in a table property, and the next
+    `compact` or `recover_compaction` undoes a write that did not finish, or finishes dropping what it replaced.
+    Between the end of the write and the drop, readers see the rows twice, so run it between builds.
+    """
+    if not config.event_time:
+        raise ConfigError("only a raw table that is split by event date can be compacted")
+    recover_compaction(spark, config)
+    known = _partitions(spark, config.table).where(F.col(EVENT_DATE) < F.lit(before))
+    every = _partitions(spark, config.table).select(LOAD).distinct()
+    ingest = F.regexp_extract(LOAD, "^(.*)-[0-9]+$", 1)
+    newest = every.groupBy(ingest.alias("_ingest")).agg(F.max(LOAD).alias(LOAD)).where("_ingest <> ''")
+    known = known.join(newest, LOAD, "left_anti")
+    several = known.groupBy(EVENT_DATE).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    path, load = scratch_path(spark, "compaction"), f"compacted.{uuid.uuid4().hex}"
+    known.join(several, EVENT_DATE, "left_semi").select(EVENT_DATE, LOAD).write.parquet(path)
+    replaced = spark.read.schema(f"{EVENT_DATE} date, {LOAD} string").parquet(path)
+    dates = [row[0] for row in replaced.select(EVENT_DATE).distinct().collect()]
+    if not dates:
+        return 0
+    _note_compaction(spark, config, f"write|{load}|{path}")
+    rows = spark.table(config.table).where(F.col(EVENT_DATE).isin(dates))
+    rows = rows.join(F.broadcast(replaced), [EVENT_DATE, LOAD], "left_semi").withColumn(LOAD, F.lit(load))
+    overwrite_partitions(rows, config.table, config.partition_columns)
+    _note_compaction(spark, config, f"drop|{load}|{path}")
+    return _drop_partitions(spark, config, replaced)
+
+
+def recover_compaction(spark: SparkSession, config: IngestConfig) -> None:
+    """Bring a compaction that was cut off to its end, or back to its beginning."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {config.table}").where(F.col("key") == COMPACTION).first()
+    if found is None:
+        return
+    step, load, path = found["value"].split("|", 2)
+    if step == "drop":
+        _drop_partitions(spark, config, spark.read.schema(f"{EVENT_DATE} date, {LOAD} string").parquet(path))
+    else:
+        _drop_partitions(spark, config, _partitions(spark, config.table).where(F.col(LOAD) == load))
+
+
+def _note_compaction(spark: SparkSession, config: IngestConfig, state: str) -> None:
+    spark.sql(f"ALTER TABLE {config.table} SET TBLPROPERTIES ('{COMPACTION}' = '{state}')")
+
+
+def _drop_partitions(spark: SparkSession, config: IngestConfig, parts: DataFrame) -> int:
+    """Drop the listed partitions, a hundred in a statement, and end the compaction."""
+    specs = [f"PARTITION ({EVENT_DATE} = DATE'{r[0]}', {LOAD} = '{r[1]}')" for r in parts.select(EVENT_DATE, LOAD).collect()]
+    for i in range(0, len(specs), 100):
+        spark.sql(f"ALTER TABLE {config.table} DROP IF EXISTS {', '.join(specs[i : i + 100])}")
+    spark.sql(f"ALTER TABLE {config.table} UNSET TBLPROPERTIES IF EXISTS ('{COMPACTION}')")
+    return len(specs)

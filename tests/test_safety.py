@@ -16,8 +16,9 @@ from lakemart.operators.reconcile import is_equal, same_content, two_way_diff
 from lakemart.operators.scd import OverlapError, join_as_of, snapshot
 from lakemart.plans.pipeline import run_incremental
 from lakemart.sources.history import KEEP_RUNS, HistoryTable
+from lakemart.sources.ingest import IngestConfig, compact, ingest_files, load_files, recover_compaction
 from lakemart.sources.landed import read_landed, read_rescued_csv
-from lakemart.sources.tables import PARTITION, MartTable
+from lakemart.sources.tables import PARTITION, MartTable, overwrite_partitions
 
 DAY = dt.date(2024, 4, 1)
 
@@ -233,3 +234,50 @@ def test_tests_of_relationships_and_of_nothing(spark):
     with pytest.raises(ConfigError, match="parent"):
         run_tests(child, tests)
     assert run_tests(child, TableTests("child")).collect() == []
+
+
+def landed(spark, tmp_path, schema, **options):
+    declared = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampNTZType())])
+    return IngestConfig(str(tmp_path / "in"), f"{schema}.raw", declared, str(tmp_path / "cp"), "at", **options)
+
+
+def test_many_loads_compact_to_one_partition_a_date(spark, schema, tmp_path, monkeypatch):
+    config = landed(spark, tmp_path, schema)
+    for i in range(50):  # loads as the ingest writes them, each with the same three dates
+        days = [(i * 10 + d, ts(f"2024-04-0{d + 1}")) for d in range(3)]
+        path = str(tmp_path / f"load{i}")
+        spark.createDataFrame(days, "id long, at timestamp_ntz").coalesce(1).write.parquet(path)
+        load_files(spark, config, [path], f"q-{i:010d}")
+    before = rows(spark.table(config.table), "id", "at")
+    assert spark.sql(f"SHOW PARTITIONS {config.table}").count() == 150
+    # A crash after the write: what was replaced is dropped by the next run.
+    with monkeypatch.context() as crash:
+        crash.setattr("lakemart.sources.ingest._drop_partitions", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            compact(spark, config, dt.date(2024, 4, 3))
+    assert compact(spark, config, dt.date(2024, 4, 3)) == 0
+    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {config.table}").collect()]
+    # The last date is too new, and the newest load stays apart.
+    assert len(parts) == 50 + 2 * 2 and rows(spark.table(config.table), "id", "at") == before
+    # A crash during the write: what it wrote is undone.
+    real = overwrite_partitions
+    with monkeypatch.context() as crash:
+        crash.setattr("lakemart.sources.ingest.overwrite_partitions", lambda *a: real(*a) or 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            compact(spark, config, dt.date(2024, 5, 1))
+    recover_compaction(spark, config)
+    assert rows(spark.table(config.table), "id", "at") == before
+    assert compact(spark, config, dt.date(2024, 5, 1)) > 0
+    assert len(spark.sql(f"SHOW PARTITIONS {config.table}").collect()) == 6
+    assert rows(spark.table(config.table), "id", "at") == before
+
+
+def test_loaded_files_can_be_archived(spark, schema, tmp_path):
+    with pytest.raises(ConfigError):
+        landed(spark, tmp_path, schema, clean_source="archive")
+    config = landed(spark, tmp_path, schema, clean_source="archive", archive=str(tmp_path / "done"))
+    for i in range(3):
+        frame = spark.createDataFrame([(i, ts("2024-04-01"))], "id long, at timestamp_ntz")
+        frame.coalesce(1).write.mode("append").parquet(config.landing)
+        ingest_files(spark, config)
+    assert [r[0] for r in rows(spark.table(config.table), "id")] == [0, 1, 2]
