@@ -37,8 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     ship_package(spark)
-    encoded = bpe.encode(docs, BYTE_BPE, public_tokenizers.PATTERN)
-    return bpe.digests(encoded, BYTE_BPE, public_tokenizers.PATTERN)
+    return bpe.round_trip(docs, BYTE_BPE, public_tokenizers.PATTERN)
 
 
 STAGES = [

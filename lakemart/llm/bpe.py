@@ -103,9 +103,19 @@ def encode(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     long = chunks.is_long(F.col("text"), size)
+    short = rows.where(~long).mapInArrow(partial(_encode, path, pattern), f"doc_id {kind}, ids binary")
+    every = reduce(DataFrame.union, _encoded_in_pieces(rows.where(long), path, pattern, size, overlap), short)
+    return every.select("doc_id", _n_tokens(), "ids")
+
+
+def _n_tokens() -> Column:
+    return (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+
+
+def _encoded_in_pieces(long_docs: DataFrame, path: str, pattern: str, size: int, overlap: int) -> list[DataFrame]:
+    """doc_id, ids of long documents (doc_id, text), by many tasks each."""
+    kind, parts = long_docs.schema["doc_id"].dataType.simpleString(), []
     run = partial(_encode, path, pattern)
-    parts = [rows.where(~long).mapInArrow(run, f"doc_id {kind}, ids binary")]
-    long_docs = rows.where(long)
     for _, _, found in chunks.seamed(long_docs, partial(marks, pattern), size, overlap):
         of = found.select(F.col("doc_id").alias("f_id"), F.col("sha").alias("f_sha"), "seams", "copies")
         same = F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.unhex(F.sha2("text", 256)) == F.col("f_sha"))
@@ -122,8 +132,7 @@ def encode(
         ids = F.aggregate("parts", F.lit(b""), lambda all_ids, part: F.concat(all_ids, part["ids"]))
         copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
         parts.append(whole.select("doc_id", ids.alias("ids"), copies.alias("copy")).drop("copy"))
-    every = reduce(DataFrame.union, parts)
-    return every.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    return parts
 
 
 def _decode(path: str, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,9 +161,25 @@ def _digests(path: str, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iter
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def digests(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """What `encode` gives, decoded: doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas),
-    decoded_sha256 (of the decoded bytes). The bytes are decoded and hashed in one worker."""
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    rows = encoded.select("doc_id", "n_tokens", "ids")
-    return rows.mapInArrow(partial(_digests, path, pattern), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, size: int = chunks.SIZE, overlap: int = chunks.OVERLAP
+) -> DataFrame:
+    """Encode and decode `docs` (doc_id, text): doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas),
+    decoded_sha256 (of the decoded bytes). Texts of one chunk go through both in one worker; see `encode`."""
+    rows = docs.select("doc_id", "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    long, run = chunks.is_long(F.col("text"), size), partial(_digests, path, pattern)
+    short = rows.where(~long).mapInArrow(partial(_encoded_digests, path, pattern), schema)
+    parts = _encoded_in_pieces(rows.where(long), path, pattern, size, overlap)
+    return reduce(DataFrame.union, [p.select("doc_id", _n_tokens(), "ids").mapInArrow(run, schema) for p in parts], short)
+
+
+def _encoded_digests(path: str, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted() -> Iterator[pa.RecordBatch]:
+        for batch in _encode(path, pattern, batches):
+            counts = [len(i.as_py()) // UINT32.itemsize for i in batch.column("ids")]
+            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), batch.column("ids")]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids"])
+
+    yield from _digests(path, pattern, counted())

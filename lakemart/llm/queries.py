@@ -76,8 +76,7 @@ def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(read(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
-    return bpe.digests(encoded, BYTE_BPE, public_tokenizers.PATTERN)
+    return bpe.round_trip(read(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Query] = {

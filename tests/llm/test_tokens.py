@@ -113,7 +113,7 @@ def test_byte_bpe(docs, size, overlap):
     encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     rows = [*AWKWARD[:6], (7, "é" * 300), (8, prose(3, 300)), *[(100 + i, noise(i, 150)) for i in range(40)]]
     encoded = bpe.encode(docs(*rows, extra="1 AS ids"), RANKS, PATTERN, size=size, overlap=overlap)
-    found = bpe.digests(encoded, RANKS, PATTERN).collect()
+    found = bpe.round_trip(docs(*rows, extra="1 AS ids"), RANKS, PATTERN, size=size, overlap=overlap).collect()
     want = []
     for i, text in rows:
         ids = encoding.encode_ordinary(text or "")
