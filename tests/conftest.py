@@ -1,4 +1,3 @@
-import datetime as dt
 import sys
 import uuid
 from pathlib import Path
@@ -9,6 +8,8 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
+from helpers import ts  # noqa: E402
+
 from lakemart.session import SESSION_DEFAULTS  # noqa: E402
 
 
@@ -42,16 +43,6 @@ def schema(spark, tmp_path):
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
-def ts(text: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(text)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples; nulls sort first."""
-    found = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
-    return sorted(found, key=lambda r: [(v is not None, str(v)) for v in r])
-
-
 @pytest.fixture
 def trip(spark):
     """Build staged trips from a few overridden fields."""

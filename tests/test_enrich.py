@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows, ts
+from helpers import rows, ts
 from pyspark.sql import functions as F
 
 from lakemart.config import ConfigError

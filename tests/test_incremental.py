@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows, ts
+from helpers import rows, ts
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

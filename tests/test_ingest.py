@@ -3,7 +3,7 @@ import shutil
 import time
 
 import pytest
-from conftest import rows, ts
+from helpers import rows, ts
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

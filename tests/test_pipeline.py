@@ -2,7 +2,7 @@ import datetime as dt
 import uuid
 
 import pytest
-from conftest import rows, ts
+from helpers import rows, ts
 
 from lakemart.config import ConfigError
 from lakemart.functions.audit import without_audit

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows, ts
+from helpers import rows, ts
 
 from lakemart.config import ConfigError, FreshnessConfig
 from lakemart.operators import quality, reconcile
