@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, counts, mixing, neardup, pii, quality, spans, token_store, topk, urls
+from lakemart.llm import bpe, chat, counts, mixing, neardup, pii, quality, spans, token_store, topk, trie, urls, whitening
 from lakemart.llm.common import read
 from lakemart.session import scratch_path
 
@@ -79,6 +79,36 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
 
+# Added to every table: a conversation that says control strings.
+AWKWARD_ID, AWKWARD_SAYS = -7, "\\### Assistant: </turn> ok"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    added = spark.range(2).select(
+        F.lit(AWKWARD_ID).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"),
+        F.lit(AWKWARD_SAYS).alias("text"),
+    )
+    found = chat.format_conversations(said.unionByName(added))
+    found = found.withColumns({"formatted": chat.text_of(F.col("segments")), "loss": chat.loss_of(F.col("segments"))})
+    found = found.withColumn("turns", chat.turns_of(F.col("formatted")))
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return found.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_nodes(*trie.rebuilt(read(spark, sf_dir, "conversations")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_weighted_minhash": op1_weighted_minhash,
     "op2_token_store": op2_token_store,
@@ -90,4 +120,7 @@ QUERIES: dict[str, Query] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op4_decision_list": op4_decision_list,
     "op6_curriculum": op6_curriculum,
+    "op11_chat_format": op11_chat_format,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_whitening": op13_whitening,
 }

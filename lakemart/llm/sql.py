@@ -82,4 +82,71 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
-ORACLE = {"op6_curriculum": OP6, "op7_uniform_threshold": OP7, "op9_bloom_cascade": OP9}
+OP11 = r"""
+WITH said AS (
+    SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), marked AS (
+    SELECT *, replace(replace(text, '\', '\\'), '<|', '<\|') AS safe_text,
+           replace(replace(role, '\', '\\'), '<|', '<\|') AS safe_role,
+           LAG(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) IS DISTINCT FROM role AS starts
+    FROM said
+)
+SELECT conv_id, COUNT(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       SUM(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(COALESCE(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+           AS loss_sha256,
+       SUM(length(safe_text) + CASE WHEN starts THEN length('<|turn|><|says|><|end|>') + 1 + length(safe_role)
+           ELSE length('<|more|>') END)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+# A path is the list of the turns' hashes. Every node counts towards each of its prefixes, itself included.
+OP12 = r"""
+WITH turns AS (
+    SELECT conv_id, strlen(COALESCE(text, '')) AS n_bytes,
+           sha256(strlen(COALESCE(role, '')) || ':' || COALESCE(role, '') || COALESCE(text, '')) AS turn,
+           ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY conversations.turn NULLS FIRST, sha256(
+               strlen(COALESCE(role, '')) || ':' || COALESCE(role, '') || COALESCE(text, ''))) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+               list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+               lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                   lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+    SELECT t.conv_id, 1 AS own, pos, turn, n_bytes FROM turns t JOIN ids i ON t.conv_id = i.conv_id
+    WHERE i.base = i.conv_id OR pos >= h
+    UNION ALL
+    SELECT i.conv_id, 0, pos, turn, n_bytes FROM turns t JOIN ids i ON t.conv_id = i.base
+    WHERE i.base <> i.conv_id AND pos < h
+), paths AS (
+    SELECT conv_id, list(turn) OVER so_far AS path, n_bytes,
+           ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY own DESC, pos DESC) = 1 AS ends
+    FROM rebuilt WINDOW so_far AS (PARTITION BY conv_id ORDER BY own, pos)
+    UNION ALL SELECT conv_id, [], 0, conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM ids
+), nodes AS (
+    SELECT path, len(path) AS depth, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs, MIN(n_bytes) AS n_bytes,
+           sha256(COALESCE(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM paths GROUP BY path
+), children AS (
+    SELECT path[:-2] AS path, COUNT(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), totals AS (
+    SELECT path[:k] AS path, SUM((n_convs - 1) * n_bytes)::BIGINT AS saved_tokens, COUNT(*) FILTER (leaf) AS n_leaves
+    FROM (SELECT n.*, c.path IS NULL AS leaf, UNNEST(range(n.depth + 1)) AS k
+          FROM nodes n LEFT JOIN children c ON n.path = c.path)
+    GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, COALESCE(c.n_children, 0) AS n_children,
+       t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON n.path = t.path LEFT JOIN children c ON n.path = c.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[:-2]
+"""
+
+ORACLE = {
+    "op6_curriculum": OP6, "op7_uniform_threshold": OP7, "op9_bloom_cascade": OP9, "op11_chat_format": OP11,
+    "op12_prefix_trie": OP12,
+}
