@@ -1,7 +1,8 @@
 """Idempotent file ingest: each landed file is loaded into the raw table once, identified by its path.
 
-A Structured Streaming query over the folder listing finds new files; its checkpoint remembers the loaded ones. A
-batch writes its own partitions by overwriting, so a batch that is replayed after a failure loads nothing twice.
+A Structured Streaming query over the folder listing finds new files. Which files are loaded is known to the table (see
+`ledger`), so a new or lost checkpoint loads nothing twice. A batch writes its own partitions by overwriting; rows of a
+load that was cut off are dropped before the next one starts.
 """
 
 from __future__ import annotations
@@ -20,13 +21,12 @@ from pyspark.sql.streaming import StreamingQuery
 from lakemart.config import ConfigError
 from lakemart.session import scratch_path
 from lakemart.sources.landed import SOURCE_FILE, read_landed
+from lakemart.sources.ledger import LoadLedger
 from lakemart.sources.tables import add_missing_columns, ensure_table, overwrite_partitions
 
 LOAD = "_load"
 EVENT_DATE = "_event_date"
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
-# Files older than the newest by more than this are ignored; historical files must not be.
-MAX_FILE_AGE = "36500d"
 
 # Table property that a running compaction sets, see `compact`.
 COMPACTION = "lakemart.compaction"
@@ -52,12 +52,17 @@ class IngestConfig:
     # that keeps every file ever landed takes longer each time.
     clean_source: str = "off"
     archive: str | None = None
+    # The stream remembers, on the driver, the files of so many days before the newest one. An older file that lands
+    # late is found by comparing the folder with the ledger, which every start of the ingest does.
+    remembered_days: int = 30
 
     def __post_init__(self) -> None:
         if self.clean_source not in ("off", "archive", "delete"):
             raise ConfigError("clean_source must be 'off', 'archive' or 'delete'")
         if (self.clean_source == "archive") != bool(self.archive):
             raise ConfigError("clean_source 'archive' needs an archive folder, and only that")
+        if self.remembered_days < 1:
+            raise ConfigError("remembered_days must be at least 1")
 
     @property
     def partition_columns(self) -> list[str]:
@@ -90,7 +95,7 @@ def landed_files(spark: SparkSession, config: IngestConfig) -> DataFrame:
         spark.readStream.schema(LISTING)
         .format("binaryFile")
         .option("pathGlobFilter", config.pattern)
-        .option("maxFileAge", MAX_FILE_AGE)
+        .option("maxFileAge", f"{config.remembered_days}d")
         .option("maxFilesPerTrigger", config.max_files_per_batch)
         .option("cleanSource", config.clean_source)
     )
@@ -115,13 +120,57 @@ def load_files(spark: SparkSession, config: IngestConfig, paths: list[str], load
     overwrite_partitions(rows, config.table, config.partition_columns)
 
 
+def recover_loads(spark: SparkSession, config: IngestConfig) -> int:
+    """Drop the rows of loads that were cut off, and free their files. Returns how many such loads there were.
+
+    An ingest does this when it starts, so one table has one ingest at a time.
+    """
+    ledger = LoadLedger(spark, config.table)
+    loads = ledger.cut_off()
+    for load in loads:
+        _drop(spark, config, _partitions(spark, config.table).where(F.col(LOAD) == load))
+        ledger.release(load)
+    return len(loads)
+
+
+def _load_new(spark: SparkSession, config: IngestConfig, paths: list[str], load: str, on_load: OnLoad | None) -> int:
+    """Load those of `paths` that are not loaded yet, as `load`. Returns their number."""
+    ledger = LoadLedger(spark, config.table)
+    offered = spark.createDataFrame([(p,) for p in paths], "path string")
+    new = sorted(row["path"] for row in ledger.unloaded(offered).collect())
+    if not new:
+        return 0
+    ledger.claim(load, spark.createDataFrame([(p,) for p in new], "path string"))
+    load_files(spark, config, new, load)
+    if on_load:
+        on_load(spark, load)
+    ledger.finish(load)
+    return len(new)
+
+
+def _load_forgotten(spark: SparkSession, config: IngestConfig, on_load: OnLoad | None, run: IngestRun) -> None:
+    """Load files that are older than the stream remembers and yet not in the ledger."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", config.pattern).load(config.landing)
+    before = F.current_timestamp() - F.make_dt_interval(F.lit(config.remembered_days))
+    old = listing.select("path", "modificationTime").where(F.col("modificationTime") < before)
+    ledger, name, last = LoadLedger(spark, config.table), f"forgotten.{uuid.uuid4().hex}", ""
+    while True:
+        found = ledger.unloaded(old.where(F.col("path") > last)).orderBy("path").limit(config.max_files_per_batch).collect()
+        if not found:
+            return
+        last, load = found[-1]["path"], f"{name}-{len(run.loads):010d}"
+        files = _load_new(spark, config, [row["path"] for row in found], load, on_load)
+        run.loads.append(load)
+        run.files += files
+
+
 def start_ingest(
     spark: SparkSession, config: IngestConfig, every: str | None = None, on_load: OnLoad | None = None
 ) -> IngestRun:
     """Start loading. With `every` ("15 minutes") the folder is polled, else the files present are loaded once.
 
-    `on_load` runs after each load, e.g. to refresh marts or run tests. If it raises, the batch counts as failed
-    and is replayed by the next run.
+    `on_load` runs after each load, e.g. to refresh marts or run tests. If it raises, the load counts as cut off: the
+    next ingest of the table, with this checkpoint or another one, drops its rows and loads its files again.
     """
     run = IngestRun()
     started = threading.Event()
@@ -129,19 +178,21 @@ def start_ingest(
     def load_batch(files: DataFrame, batch: int) -> None:
         started.wait()
         # At most max_files_per_batch short strings, which the file source holds on the driver as well.
-        paths = sorted(row["path"] for row in files.collect())
+        # The listing of a batch can name a file twice where another name in it needs escaping.
+        paths = sorted({row["path"] for row in files.collect()})
         if not paths:
             return
-        # The query id is stored in the checkpoint, so a new checkpoint never overwrites older loads.
         load = f"{run.query.id}-{batch:010d}"
         # In the caller's session, so that it sees the new files at once.
-        load_files(spark, config, paths, load)
-        if on_load:
-            on_load(spark, load)
-        run.loads.append(load)
-        run.files += len(paths)
+        loaded = _load_new(spark, config, paths, load, on_load)
+        if loaded:
+            run.loads.append(load)
+            run.files += loaded
 
     ensure_table(spark, config.table, config.table_schema(), config.partition_columns)
+    LoadLedger(spark, config.table).ensure()
+    recover_loads(spark, config)
+    _load_forgotten(spark, config, on_load, run)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     writer = landed_files(spark, config).writeStream.foreachBatch(load_batch)
     run.query = writer.option("checkpointLocation", config.checkpoint).trigger(**trigger).start()
@@ -155,7 +206,7 @@ def ingest_files(spark: SparkSession, config: IngestConfig, on_load: OnLoad | No
 
 
 def _partitions(spark: SparkSession, table: str) -> DataFrame:
-    """Date and load of each partition of a raw table, from the catalog."""
+    """Date (if the table is split by date) and load of each partition of a raw table, from the catalog."""
     listed = spark.sql(f"SHOW PARTITIONS {table}")
     value = lambda column: F.regexp_extract("partition", f"(?:^|/){column}=([^/]*)", 1)
     return listed.select(value(EVENT_DATE).try_cast("date").alias(EVENT_DATE), value(LOAD).alias(LOAD))
@@ -209,9 +260,22 @@ def _note_compaction(spark: SparkSession, config: IngestConfig, state: str) -> N
 
 
 def _drop_partitions(spark: SparkSession, config: IngestConfig, parts: DataFrame) -> int:
-    """Drop the listed partitions, a hundred in a statement, and end the compaction."""
-    specs = [f"PARTITION ({EVENT_DATE} = DATE'{r[0]}', {LOAD} = '{r[1]}')" for r in parts.select(EVENT_DATE, LOAD).collect()]
+    """Drop the listed partitions and end the compaction."""
+    dropped = _drop(spark, config, parts)
+    spark.sql(f"ALTER TABLE {config.table} UNSET TBLPROPERTIES IF EXISTS ('{COMPACTION}')")
+    return dropped
+
+
+def _drop(spark: SparkSession, config: IngestConfig, parts: DataFrame) -> int:
+    """Drop partitions of the raw table, a hundred in a statement."""
+
+    def spec(day: dt.date | None, load: str) -> str:
+        if not config.event_time:
+            return f"PARTITION ({LOAD} = '{load}')"
+        date = f"DATE'{day}'" if day else "null"
+        return f"PARTITION ({EVENT_DATE} = {date}, {LOAD} = '{load}')"
+
+    specs = [spec(*row) for row in parts.select(EVENT_DATE, LOAD).collect()]
     for i in range(0, len(specs), 100):
         spark.sql(f"ALTER TABLE {config.table} DROP IF EXISTS {', '.join(specs[i : i + 100])}")
-    spark.sql(f"ALTER TABLE {config.table} UNSET TBLPROPERTIES IF EXISTS ('{COMPACTION}')")
     return len(specs)

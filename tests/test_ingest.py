@@ -1,18 +1,21 @@
 import os
 import shutil
 import time
+from dataclasses import replace
 
 import pytest
 from helpers import rows, ts
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.config import FreshnessConfig
+from lakemart.config import ConfigError, FreshnessConfig
 from lakemart.functions.audit import without_audit
 from lakemart.operators.marts import DAILY_KEYS, daily, daily_measures
 from lakemart.operators.quality import TableTests
+from lakemart.sources import ingest, landed, ledger
 from lakemart.sources.ingest import LOAD, IngestConfig, ingest_files, start_ingest
 from lakemart.sources.landed import RESCUED, load_reference_csv, read_landed, read_rescued_csv
+from lakemart.sources.ledger import LoadLedger
 from lakemart.sources.tables import MartTable
 from lakemart.streaming.live import (
     check_on_load,
@@ -94,15 +97,139 @@ def test_a_failed_batch_is_replayed_without_duplicates(spark, land, config):
     assert spark.table(config.table).count() == 1 and len(seen) == 1
 
 
-def test_a_new_checkpoint_does_not_overwrite_older_loads(spark, land, config, tmp_path):
+def under(config, tmp_path, name):
+    """The same ingest under another checkpoint."""
+    return replace(config, checkpoint=str(tmp_path / name))
+
+
+def test_a_new_checkpoint_loads_only_what_the_table_lacks(spark, land, config, tmp_path):
     land("a", [(1, DAY)])
-    ingest_files(spark, config)
-    other = IngestConfig(config.landing, config.table, SCHEMA, str(tmp_path / "other"), "at")
-    ingest_files(spark, other)
-    assert spark.table(config.table).count() == 2
+    assert ingest_files(spark, config) == 1
+    land("b", [(2, DAY)])
+    assert ingest_files(spark, under(config, tmp_path, "other")) == 1
+    assert ingest_files(spark, config) == 0
+    assert rows(spark.table(config.table), "id") == [(1,), (2,)]
     assert spark.table(config.table).select(LOAD).distinct().count() == 2
 
 
+def broken(at):
+    def fail(self, *args):
+        raise RuntimeError(f"driver lost at {at}")
+
+    return fail
+
+
+@pytest.mark.parametrize("checkpoint", ["checkpoint", "other"])
+@pytest.mark.parametrize("step", ["claim", "load", "finish"])
+@pytest.mark.parametrize("dated", [True, False])
+def test_a_crash_between_load_and_ledger_neither_loses_nor_doubles(
+    spark, land, config, tmp_path, monkeypatch, step, checkpoint, dated
+):
+    config = config if dated else replace(config, event_time=None)
+    land("a", [(1, DAY), (2, None), (3, ts("2024-04-02 01:00"))])
+    ingest_files(spark, config)
+    land("b", [(4, DAY), (5, None)])
+    with monkeypatch.context() as patched:
+        if step == "load":
+            patched.setattr(ingest, "load_files", broken(step))
+        else:
+            patched.setattr(LoadLedger, step, broken(step))
+        with pytest.raises(Exception, match="driver lost"):
+            ingest_files(spark, config)
+    # A file that comes meanwhile, so the second attempt is not the same set of files.
+    land("c", [(6, DAY)])
+    assert ingest_files(spark, under(config, tmp_path, checkpoint)) == 2
+    assert rows(spark.table(config.table), "id") == [(i,) for i in range(1, 7)]
+    assert ingest_files(spark, under(config, tmp_path, "third")) == 0
+    assert ingest_files(spark, config) == 0
+
+
+def test_a_finished_load_with_a_leftover_claim_is_kept(spark, land, config, tmp_path, monkeypatch):
+    land("a", [(1, DAY)])
+    with monkeypatch.context() as patched:
+        patched.setattr(LoadLedger, "_drop", lambda self, state, loads: None)
+        ingest_files(spark, config)
+    assert LoadLedger(spark, config.table)._loads("claimed")
+    assert ingest_files(spark, under(config, tmp_path, "other")) == 0
+    assert LoadLedger(spark, config.table)._loads("claimed") == []
+    assert spark.table(config.table).count() == 1
+
+
+def test_ledger_is_packed_by_path_hash(spark, land, config, monkeypatch, tmp_path):
+    monkeypatch.setattr(ledger, "PACK_AFTER", 2)
+    for i, name in enumerate("abcde"):
+        land(name, [(i, DAY)])
+        assert ingest_files(spark, config) == 1
+    known = LoadLedger(spark, config.table)
+    assert len(known._loads("loaded")) == 1 and len(known._loads("packed")) >= 2
+    with monkeypatch.context() as patched:
+        # A pack that is cut off before it drops the marks lists files twice, which changes nothing.
+        patched.setattr(LoadLedger, "_drop", broken("pack"))
+        with pytest.raises(RuntimeError):
+            known.pack()
+    assert ingest_files(spark, under(config, tmp_path, "other")) == 0
+    one = known.unloaded(spark.createDataFrame([(str(land.landing / "zzz.parquet"),)], "path string"))
+    assert one.count() == 1
+    opened = [f for f in one.inputFiles() if "_state=packed" in f]
+    assert len(opened) <= 1
+
+
+def test_a_table_from_before_the_ledger_knows_its_files(spark, land, config, tmp_path):
+    land("a b+c%20[1]", [(1, DAY)])
+    ingest_files(spark, config)
+    spark.sql(f"DROP TABLE {config.table}__files")
+    land("new", [(2, DAY)])
+    assert ingest_files(spark, under(config, tmp_path, "other")) == 1
+    assert rows(spark.table(config.table), "id") == [(1,), (2,)]
+
+
+def test_a_file_older_than_the_stream_remembers_is_loaded_by_the_next_start(spark, land, config):
+    config = replace(config, remembered_days=2, max_files_per_batch=2)
+    land("new", [(1, DAY)])
+    assert ingest_files(spark, config) == 1
+    for i in range(5):
+        land(f"late{i}", [(10 + i, DAY)], age_days=40)
+    assert ingest_files(spark, config) == 5
+    assert ingest_files(spark, config) == 0
+    assert spark.table(config.table).count() == 6
+    with pytest.raises(ConfigError):
+        replace(config, remembered_days=0)
+
+
+def test_alternating_schemas_are_read_once_each(spark, land, monkeypatch):
+    paths = [str(land(f"f{i}", [(i if i % 2 else float(i), DAY)], f"id {'int' if i % 2 else 'double'}, at timestamp_ntz")) for i in range(24)]
+    groups = landed.schema_groups(spark, paths)
+    assert sorted(len(files) for _, files in groups) == [12, 12]
+    found = read_landed(spark, paths, SCHEMA)
+    assert rows(found, "id") == sorted([(i,) for i in range(24)], key=str)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def test_structs_are_widened_field_by_field(spark, land):
+    a = land("a", [(1, (1, "x"), [1])], "id long, s struct<n int, t string>, l array<int>")
+    b = land("b", [(2, (2**40, True), [2**40])], "id long, s struct<N bigint, flag boolean>, l array<bigint>")
+    declared = T.StructType([T.StructField("id", T.LongType())])
+    found = read_landed(spark, [str(a), str(b)], declared)
+    assert rows(found, "id", "s.n", "s.t", "s.flag", "l") == [(1, 1, "x", None, [1]), (2, 2**40, None, True, [2**40])]
+
+
+def test_new_columns_without_a_common_type_are_refused(spark, land):
+    paths = [str(land("a", [(1, "x")], "id long, v string")), str(land("b", [(2, 1)], "id long, v int"))]
+    with pytest.raises(ConfigError, match="'v' comes as"):
+        read_landed(spark, paths, T.StructType([T.StructField("id", T.LongType())]))
+
+
+@pytest.mark.parametrize("value, kept", [(2**53, True), (2**53 + 1, False), (-(2**53) - 1, False), (2**63 - 1, False), (None, True)])
+def test_a_bigint_is_read_as_double_only_if_no_digit_goes(spark, land, value, kept):
+    path = str(land("a", [(value,)], "v long"))
+    found = read_landed(spark, [path], T.StructType([T.StructField("v", T.DoubleType())]))
+    if kept:
+        assert rows(found, "v") == [(None if value is None else float(value),)]
+    else:
+        with pytest.raises(Exception, match="cannot hold the stored value"):
+            found.collect()
+
+
 def test_widened_and_new_columns(spark, land, config):
     land("a", [(1, DAY)], "id int, at timestamp_ntz")
     ingest_files(spark, config)
