@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions.measures import elapsed_seconds, in_units, percent_of, seconds_range
 from lakemart.operators.joins import lookup_join, profile_side
-from lakemart.operators.scd import join_as_of
+from lakemart.operators.scd import join_as_of, require_disjoint
 
 # Output columns, in order.
 ENRICHED_COLUMNS = [
@@ -101,6 +101,7 @@ def enrich_as_of(
 ) -> DataFrame:
     """Like `enrich`, but with the zone attributes that were valid at each end of the trip."""
     profile = profile_side(zone_history, ["location_id"])
+    require_disjoint(zone_history, "location_id", profile)
     rows = measured(trips, rules)
     for role in roles:
         rows = join_as_of(
@@ -111,5 +112,6 @@ def enrich_as_of(
             f"{role}_at",
             {"zone_name": f"{role}_zone", "borough": f"{role}_borough"},
             profile,
+            validate=False,
         )
     return rows.select(*_columns(roles))

@@ -15,19 +15,22 @@ from lakemart.config import ConfigError, DimensionConfig
 from lakemart.functions.audit import instant
 from lakemart.operators.incremental import merge_upsert
 from lakemart.operators.joins import (
+    BROADCAST_BYTES,
     DuplicateKeyError,
     SideProfile,
-    lookup_join,
+    hot_keys,
     profile_side,
     same_type,
-    spread_join,
 )
 from lakemart.session import stable
 
 VALIDITY = ["valid_from", "valid_to", "updated_at"]
-# Versions that one fact may be compared with: per key in a broadcast history, per key and chunk in a larger one.
+# Versions of a key that one fact may be compared with in a broadcast history.
 BROADCAST_VERSIONS = 64
-DAY = 86_400
+# Versions of a key that one task may order.
+SORTED_VERSIONS = 100_000
+# The time of a hot key is cut into the square of so many slices.
+SLICES = 32
 
 
 class OverlapError(ValueError):
@@ -48,17 +51,21 @@ def require_keys(incoming: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"incoming dimension has {bad[0]['copies']} rows for one '{key}'")
 
 
-def require_disjoint(history: DataFrame, key: str) -> None:
+def require_disjoint(history: DataFrame, key: str, profile: SideProfile | None = None) -> None:
     """Raise if two versions of a key overlap, one is empty or backward, or a key has two open versions.
 
     A version is compared with the next one of its key. Keys are ordered in ranges of (key, valid_from), which also
-    cut the versions of a hot key; the last row of a range is compared with the first of the next one. Rows with a
-    null key match no fact and are left out.
+    cut the versions of a hot key; the last row of a range is compared with the first of the next one. Where `profile`
+    shows that no key has many versions, one window by key does. Rows with a null key match no fact and are left out.
     """
     order = ["_key", "_from"]
     rows = history.where(F.col(key).isNotNull()).select(
         F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")
     )
+    if profile is not None and profile.max_copies <= SORTED_VERSIONS:
+        following = F.lead("_from").over(Window.partitionBy("_key").orderBy("_from"))
+        _require_no_overlap(rows.withColumn("_next", following))
+        return
     ranges = stable(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     inside = Window.partitionBy("_part", "_key").orderBy("_from")
     pairs = ranges.select("_key", "_from", "_to", F.lead("_from").over(inside).alias("_next"))
@@ -70,10 +77,14 @@ def require_disjoint(history: DataFrame, key: str) -> None:
     across = following.where(F.col("_after._key") == F.col("_last._key")).select(
         "_last._key", "_last._from", "_last._to", F.col("_after._from").alias("_next")
     )
+    _require_no_overlap(pairs.unionByName(across))
+
+
+def _require_no_overlap(pairs: DataFrame) -> None:
     overlap = F.col("_next").isNotNull() & (F.col("_to").isNull() | (F.col("_to") > F.col("_next")))
     # A second version that starts at the same moment overlaps unless the first is empty, which is wrong as well.
     backward = F.col("_from").isNull() | (F.col("_to") <= F.col("_from"))
-    bad = pairs.unionByName(across).where(overlap | backward).limit(1).collect()
+    bad = pairs.where(overlap | backward).limit(1).collect()
     if bad:
         row = bad[0]
         raise OverlapError(f"versions of key {row['_key']!r} overlap: {row['_from']} to {row['_to']}, next {row['_next']}")
@@ -231,100 +242,109 @@ def join_as_of(
     """Left join that adds the attributes valid at time `at`: `valid_from <= at < valid_to`.
 
     Versions of one key must not overlap, as `snapshot` guarantees; that is checked (`validate`), since an overlap
-    has no one answer. A small history with few versions per key is broadcast. Otherwise facts and versions are
-    matched per key and chunk of time, so a fact is compared with few versions however long the history of its key
-    is.
+    has no one answer. A small history with few versions per key is broadcast. Otherwise facts and versions are put in
+    one order of key and time and each fact takes the last version before it, so the cost does not depend on how many
+    versions a key has.
     """
-    if validate:
-        require_disjoint(history, history_key)
     profile = profile or profile_side(history, [history_key])
+    if validate:
+        require_disjoint(history, history_key, profile)
     versions = history.select(
         F.col(history_key).alias("_hk"),
         F.col("valid_from").alias("_from"),
         F.col("valid_to").alias("_to"),
         *[F.col(c).alias(out) for c, out in columns.items()],
     )
-    valid = (F.col("_from") <= F.col(at)) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
     if profile.broadcastable and profile.max_copies <= BROADCAST_VERSIONS:
+        valid = (F.col("_from") <= F.col(at)) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
         lhs, rhs = same_type(facts, versions, fact_key, "_hk")
         joined = facts.join(F.broadcast(versions), (lhs == rhs) & valid, "left")
         return joined.drop("_hk", "_from", "_to")
+    return _merged_in_order(facts, versions, fact_key, at, list(columns.values()))
 
-    facts, chunks = _chunked(facts, versions, fact_key, at, profile)
-    joined = spread_join(facts, chunks, [fact_key, "_fc"], ["_hk", "_c"], "left", residual=valid)
-    return joined.drop("_fc", "_from", "_to")
 
+CARRIED, STARTS, ASKS = -1, 0, 1
 
-def _chunk_of(seconds: Column, width: Column | int) -> Column:
-    return F.floor(seconds / width) * width
 
+def _merged_in_order(facts: DataFrame, versions: DataFrame, fact_key: str, at: str, columns: list[str]) -> DataFrame:
+    """Facts and versions in one order by key and time: a version starts before the facts of its moment.
 
-def _dense_keys(versions: DataFrame) -> DataFrame:
-    """Keys with too many versions on some day, with the widest chunk, in seconds, that has few enough of them."""
-    level = versions.groupBy("_hk", F.col("_sec").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
-    most: list[str] = []
-    for width in (60, 3_600, DAY):
-        level = level.groupBy("_hk", _chunk_of(F.col("_c"), width).alias("_c")).agg(
-            F.sum("_n").alias("_n"), *[F.max(m).alias(m) for m in most]
-        )
-        level = level.withColumn(f"_most{width}", F.col("_n"))
-        most.append(f"_most{width}")
-    per_key = level.groupBy("_hk").agg(*[F.max(m).alias(m) for m in most])
-    width = F.lit(1)
-    for name, seconds in ((f"_most{w}", w) for w in (60, 3_600, DAY)):
-        width = F.when(F.col(name) <= BROADCAST_VERSIONS, seconds).otherwise(width)
-    return per_key.select(F.col("_hk").alias("_dk"), width.alias("_w")).where(F.col("_w") < DAY)
-
-
-def _chunked(
-    facts: DataFrame, versions: DataFrame, fact_key: str, at: str, profile: SideProfile
-) -> tuple[DataFrame, DataFrame]:
-    """Cut time into chunks: facts with their chunk, and for each key and chunk the versions that can apply.
-
-    Those are the versions that start in the chunk and the one carried over from before. A chunk is a day, or less
-    for a key with many versions a day, so no fact meets more than a few versions however hot its key is. The
-    windows below hold one row per chunk of a day, or per day of a key: the calendar bounds both.
+    One shuffle, by key. The time of a hot key, be it hot in facts or in versions, is cut into slices of about equal
+    numbers of rows, which go to different tasks; the version that still holds at the start of a slice is added to it.
+    Facts without a key match nothing and are spread over tasks.
     """
-    moment = F.unix_timestamp(F.col(at).cast(versions.schema["_from"].dataType))
     key, other = same_type(facts, versions, fact_key, "_hk")
-    versions = versions.withColumns({"_hk": other, "_sec": F.unix_timestamp("_from")})
-    facts = facts.withColumn("_fsec", moment)
-    dense = _dense_keys(versions) if profile.max_copies > BROADCAST_VERSIONS else None
-    size = profile_side(dense, ["_dk"]) if dense is not None else None
-    if size is not None and size.rows:
-        facts = lookup_join(facts, dense, fact_key, "_dk", {"_w": "_fw"}, size)
-        versions = lookup_join(versions, dense, "_hk", "_dk", {"_w": "_w"}, size)
+    moment = versions.schema["_from"].dataType
+    payload = ["_from", "_to", *columns]
+    v_type = versions.select(F.struct(*payload).alias("v")).schema["v"].dataType
+    f_type = facts.select(F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("f")).schema["f"].dataType
+    asking = facts.select(
+        key.alias("_k"), F.col(at).cast(moment).alias("_t"), F.lit(ASKS).alias("_kind"),
+        F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("_fact"), F.lit(None).cast(v_type).alias("_version"),
+    )
+    starting = versions.where(F.col("_hk").isNotNull()).select(
+        other.alias("_k"), F.col("_from").alias("_t"), F.lit(STARTS).alias("_kind"), F.lit(None).cast(f_type).alias("_fact"),
+        F.struct(*payload).alias("_version"),
+    )
+    cuts = _time_cuts(asking.select("_k", "_t").unionByName(starting.select("_k", "_t")))
+    no_key = F.when(F.col("_k").isNull(), F.spark_partition_id()).otherwise(F.lit(0))
+    if cuts is None:
+        rows = asking.unionByName(starting).withColumn("_slice", no_key)
     else:
-        facts, versions = facts.withColumn("_fw", F.lit(None)), versions.withColumn("_w", F.lit(None))
-    facts = facts.withColumn("_fc", _chunk_of(F.col("_fsec"), F.coalesce("_fw", F.lit(DAY))))
-    starting = versions.withColumns(
-        {"_c": _chunk_of(F.col("_sec"), F.coalesce("_w", F.lit(DAY))), "_d": _chunk_of(F.col("_sec"), DAY)}
-    ).drop("_w", "_sec")
-
-    payload = F.struct(*[c for c in starting.columns if c not in ("_hk", "_c", "_d")])
-    last = F.max_by(payload, F.col("_from")).alias("_last")
-    asked = facts.select(key.alias("_hk"), "_fc", _chunk_of(F.col("_fsec"), DAY).alias("_d")).dropna().distinct()
-    asked = asked.withColumnRenamed("_fc", "_c").withColumn("_asked", F.lit(True))
-    chunks = asked.join(starting.groupBy("_hk", "_d", "_c").agg(last), ["_hk", "_d", "_c"], "full")
-    days = chunks.groupBy("_hk", "_d").agg(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("_c"))))
-    days = days.toDF("_hk", "_d", "_last")
-
-    def before(*keys: str) -> Window:
-        return Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
-
-    earlier_day = days.select(
-        "_hk", "_d", F.last("_last", ignorenulls=True).over(before("_hk", "_d")).alias("_day_carry")
-    )
-    same_day = F.last("_last", ignorenulls=True).over(before("_hk", "_d", "_c"))
-    carried = (
-        chunks.withColumn("_carry", same_day)
-        .where("_asked")
-        .join(earlier_day, ["_hk", "_d"])
-        .withColumn("_carry", F.coalesce("_carry", "_day_carry"))
-        .where(F.col("_carry").isNotNull())
-        .select("_hk", "_c", "_carry.*")
-    )
-    return facts.drop("_fsec", "_fw"), carried.unionByName(starting.select(*carried.columns))
+        started = _sliced(starting, cuts)
+        rows = _sliced(asking.unionByName(starting), cuts).withColumn("_slice", F.coalesce("_slice", no_key))
+        rows = rows.unionByName(_carried(started))
+    order = Window.partitionBy("_k", "_slice").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("_version", F.last("_version", ignorenulls=True).over(order)).where(F.col("_kind") == ASKS)
+    version = F.col("_version")
+    holds = (version["_from"] <= F.col("_t")) & (version["_to"].isNull() | (F.col("_t") < version["_to"]))
+    return found.select("_fact.*", *[F.when(holds, version[c]).alias(c) for c in columns])
+
+
+def _time_cuts(events: DataFrame) -> DataFrame | None:
+    """Times that cut the events (_k, _t) of each hot key into slices: `_ck`, `_cuts` (lists of SLICES or fewer times).
+
+    None without hot keys. One pass counts the keys; only the rows of hot ones are looked at again. The table is small:
+    there is a hot key for each 2 * HOT_ROWS events at most, and with very many of them each gets fewer slices.
+    """
+    hot = stable(hot_keys(events.where("_k IS NOT NULL"), F.xxhash64("_k")))
+    n = hot.count()
+    if not n:
+        return None
+    step = max(1, min(SLICES, int((BROADCAST_BYTES / (16 * n)) ** 0.5)))
+    shares = [i / step**2 for i in range(1, step**2)] or [0.5]
+    among = events.join(F.broadcast(hot.select("_h")), F.xxhash64("_k") == F.col("_h"), "left_semi")
+    cuts = among.groupBy(F.col("_k").alias("_ck")).agg(F.percentile_approx("_t", shares, 10_000).alias("_all"))
+    starts = F.sequence(F.lit(1), F.size("_all"), F.lit(step))
+    return stable(cuts.select("_ck", F.transform(starts, lambda i: F.slice("_all", i, step)).alias("_cuts")))
+
+
+def _sliced(events: DataFrame, cuts: DataFrame) -> DataFrame:
+    """`_slice` of each event of a hot key: how many cuts are at or before its time. Null for other keys."""
+    joined = events.join(F.broadcast(cuts), F.col("_k") == F.col("_ck"), "left")
+    time = F.col("_t")
+    passed = F.size(F.filter("_cuts", lambda group: group[0] <= time))
+    group = F.get(F.col("_cuts"), F.greatest(passed - 1, F.lit(0)))
+    within = F.size(F.filter(group, lambda cut: cut <= time))
+    width = F.size(F.get(F.col("_cuts"), F.lit(0)))
+    place = F.when(time.isNull(), F.lit(0)).otherwise(F.greatest(passed - 1, F.lit(0)) * width + within)
+    last = F.size(F.flatten("_cuts"))
+    return joined.withColumns({"_slice": F.when(F.col("_ck").isNotNull(), place), "_last": last}).drop("_ck", "_cuts")
+
+
+def _carried(starting: DataFrame) -> DataFrame:
+    """For each slice of a hot key the version that began in an earlier one, as a row before all others of the slice."""
+    ends = starting.where("_slice IS NOT NULL").groupBy("_k", "_slice", "_last").agg(
+        F.max_by("_version", "_t").alias("_version")
+    )
+    # One row for each slice of a key.
+    following = F.coalesce(F.lead("_slice").over(Window.partitionBy("_k").orderBy("_slice")), F.col("_last"))
+    ends = ends.withColumn("_following", following).where(F.col("_following") > F.col("_slice"))
+    slices = F.explode(F.sequence(F.col("_slice") + 1, F.col("_following")))
+    kinds = {f.name: f.dataType for f in starting.schema}
+    none = {c: F.lit(None).cast(kinds[c]) for c in ("_t", "_fact")}
+    rows = ends.withColumns({"_slice": slices, **none, "_kind": F.lit(CARRIED)})
+    return rows.select(*starting.columns)
 
 
 def scd1_upsert(target: DataFrame, incoming: DataFrame, key: str, validate: bool = True) -> DataFrame:

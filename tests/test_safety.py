@@ -118,9 +118,9 @@ VERSIONS = "key int, valid_from timestamp_ntz, valid_to timestamp_ntz, a string"
 FACTS = "key int, at timestamp_ntz"
 
 
-@pytest.fixture(params=["broadcast", "chunks"])
+@pytest.fixture(params=["broadcast", "in_order"])
 def path(request, monkeypatch):
-    if request.param == "chunks":
+    if request.param == "in_order":
         monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
     return request.param
 

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from lakemart.config import ConfigError, DimensionConfig
-from lakemart.operators import joins, scd
+from lakemart.operators import enrich, joins, scd
 from lakemart.operators.enrich import enrich_as_of
 from lakemart.operators.joins import DuplicateKeyError
 from lakemart.operators.scd import NullKeyError, current, join_as_of, scd1_upsert, snapshot
@@ -134,14 +134,16 @@ def test_intervals_are_contiguous_with_one_open_row(spark, loads):
 FACTS = "fact int, k long, at timestamp_ntz"
 
 
-@pytest.fixture(params=["broadcast", "chunks", "few_per_chunk", "chunks_with_hot_keys"])
+@pytest.fixture(params=["broadcast", "in_order", "in_order_few_versions", "in_order_with_hot_keys", "many_hot_keys"])
 def as_of_path(request, monkeypatch):
-    if request.param == "chunks":
+    if request.param == "in_order":
         monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    if request.param in ("few_per_chunk", "chunks_with_hot_keys"):
+    if request.param.startswith("in_order_") or request.param == "many_hot_keys":
         monkeypatch.setattr(scd, "BROADCAST_VERSIONS", 1)
-    if request.param == "chunks_with_hot_keys":
+    if request.param in ("in_order_with_hot_keys", "many_hot_keys"):
         monkeypatch.setattr(joins, "HOT_ROWS", 1)
+    if request.param == "many_hot_keys":
+        monkeypatch.setattr(scd, "BROADCAST_BYTES", 200)
     return request.param
 
 
@@ -194,6 +196,39 @@ def test_enrich_as_of_uses_the_zone_of_the_time(spark, trip, zones):
     assert rows(enrich_as_of(trips, history), "pickup_borough", "dropoff_borough") == [("Queens", "Kings")]
 
 
+def test_as_of_keys_of_one_moment_and_null_keys(spark, as_of_path):
+    """Ties between versions and facts, one time for all facts, and a third of the facts without a key."""
+    data = [(k, f"{k}-{d}", T1 + dt.timedelta(days=d), T1 + dt.timedelta(days=d + 1)) for k in (1, 2) for d in range(70)]
+    history = spark.createDataFrame(data, "id long, name string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    same = T1 + dt.timedelta(days=40)
+    facts_data = [(i, (1, 2, None)[i % 3], same if i % 2 else T1 + dt.timedelta(days=i % 90)) for i in range(300)]
+    facts_data += [(1000, 1, None), (1001, 3, same)]
+    found = join_as_of(spark.createDataFrame(facts_data, FACTS), history, "k", "id", "at", {"name": "n"})
+    names = {(k, a): n for k, n, a, _ in data}
+    assert {r.fact: r.n for r in found.collect()} == {i: names.get((k, at)) for i, k, at in facts_data}
+
+
+def test_as_of_reads_the_facts_once(spark, schema, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    spark.createDataFrame([(1, 1, T2)], FACTS).write.saveAsTable(f"{schema}.facts")
+    spark.createDataFrame([(1, "x", T1, None)], "id int, name string, valid_from timestamp_ntz, valid_to timestamp_ntz").write.saveAsTable(f"{schema}.history")
+    facts, history = spark.table(f"{schema}.facts"), spark.table(f"{schema}.history")
+    for hot in (1_000_000, 0.1):
+        monkeypatch.setattr(joins, "HOT_ROWS", hot)
+        found = join_as_of(facts, history, "k", "id", "at", {"name": "n"})
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert len([line for line in plan.split("\n") if "FileScan" in line and "fact#" in line]) == 1
+        assert rows(found, "n") == [("x",)]
+
+
+def test_history_is_checked_once_for_both_roles(spark, trip, zones, monkeypatch):
+    calls = []
+    monkeypatch.setattr(enrich, "require_disjoint", lambda *args: calls.append(args))
+    monkeypatch.setattr(scd, "require_disjoint", lambda *args: calls.append(args))
+    enrich_as_of(trip({}), snapshot(None, zones, t.ZONES, T1)).count()
+    assert len(calls) == 1
+
+
 def test_as_of_is_an_equi_join(spark, states):
     history = snapshot(None, states[0], CONFIG, T1)
     facts = spark.createDataFrame([(1, 1, T2)], FACTS)
