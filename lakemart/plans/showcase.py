@@ -663,6 +663,19 @@ def reconcile_hash_types(spark, sf):
     return reconcile.same_content(trips, trips.withColumns(wider))
 
 
+def reconcile_numeric_types(spark, sf):
+    """Whole numbers beyond 2^53 against doubles, of which every other one is off by one; decimals of two scales."""
+    lines = read(spark, sf, "lineitem").select((F.col("l_orderkey").cast("bigint") + F.lit(1 << 53)).alias("id"), "l_quantity")
+    exact = lines.select("id", F.col("l_quantity").cast("decimal(12,2)").alias("amount"))
+    loose = lines.select(F.col("id").cast("double").alias("id"), F.col("l_quantity").cast("decimal(30,4)").alias("amount"))
+    return reconcile.two_way_diff(exact, loose).withColumn("amount", F.col("amount").cast("double"))
+
+
+def reconcile_tree(spark, sf):
+    """The differences of `reconcile_diff`, found through the hash trees of both sides."""
+    return reconcile.tree_diff(staged_trips(spark, sf), _corrected_trips(spark, sf), "trip_date", ["vendor_id", "pickup_at"])
+
+
 def latest_rows(spark, sf):
     mart = with_audit(full_daily(spark, sf), "fct_trips_daily", "run-1", LOAD_TIMES[0])
     mart = mart.select("trip_date", "pickup_borough", "total_trips", "_loaded_at")
@@ -677,6 +690,31 @@ def ingest_idempotent(spark, sf):
     return spark.table(config.table).select(*EVENT_SCHEMA.fieldNames())
 
 
+def ingest_second_checkpoint(spark, sf):
+    """The same folder under a new checkpoint: the table knows which files it has."""
+    scratch = Scratch(spark, "ingest_again")
+    config = event_ingest(spark, sf, scratch)
+    ingest_files(spark, config)
+    ingest_files(spark, replace(config, checkpoint=scratch.folder("other_checkpoint")))
+    return spark.table(config.table).select(*EVENT_SCHEMA.fieldNames())
+
+
+def ingest_alternating_types(spark, sf):
+    """Files that hold a new column as int and as bigint by turns, and `value` as double and as float."""
+    scratch = Scratch(spark, "alternate")
+    declared = T.StructType(EVENT_SCHEMA.fields[:4])
+    config = IngestConfig(
+        scratch.folder("landing"), scratch.table("events_raw"), declared, scratch.folder("checkpoint"), "ts"
+    )
+    events = read(spark, sf, "events").drop("props").withColumn("name_length", F.length("event_type"))
+    odd = events.withColumns({"name_length": F.col("name_length").cast("bigint"), "value": F.col("value").cast("float")})
+    for i in range(6):
+        rows = (odd if i % 2 else events).where(F.pmod(F.col("event_id"), F.lit(6)) == i)
+        rows.coalesce(1).write.mode("append").parquet(config.landing)
+    ingest_files(spark, config)
+    return spark.table(config.table).select(*declared.fieldNames(), "name_length", "value")
+
+
 def ingest_schema_evolution(spark, sf):
     """Earlier files have a narrow `name_length` and no `value`; later ones widen the first and add the second."""
     scratch = Scratch(spark, "evolve")
@@ -985,8 +1023,12 @@ QUERIES: dict[str, Query] = {
     "reconcile_equal": reconcile_equal,
     "reconcile_diff": reconcile_diff,
     "reconcile_hash": reconcile_hash,
+    "reconcile_numeric_types": reconcile_numeric_types,
+    "reconcile_tree": reconcile_tree,
     "latest_rows": latest_rows,
     "ingest_idempotent": ingest_idempotent,
+    "ingest_second_checkpoint": ingest_second_checkpoint,
+    "ingest_alternating_types": ingest_alternating_types,
     "ingest_schema_evolution": ingest_schema_evolution,
     "csv_rescue": csv_rescue,
     "stream_daily": stream_daily,

@@ -409,6 +409,21 @@ ORACLE: dict[str, str] = {
             GROUP BY ALL HAVING sum(o) <> sum(g)""",
         corrected=_CORRECTED,
     ),
+    "reconcile_tree": _with(
+        TRIPS,
+        f"""SELECT {_STAGED}, CAST(sum(o) AS BIGINT) AS original_copies, CAST(sum(g) AS BIGINT) AS generated_copies
+            FROM (SELECT *, 1 AS o, 0 AS g FROM trips UNION ALL SELECT *, 0, 1 FROM corrected)
+            GROUP BY ALL HAVING sum(o) <> sum(g)""",
+        corrected=_CORRECTED,
+    ),
+    "reconcile_numeric_types": """
+        SELECT id, amount, CAST(sum(o) AS BIGINT) AS original_copies, CAST(sum(g) AS BIGINT) AS generated_copies
+        FROM (SELECT CAST(exact AS VARCHAR) AS id, amount, 1 AS o, 0 AS g FROM lines
+              UNION ALL SELECT CAST(CAST(CAST(exact AS DOUBLE) AS BIGINT) AS VARCHAR), amount, 0, 1 FROM lines)
+        GROUP BY ALL HAVING sum(o) <> sum(g)""".replace(
+        "FROM lines",
+        "FROM (SELECT l_orderkey + 9007199254740992 AS exact, CAST(l_quantity AS DOUBLE) AS amount FROM lineitem)",
+    ),
     "reconcile_hash": _with(
         TRIPS,
         """SELECT (SELECT count(*) FROM trips) AS original_count, (SELECT count(*) FROM trips) AS generated_count,
@@ -421,6 +436,11 @@ ORACLE: dict[str, str] = {
            ORDER BY trip_date DESC, pickup_borough ASC NULLS FIRST LIMIT 10""",
     ),
     "ingest_idempotent": "SELECT * FROM events",
+    "ingest_second_checkpoint": "SELECT * FROM events",
+    "ingest_alternating_types": """
+        SELECT event_id, ts, user_id, event_type, CAST(length(event_type) AS BIGINT) AS name_length,
+               CASE WHEN event_id % 2 = 1 THEN CAST(CAST(value AS FLOAT) AS DOUBLE) ELSE value END AS value
+        FROM events""",
     "ingest_schema_evolution": """
         SELECT event_id, ts, user_id, event_type, CAST(length(event_type) AS BIGINT) AS name_length,
                CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN value END AS value FROM events""",
