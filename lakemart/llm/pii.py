@@ -1,10 +1,13 @@
 """Personal data: base patterns, and offset-preserving deobfuscation that finds disguised identifiers.
 
 A chain of transducers rewrites a text and remembers, for each stretch it changed, where the stretch came from:
-look-alike characters become ASCII, spelled digits become digits, and at/dot disguises become `@` and `.`. The base
-patterns then run on the rewritten text, and what they find is mapped back to the characters of the source. A find
-counts only if a transducer changed something inside it and it overlaps no base span of its kind, so plain text
-gives the base spans and nothing else.
+invisible characters go, look-alike characters become ASCII, spelled digits become digits, and at/dot disguises become `@`
+and `.`. The base patterns then run on the rewritten text, and what they find is mapped back to the characters of the
+source. A find counts only if a transducer changed something inside it, and if it overlaps no base span of its kind but
+shorter ones that lie inside it, so plain text gives the base spans and nothing else.
+
+An at or a dot can be literal, bracketed or a bare word, in any mixture. Bare words are also plain English, so they count
+only within a whole address, and by more rules the less there is besides them: see `bare_addresses`.
 
 Texts are handled whole, one at a time, in Arrow batches; nothing is shuffled.
 """
@@ -14,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,14 +58,26 @@ MAYBE_SPELLED = re.compile(r"(?:ero|oh|one|two|hree|our|ive|six|even|ight|ine)[\
 _BRACKETED = r"[\x20]*[\[({<][\x20]*(?:%s)[\x20]*[\])}>][\x20]*"
 AT_SIGN = re.compile(_BRACKETED % "at|@", re.I)
 DOT_SIGN = re.compile(_BRACKETED % r"dot|punkt|punto|point|\.", re.I)
-# Bare words count only as a whole address: name at domain dot ending, with one of these endings.
-ENDINGS = ("com", "org", "net", "edu", "gov", "info", "io", "co", "eu", "uk", "de", "fr", "es", "it", "nl", "example")
-BARE = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(\x20at\x20)[A-Za-z0-9-]+(?:(?:\x20dot\x20|\.)[A-Za-z0-9-]+)*"
-    rf"\x20dot\x20(?:{'|'.join(ENDINGS)})(?![A-Za-z0-9-])",
-    re.I,
+INVISIBLE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]+")
+
+_LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
+# A whole address whose at and dots may be bare words; the brackets are gone by then.
+ADDRESS = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(\x20at\x20|@)({_LABEL})((?:(?:\x20dot\x20|\.){_LABEL})+)", re.I
 )
-BARE_WORD = re.compile(r"\x20(at|dot)\x20", re.I)
+DOT_LABEL = re.compile(rf"(\x20dot\x20|\.)({_LABEL})", re.I)
+BARE_IP = re.compile(r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:(?:\x20dot\x20|\.)[0-9]{1,3}){3}(?![A-Za-z0-9])", re.I)
+BARE_DOT = re.compile(r"\x20dot\x20", re.I)
+MAYBE_BARE = re.compile(r"\x20(?:at|dot)\x20", re.I)
+# Endings of domains that are ordinary words count where they are well known, the others do not.
+KNOWN_ENDINGS = frozenset("com org net edu gov info io co eu uk de fr es it nl example".split())
+# English words that follow "at" or "dot" in plain sentences, and are no names of domains.
+FUNCTION_WORDS = frozenset(
+    "a an the this that these those my your his her its our their each every any some no one all both and or but if of "
+    "on in at to by for from with as is are was were be been it he she we you they me him us them so not do does did "
+    "has had have will would can could may might must here there then than when where which who whom what how dot".split()
+)
+LONGEST_BARE_ENDING, LONGEST_ENDING = 6, 24
 
 Span = tuple[int, int, str]
 
@@ -89,8 +104,11 @@ class Rewritten:
         return self._source(begin, False), self._source(end, True)
 
     def touches_change(self, begin: int, end: int) -> bool:
+        """Whether a stretch inside was replaced, or something of the source between two of them deleted."""
         first, last = bisect_right(self.starts, begin) - 1, bisect_right(self.starts, end - 1) - 1
-        return any(self.changed[first : last + 1])
+        if any(self.changed[first : last + 1]):
+            return True
+        return any(self.origins[i][1] != self.origins[i + 1][0] for i in range(first, last))
 
     def replace(self, edits: list[tuple[int, int, str]]) -> None:
         """Apply edits (begin, end, new) of the current text, in order and apart from each other."""
@@ -126,6 +144,11 @@ class Rewritten:
         self.starts, self.origins, self.changed = (starts, origins, changed) if starts else ([0], [(0, 0)], [False])
 
 
+def invisible(text: str) -> Iterator[tuple[int, int, str]]:
+    if not text.isascii():
+        yield from ((m.start(), m.end(), "") for m in INVISIBLE.finditer(text))
+
+
 def look_alikes(text: str) -> Iterator[tuple[int, int, str]]:
     if not text.isascii():
         for m in LOOK_ALIKE.finditer(text):
@@ -158,16 +181,46 @@ def dot_signs(text: str) -> Iterator[tuple[int, int, str]]:
         yield from ((m.start(), m.end(), ".") for m in DOT_SIGN.finditer(text))
 
 
-def bare_addresses(text: str) -> Iterator[tuple[int, int, str]]:
-    if " dot " in text or " DOT " in text or " Dot " in text:
-        for m in BARE.finditer(text):
-            # The one `at` is that of the pattern; a later one would be part of no domain.
+def _ending(label: str, bare: bool) -> bool:
+    """Whether a domain can end in this label. Between bare words alone it must be short, too."""
+    label = label.lower()
+    if label in KNOWN_ENDINGS:
+        return True
+    return label.isalpha() and 2 <= len(label) <= (LONGEST_BARE_ENDING if bare else LONGEST_ENDING) and label not in FUNCTION_WORDS
+
+
+def bare_addresses(text: str, changed: Callable[[int, int], bool] = lambda begin, end: False) -> Iterator[tuple[int, int, str]]:
+    """Bare ` at ` and ` dot ` of an address: name, at, domain, dot, ending.
+
+    A bare at counts with a dot that is bare or was bracketed, never with literal dots alone ("see us at example.com").
+    The domain ends at the last label that can be an ending; without any it is no address. `changed` tells whether a
+    place of the text was rewritten before.
+    """
+    if not MAYBE_BARE.search(text):
+        return
+    for m in ADDRESS.finditer(text):
+        at_is_bare = len(m[1]) > 1
+        pairs = list(DOT_LABEL.finditer(text, m.start(3), m.end(3)))
+        dots = [(d.start(1), d.end(1), len(d[1]) > 1, d[2]) for d in pairs]
+        bare = at_is_bare and all(is_bare or not changed(b, e) for b, e, is_bare, _ in dots)
+        while dots and not _ending(dots[-1][3], bare):
+            dots.pop()
+        if not dots or at_is_bare and m[2].lower() in FUNCTION_WORDS:
+            continue
+        if at_is_bare:
+            if not any(is_bare or changed(b, e) for b, e, is_bare, _ in dots):
+                continue
             yield m.start(1), m.end(1), "@"
-            for d in BARE_WORD.finditer(text, m.end(1), m.end()):
-                yield d.start(), d.end(), "."
+        yield from ((b, e, ".") for b, e, is_bare, _ in dots if is_bare)
+
 
+def bare_ips(text: str) -> Iterator[tuple[int, int, str]]:
+    if BARE_DOT.search(text):
+        for m in BARE_IP.finditer(text):
+            yield from ((d.start(), d.end(), ".") for d in BARE_DOT.finditer(text, m.start(), m.end()))
 
-TRANSDUCERS = (look_alikes, spelled_digits, at_signs, dot_signs, bare_addresses)
+
+TRANSDUCERS = (invisible, look_alikes, spelled_digits, at_signs, dot_signs, bare_ips)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -212,8 +265,8 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=_order)
 
 
-def _order(span: Span) -> tuple[int, int]:
-    return span[0], KINDS.index(span[2])
+def _order(span: Span) -> tuple[int, int, int]:
+    return span[0], KINDS.index(span[2]), span[1]
 
 
 def hidden_spans(text: str, base: list[Span]) -> list[Span]:
@@ -223,14 +276,18 @@ def hidden_spans(text: str, base: list[Span]) -> list[Span]:
         edits = list(transducer(new.text))
         if edits:
             new.replace(edits)
-    if not any(new.changed):
+    edits = list(bare_addresses(new.text, new.touches_change))
+    if edits:
+        new.replace(edits)
+    if len(new.starts) == 1 and not new.changed[0]:
         return []
     found: list[Span] = []
     taken = {kind: [s for s in base if s[2] == kind] for kind in KINDS}
     for begin, end, kind in base_spans(new.text):
         if new.touches_change(begin, end):
             low, high = new.span(begin, end)
-            if not any(low < b[1] and b[0] < high for b in taken[kind]):
+            beside = [b for b in taken[kind] if low < b[1] and b[0] < high]
+            if all(low <= b[0] and b[1] <= high and high - low > b[1] - b[0] for b in beside):
                 found.append((low, high, kind))
     return found
 
@@ -293,7 +350,11 @@ SCHEMA_NAMES = [part.split()[0] for part in SCHEMA.split(", ")]
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with the spans of `text` replaced by their kinds; all columns stay. Null texts stay null."""
+    """`docs` with the spans of `text` replaced by their kinds; all columns stay, whatever their names.
+
+    Null texts stay null and empty ones empty. Texts are taken whole, of any length, one at a time; repeated rows stay
+    and get the same result; an empty table stays empty.
+    """
     names, place = docs.columns, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from llm.conftest import AWKWARD
 
 from lakemart.llm import pii
@@ -54,6 +55,41 @@ def test_disguises():
     assert found("10．0．0．1") == [("10．0．0．1", "ip")]
 
 
+@pytest.mark.parametrize(
+    "hidden, kind",
+    [
+        ("john [at] example dot com", "email"), ("john@example dot com", "email"), ("john at example [dot] com", "email"),
+        ("john at example dot ai", "email"), ("john.x at mail dot example.org", "email"), ("john at mail.example dot travel", "email"),
+        ("JOHN AT EXAMPLE DOT COM", "email"), ("john (at) sub dot example (dot) museum", "email"), ("j@sub dot example.info", "email"),
+        ("jo\u200bhn@exam\u00adple.com", "email"), ("john@exam\u2060ple dot com", "email"),
+        ("192 dot 168 dot 0 dot 1", "ip"), ("192 dot 168.0 (dot) 1", "ip"), ("10.0\u200b.0.1", "ip"),
+        ("+44 20 7946 0 nine five eight", "phone"), ("4111 1111 \ufeff1111 1111", "card"),
+    ],
+)
+def test_mixed_disguises(hidden, kind):
+    assert (hidden, kind) in found(hidden)
+    around = f"Write to {hidden}, or stay."
+    assert (hidden, kind) in found(around)
+    assert pii.redact(around) == f"Write to [{kind}], or stay."
+
+
+def test_a_longer_disguise_stands_beside_the_base_span():
+    text = "call +44 20 7946 0 nine five eight now"
+    assert found(text) == [("+44 20 7946 0", "phone"), ("+44 20 7946 0 nine five eight", "phone")]
+    assert pii.redact(text) == "call [phone] now"
+    # A find that only overlaps a base span says nothing new of it.
+    assert pii.digest(pii.find("a@b.cc")[1]) == "email:0:6"
+
+
+def test_sentences_with_at_and_dot():
+    for text in (
+        "look at the dot on one page", "visit us at example.com or at example.org", "we met at noon dot dot dot",
+        "at every dot carefully drawn", "stop at this dot and go", "the dot at the end dot", "1 dot 2 dot 3",
+        "aim at a dot in it", "soft\u00adhyphen and zero\u200bwidth", "256 dot 300 dot 1 dot 1",
+    ):
+        assert [s for s in found(text) if s not in [(text[a:b], k) for a, b, k in pii.find(text)[0]]] == [], text
+
+
 def test_plain_text_has_no_disguises():
     for text in ("look at the dot on one page, one two", "at noon (dot) and [at] night", "Стол и стул", "one two three", ""):
         assert found(text) == []
@@ -86,5 +122,6 @@ def test_tables(docs):
     assert row["base_sha256"] == hashlib.sha256(by_hand(text).encode()).hexdigest()
     clean = pii.redacted(docs(*rows, extra="5 AS clean"))
     assert clean.columns[-1] == "clean" and clean.count() == len(rows)
+    assert pii.redacted(docs()).collect() == []
     texts = {r["doc_id"]: r["text"] for r in clean.collect()}
     assert texts[20] == "[email] [email] [email] [card] 🙂 [ip] [email]" and texts[1] is None and texts[2] == ""
