@@ -1,8 +1,10 @@
 """Substring deduplication over sliding runs of sentences.
 
-A text is cut into sentences, and a sentence of more than `PART_WORDS` words into parts of that many. From every
-sentence on, the shortest run of at least `MIN_SENTENCES` sentences and `MIN_WORDS` words is hashed. Equal runs are
-joined over all documents; a sentence goes if any run that is not the first of its kind covers it.
+A text is cut into sentences, and a sentence of more than `PART_WORDS` words into parts where its words say so: before a
+pair of words whose hash is the smallest of the `NEAR` pairs on either side. So a passage that is pasted into the middle
+of a sentence is cut alike wherever it stands. From every sentence on, the shortest run of at least `MIN_SENTENCES`
+sentences and `MIN_WORDS` words is hashed. Equal runs are joined over all documents; a sentence goes if any run that is
+not the first of its kind covers it.
 
 A document sends each of its distinct runs once, with the places where it comes back, so a line repeated thousands
 of times in one text is one row. Firsts are found by a partial aggregate, and runs meet their first in a plain
@@ -14,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,11 +28,28 @@ from lakemart.llm.common import WORD, fresh, stored
 MIN_SENTENCES = 2
 MIN_WORDS = 12
 PART_WORDS = 20
+# Pairs of words on either side that a cut is compared with. A part without a cut ends after `PART_WORDS` all the same.
+NEAR = 3
 SENTENCE_END = re.compile(r"\n|[.!?][\x20\x09-\x0D]+")
 WORDS = re.compile(WORD)
 TWO_LONGS = struct.Struct("<qq")
 
 
+def cuts(words: list[str]) -> list[int]:
+    """Where a long sentence is cut: numbers of words that begin a part, from 0 on."""
+    crcs = [zlib.crc32(w.encode()) for w in words]
+    pairs = [(a * 0x9E3779B1 ^ b * 0x85EBCA6B) * 0xC2B2AE35 >> 16 & 0xFFFFFFFF for a, b in zip(crcs, crcs[1:])]
+    found, i = [0], 1
+    while i < len(words):
+        if i < len(pairs) and pairs[i] == min(pairs[max(0, i - NEAR) : i + NEAR + 1]) and pairs[i] < min(pairs[max(0, i - NEAR) : i]):
+            found.append(i)
+            i += NEAR  # none of the next few can be the smallest
+        elif i - found[-1] >= PART_WORDS:
+            found.append(i)
+        i += 1
+    return found
+
+
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     """(begin, end, words) of each sentence or part; together they cover all words. Blank stretches go with the
     sentence before."""
@@ -45,10 +65,11 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
                 found[-1] = (found[-1][0], end, found[-1][2])
                 begin = end
             continue  # blanks before the first sentence go with it
-        for i in range(0, len(words), PART_WORDS):
-            part = words[i : i + PART_WORDS]
-            stop = words[i + PART_WORDS].start() if i + PART_WORDS < len(words) else end
-            found.append((begin, stop, [w[0] for w in part]))
+        plain = [w[0] for w in words]
+        starts = cuts(plain) if len(words) > PART_WORDS else [0]
+        for i, after in zip(starts, [*starts[1:], len(words)]):
+            stop = words[after].start() if after < len(words) else end
+            found.append((begin, stop, plain[i:after]))
             begin = stop
     return found
 
