@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions.measures import month_of
@@ -17,6 +21,29 @@ def missing_dates(source: DataFrame, target: DataFrame, column: str) -> DataFram
     return _dates(source, column).join(_dates(target, column), column, "left_anti")
 
 
+def missing_intervals(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
+    """The fewest intervals that hold all missing dates and no date that the target has: low, high, days.
+
+    Dates that neither side has do not end an interval. `days` counts the missing dates in it.
+    """
+    days = _dates(source, column).withColumn("s", F.lit(True)).join(
+        _dates(target, column).withColumn("t", F.lit(True)), column, "full"
+    )
+    # One row for each calendar day: missing dates with the same number of present ones before them are neighbours.
+    present = F.sum(F.when(F.col("t"), 1).otherwise(0)).over(Window.orderBy(column))
+    missing = days.withColumn("_island", present).where(F.col("t").isNull())
+    found = missing.groupBy("_island").agg(
+        F.min(column).alias("low"), F.max(column).alias("high"), F.count(F.lit(1)).alias("days")
+    )
+    return found.select("low", "high", "days")
+
+
+def within(column: str, intervals: Sequence[tuple[dt.date, dt.date]]) -> Column:
+    """Whether the date of `column` lies in one of the intervals. Literals, so that they reach the scan."""
+    day = F.col(column).cast("date")
+    return reduce(Column.__or__, [day.between(F.lit(a), F.lit(b)) for a, b in intervals], F.lit(False))
+
+
 def date_range(df: DataFrame, column: str) -> DataFrame:
     """One row: oldest and newest date."""
     day = F.col(column).cast("date")

@@ -116,6 +116,10 @@ class MartTable:
     def read(self) -> DataFrame:
         return self.stored().drop(PARTITION)
 
+    def _parts(self) -> DataFrame:
+        """The values of the partition column, as text."""
+        return partition_values(self.spark, self.name, PARTITION)
+
     def _part(self, day: Column) -> Column:
         return F.trunc(day.cast("date"), self.partition_unit)
 
@@ -135,7 +139,7 @@ class MartTable:
         if column != self.partition_on:
             return high_water_mark(rows, column)
         part = F.col(PARTITION).cast("date")
-        parts, newest = partition_values(self.spark, self.name, PARTITION).select(part.alias(PARTITION)), None
+        parts, newest = self._parts().select(part.alias(PARTITION)), None
         while True:
             # A partition may be left without rows by a crash between two swaps; then an older one has the mark.
             older = parts if newest is None else parts.where(F.col(PARTITION) < F.lit(newest))
@@ -167,7 +171,7 @@ class MartTable:
         among = part.isin([p for p in touched if p is not None])
         target = self.stored().where(among | part.isNull() if None in touched else among)
         merged = merge_upsert(target, source, keys, null_safe=null_safe, validate=validate, profile=size)
-        overwrite_partitions(merged, self.name, [PARTITION])
+        self._commit(merged)
 
     def replace_from(self, source: DataFrame, column: str, low: dt.date) -> None:
         """Replace everything from `low` on by `source`."""
@@ -192,8 +196,11 @@ class MartTable:
     def _swap(self, target: DataFrame, merged: DataFrame) -> None:
         """Put `merged` in the place of `target`, some partitions of this table, and drop those it leaves empty."""
         emptied = target.select(PARTITION).distinct().join(merged.select(PARTITION).distinct(), PARTITION, "left_anti")
-        stale = [row[0] for row in emptied.collect()]
+        self._commit(merged, [row[0] for row in emptied.collect()])
+
+    def _commit(self, merged: DataFrame, emptied: Sequence[object] = ()) -> None:
+        """Replace the partitions that occur in `merged`, and drop the `emptied` ones."""
         overwrite_partitions(merged, self.name, [PARTITION])
-        for part in stale:
+        for part in emptied:
             value = f"DATE'{part}'" if isinstance(part, dt.date) else part
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({PARTITION} = {value})")

@@ -4,14 +4,15 @@ import pytest
 from helpers import rows, ts
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lakemart.config import ConfigError, IncrementalConfig, Watermark
 from lakemart.functions.audit import without_audit
 from lakemart.operators import joins
-from lakemart.operators.backfill import find_gap, load_times_by_month, missing_dates
+from lakemart.operators.backfill import find_gap, load_times_by_month, missing_dates, missing_intervals, within
 from lakemart.operators.incremental import merge_upsert, replace_window, watermark_filter
 from lakemart.operators.joins import DuplicateKeyError
-from lakemart.plans.pipeline import backfill, run_incremental
+from lakemart.plans.pipeline import backfill, backfill_intervals, run_incremental
 from lakemart.sources.tables import MartTable
 
 D = dt.date
@@ -259,3 +260,39 @@ def test_full_refresh_removes_old_partitions(spark, mart):
     mart.replace(days(spark, D(2024, 1, 1), D(2024, 4, 1)))
     mart.replace(days(spark, D(2024, 4, 1), D(2024, 4, 2)))
     assert mart.read().count() == 2
+
+
+def dates_frame(spark, *days):
+    return spark.createDataFrame([(d, "a") for d in days], "d date, k string")
+
+
+def test_missing_intervals_are_the_fewest(spark):
+    source = dates_frame(spark, *[D(2024, 1, i) for i in (1, 2, 3, 5, 8, 9, 20, 21)], None)
+    target = dates_frame(spark, *[D(2024, 1, i) for i in (2, 9, 10)], None)
+    found = missing_intervals(source, target, "d")
+    # 4, 6 and 7 are in neither side, so 3 to 8 is one interval.
+    assert rows(found) == [(D(2024, 1, 1), D(2024, 1, 1), 1), (D(2024, 1, 3), D(2024, 1, 8), 3), (D(2024, 1, 20), D(2024, 1, 21), 2)]
+    assert rows(missing_intervals(source, source, "d")) == []
+    assert rows(missing_intervals(source.limit(0), target, "d")) == []
+
+
+def test_intervals_open_only_their_dates(spark, schema, mart):
+    days = [D(2023, 1, 1) + dt.timedelta(days=i) for i in range(0, 700, 10)]
+    raw = spark.createDataFrame([(d, "a", 1) for d in days], "d date, k string, n long")
+    raw.withColumn("day", F.col("d")).repartition(1).write.partitionBy("day").saveAsTable(f"{schema}.raw")
+    raw, opened = spark.table(f"{schema}.raw"), []
+
+    def within_days(intervals):
+        found = raw.where(within("day", intervals))
+        opened.append({f.split("day=")[1][:10] for f in found.inputFiles()})
+        return found
+
+    lacking = {days[3], days[4], days[60]}
+    run_incremental(mart, raw.where(~F.col("d").isin(list(lacking))), count_by_key, CONFIG)
+    done = backfill_intervals(mart, within_days, count_by_key, CONFIG, expected=raw)
+    assert done.intervals == ((days[3], days[4]), (days[60], days[60])) and done.low == days[3]
+    assert opened == [{str(d) for d in lacking}]
+    assert mart.read().count() == 70
+    assert backfill_intervals(mart, within_days, count_by_key, CONFIG, expected=raw) is None
+    with pytest.raises(ConfigError):
+        backfill_intervals(mart, within_days, count_by_key, CONFIG)
