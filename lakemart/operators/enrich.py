@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.measures import elapsed_seconds, in_units, percent_of, seconds_range
-from lakemart.operators.joins import lookup_join, profile_side
+from lakemart.operators.joins import HotKeys, hot_lookup_keys, lookup_join, profile_side
 from lakemart.operators.scd import join_as_of, require_disjoint
 
 # Output columns, in order.
@@ -76,22 +76,31 @@ def _columns(roles: Sequence[str]) -> list[str]:
 
 
 def enrich(
-    trips: DataFrame, zones: DataFrame, rules: TripRules = TripRules(), roles: Sequence[str] = ROLES
+    trips: DataFrame,
+    zones: DataFrame,
+    rules: TripRules = TripRules(),
+    roles: Sequence[str] = ROLES,
+    hot: Mapping[str, HotKeys] | None = None,
 ) -> DataFrame:
     """One row per kept trip with the zone and borough of both ends; an unknown zone gives nulls.
 
-    `roles` limits the lookups to the ends that are needed.
+    `roles` limits the lookups to the ends that are needed. Where the zones are too large to be broadcast, one pass over
+    the trips sketches the keys of all roles first; a stream of trips can pass the `hot` keys of a stored sketch.
     """
     profile = profile_side(zones, ["location_id"])
     rows = measured(trips, rules)
+    keys = {role: f"{role}_location_id" for role in roles}
+    if hot is None and not profile.broadcastable and not rows.isStreaming:
+        hot = hot_lookup_keys(rows, zones, list(keys.values()), "location_id")
     for role in roles:
         rows = lookup_join(
             rows,
             zones,
-            f"{role}_location_id",
+            keys[role],
             "location_id",
             {"zone_name": f"{role}_zone", "borough": f"{role}_borough"},
             profile,
+            hot=hot.get(keys[role]) if hot is not None else None,
         )
     return rows.select(*_columns(roles))
 

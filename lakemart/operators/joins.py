@@ -6,6 +6,7 @@ side is joined by shuffle, with the heaviest keys of the fact side spread over s
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -23,8 +24,13 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # LITERAL_KEYS hot keys are written into the plan; a longer list is joined as a table.
 HOT_ROWS = 1_000_000
 LITERAL_KEYS = 1_000
-# Rows of a stream cannot be counted ahead: every key of a stream is spread over so many salts.
+# Rows of a stream cannot be counted ahead: without a sketch of the keys, each is spread over so many salts.
 STREAM_SALTS = 8
+# Keys that a sketch keeps count of. A key is missed or overcounted by at most some 4 / SKETCH_ITEMS of all rows.
+SKETCH_ITEMS = 50_000
+
+# Hashes of hot keys, and the salts of each.
+HotKeys = Sequence[tuple[int, int]]
 
 
 class DuplicateKeyError(ValueError):
@@ -104,14 +110,50 @@ def hot_keys(df: DataFrame, key_hash: Column) -> DataFrame:
     return counts.where(F.col("_n") >= 2 * HOT_ROWS).select("_h", salts.cast("int").alias("_salts"))
 
 
+def key_sketches(df: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """Frequent-items sketches of several keys, in one pass over `df`: name, sketch; one row for each of `keys`.
+
+    A sketch has a fixed size. It can be stored, and sketches of parts of a table merge into that of the whole.
+    """
+    columns = {f"_s{i}": F.xxhash64(key) for i, key in enumerate(keys.values())}
+    made = df.select(*[h.alias(c) for c, h in columns.items()]).agg(
+        *[F.call_function("approx_top_k_accumulate", F.col(c), F.lit(SKETCH_ITEMS)).alias(c) for c in columns]
+    )
+    pairs = [F.struct(F.lit(name).alias("name"), F.col(c).alias("sketch")) for name, c in zip(keys, columns)]
+    return made.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch for each name out of several."""
+    combined = F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(SKETCH_ITEMS))
+    return sketches.groupBy("name").agg(combined.alias("sketch"))
+
+
+def hot_in(sketches: DataFrame) -> dict[str, HotKeys]:
+    """The hot keys of each name, with salts by their weight; at most `LITERAL_KEYS`, the heaviest."""
+    found = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(LITERAL_KEYS))
+    rows = sketches.select("name", found.alias("top")).collect()
+
+    def salts(n: int) -> int:
+        return 4 ** max(1, math.ceil(math.log(n / HOT_ROWS, 4) - 1e-9))
+
+    return {r["name"]: [(t["item"], salts(t["count"])) for t in r["top"] or () if t["count"] >= 2 * HOT_ROWS] for r in rows}
+
+
 def spread_hot_keys(
-    left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str]
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    hot: HotKeys | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Add `_jk0.. , _salt` to the left and `_rk0.. , _rsalt` to the right side.
 
     Joining on keys and salt gives the same pairs as joining on the keys alone: a hot left row gets one salt and
     the right rows of a hot key exist once per salt. The salt is the number of the input partition, which is the
     same when a lost task runs again and also splits groups of identical rows.
+
+    The hot keys are counted, or taken from `hot` if they are known from a sketch. A stream with neither spreads all.
     """
     pairs = [same_type(left, right, a, b) for a, b in zip(left_keys, right_keys)]
     left = left.withColumns({f"_jk{i}": a for i, (a, _) in enumerate(pairs)})
@@ -125,19 +167,22 @@ def spread_hot_keys(
     def copied(salts: Column) -> Column:
         return F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)
 
-    if left.isStreaming:
+    if left.isStreaming and hot is None:
         return left.withColumn("_salt", salted(F.lit(STREAM_SALTS))), right.withColumn(
             "_rsalt", F.explode(copied(F.lit(STREAM_SALTS)))
         )
-    hot = stable(hot_keys(left, left_hash))
-    # One row more than is allowed tells a long list from a short one.
-    listed = hot.limit(LITERAL_KEYS + 1).collect()
+    if hot is None:
+        hot_table = stable(hot_keys(left, left_hash))
+        # One row more than is allowed tells a long list from a short one.
+        listed = [(row["_h"], row["_salts"]) for row in hot_table.limit(LITERAL_KEYS + 1).collect()]
+    else:
+        listed = list(hot)
     if not listed:
         return left.withColumn("_salt", F.lit(0)), right.withColumn("_rsalt", F.lit(0))
-    if len(listed) <= LITERAL_KEYS:
+    if hot is not None or len(listed) <= LITERAL_KEYS:
         tiers: dict[int, list[int]] = {}
-        for row in listed:
-            tiers.setdefault(row["_salts"], []).append(row["_h"])
+        for key, n in listed:
+            tiers.setdefault(n, []).append(key)
 
         def salts(key_hash: Column) -> Column:
             found = F.lit(1)
@@ -148,8 +193,8 @@ def spread_hot_keys(
         return left.withColumn("_salt", salted(salts(left_hash))), right.withColumn(
             "_rsalt", F.explode(copied(salts(right_hash)))
         )
-    size = profile_side(hot, ["_h"])
-    table = F.broadcast(hot) if size.broadcastable else hot
+    size = profile_side(hot_table, ["_h"])
+    table = F.broadcast(hot_table) if size.broadcastable else hot_table
     a = left.withColumn("_lh", left_hash).join(table, F.col("_lh") == F.col("_h"), "left")
     b = right.withColumn("_lh", right_hash).join(table, F.col("_lh") == F.col("_h"), "left")
     a = a.withColumn("_salt", salted(F.coalesce("_salts", F.lit(1))))
@@ -166,9 +211,10 @@ def spread_join(
     *,
     null_safe: bool = False,
     residual: Column | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Shuffled `left` or `left_anti` join with hot left keys spread; drops the helper columns and right keys."""
-    a, b = spread_hot_keys(left, right, left_keys, right_keys)
+    a, b = spread_hot_keys(left, right, left_keys, right_keys, hot)
     b = b.drop(*right_keys)
     condition = F.col("_salt") == F.col("_rsalt")
     for i in range(len(left_keys)):
@@ -187,11 +233,12 @@ def lookup_join(
     dim_key: str,
     columns: Mapping[str, str],
     profile: SideProfile | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left join that adds `columns` (dimension name -> output name); unmatched facts get nulls.
 
     The dimension must have one row per key, else facts would multiply; that is checked. Pass `profile` to join
-    the same dimension in several roles without measuring it again.
+    the same dimension in several roles without measuring it again, and `hot` keys known from a sketch.
     """
     taken = {c.lower() for c in facts.columns}
     clash = [out for out in columns.values() if out.lower() in taken]
@@ -202,7 +249,13 @@ def lookup_join(
     if profile.broadcastable:
         lhs, rhs = same_type(facts, right, fact_key, "_lookup")
         return facts.join(F.broadcast(right), lhs == rhs, "left").drop("_lookup")
-    return spread_join(facts, right, [fact_key], ["_lookup"], "left")
+    return spread_join(facts, right, [fact_key], ["_lookup"], "left", hot=hot)
+
+
+def hot_lookup_keys(facts: DataFrame, dim: DataFrame, fact_keys: Sequence[str], dim_key: str) -> dict[str, HotKeys]:
+    """The hot keys of every role in which `facts` looks up `dim`, from one pass over `facts`."""
+    typed = {key: same_type(facts, dim.select(F.col(dim_key).alias("_lookup")), key, "_lookup")[0] for key in fact_keys}
+    return hot_in(key_sketches(facts, typed))
 
 
 def without_matches(

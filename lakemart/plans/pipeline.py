@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakemart.config import ConfigError, IncrementalConfig, Project, schema_name, table_name
 from lakemart.functions.audit import utc_now, with_audit
-from lakemart.operators.backfill import find_gap
+from lakemart.operators.backfill import find_gap, missing_intervals, within
 from lakemart.operators.enrich import MART_ROLES, TripRules, enrich, measured
 from lakemart.operators.incremental import from_date, window_start
 from lakemart.operators.marts import daily, daily_from_rollup, hourly, hourly_from_rollup, rollup
@@ -23,6 +23,7 @@ from lakemart.plans import trips as t
 from lakemart.session import stable
 from lakemart.sources.history import HistoryTable
 from lakemart.sources.ingest import EVENT_DATE, IngestConfig, IngestRun, ingest_files, start_ingest
+from lakemart.sources.published import PublishedMart
 from lakemart.sources.tables import (
     MartTable,
     as_view,
@@ -49,6 +50,8 @@ class ModelRun:
     model: str
     full: bool
     low: dt.date | None
+    # The dates that were reprocessed, if not all from `low` on.
+    intervals: tuple[tuple[dt.date, dt.date], ...] = ()
 
 
 def run_incremental(
@@ -119,6 +122,41 @@ def backfill(
     return run_incremental(mart, upstream, build, config, late_arrival_days=late_arrival_days, **options)
 
 
+def backfill_intervals(
+    mart: MartTable,
+    upstream: DataFrame | Callable[[Sequence[tuple[dt.date, dt.date]]], DataFrame],
+    build: Callable[[DataFrame], DataFrame],
+    config: IncrementalConfig,
+    *,
+    expected: DataFrame | None = None,
+    watermark_column: str | None = None,
+    unique_keys: bool = False,
+    audit: bool = True,
+    run_id: str | None = None,
+    now: dt.datetime | None = None,
+) -> ModelRun | None:
+    """Merge the dates that the mart lacks, and no others. None if it lacks none.
+
+    They become the fewest intervals, all built in one pass. An `upstream` function gets the intervals and can prune
+    its source by them; `expected` holds the dates to look for, by default those of an `upstream` frame. `build` must
+    make the rows of a date from that date's rows alone.
+    """
+    if not config.keys:
+        raise ConfigError(f"no merge keys configured for '{config.model}'")
+    column = config.resolve(watermark_column).column
+    if expected is None and callable(upstream):
+        raise ConfigError("an upstream function needs the expected dates")
+    # At most a row for every other calendar day.
+    found = missing_intervals(upstream if expected is None else expected, mart.read(), column).orderBy("low").collect()
+    intervals = tuple((row["low"], row["high"]) for row in found)
+    if not intervals:
+        return None
+    rows = upstream(intervals) if callable(upstream) else upstream
+    rows = build(rows.where(within(column, intervals)))
+    mart.upsert(with_audit(rows, config.model, run_id, now) if audit else rows, config.keys, validate=not unique_keys)
+    return ModelRun(config.model, False, intervals[0][0], intervals)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The trip warehouse of one environment. Layers map to schemas, e.g. `dev_marts`."""
@@ -156,10 +194,10 @@ class Warehouse:
         }
 
     def daily_mart(self) -> MartTable:
-        return MartTable(self.spark, self.table("marts", "fct_trips_daily"), partition_on="trip_date")
+        return PublishedMart(self.spark, self.table("marts", "fct_trips_daily"), partition_on="trip_date")
 
     def hourly_mart(self) -> MartTable:
-        return MartTable(self.spark, self.table("marts", "fct_trips_hourly"), partition_on="trip_date")
+        return PublishedMart(self.spark, self.table("marts", "fct_trips_hourly"), partition_on="trip_date")
 
     def zone_history(self) -> HistoryTable:
         return self.history("zones_snapshot")
@@ -206,13 +244,30 @@ class Warehouse:
         return keys <= set(config.keys)
 
     def backfill_daily(self, **options) -> ModelRun:
-        """Find the dates that the daily mart lacks and merge them, with everything after the oldest of them."""
+        """Find the dates that the daily mart lacks and merge them alone; dates between them are not opened.
+
+        With `late_arrival_days` everything from so many days before the newest date on is merged instead, and without
+        missing dates the configured lookback is.
+        """
         config, mart = self.project.incremental_for("fct_trips_daily"), self.daily_mart()
+        if options.get("late_arrival_days") is not None or not mart.exists():
+            return self.run_daily(**options)
         candidates = reduce(DataFrame.unionByName, [self._lacking(name, mart) for name in self.trip_sources])
         options = {"unique_keys": self._groups_by(config, DAILY_KEYS), **options}
-        return backfill(
-            mart, self._trips_from, self._build_daily, config, expected=measured(candidates, self.rules), **options
+        done = backfill_intervals(
+            mart, self._trips_within, self._build_daily, config, expected=measured(candidates, self.rules), **options
         )
+        return done or self.run_daily(**options)
+
+    def _trips_within(self, intervals: Sequence[tuple[dt.date, dt.date]]) -> DataFrame:
+        """Staged trips of all sources; of a raw table split by event date only the dates of the intervals."""
+
+        def staged(table: str) -> DataFrame:
+            raw = self.raw(table)
+            raw = raw.where(within(EVENT_DATE, intervals)) if EVENT_DATE in raw.columns else raw
+            return stage(raw, self.project.staging_for(table))
+
+        return reduce(DataFrame.unionByName, [staged(name) for name in self.trip_sources])
 
     def _lacking(self, table: str, mart: MartTable) -> DataFrame:
         """Staged trips that may fill dates which the mart lacks."""

@@ -18,19 +18,22 @@ from pyspark.sql import types as T
 
 from lakemart.config import DimensionConfig, FreshnessConfig, IncrementalConfig, StagingConfig
 from lakemart.functions.audit import with_audit, without_audit
-from lakemart.operators import backfill, incremental, marts, quality, reconcile, scd
+from lakemart.operators import backfill, incremental, marts, quality, ranking, reconcile, scd
 from lakemart.operators.enrich import MART_ROLES, ROLES, TripRules, enrich, enrich_as_of, measured
 from lakemart.operators.marts import DAILY_KEYS, HOURLY_KEYS, daily, daily_measures, hourly
 from lakemart.operators.staging import stage, union_sources
 from lakemart.plans import trips as t
 from lakemart.plans.pipeline import backfill as run_backfill
 from lakemart.plans.pipeline import Warehouse, run_incremental
+from lakemart.plans.pipeline import backfill_intervals as run_intervals
 from lakemart.session import scratch_path, stable
 from lakemart.sources.history import HistoryTable
 from lakemart.sources.ingest import IngestConfig, ingest_files
 from lakemart.sources.landed import RESCUED, load_reference_csv
+from lakemart.sources.published import PublishedMart
 from lakemart.sources.tables import MartTable, write_table
 from lakemart.streaming.live import (
+    LateRoute,
     event_time_daily,
     event_time_hourly,
     record_on_load,
@@ -47,6 +50,8 @@ EVENT_YELLOW = t.yellow_trips(as_of=dt.date(2024, 1, 29), since=dt.date(2024, 1,
 DAILY = IncrementalConfig("fct_trips_daily", "trip_date", t.LATE_ARRIVAL_DAYS, DAILY_KEYS)
 HOURLY = IncrementalConfig("fct_trips_hourly", "trip_date", t.LATE_ARRIVAL_DAYS, HOURLY_KEYS)
 # Load boundaries: what had arrived by the first and second run.
+GAPS = ((dt.date(1996, 3, 1), dt.date(1996, 3, 9)), (dt.date(1999, 5, 5), dt.date(1999, 6, 1)))
+LATE_DAY = dt.date(1997, 8, 8)
 FIRST_LOAD, SECOND_LOAD = dt.date(1998, 6, 30), dt.date(2000, 6, 30)
 LOAD_TIMES = (dt.datetime(2001, 7, 1), dt.datetime(2001, 7, 2))
 T1, T2, T3 = dt.datetime(1996, 1, 1), dt.datetime(1998, 1, 1), dt.datetime(2000, 1, 1)
@@ -422,6 +427,29 @@ def backfill_widened(spark, sf):
     return rounded(without_audit(mart.read()))
 
 
+def backfill_intervals(spark, sf):
+    """Two gaps years apart are filled. Trips of a date between them that came late are left alone."""
+    mart, build = Scratch(spark, "intervals").daily_mart(spark), staged_build(spark, sf)
+    trips, day = staged_trips(spark, sf), F.col("trip_date")
+    gaps = day.between(*GAPS[0]) | day.between(*GAPS[1])
+    late = (day == LATE_DAY) & (F.col("payment_type") == 1)
+    run_incremental(mart, trips.where(~gaps & ~late), build, DAILY)
+    run_intervals(mart, trips, build, DAILY)
+    return rounded(without_audit(mart.read()))
+
+
+def published_mart(spark, sf):
+    """Three loads and a refresh of a mart that is published by versions."""
+    scratch, build, day = Scratch(spark, "published"), staged_build(spark, sf), F.col("trip_date")
+    mart = PublishedMart(spark, scratch.table("fct_trips_daily"), partition_on="trip_date")
+    trips = staged_trips(spark, sf)
+    for landed in (day <= FIRST_LOAD, day <= SECOND_LOAD, F.lit(True)):
+        run_incremental(mart, trips.where(landed), build, DAILY)
+    run_incremental(mart, trips, build, DAILY, full_refresh=True)
+    run_incremental(mart, trips, build, DAILY)
+    return rounded(without_audit(spark.table(mart.name)))
+
+
 def full_refresh(spark, sf):
     """A mart that missed old trips, rebuilt from everything."""
     mart, build = Scratch(spark, "refresh").daily_mart(spark), staged_build(spark, sf)
@@ -676,6 +704,14 @@ def reconcile_tree(spark, sf):
     return reconcile.tree_diff(staged_trips(spark, sf), _corrected_trips(spark, sf), "trip_date", ["vendor_id", "pickup_at"])
 
 
+def zone_revenue_rank(spark, sf):
+    """Pickup zones by revenue in whole units, and by month, highest first; an unknown zone is a zone of its own."""
+    trips = enrich(staged_trips(spark, sf), staged_zones(spark, sf), DAYS)
+    revenue = F.floor(F.sum(F.col("total_amount").cast("decimal(18,2)")) / 100).cast("bigint")
+    zones = trips.groupBy(F.month("trip_date").alias("month"), "pickup_borough").agg(revenue.alias("revenue"))
+    return ranking.ranked(zones, [("month", False), ("revenue", True)], "revenue_rank", "revenue_dense_rank")
+
+
 def latest_rows(spark, sf):
     mart = with_audit(full_daily(spark, sf), "fct_trips_daily", "run-1", LOAD_TIMES[0])
     mart = mart.select("trip_date", "pickup_borough", "total_trips", "_loaded_at")
@@ -956,6 +992,28 @@ def stream_event_time(spark, sf):
     return rounded(mart.read())
 
 
+def stream_late_routed(spark, sf):
+    """An event-time mart whose older half lands last, weeks behind the watermark: it comes to equal the batch mart."""
+    scratch = Scratch(spark, "late-routed")
+    config = IngestConfig(
+        scratch.folder("landing"), scratch.table("events_raw"), EVENT_SCHEMA, scratch.folder("checkpoint"), "ts"
+    )
+    zones, mart = zones_from_customers(spark, sf), scratch.daily_mart(spark)
+
+    def enriched(raw):
+        return enrich(stage(trips_from_events(raw), EVENT_YELLOW), zones, roles=MART_ROLES)
+
+    route = LateRoute(config, mart, lambda raw: daily(enriched(raw)), scratch.table("events_late"))
+    events, newer = read(spark, sf, "events"), F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    for landed in (newer, ~newer):
+        events.where(landed).write.mode("append").parquet(config.landing)
+        ingest_files(spark, config, route.on_load)
+        stream = spark.readStream.schema(EVENT_SCHEMA).parquet(config.landing)
+        rows = event_time_daily(enriched(stream), "pickup_at", ["pickup_borough"], daily_measures())
+        start_event_time_mart(rows, mart, DAILY_KEYS, scratch.folder("stream"), late=route).awaitTermination()
+    return rounded(mart.read())
+
+
 def stream_event_time_hourly(spark, sf):
     """Hourly windows over the same stream, counting trips."""
     scratch = Scratch(spark, "event-hour")
@@ -993,6 +1051,8 @@ QUERIES: dict[str, Query] = {
     "late_arrival_in_window": late_arrival_in_window,
     "old_arrival_ignored": old_arrival_ignored,
     "backfill_widened": backfill_widened,
+    "backfill_intervals": backfill_intervals,
+    "published_mart": published_mart,
     "full_refresh": full_refresh,
     "hourly_incremental": hourly_incremental,
     "find_gap": find_gap,
@@ -1025,6 +1085,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_hash": reconcile_hash,
     "reconcile_numeric_types": reconcile_numeric_types,
     "reconcile_tree": reconcile_tree,
+    "zone_revenue_rank": zone_revenue_rank,
     "latest_rows": latest_rows,
     "ingest_idempotent": ingest_idempotent,
     "ingest_second_checkpoint": ingest_second_checkpoint,
@@ -1049,4 +1110,5 @@ QUERIES: dict[str, Query] = {
     "stream_daily_relabel": stream_daily_relabel,
     "stream_event_time": stream_event_time,
     "stream_event_time_hourly": stream_event_time_hourly,
+    "stream_late_routed": stream_late_routed,
 }

@@ -306,6 +306,11 @@ ORACLE: dict[str, str] = {
         ENRICHED, _daily("(SELECT * FROM enriched WHERE trip_date > DATE '2000-06-30')")
     ),
     "backfill_widened": _FULL_DAILY,
+    "backfill_intervals": _with(
+        ENRICHED,
+        _daily("(SELECT * FROM enriched WHERE NOT (trip_date = DATE '1997-08-08' AND payment_type = 1))"),
+    ),
+    "published_mart": _FULL_DAILY,
     "full_refresh": _FULL_DAILY,
     "hourly_incremental": _with(EVENTS, _HOURLY.format(rows="event_enriched")),
     "find_gap": _with(
@@ -429,6 +434,14 @@ ORACLE: dict[str, str] = {
         """SELECT (SELECT count(*) FROM trips) AS original_count, (SELECT count(*) FROM trips) AS generated_count,
                   true AS equal""",
     ),
+    "zone_revenue_rank": _with(
+        ENRICHED,
+        """SELECT *, RANK() OVER (ORDER BY month, revenue DESC) AS revenue_rank,
+                  DENSE_RANK() OVER (ORDER BY month, revenue DESC) AS revenue_dense_rank
+           FROM (SELECT CAST(month(trip_date) AS INTEGER) AS month, pickup_borough,
+                        CAST(floor(sum(CAST(total_amount AS DECIMAL(18,2))) / 100) AS BIGINT) AS revenue
+                 FROM enriched GROUP BY ALL)""",
+    ),
     "latest_rows": _with(
         ENRICHED,
         """SELECT trip_date, pickup_borough, count(*) AS total_trips, TIMESTAMP '2001-07-01' AS _loaded_at
@@ -499,6 +512,7 @@ ORACLE: dict[str, str] = {
     "stream_daily_relabel": """SELECT CAST(ts AS DATE) AS trip_date, 'n' || count(*) AS pickup_borough,
                                       count(*) AS total_trips FROM events GROUP BY 1""",
     "stream_event_time": _with(EVENTS, _daily("event_enriched")),
+    "stream_late_routed": _with(EVENTS, _daily("event_enriched")),
     "stream_event_time_hourly": _with(
         EVENTS,
         """SELECT trip_date, pickup_hour, pickup_borough, count(*) AS total_trips

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakemart.config import ConfigError, FreshnessConfig
 from lakemart.functions.audit import with_audit
+from lakemart.operators.joins import HotKeys, hot_in, key_sketches, merged_sketches
 from lakemart.operators.quality import TableTests, enforce, freshness, run_tests
 from lakemart.sources.ingest import EVENT_DATE, LOAD, IngestConfig, OnLoad
-from lakemart.sources.tables import MartTable, ensure_table, overwrite_partitions, partition_values
+from lakemart.sources.tables import MartTable, add_missing_columns, ensure_table, overwrite_partitions, partition_values
 
 
 def touched_dates(spark: SparkSession, config: IngestConfig, load: str) -> list[dt.date]:
@@ -45,17 +47,108 @@ def refresh_on_load(
         dates = touched_dates(spark, config, load)
         if not dates:
             return
-        target = mart.on(spark)
-        rows = spark.table(config.table).where(F.col(EVENT_DATE).isin(dates))
-        result = with_audit(build(rows), model)
-        if target.exists():
-            target.replace_dates(result, mart.partition_on, dates)
-        else:
-            target.replace(result)
+        recompute_dates(spark, config, mart, build, dates, model)
+
+    return on_load
+
+
+def sketch_on_load(config: IngestConfig, keys: Mapping[str, Column], sketches: str) -> OnLoad:
+    """A hook for `start_ingest`: keep a frequent-items sketch of each load's keys in the table `sketches`."""
+
+    def on_load(spark: SparkSession, load: str) -> None:
+        rows = spark.table(config.table).where(F.col(LOAD) == load)
+        made = key_sketches(rows, keys).withColumn(LOAD, F.lit(load))
+        ensure_table(spark, sketches, made.schema, [LOAD])
+        overwrite_partitions(made, sketches, [LOAD])
 
     return on_load
 
 
+def stored_hot_keys(spark: SparkSession, sketches: str) -> dict[str, HotKeys]:
+    """The hot keys by name, as of the loads sketched so far; for a stream over the same rows that starts now."""
+    spark.catalog.refreshTable(sketches)
+    return hot_in(merged_sketches(spark.table(sketches).drop(LOAD)))
+
+
+def recompute_dates(
+    spark: SparkSession,
+    config: IngestConfig,
+    mart: MartTable,
+    build: Callable[[DataFrame], DataFrame],
+    dates: Sequence[dt.date],
+    model: str | None = None,
+) -> None:
+    """Replace these dates of the mart by what all raw rows of them give. With `model`, audit columns are added."""
+    target = mart.on(spark)
+    rows = build(spark.table(config.table).where(F.col(EVENT_DATE).isin(list(dates))))
+    rows = with_audit(rows, model) if model else rows
+    if target.exists():
+        target.replace_dates(rows, mart.partition_on, dates)
+    else:
+        target.replace(rows)
+
+
+@dataclass(frozen=True)
+class LateRoute:
+    """What becomes of rows that an event-time mart drops because they are behind its watermark.
+
+    They go to the table `late`, by date and load, and their dates are recomputed from all raw rows, so the mart comes
+    to hold what a batch run would give. `on_load` is a hook for the ingest of the raw table, and `after_merge` one for
+    `start_event_time_mart`: a merge of a date that has late rows would bring back the state without them.
+
+    The newest event time of each load is kept in `<late>__newest`. A row is late if its date ended `lateness_days`
+    before the newest time of all loads up to its own; streams that read the same files in the same order have seen no
+    newer time, so every row that they drop is among these. `build` maps raw rows to mart rows, date by date.
+    """
+
+    config: IngestConfig
+    mart: MartTable
+    build: Callable[[DataFrame], DataFrame]
+    late: str
+    lateness_days: int = 3
+    model: str | None = None
+
+    def on_load(self, spark: SparkSession, load: str) -> None:
+        rows = spark.table(self.config.table).where(F.col(LOAD) == load)
+        newest = self._newest(spark, rows, load)
+        ensure_table(spark, self.late, rows.schema, [EVENT_DATE, LOAD])
+        add_missing_columns(spark, self.late, rows.schema)
+        if newest is None:
+            return
+        ended = F.date_sub(F.lit(newest).cast("date"), self.lateness_days + 1)
+        behind = rows.where(F.col(EVENT_DATE) <= ended)
+        for name in spark.table(self.late).columns:
+            if name not in behind.columns:
+                behind = behind.withColumn(name, F.lit(None))
+        overwrite_partitions(behind, self.late, [EVENT_DATE, LOAD])
+        self._recompute(spark, self._late_dates(spark, {LOAD: load}))
+
+    def after_merge(self, spark: SparkSession, dates: Sequence[dt.date]) -> None:
+        """Recompute those of the merged `dates` that have late rows."""
+        if spark.catalog.tableExists(self.late):
+            late = set(self._late_dates(spark))
+            self._recompute(spark, [d for d in dates if d in late])
+
+    def _newest(self, spark: SparkSession, rows: DataFrame, load: str) -> dt.datetime | None:
+        """The newest event time of all loads, this one included. One small row for each load is read."""
+        marks = f"{self.late}__newest"
+        kind = rows.schema[self.config.event_time].dataType
+        schema = T.StructType([T.StructField("newest", kind), T.StructField(LOAD, T.StringType())])
+        ensure_table(spark, marks, schema, [LOAD])
+        own = rows.agg(F.max(self.config.event_time).alias("newest")).withColumn(LOAD, F.lit(load))
+        overwrite_partitions(own, marks, [LOAD])
+        spark.catalog.refreshTable(marks)
+        return spark.table(marks).agg(F.max("newest").alias("newest")).first()["newest"]
+
+    def _late_dates(self, spark: SparkSession, within: dict[str, str] | None = None) -> list[dt.date]:
+        listed = partition_values(spark, self.late, EVENT_DATE, within)
+        return [row[0] for row in listed.select(F.col(EVENT_DATE).cast("date")).dropna().collect()]
+
+    def _recompute(self, spark: SparkSession, dates: Sequence[dt.date]) -> None:
+        if dates:
+            recompute_dates(spark, self.config, self.mart, self.build, dates, self.model)
+
+
 def check_on_load(
     config: IngestConfig,
     tests: TableTests,
@@ -110,7 +203,7 @@ def windowed(
     window: str = "1 day",
     lateness: str = "3 days",
 ) -> DataFrame:
-    """Tumbling event-time aggregate that drops rows later than `lateness`.
+    """Tumbling event-time aggregate that drops rows later than `lateness`; `LateRoute` brings them in.
 
     Grouping is by the window itself and not by its start, which would lose the watermark. The time is cast to an
     instant under the pinned session zone, as watermarks need one.
@@ -140,9 +233,18 @@ def event_time_hourly(
 
 
 def start_event_time_mart(
-    result: DataFrame, mart: MartTable, keys: Sequence[str], checkpoint: str, every: str | None = None
+    result: DataFrame,
+    mart: MartTable,
+    keys: Sequence[str],
+    checkpoint: str,
+    every: str | None = None,
+    late: LateRoute | None = None,
 ) -> StreamingQuery:
-    """Merge each micro-batch's changed groups into the mart (update mode). Replays merge the same rows again."""
+    """Merge each micro-batch's changed groups into the mart (update mode). Replays merge the same rows again.
+
+    Rows behind the watermark are dropped by the stream; with `late`, whose `on_load` must follow the ingest of the same
+    files, the mart gets them too.
+    """
 
     def merge(changed: DataFrame, batch: int) -> None:
         target = mart.on(changed.sparkSession)
@@ -150,6 +252,10 @@ def start_event_time_mart(
             target.upsert(changed, keys, validate=False)
         else:
             target.replace(changed)
+        if late:
+            # At most the dates that the watermark holds open.
+            days = changed.select(F.col(mart.partition_on).cast("date")).distinct().collect()
+            late.after_merge(changed.sparkSession, [row[0] for row in days])
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     writer = result.writeStream.outputMode("update").foreachBatch(merge)

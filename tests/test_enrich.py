@@ -197,3 +197,45 @@ def test_daily_mart_has_one_shuffle_and_partial_aggregation(trip, zones):
     plan = daily(enrich(trip({}), zones))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_sum" in plan
+
+
+# --- sketches of keys -----------------------------------------------------------------------------------------
+
+
+def test_sketches_merge_and_tell_hot_keys_by_weight(spark, tiny_bounds):
+    left = spark.range(0, 250, numPartitions=10).selectExpr("CASE WHEN id % 5 > 0 THEN 7L ELSE id END AS k", "'a' AS s")
+    right = spark.range(0, 30).selectExpr("8L AS k", "CAST(NULL AS STRING) AS s")
+    keys = {"k": F.col("k"), "s": F.col("s")}
+    parts = joins.key_sketches(left, keys).unionByName(joins.key_sketches(right, keys))
+    assert parts.count() == 4
+    hashes = {v: spark.range(1).select(F.xxhash64(F.lit(v).cast(t))).first()[0] for v, t in ((7, "bigint"), (8, "bigint"), ("a", "string"), (None, "string"))}
+    found = joins.hot_in(joins.merged_sketches(parts))
+    assert dict(found["k"]) == {hashes[7]: 64, hashes[8]: 4}
+    assert dict(found["s"]) == {hashes["a"]: 64, hashes[None]: 4}
+    assert joins.hot_in(joins.key_sketches(left.limit(0), keys)) == {"k": [], "s": []}
+
+
+def test_both_roles_are_sketched_in_one_pass(spark, trip, zones, tiny_bounds, monkeypatch):
+    trips = trip(*[{"pickup_location_id": 1 + i % 2, "dropoff_location_id": 3 if i % 4 else None} for i in range(80)])
+    want = rows(enrich(trips, zones))
+    passes = []
+    sketch = joins.key_sketches
+    monkeypatch.setattr(joins, "key_sketches", lambda df, keys: passes.append(list(keys)) or sketch(df, keys))
+    monkeypatch.setattr(joins, "hot_keys", lambda *args: pytest.fail("keys are counted a second time"))
+    found = enrich(trips, zones)
+    assert rows(found) == want and passes == [["pickup_location_id", "dropoff_location_id"]]
+
+
+def test_a_stream_splits_only_the_hot_keys_of_a_stored_sketch(spark, schema, tmp_path, tiny_bounds):
+    data = spark.range(0, 60, numPartitions=4).selectExpr("CASE WHEN id % 3 > 0 THEN 1L ELSE id END AS k")
+    data.write.parquet(str(tmp_path / "in"))
+    dim = spark.range(0, 60).selectExpr("id AS key", "concat('n', id) AS v")
+    hot = joins.hot_in(joins.key_sketches(data, {"k": F.col("k")}))["k"]
+    stream = spark.readStream.schema("k long").parquet(str(tmp_path / "in"))
+    _, right = spread_hot_keys(stream, dim, ["k"], ["key"], hot)
+    copies = {r["key"]: r["count"] for r in right.groupBy("key").count().collect()}
+    assert copies[1] == 4 and set(copies.values()) == {1, 4}
+    joined = lookup_join(stream, dim, "k", "key", {"v": "v"}, hot=hot)
+    query = joined.writeStream.format("memory").queryName("by_sketch").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows(spark.table("by_sketch")) == rows(data.selectExpr("k", "concat('n', k) AS v"))

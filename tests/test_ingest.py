@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from lakemart.config import ConfigError, FreshnessConfig
 from lakemart.functions.audit import without_audit
+from lakemart.operators import joins
 from lakemart.operators.marts import DAILY_KEYS, daily, daily_measures
 from lakemart.operators.quality import TableTests
 from lakemart.sources import ingest, landed, ledger
@@ -18,11 +19,14 @@ from lakemart.sources.landed import RESCUED, load_reference_csv, read_landed, re
 from lakemart.sources.ledger import LoadLedger
 from lakemart.sources.tables import MartTable
 from lakemart.streaming.live import (
+    LateRoute,
     check_on_load,
     event_time_daily,
     in_order,
     refresh_on_load,
+    sketch_on_load,
     start_event_time_mart,
+    stored_hot_keys,
 )
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampNTZType())])
@@ -366,3 +370,53 @@ def test_event_time_mart_drops_only_rows_beyond_the_lateness(spark, tmp_path, sc
         start_event_time_mart(result, mart, DAILY_KEYS, f"{tmp_path}/checkpoint").awaitTermination()
     whole = kept.selectExpr("*", "'Q' AS pickup_borough", "20.0D AS trip_duration_minutes", "1.0D AS tip_pct")
     assert rows(mart.read()) == rows(daily(whole).select(*mart.read().columns))
+
+
+def test_a_row_two_months_late_reaches_the_event_time_mart(spark, land, config, schema, tmp_path):
+    mart, measures = MartTable(spark, f"{schema}.per_day", partition_on="trip_date"), [F.count(F.lit(1)).alias("n")]
+    build = lambda raw: raw.groupBy(F.to_date("at").alias("trip_date")).agg(*measures)
+    route = LateRoute(config, mart, build, f"{schema}.late")
+
+    def step(name, *times):
+        land(name, [(i, t) for i, t in enumerate(times)])
+        ingest_files(spark, config, route.on_load)
+        stream = spark.readStream.schema(SCHEMA).parquet(config.landing)
+        result = event_time_daily(stream, "at", [], measures)
+        start_event_time_mart(result, mart, ["trip_date"], str(tmp_path / "stream"), late=route).awaitTermination()
+        return {str(d): n for d, n in rows(mart.read())}
+
+    june = ts("2024-06-10 10:00")
+    assert step("a", june, ts("2024-06-09 10:00")) == {"2024-06-10": 1, "2024-06-09": 1}
+    late = step("b", ts("2024-04-10 10:00"), ts("2024-06-09 11:00"), None)
+    assert late == {"2024-04-10": 1, "2024-06-09": 2, "2024-06-10": 1}
+    assert rows(spark.table(f"{schema}.late"), "at") == [(ts("2024-04-10 10:00"),)]
+    # More rows of the same late date, and rows that are on time.
+    assert step("c", ts("2024-04-10 12:00"), june, ts("2024-06-12 10:00")) == {
+        "2024-04-10": 2, "2024-06-09": 2, "2024-06-10": 2, "2024-06-12": 1,
+    }
+    assert spark.table(f"{schema}.late").count() == 2
+
+
+def test_a_merge_of_a_date_with_late_rows_recomputes_it(spark, land, config, schema):
+    mart = MartTable(spark, f"{schema}.per_day", partition_on="trip_date")
+    build = lambda raw: raw.groupBy(F.to_date("at").alias("trip_date")).agg(F.count(F.lit(1)).alias("n"))
+    route = LateRoute(config, mart, build, f"{schema}.late")
+    land("a", [(1, ts("2024-06-10 10:00")), (2, ts("2024-04-10 10:00")), (3, ts("2024-04-10 11:00"))])
+    ingest_files(spark, config, route.on_load)
+    # What a stream that runs behind would merge: a state without the late rows.
+    day = spark.createDataFrame([(ts("2024-04-10 00:00").date(), 0)], "trip_date date, n long")
+    mart.upsert(day, ["trip_date"])
+    route.after_merge(spark, [ts("2024-04-10 00:00").date(), ts("2024-06-10 00:00").date()])
+    assert rows(mart.read().where("trip_date = DATE'2024-04-10'"), "n") == [(2,)]
+
+
+def test_sketches_of_loads_are_kept_and_merged(spark, land, config, schema, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 3)
+    hook = sketch_on_load(config, {"id": F.col("id")}, f"{schema}.sketches")
+    land("a", [(7, DAY)] * 4 + [(1, DAY)])
+    ingest_files(spark, config, hook)
+    assert stored_hot_keys(spark, f"{schema}.sketches") == {"id": []}
+    land("b", [(7, DAY)] * 4 + [(2, DAY)])
+    ingest_files(spark, config, hook)
+    ((key, salts),) = stored_hot_keys(spark, f"{schema}.sketches")["id"]
+    assert salts == 4 and key == spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0]
