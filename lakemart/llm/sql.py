@@ -72,14 +72,23 @@ WITH split AS (
         WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
         WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
     FROM split
+), numbered AS (
+    SELECT *, ROW_NUMBER() OVER () AS n, string_split(host, '.') AS labels FROM ruled
+), listed AS (
+    SELECT host || path AS key FROM split WHERE page_id % 50 = 7
+    UNION SELECT host || '/' FROM split WHERE page_id % 500 = 7
+    UNION SELECT 'reported-' || page_id || '.example/' FROM split WHERE page_id % 50 = 7
+), asked AS (
+    SELECT n, UNNEST(list_append(list_transform(range(1, len(labels)),
+               lambda i: array_to_string(labels[i:], '.') || '/'), host || path)) AS key
+    FROM numbered WHERE host <> ''
+), found AS (
+    SELECT DISTINCT n FROM asked JOIN listed USING (key)
 )
 SELECT page_id, host, path, rule, CASE
-    WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
-    WHEN rule IS NOT NULL THEN 'block'
-    WHEN regexp_matches(host, '(^|\.)([^./]*-)?(ad|ads|adserver|banner|click|pixel|popup|track|tracker|tracking)(-[^./]*)?\.[^/]+$')
-        THEN 'block'
-    ELSE 'allow' END AS verdict
-FROM ruled
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL OR f.n IS NOT NULL THEN 'block' ELSE 'allow'
+    END AS verdict
+FROM numbered p LEFT JOIN found f ON p.n = f.n
 """
 
 OP11 = r"""

@@ -4,7 +4,8 @@ Level 0 of the cascade encodes the listed keys; level 1 the keys of the corpus t
 they are not; level 2 the listed keys that level 1 takes for those; and so on, until a level makes no mistake. All
 keys that the corpus can ask for are known, so every answer is exact, and a URL is judged without a join.
 
-The cascade is broadcast up to `MAX_BYTES`, a bound that is checked before it is built; a longer list is joined.
+A cascade of at most `MAX_BYTES`, which is reckoned before it is built, goes to all workers at once. A longer list is cut
+into slices by key hash, each with a cascade of its own, and the pages are judged slice after slice.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import fresh, stored
+from lakemart.llm.common import stored
 
 MAX_BYTES = 32 << 20
 # False positive rates: of level 0 it depends on how many keys are listed, see `first_rate`.
@@ -130,16 +131,29 @@ def _partial_bits(bits: int, hashes: int, batches: Iterator[pa.RecordBatch]) ->
             yield pa.RecordBatch.from_arrays([pa.array([i // size]), pa.array([part.tobytes()])], names=["chunk", "content"])
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One bitmap for each chunk out of those of all tasks."""
+    found: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            part = np.frombuffer(content, dtype=np.uint8)
+            found[chunk] = found[chunk] | part if chunk in found else part
+    contents = pa.array([c.tobytes() for c in found.values()], pa.binary())
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), contents], names=["chunk", "content"])
+
+
 def _level(keys: DataFrame, n: int, rate: float, number: int) -> Level:
     bits, hashes = shape(n, rate, number)
-    parts = keys.select("a", "b").mapInArrow(partial(_partial_bits, bits, hashes), "chunk long, content binary")
+    schema = "chunk long, content binary"
+    parts = keys.select("a", "b").mapInArrow(partial(_partial_bits, bits, hashes), schema)
+    # Bitmaps of tasks meet on executors, chunk by chunk; the level itself is all that reaches the driver.
+    parts = parts.repartition("chunk").mapInArrow(_together, schema)
     table = np.zeros(bits // 8 + 1, dtype=np.uint8)
     size = CHUNK_BITS // 8
-    # One bitmap for each chunk and task, none longer than the level itself.
     for row in parts.toLocalIterator():
         begin = row["chunk"] * size
         part = np.frombuffer(bytes(row["content"]), dtype=np.uint8)
-        table[begin : begin + len(part)] |= part
+        table[begin : begin + len(part)] = part
     return Level(bits, hashes, table.tobytes())
 
 
@@ -171,53 +185,54 @@ def cascade(universe: DataFrame) -> list[Level]:
     return levels
 
 
-def _any_listed(levels: list[Level], names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _any_listed(
+    levels: list[Level], slice_: int, slices: int, names: list[str], batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """Sets `found`, the last column, where one of the `keys` of this slice is listed."""
     for batch in batches:
-        keys = batch.column(batch.num_columns - 1)
-        flat = keys.flatten()
-        listed = contains(levels, *(flat.field(i).to_numpy() for i in (0, 1)))
-        ends = np.cumsum(listed)
+        place = batch.schema.get_field_index("keys")
+        keys = batch.column(place)
+        a, b = (keys.flatten().field(i).to_numpy() for i in (0, 1))
+        listed = np.zeros(len(a), dtype=bool)
+        mine = np.flatnonzero(a % slices == slice_)
+        listed[mine] = contains(levels, a[mine], b[mine])
         lengths = np.asarray(keys.value_lengths().fill_null(0))
         stops = np.cumsum(lengths)
-        total = np.concatenate([[0], ends])
-        found = total[stops] > total[stops - lengths]
+        total = np.concatenate([[0], np.cumsum(listed)])
+        found = (total[stops] > total[stops - lengths]) | batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], names=names)
 
 
 def judge(
-    pages: DataFrame, rules: Sequence[Rule], listed: Column, page_id: str = "page_id", url: str = "url"
+    pages: DataFrame, rules: Sequence[Rule], listed: DataFrame, page_id: str = "page_id", url: str = "url"
 ) -> DataFrame:
     """One row for each page: page_id, host, path, rule, verdict (allow or block).
 
-    The longest rule that fits decides. Else a page is blocked if one of its `url_keys` is listed. `listed` is a
-    condition on the column `key`, evaluated once for each distinct key of the corpus. Null urls have no keys and
-    are allowed. Repeated rows give repeated results; other columns are ignored.
+    The longest rule that fits decides. Else a page is blocked if one of its `url_keys` is in the list: the column `key`
+    of `listed`, in which null, repeated and never asked for keys do no harm. Null urls have no keys and are allowed, and so
+    are all pages without a rule if the list is empty. Urls are taken whole, of any length; repeated rows give repeated
+    results; other columns are ignored; an empty table of pages gives an empty result.
     """
     host, path = host_path(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), verdict.alias("ruled"), url_keys(F.col("host"), F.col("path")).alias("keys"))
-    universe = rows.select(F.explode("keys").alias("key")).distinct()
-    universe = stored(universe.select(listed.alias("listed"), key_hashes(F.col("key")).alias("h"), "key"), "universe")
+    keys = url_keys(F.col("host"), F.col("path"))
+    rows = rows.select("*", rule.alias("rule"), verdict.alias("ruled"), keys.alias("keys"))
+    asked = rows.select(F.explode("keys").alias("key"), F.lit(False).alias("listed"), F.lit(True).alias("asked"))
+    given = listed.where("key IS NOT NULL").select("key", F.lit(True).alias("listed"), F.lit(False).alias("asked"))
+    # One row for each key, partly counted before the shuffle; only keys that are asked for go into the cascade.
+    universe = asked.unionByName(given).groupBy("key").agg(F.max("listed").alias("listed"), F.max("asked").alias("asked"))
+    universe = universe.where("asked").select("listed", key_hashes(F.col("key")).alias("h"))
+    universe = stored(universe.select("listed", "h.a", "h.b"), "universe")
     counts = {r["listed"]: r["n"] for r in universe.groupBy("listed").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if expected_bytes(counts.get(True, 0), counts.get(False, 0)) > MAX_BYTES:
-        found = _joined(rows, universe)
-    else:
-        levels = cascade(universe.select("h.a", "h.b", "listed"))
-        hashed = rows.withColumn("keys", F.transform("keys", key_hashes))
-        names = ["page_id", "host", "path", "rule", "ruled", "found"]
-        kind = rows.schema["page_id"].dataType.simpleString()
-        schema = f"page_id {kind}, host string, path string, rule string, ruled string, found boolean"
-        found = hashed.mapInArrow(partial(_any_listed, levels, names), schema)
+    slices = max(1, -(-expected_bytes(counts.get(True, 0), counts.get(False, 0)) // MAX_BYTES))
+    names = ["page_id", "host", "path", "rule", "ruled", "keys", "found"]
+    found = rows.withColumns({"keys": F.transform("keys", key_hashes), "found": F.lit(False)}).select(*names)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)
+    for i in range(slices):
+        levels = cascade(universe.where(F.pmod("a", F.lit(slices)) == i))
+        found = found.mapInArrow(partial(_any_listed, levels, i, slices, names), schema)
+        if i < slices - 1:
+            found = stored(found, f"judged-{i}")
     own = F.when(F.col("found"), "block").otherwise("allow")
     return found.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"))
-
-
-def _joined(rows: DataFrame, universe: DataFrame) -> DataFrame:
-    """Beyond the broadcast bound: the distinct pages whose keys are listed, by joins."""
-    key, at = fresh(rows.columns, "key", "at")
-    names = universe.where("listed").select(F.col("key").alias(key))
-    pages = rows.select("host", "path", F.explode("keys").alias(key)).distinct()
-    hit = pages.join(names, key, "left_semi").select(F.col("host").alias("h"), F.col("path").alias("p")).distinct()
-    same = (F.col("host") == F.col("h")) & (F.col("path") == F.col("p"))
-    return rows.join(hit.withColumn(at, F.lit(True)), same, "left").withColumn("found", F.col(at).isNotNull())

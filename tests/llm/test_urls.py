@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from lakemart.llm import urls
 
 RULES = (urls.Rule("allow", "org", "/"), urls.Rule("block", "a.org", "/x"), urls.Rule("allow", "a.org", "/xy/"))
-LISTED = "key LIKE 'bad%.com/'"
+LISTED = ["bad.com/", "badly.com/", "bad.com/", None, "in.no.page/", "a.org/x", "good.de/", "É.com/nothing"]
 
 
 def judged(spark, pages, listed=LISTED):
-    listed = F.expr(listed)
+    listed = spark.createDataFrame([(k,) for k in listed], "key string")
     df = spark.createDataFrame(pages, "page_id long, url string, verdict string")
     return sorted((tuple(r) for r in urls.judge(df, RULES, listed).collect()), key=str)
 
@@ -31,13 +31,49 @@ WANT = [
 ]
 
 
-@pytest.mark.parametrize("limit", [urls.MAX_BYTES, 0])
+@pytest.mark.parametrize("limit", [urls.MAX_BYTES, 3])
 def test_judge(spark, monkeypatch, limit):
-    monkeypatch.setattr(urls, "MAX_BYTES", limit)  # 0: by joins
+    monkeypatch.setattr(urls, "MAX_BYTES", limit)  # 3: in slices
     assert judged(spark, PAGES) == sorted(WANT, key=str)
-    assert judged(spark, []) == []
-    assert {r[4] for r in judged(spark, PAGES[6:8], "false")} == {"allow"}
-    assert {r[4] for r in judged(spark, PAGES[6:8], "true")} == {"block"}
+    assert judged(spark, []) == [] and judged(spark, [], []) == []
+    assert {r[4] for r in judged(spark, PAGES[6:8], [])} == {"allow"}
+    assert {r[4] for r in judged(spark, PAGES[6:8], ["bad.com/p", "www.bad.com"])} == {"block"}
+    long = [(1, "http://x.com/" + "y" * 100_000, None), (2, "http://x.com/" + "y" * 99_999, None)]
+    assert [r[4] for r in judged(spark, long, ["x.com/" + "y" * 100_000])] == ["block", "allow"]
+
+
+def test_slices_judge_alike(spark, monkeypatch):
+    """Many slices, each with a cascade of its own, against plain membership; the list is not told by spelling."""
+    random = np.random.default_rng(4)
+    hosts = [f"h{i}.example{i % 7}.net" for i in range(400)]
+    pages = [(i, f"http://{hosts[random.integers(400)]}/p{random.integers(5)}", None) for i in range(3000)]
+    listed = [f"{h}/" for h in random.choice(hosts, 60, replace=False)] + [f"{h}/p3" for h in random.choice(hosts, 90)] + ["example3.net/"]
+    known = set(listed)
+
+    def blocked(url):
+        rest = url.split("://")[1]
+        host = rest.split("/")[0]
+        return rest in known or f"{host}/" in known or f"{host.split('.', 1)[1]}/" in known
+
+    want = {i: "block" if blocked(u) else "allow" for i, u, _ in pages}
+    built = []
+    cascade = urls.cascade
+    monkeypatch.setattr(urls, "cascade", lambda keys: built.append(cascade(keys)) or built[-1])
+    for limit in (urls.MAX_BYTES, 100):
+        monkeypatch.setattr(urls, "MAX_BYTES", limit)
+        built.clear()
+        assert {r[0]: r[4] for r in judged(spark, pages, listed)} == want
+        assert (len(built) > 1) == (limit == 100) and all(len(levels) > 1 for levels in built)
+
+
+def test_the_cascade_decides(spark, monkeypatch):
+    """Without its second level the cascade would block pages that are not listed."""
+    pages = [(i, f"http://h{i}.net/", None) for i in range(2000)]
+    listed = [f"h{i}.net/" for i in range(0, 2000, 9)]
+    right = judged(spark, pages, listed)
+    cascade = urls.cascade
+    monkeypatch.setattr(urls, "cascade", lambda keys: cascade(keys)[:1])
+    assert sum(r[4] == "block" for r in right) == len(listed) < sum(r[4] == "block" for r in judged(spark, pages, listed))
 
 
 @pytest.mark.parametrize("share", [0.0, 0.01, 0.5, 1.0])
