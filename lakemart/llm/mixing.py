@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import WORD, fresh, ranked, stored
 
+# Buckets that one task adds up.
+RANGE_BUCKETS = 4096
 BUCKET_ROWS = 512
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -117,9 +119,19 @@ def mix(
     buckets = F.ceil(F.col("source_rows") / BUCKET_ROWS)
     part = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / float(2**32))
     found = found.withColumn("bucket", part)
-    ahead = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # What lies before a bucket: the ranges of buckets before its own, and the buckets of its range before it. So a
+    # source that holds most rows is summed up by many tasks, and its ranges, one for two million rows, by one.
     offsets = found.groupBy("rank", "bucket").agg(F.sum("size").alias("bucket_size"))
-    offsets = offsets.select("rank", "bucket", F.coalesce(F.sum("bucket_size").over(ahead), F.lit(0)).alias("offset"))
+    offsets = offsets.withColumn("range", F.floor(F.col("bucket") / RANGE_BUCKETS))
+
+    def before(of: str, by: Window) -> Column:
+        return F.coalesce(F.sum(of).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    ranges = offsets.groupBy("rank", "range").agg(F.sum("bucket_size").alias("range_size"))
+    ranges = ranges.select("rank", "range", before("range_size", Window.partitionBy("rank").orderBy("range")).alias("earlier"))
+    within = before("bucket_size", Window.partitionBy("rank", "range").orderBy("bucket"))
+    offsets = offsets.withColumn("within", within).join(ranges, ["rank", "range"])
+    offsets = offsets.select("rank", "bucket", (F.col("earlier") + F.col("within")).alias("offset"))
     inside = Window.partitionBy("rank", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = found.join(offsets, ["rank", "bucket"]).withColumn(
         "begin", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))

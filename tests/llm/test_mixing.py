@@ -85,3 +85,12 @@ def test_plans_run_no_python(docs):
     for df in (mixing.mix(corpus(docs, 30)), mixing.mixed_texts(corpus(docs, 30))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_ranges_of_buckets_add_up(docs, monkeypatch):
+    """Positions do not depend on how many rows a bucket and how many buckets a range has."""
+    df = docs(*[(i, prose(i, 5 + i % 40), "ab"[i % 10 == 0]) for i in range(300)])
+    want = sorted(map(str, mixing.mix(df).collect()))
+    monkeypatch.setattr(mixing, "RANGE_BUCKETS", 3)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    assert sorted(map(str, mixing.mix(df).collect())) == want
