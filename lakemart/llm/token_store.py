@@ -29,6 +29,8 @@ BLOCK_BYTES = 4 << 20
 # The dictionary is trained on the first ids of so many documents, chosen by hash.
 SAMPLE_DOCS = 1_000
 SAMPLE_BYTES = 8 << 10
+# Characters that hold so many bytes of ids in any ordinary text.
+SAMPLE_CHARS = 8 * SAMPLE_BYTES
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 BLOCK = (
@@ -59,6 +61,9 @@ def _width(path: str, end_id: int) -> int:
 def train(docs: DataFrame, path: str, end_id: int, width: int) -> bytes:
     """A dictionary from a bounded sample: the first `SAMPLE_BYTES` of ids of `SAMPLE_DOCS` documents.
 
+    The sample is those of smallest hash. Only hashes are gathered to find it; then each task cuts and encodes the
+    beginnings of its own documents, and nothing longer than `SAMPLE_BYTES` leaves it.
+
     Fewer than a few documents cannot train one; their ids are then the dictionary, and no documents give none.
     """
     import zstandard
@@ -68,8 +73,13 @@ def train(docs: DataFrame, path: str, end_id: int, width: int) -> bytes:
             found = _ids(path, end_id, [t or "" for t in batch.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays([pa.array([_narrow(i, width)[:SAMPLE_BYTES] for i in found], pa.binary())], names=["ids"])
 
-    chosen = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_DOCS)
-    samples = [bytes(r["ids"]) for r in chosen.select("text").mapInArrow(run, "ids binary").collect()]
+    hashed = docs.select(F.xxhash64("doc_id", "text").alias("hash"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    cutoff = hashed.select("hash").orderBy("hash").limit(SAMPLE_DOCS).agg(F.max("hash").alias("hash")).first()["hash"]
+    if cutoff is None:
+        return b""
+    # Repeated rows share a hash, so there may be a few more of them.
+    chosen = hashed.where(F.col("hash") <= cutoff).select("text").mapInArrow(run, "ids binary")
+    samples = [bytes(r["ids"]) for r in chosen.orderBy("ids").limit(SAMPLE_DOCS).collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
