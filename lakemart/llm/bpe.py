@@ -124,7 +124,7 @@ def _encoded_in_pieces(long_docs: DataFrame, path: str, pattern: str, size: int,
             "doc_id", F.col("f_sha").alias("sha"), "copies", F.explode(_cut("text", "seams")).alias("cut")
         )
         pieces = pieces.select("doc_id", "sha", "copies", F.col("cut")["i"].alias("i"), F.col("cut")["piece"].alias("piece"))
-        pieces = pieces.repartition(F.xxhash64("sha", "i"))
+        pieces = chunks.dealt(pieces, F.xxhash64("sha", "i"))
         encoded = pieces.mapInArrow(run, f"doc_id {kind}, sha binary, copies long, i int, ids binary")
         # Repeated rows meet here; `copies` restores them. Then one row for each document, as long as its ids.
         once = encoded.groupBy("doc_id", "sha", "copies", "i").agg(F.first("ids").alias("ids"))

@@ -48,7 +48,13 @@ def pieces(docs: DataFrame, size: int, overlap: int) -> DataFrame:
         F.explode(F.transform(F.sequence(F.lit(0).cast("long"), last.cast("long")), cut)).alias("cut"),
     )
     rows = rows.select("doc_id", "sha", "cut.chunk", "cut.begin", "n_chars", "n_bytes", "cut.piece")
-    return rows.repartition(F.xxhash64("sha", "chunk"))
+    return dealt(rows, F.xxhash64("sha", "chunk"))
+
+
+def dealt(rows: DataFrame, key: Column) -> DataFrame:
+    """`rows` by `key` over as many tasks as a shuffle has: the work on a chunk takes far longer than its bytes tell, and
+    partitions without a number of their own would be put together by their bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def word_gaps(text: str, low: int, high: int) -> Iterator[int]:
