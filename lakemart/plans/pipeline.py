@@ -25,6 +25,7 @@ from lakemart.sources.history import HistoryTable
 from lakemart.sources.ingest import EVENT_DATE, IngestConfig, IngestRun, ingest_files, start_ingest
 from lakemart.sources.published import PublishedMart
 from lakemart.sources.tables import (
+    PARTITION,
     MartTable,
     as_view,
     ensure_schema,
@@ -34,7 +35,7 @@ from lakemart.sources.tables import (
     source,
     write_table,
 )
-
+from lakemart.sources.test_state import StoredTests
 
 DAILY_KEYS = {"trip_date", "pickup_borough"}
 HOURLY_KEYS = DAILY_KEYS | {"pickup_hour"}
@@ -319,19 +320,28 @@ class Warehouse:
         self.hourly_mart().replace(hourly_from_rollup(parts))
         return ModelRun(models[0], True, None), ModelRun(models[1], True, None)
 
-    def test(self, now: dt.datetime | None = None, low: dt.date | None = None) -> DataFrame:
-        """Run the declared tests of every table: one row per test. `low` limits the trips to dates from then on."""
-        mart, dim = self.daily_mart().read(), self.spark.table(self.table("marts", "dim_taxi_zones"))
+    def test(
+        self, now: dt.datetime | None = None, low: dt.date | None = None, only_changed: bool = False
+    ) -> DataFrame:
+        """Run the declared tests of every table: one row per test. `low` limits the trips to dates from then on.
+
+        With `only_changed`, of the daily mart the partitions are opened that changed since they were last tested so.
+        """
+        daily_mart, dim = self.daily_mart(), self.spark.table(self.table("marts", "dim_taxi_zones"))
         zones = self.staged("taxi_zone_lookup")
         parents = {"stg_zones": zones}
         suites = [
             (self.staged("yellow_trips_raw", low), t.STAGED_TRIP_TESTS),
             (zones, t.STAGED_ZONE_TESTS),
-            (mart, t.DAILY_TESTS),
             (self.zone_history().read(), t.HISTORY_TESTS),
             (dim, t.DIMENSION_TESTS),
         ]
         results = [run_tests(rows, tests, now, parents) for rows, tests in suites]
+        if only_changed:
+            state = StoredTests(self.spark, self.table("marts", "test_state_daily"), t.DAILY_TESTS)
+            results.append(state.run(daily_mart.stored(), PARTITION, daily_mart.stamps(), now))
+        else:
+            results.append(run_tests(daily_mart.read(), t.DAILY_TESTS, now))
         combined = results[0]
         for result in results[1:]:
             combined = combined.unionByName(result)
@@ -350,7 +360,7 @@ class Warehouse:
 
         Freshness is reported before the models run and stops nothing. The hourly mart is rebuilt unless
         `hourly_incremental` is set. Of the staged trips, the dates that this run reprocessed are tested; `test()`
-        covers all of them. The results are stored in the table `test_results` of the marts, one partition for each
+        covers all of them. Of the daily mart the partitions that changed are opened. The results are stored in the table `test_results` of the marts, one partition for each
         build, before a failure raises; `enforce_tests=False` only stores them.
         """
         now = now or utc_now()
@@ -367,7 +377,7 @@ class Warehouse:
         else:
             done["daily"] = self.run_daily(now=now)
             done["hourly"] = self.run_hourly(incremental=hourly_incremental)
-        done["tests"] = self._stored_tests(self.test(now, done["daily"].low), now)
+        done["tests"] = self._stored_tests(self.test(now, done["daily"].low, only_changed=True), now)
         if enforce_tests:
             enforce(done["tests"])
         return done

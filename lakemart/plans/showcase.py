@@ -31,7 +31,8 @@ from lakemart.sources.history import HistoryTable
 from lakemart.sources.ingest import IngestConfig, ingest_files
 from lakemart.sources.landed import RESCUED, load_reference_csv
 from lakemart.sources.published import PublishedMart
-from lakemart.sources.tables import MartTable, write_table
+from lakemart.sources.tables import PARTITION, MartTable, write_table
+from lakemart.sources.test_state import StoredTests
 from lakemart.streaming.live import (
     LateRoute,
     event_time_daily,
@@ -566,6 +567,19 @@ def scd2_as_of(spark, sf):
     return scd.join_as_of(orders, history, "o_custkey", "customer_id", "o_orderdate", {"segment": "segment"})
 
 
+def scd2_as_of_pruned(spark, sf):
+    """Orders of some years with the segment of their time, from the stored versions that held in these years."""
+    scratch = Scratch(spark, "pruned")
+    history = HistoryTable(spark, scratch.table("customers_snapshot"), scratch.folder("customers"))
+    for state, now in zip(customer_states(spark, sf), (T1, T2, T3)):
+        history.snapshot(state, CUSTOMERS, now)
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = orders.where(F.col("o_orderdate") >= F.lit(T2))
+    span = orders.agg(F.min("o_orderdate").cast("timestamp_ntz"), F.max("o_orderdate").cast("timestamp_ntz")).first()
+    versions = history.valid_between(*span)
+    return scd.join_as_of(orders, versions, "o_custkey", "customer_id", "o_orderdate", {"segment": "segment"})
+
+
 def scd1_upsert(spark, sf):
     """Changed customers overwrite; the others, and those not in the change set, stay."""
     first, second, _ = customer_states(spark, sf)
@@ -638,6 +652,18 @@ def dq_suite(spark, sf):
     return results[0].unionByName(results[1]).unionByName(results[2])
 
 
+def dq_incremental(spark, sf):
+    """The tests of the daily mart after three loads, each of which tests only the partitions it changed."""
+    scratch, build, day = Scratch(spark, "dq"), staged_build(spark, sf), F.col("trip_date")
+    mart = PublishedMart(spark, scratch.table("fct_trips_daily"), partition_on="trip_date")
+    state = StoredTests(spark, scratch.table("test_state"), t.DAILY_TESTS)
+    trips = staged_trips(spark, sf)
+    for landed in (day <= FIRST_LOAD, day <= SECOND_LOAD, F.lit(True)):
+        run_incremental(mart, trips.where(landed), build, DAILY)
+        results = state.run(mart.stored(), PARTITION, mart.stamps(), dt.datetime(2001, 1, 1))
+    return results
+
+
 def _handwritten_trips(spark, sf):
     """The staging model written out by hand, with its columns in another order."""
     raw = raw_trips(spark, sf)
@@ -1067,6 +1093,7 @@ QUERIES: dict[str, Query] = {
     "scd2_stored": scd2_stored,
     "scd2_current": scd2_current,
     "scd2_as_of": scd2_as_of,
+    "scd2_as_of_pruned": scd2_as_of_pruned,
     "scd1_upsert": scd1_upsert,
     "union_sources": union_of_sources,
     "dq_not_null": dq_not_null,
@@ -1079,6 +1106,7 @@ QUERIES: dict[str, Query] = {
     "dq_freshness": dq_freshness,
     "dq_freshness_with_future": dq_freshness_with_future,
     "dq_suite": dq_suite,
+    "dq_incremental": dq_incremental,
     "reconcile_counts": reconcile_counts,
     "reconcile_equal": reconcile_equal,
     "reconcile_diff": reconcile_diff,

@@ -166,7 +166,7 @@ def _gone(valid_to: str) -> str:
     return _states(f"SELECT * REPLACE (CAST({valid_to} AS TIMESTAMP) AS valid_to) FROM h1")
 
 
-def _suite() -> str:
+def _suite(only: str = "") -> str:
     def rows(table: str, test: str, relation: str, condition: str) -> str:
         return (
             f"SELECT '{table}' AS \"table\", '{test}' AS test, "
@@ -198,6 +198,7 @@ def _suite() -> str:
     ]
     doubled = "(SELECT trip_date, pickup_borough FROM mart GROUP BY ALL HAVING count(*) > 1)"
     parts.append(rows("fct_trips_daily", "unique_combination:trip_date,pickup_borough", doubled, "true"))
+    parts = [p for p in parts if p.startswith(f"SELECT '{only}")]
     return _with(ENRICHED, " UNION ALL ".join(parts), mart=_daily())
 
 
@@ -354,6 +355,12 @@ ORACLE: dict[str, str] = {
            FROM orders LEFT JOIN s1 ON s1.customer_id = o_custkey LEFT JOIN s2 ON s2.customer_id = o_custkey
            LEFT JOIN s3 ON s3.customer_id = o_custkey"""
     ),
+    "scd2_as_of_pruned": _states(
+        """SELECT o_orderkey, o_custkey, o_orderdate,
+                  CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN s3.segment ELSE s2.segment END AS segment
+           FROM orders LEFT JOIN s2 ON s2.customer_id = o_custkey LEFT JOIN s3 ON s3.customer_id = o_custkey
+           WHERE o_orderdate >= TIMESTAMP '1998-01-01'"""
+    ),
     "scd1_upsert": _states(
         """SELECT s1.customer_id,
                   CASE WHEN s2.segment = 'HOME' OR s1.nation_id < 5 THEN s2.segment ELSE s1.segment END AS segment,
@@ -397,6 +404,7 @@ ORACLE: dict[str, str] = {
               FROM (SELECT max(ts) AS max_loaded_at,
                            count(*) FILTER (WHERE ts > TIMESTAMP '2024-02-03') AS future_rows FROM events))""",
     "dq_suite": _suite(),
+    "dq_incremental": _suite("fct_trips_daily"),
     "reconcile_counts": _with(
         TRIPS,
         """SELECT (SELECT count(*) FROM trips) AS original_count,

@@ -52,7 +52,12 @@ class PublishedMart(MartTable):
         found = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
         if "rows" not in found:
             return None
-        return Shown(found["rows"], int(found["run"]), self._manifest(int(found["run"])))
+        # Numbers alone: a property whose text looks like a secret or an address is not shown.
+        return Shown(self._rows_table(int(found["rows"])), int(found["run"]), self._manifest(int(found["run"])))
+
+    def _rows_table(self, run: int) -> str:
+        """The table of rows that the full rebuild of this run wrote."""
+        return f"{self.name}__rows_{run}"
 
     @property
     def _manifests(self) -> str:
@@ -92,11 +97,16 @@ class PublishedMart(MartTable):
             return super()._parts()
         return self.spark.createDataFrame([(p,) for p in shown.versions], f"{PARTITION} string")
 
+    def stamps(self) -> dict[str | None, str]:
+        """Each partition, as text, with a stamp that changes whenever its rows do."""
+        shown = self._shown()
+        return {p: f"{shown.rows}:{v}" for p, v in shown.versions.items()} if shown else {}
+
     def replace(self, df: DataFrame) -> None:
         """Full rebuild. Until it is published, readers see the old rows; `df` may read them too."""
         before = self._shown()
         run = before.run + 1 if before else 1
-        rows = f"{self.name}__rows_{run}"
+        rows = self._rows_table(run)
         self.spark.sql(f"DROP TABLE IF EXISTS {rows}")  # of a refresh that died
         versioned = self._with_part(df).withColumn(VERSION, F.lit(run)).hint("rebalance", PARTITION)
         versioned.write.option(PER_PARTITION, "dynamic").partitionBy(PARTITION, VERSION).saveAsTable(rows)
@@ -156,8 +166,9 @@ class PublishedMart(MartTable):
         if plain:
             spark.sql(f"ALTER TABLE {self.name} RENAME TO {self.name}__before")
         columns = ", ".join(f"`{c}`" for c in spark.table(shown.rows).columns if c not in (PARTITION, VERSION))
+        rebuilt = shown.rows.rpartition("_")[2]
         spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('rows' = '{shown.rows}', 'run' = '{shown.run}') AS "
+            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('rows' = '{rebuilt}', 'run' = '{shown.run}') AS "
             f"SELECT {columns} FROM {shown.rows} WHERE {self._condition(shown.versions)}"
         )
         self._purge(shown, before)

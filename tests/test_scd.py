@@ -1,9 +1,11 @@
 import datetime as dt
+import re
 
 import pytest
 from helpers import rows, ts
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lakemart.config import ConfigError, DimensionConfig
 from lakemart.operators import enrich, joins, scd
@@ -11,6 +13,7 @@ from lakemart.operators.enrich import enrich_as_of
 from lakemart.operators.joins import DuplicateKeyError
 from lakemart.operators.scd import NullKeyError, current, join_as_of, scd1_upsert, snapshot
 from lakemart.plans import trips as t
+from lakemart.sources import history as history_module
 from lakemart.sources.history import HistoryTable
 
 CONFIG = DimensionConfig("dim", 2, "id", ["name"])
@@ -113,6 +116,48 @@ def test_a_run_that_died_before_publishing_leaves_no_trace(spark, schema, tmp_pa
     assert ordered(history.read()) == AFTER_T2
 
 
+def test_many_snapshots_leave_few_files_and_every_version(spark, schema, tmp_path, monkeypatch):
+    monkeypatch.setattr(history_module, "MERGE_SETS", 3)
+    history = HistoryTable(spark, f"{schema}.many", f"{tmp_path}/many")
+    expected, runs = [], 30
+    for i in range(runs):
+        now = T1 + dt.timedelta(days=9 * i)
+        assert history.snapshot(state(spark, (1, f"v{i}"), (2, "same")), CONFIG, now) == i + 1
+        expected.append((1, f"v{i}", now, now + dt.timedelta(days=9) if i < runs - 1 else None))
+        if i == runs - 3:
+            before = rows(history.read())
+    assert rows(history.read().where("id = 1"), "id", "name", "valid_from", "valid_to") == sorted(expected, key=lambda r: r[1])
+    assert len(history._sets(runs)) <= 2 * 4
+    folders = [d for d in (tmp_path / "many" / "slices").iterdir() if d.is_dir()]
+    assert len(folders) <= 2 * 4 + 4
+    # Times in the last two months: slices of versions that ended before are not opened.
+    low, high = T1 + dt.timedelta(days=9 * 25), T1 + dt.timedelta(days=9 * 27)
+    found = history.valid_between(low, high)
+    assert rows(found.where("id = 1"), "name") == [("v25",), ("v26",), ("v27",)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert any("_slice" in filters for filters in re.findall(r"PartitionFilters: \[([^]]*)\]", plan))
+    assert len(before) == runs - 1
+    history.restore(runs - 1)
+    assert len(rows(history.read())) == runs and history.run_number() == runs - 1
+
+
+def test_closed_versions_from_before_there_were_sets(spark, schema, tmp_path, states):
+    history = HistoryTable(spark, f"{schema}.old", f"{tmp_path}/old")
+    first = snapshot(None, states[0], CONFIG, T1)
+    versions = snapshot(first, states[1], CONFIG, T2)
+    for run, found in ((1, first), (2, versions)):
+        found.where("valid_to IS NULL").write.parquet(f"{tmp_path}/old/open/_run={run}")
+        found.where("valid_to IS NOT NULL").write.parquet(f"{tmp_path}/old/closed/_run={run}")
+    columns = ", ".join(versions.columns)
+    spark.sql(
+        f"CREATE VIEW {history.name} TBLPROPERTIES ('run' = '2') AS SELECT {columns} FROM parquet.`{tmp_path}/old/open` "
+        f"WHERE _run = 2 UNION ALL SELECT {columns} FROM parquet.`{tmp_path}/old/closed` WHERE _run <= 2"
+    )
+    assert history.snapshot(states[2], CONFIG, T3) == 3
+    assert ordered(history.read()) == AFTER_T3
+    assert rows(history.valid_between(T1, T1), "name", "id") == rows(history.read().where(F.col("valid_from") == T1), "name", "id")
+
+
 values = st.dictionaries(st.integers(1, 4), st.sampled_from(["a", "b", None]), max_size=4)
 
 
