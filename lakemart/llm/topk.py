@@ -1,13 +1,16 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 The dimensions are cut into `LISTS` groups; in each group a query has one score list over all candidates, and a
-candidate's score is the sum of its entries. Candidates lie in blocks, each with all lists of its rows.
+candidate's score is the sum of its entries.
 
-1. Gather: every block sends, for each query, the exact scores of the candidates at the top of its local lists.
-   The k-th best of all that is gathered is a lower bound of the final k-th score.
-2. Cutoff: a candidate that reaches the bound must reach, in one list at least, an equal share of what the bound
-   leaves above the lists' smallest entries. Blocks collect all entries above that share: no other candidate counts.
-3. Resolve: their missing entries are added, and those that reach the bound are kept; the k best remain.
+1. Gather: every block of candidates sends, for each query, the exact scores of the candidates at the top of its local
+   lists, and the smallest and largest entry of each list. The k-th best score of all that is gathered is a lower bound of the
+   final k-th score.
+2. Cutoff: a candidate that reaches the bound must reach, in one list at least, an equal share of what the bound leaves above
+   the lists' smallest entries. These shares go to the blocks with the queries. A list is multiplied again only for the
+   queries whose largest entry there reaches the share, and only entries that reach it count.
+3. Resolve: what these candidates lack, their entries in the other lists, is worked out for them alone. Those that
+   reach the bound are kept; the k best remain.
 
 Queries and candidates meet in blocks, query blocks against candidate blocks, as matrix products. The cutoffs go
 to the tasks with their query block, not to the driver. Of equal vectors only the k + 1 smallest ids can ever be in
@@ -110,17 +113,29 @@ def first_copies(rows: DataFrame, k: int) -> DataFrame:
     return once.join(keys.select("vec_id").distinct(), "vec_id", "left_semi")
 
 
-def _products(q: np.ndarray, c: np.ndarray, lists: int) -> list[np.ndarray]:
-    """The score list of each group of dimensions: queries by candidates. Whole numbers, exact."""
-    dim = q.shape[1]
-    bound = float((np.abs(q).max(initial=0) * np.abs(c).max(initial=0)) * dim)
+def _typed(q: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both matrices in the fastest type that is exact for their products; beyond doubles, Python integers."""
+    bound = float((np.abs(q).max(initial=0) * np.abs(c).max(initial=0)) * q.shape[1])
     kind = next((kind for limit, kind in EXACT if bound < limit), None)
-    if kind is None:  # beyond doubles: Python integers
-        q, c = (np.array([[int(v) for v in row] for row in m], dtype=object).reshape(m.shape) for m in (q, c))
-    else:
-        q, c = q.astype(kind), c.astype(kind)
+    if kind is None:
+        return tuple(np.array([[int(v) for v in row] for row in m], dtype=object).reshape(m.shape) for m in (q, c))
+    return q.astype(kind), c.astype(kind)
+
+
+def _lists(dim: int, lists: int) -> list[slice]:
+    """The dimensions of each list; vectors of no dimension have one empty list."""
     cuts = np.linspace(0, dim, min(lists, max(dim, 1)) + 1).astype(int)
-    return [q[:, a:b] @ c[:, a:b].T for a, b in zip(cuts, cuts[1:])]
+    return [slice(a, b) for a, b in zip(cuts, cuts[1:])]
+
+
+def _entries(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """One list: entries of queries by candidates."""
+    return q @ c.T
+
+
+def _missing(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Entries of pairs of rows."""
+    return (q * c).sum(axis=1)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -150,57 +165,83 @@ def _top(scores: np.ndarray, k: int) -> np.ndarray:
     return np.argpartition(scores, scores.shape[1] - k, axis=1)[:, -k:]
 
 
+GATHERED = "q_block long, c_block long, query_ids array<long>, best array<array<long>>, least array<array<long>>, most array<array<long>>"
+
+
 def _gather(k: int, lists: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Phase 1: scores of the local leaders of each list, and the smallest entry of each list."""
+    """Phase 1, a row for each pair of blocks: for each query the scores of the local leaders, and the ends of its lists."""
+    longs = pa.list_(pa.list_(pa.int64()))
     for row, q_ids, c_ids, q, c in _pairs(batches):
-        parts = _products(q, c, lists)
-        total = sum(parts) if parts else np.zeros((len(q_ids), len(c_ids)))
+        q, c = _typed(q, c)
+        parts = [_entries(q[:, s], c[:, s]) for s in _lists(row["dim"], lists)]
         # One more than k, for a query that meets itself.
-        leaders = np.concatenate([_top(p, k + 1) for p in (parts or [total])], axis=1)
-        out: tuple[list, list, list] = ([], [], [])
+        leaders = np.concatenate([_top(p, k + 1) for p in parts], axis=1)
+        best = []
         for i, query in enumerate(q_ids.tolist()):
             places = np.unique(leaders[i])
             places = places[c_ids[places] != query]
-            best = np.sort(total[i, places])[::-1][:k]
-            out[0].append(query)
-            out[1].append(_long(best).to_pylist())
-            out[2].append([_long(p[i].min(keepdims=True))[0].as_py() for p in parts])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array([row["q_block"]] * len(q_ids), pa.int64()), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.list_(pa.int64()))],
-            names=["query_id", "q_block", "best", "least"],
-        )
+            scores = sum(p[i, places] for p in parts)
+            best.append(_long(np.sort(scores)[::-1][:k]).to_pylist())
+        ends = [[_long(end(p)).to_pylist() for p in parts] for end in (lambda p: p.min(axis=1), lambda p: p.max(axis=1))]
+        least, most = (list(map(list, zip(*e))) for e in ends)
+        values = [[row["q_block"]], [row["c_block"]], [q_ids.tolist()], [best], [least], [most]]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), longs, longs, longs]
+        names = ["q_block", "c_block", "query_ids", "best", "least", "most"]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds)], names=names)
+
+
+def _sufficient(q, c, most: list[list], shares: list[list], lists: list[slice]) -> list[np.ndarray]:
+    """Phase 2: for each list the entries that reach the share, as (number of the query, place, entry), by the first two.
+
+    A list is multiplied only for queries whose largest entry in it, known from phase 1, reaches the share."""
+    found = []
+    for number, dims in enumerate(lists):
+        share = np.array([s[number] for s in shares], dtype=np.float64)
+        able = np.flatnonzero(np.array([m[number] for m in most], dtype=np.float64) >= share)
+        if not len(able):
+            found.append((np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, q.dtype)))
+            continue
+        part = _entries(q[able][:, dims], c[:, dims])
+        rows, places = np.nonzero(part >= share[able][:, None])
+        found.append((able[rows], places, part[rows, places]))
+    return found
+
+
+def _scores(q, c, found: list[tuple], lists: list[slice]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phase 3: the scores of the candidates found in any list: known entries, and the missing ones worked out."""
+    n = len(c)
+    keys = [i * n + places for i, places, _ in found]
+    every = np.unique(np.concatenate(keys))
+    i, places = every // max(n, 1), every % max(n, 1)
+    scores = np.zeros(len(every), dtype=q.dtype)
+    for dims, own, (_, _, entries) in zip(lists, keys, found):
+        at = np.searchsorted(every, own)
+        lacking = np.ones(len(every), dtype=bool)
+        lacking[at] = False
+        scores[at] += entries
+        scores[lacking] += _missing(q[i[lacking]][:, dims], c[places[lacking]][:, dims])
+    return i, places, scores
 
 
 def _resolve(k: int, lists: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Phases 2 and 3: entries above the uniform share, then the scores of their candidates."""
+    """Phases 2 and 3 for a pair of blocks: its own k best of each query among those that reach the bound."""
     for row, q_ids, c_ids, q, c in _pairs(batches):
         order = {query: i for i, query in enumerate(row["cut_ids"])}
         at = [order[query] for query in q_ids.tolist()]
-        bounds = [row["bounds"][i] for i in at]
-        shares = [row["shares"][i] for i in at]
-        parts = _products(q, c, lists)
-        total = sum(parts) if parts else np.zeros((len(q_ids), len(c_ids)))
-        out: tuple[list, list, list] = ([], [], [])
-        for i, query in enumerate(q_ids.tolist()):
-            if bounds[i] is None or total.dtype == object:  # fewer than k candidates in all: or numbers beyond doubles: every entry is sufficient
-                places = np.arange(len(c_ids))
-            else:
-                enough = np.zeros(len(c_ids), dtype=bool)
-                for part, share in zip(parts, shares[i]):
-                    enough |= np.asarray(part[i] >= share, dtype=bool)
-                places = np.flatnonzero(enough) if parts else np.arange(len(c_ids))
-            scores = total[i, places]
-            keep = c_ids[places] != query
-            if bounds[i] is not None and total.dtype != object:
-                keep &= np.asarray(scores >= bounds[i], dtype=bool)
-            places, scores = places[keep], scores[keep]
-            if len(places) > k:  # a block's own k best, ties to smaller ids
-                first = np.lexsort((c_ids[places], -scores))[:k] if scores.dtype != object else sorted(range(len(places)), key=lambda j: (-scores[j], c_ids[places[j]]))[:k]
-                places, scores = places[first], scores[first]
-            out[0].extend([query] * len(places))
-            out[1].extend(c_ids[places].tolist())
-            out[2].extend(_long(scores).to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], names=["query_id", "vec_id", "score"])
+        q, c = _typed(q, c)
+        dims = _lists(row["dim"], lists)
+        # `most` has the queries of the block in their order. With fewer than k candidates in all, or numbers beyond doubles, every entry is sufficient.
+        no_bound = [row["bounds"][i] is None or q.dtype == object for i in at]
+        low = [[-np.inf] * len(dims) if free else row["shares"][i] for i, free in zip(at, no_bound)]
+        i, places, scores = _scores(q, c, _sufficient(q, c, row["most"], low, dims), dims)
+        bounds = np.array([-np.inf if free else row["bounds"][n] for n, free in zip(at, no_bound)], dtype=np.float64)
+        keep = (scores >= bounds[i]).astype(bool) & (c_ids[places] != q_ids[i])
+        found = sorted(zip(i[keep].tolist(), (-scores[keep]).tolist(), c_ids[places[keep]].tolist()))
+        first = [0, *(j for j in range(1, len(found)) if found[j][0] != found[j - 1][0])]
+        ends = [*first[1:], len(found)]
+        kept = [f for a, b in zip(first, ends) for f in found[a : min(b, a + k)]]  # ties to smaller ids
+        values = [[int(q_ids[f[0]]) for f in kept], [f[2] for f in kept], _long(np.array([-f[1] for f in kept], dtype=q.dtype)).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], names=["query_id", "vec_id", "score"])
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, lists: int = LISTS) -> DataFrame:
@@ -208,7 +249,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, lists: int = LI
 
     Both tables hold vec_id and x, as `quantized` gives them. A query does not find the row with its own id; ties go
     to the smaller vec_id; fewer than k candidates are all returned. Vectors of other lengths than the query's are no
-    candidates. Repeated rows of one id count once. Scores beyond the range of a long take its end.
+    candidates. Repeated rows of one id count once. Scores beyond the range of a long take its end. Without queries or
+    without candidates the result is empty.
     """
     c_blocks = blocks(first_copies(candidates, k + 1), CANDIDATES_PER_BLOCK, "c")
     q_blocks = blocks(queries.dropDuplicates(["vec_id", "x"]), QUERIES_PER_BLOCK, "q")
@@ -219,14 +261,15 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, lists: int = LI
     def met(q: DataFrame) -> DataFrame:
         return q.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))).join(c_blocks, ["dim", "group"])
 
-    gathered = met(q_blocks).mapInArrow(partial(_gather, k, lists), "query_id long, q_block long, best array<long>, least array<long>")
-    gathered = stored(gathered, "gathered")
-    every = gathered.select("query_id", "q_block", F.explode_outer("best").alias("score"))
+    gathered = stored(met(q_blocks).mapInArrow(partial(_gather, k, lists), GATHERED), "gathered")
+    of_query = gathered.select("q_block", F.explode(F.arrays_zip("query_ids", "best", "least")).alias("of"))
+    of_query = of_query.select("q_block", F.col("of.query_ids").alias("query_id"), "of.best", "of.least")
+    every = of_query.select("query_id", "q_block", F.explode_outer("best").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id", "q_block").orderBy(F.col("score").desc_nulls_last()))
     bounds = every.withColumn("n", place).where(F.col("n") <= k).groupBy("query_id", "q_block").agg(
         F.when(F.count("score") == k, F.min("score")).alias("bound")
     )
-    least = gathered.select("query_id", "q_block", F.posexplode("least").alias("list", "least"))
+    least = of_query.select("query_id", "q_block", F.posexplode("least").alias("list", "least"))
     least = least.groupBy("query_id", "q_block", "list").agg(F.min("least").alias("least"))
     least = least.groupBy("query_id", "q_block").agg(F.sort_array(F.collect_list(F.struct("list", "least"))).alias("least"))
     floor = F.aggregate("least", F.lit(0).cast("decimal(38,0)"), lambda n, s: (n + s["least"]).cast("decimal(38,0)"))
@@ -238,6 +281,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, lists: int = LI
     # At most a block of queries in each row.
     cut = cut.groupBy("q_block").agg(F.collect_list("cut").alias("cuts"))
     cut = cut.select("q_block", F.col("cuts.query_id").alias("cut_ids"), F.col("cuts.bound").alias("bounds"), F.col("cuts.share").alias("shares"))
-    found = met(q_blocks.join(cut, "q_block")).mapInArrow(partial(_resolve, k, lists), "query_id long, vec_id long, score long")
+    ends = gathered.select("q_block", "c_block", "most")
+    pairs = met(q_blocks.join(cut, "q_block")).join(ends, ["q_block", "c_block"])
+    found = pairs.mapInArrow(partial(_resolve, k, lists), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

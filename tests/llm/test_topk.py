@@ -59,3 +59,57 @@ def test_awkward_vectors(spark):
 
 def test_a_query_alone_finds_nothing(spark):
     assert search(spark, [(5, [1.0], 0)], 3) == {}
+
+
+@pytest.fixture
+def two_blocks():
+    random = np.random.default_rng(7)
+    q, c = random.integers(-9, 9, (6, 8)).astype(float), random.integers(-9, 9, (40, 8)).astype(float)
+    lists = topk._lists(8, 2)
+    parts = [q[:, s] @ c[:, s].T for s in lists]
+    return q, c, lists, parts, [[int(p[i].max()) for p in parts] for i in range(6)]
+
+
+def test_only_sufficient_entries_are_collected(two_blocks):
+    q, c, lists, parts, most = two_blocks
+    shares = [[m - 20 for m in row] for row in most]
+    found = topk._sufficient(q, c, most, shares, lists)
+    for number, (i, places, entries) in enumerate(found):
+        want = {(a, b) for a, b in zip(*np.nonzero(parts[number] >= np.array(shares)[:, number, None]))}
+        assert set(zip(i.tolist(), places.tolist())) == {(int(a), int(b)) for a, b in want} and 0 < len(want) < 240
+        assert (entries == parts[number][i, places]).all()
+    i, places, scores = topk._scores(q, c, found, lists)
+    total = sum(parts)
+    assert (scores == total[i, places]).all()
+    assert set(zip(i.tolist(), places.tolist())) == {p for f in found for p in zip(f[0].tolist(), f[1].tolist())}
+
+
+def test_lists_that_cannot_reach_the_share_are_not_multiplied(two_blocks, monkeypatch):
+    q, c, lists, _, most = two_blocks
+    work = []
+    entries, missing = topk._entries, topk._missing
+    monkeypatch.setattr(topk, "_entries", lambda a, b: work.append(("list", len(a))) or entries(a, b))
+    monkeypatch.setattr(topk, "_missing", lambda a, b: work.append(("pairs", len(a))) or missing(a, b))
+    beyond = [[m + 1 for m in row] for row in most]
+    found = topk._sufficient(q, c, most, beyond, lists)
+    assert work == [] and all(len(f[0]) == 0 for f in found)
+    assert len(topk._scores(q, c, found, lists)[0]) == 0
+    work.clear()
+    # Two queries reach their share in the first list, with their largest entry; no query does in the second.
+    some = [[most[i][0] if i < 2 else most[i][0] + 1, most[i][1] + 1] for i in range(6)]
+    found = topk._sufficient(q, c, most, some, lists)
+    assert work == [("list", 2)]
+    i, _, scores = topk._scores(q, c, found, lists)
+    assert set(i.tolist()) == {0, 1} and ("pairs", len(scores)) in work
+
+
+def test_the_threshold_decides(spark, monkeypatch):
+    """Shares that are too high lose results: nothing else finds candidates."""
+    random = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in random.normal(size=8)], 0) for i in range(60)]
+    want = search(spark, rows, 5)
+    batches = []
+    monkeypatch.setattr(topk, "_resolve", lambda k, lists, b: iter(batches))
+    assert sum(map(len, want.values())) == 60  # twelve queries, five each
+    df = topk.quantized(spark.createDataFrame(rows, SCHEMA))
+    assert topk.top_k(df.where("vec_id % 5 = 0"), df, 5).count() == 0
