@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from compare import connect, differences
-from llm.conftest import SF
+from llm.conftest import AWKWARD, SF, prose
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -36,6 +36,26 @@ def test_query_covers_its_table(spark, name):
     assert found.columns[0] == "doc_id" and found.select("doc_id").distinct().count() == found.count()
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_awkward_documents(spark, docs, name, stage):
+    """Nulls in any column, empty and long texts, repeated rows, an empty table, and columns named like helpers."""
+    rows = docs(*AWKWARD, (20, "a@b.cc " + prose(9, 40), None), extra="1 AS node")
+    rows = rows.selectExpr("*", "'x' AS size", "CAST(NULL AS STRING) AS words", "2 AS rank")
+    found = stage(spark, rows, SF)
+    assert name == "encode_bytes" or found.columns == rows.columns
+    counts = {"near_dedup": 9, "redact_pii": 13, "encode_bytes": 13}
+    if name in counts:
+        assert found.count() == counts[name]
+    elif name == "quality_rules":
+        kept = {r["doc_id"] for r in found.collect()}
+        assert 4 in kept and not kept & {1, 2, 3, 9}
+    else:
+        texts = [r["text"] for r in found.collect()]
+        assert texts and all(t and t.split() for t in texts)
+    empty = stage(spark, rows.limit(0), SF)
+    assert empty.columns == found.columns and empty.count() == 0
+
+
 def test_pipeline_stages(spark):
     """Each stage against the operator it stands for, on what the stage before has kept."""
     docs, kept = read(spark, SF, "documents"), {}
