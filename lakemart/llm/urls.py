@@ -24,9 +24,12 @@ from lakemart.llm.common import stored
 
 MAX_BYTES = 32 << 20
 # False positive rates: of level 0 it depends on how many keys are listed, see `first_rate`.
-RATE = 0.5
+# A lower rate of the others means fewer levels, each of which is a round of jobs, and a larger cascade.
+RATE = 0.25
 # Bits that a task packs together before they are sent.
 CHUNK_BITS = 1 << 16
+# Bitmaps of all tasks of a level that are sent as they are; if they are more, they are merged on executors first.
+SENT_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -146,14 +149,16 @@ def _level(keys: DataFrame, n: int, rate: float, number: int) -> Level:
     bits, hashes = shape(n, rate, number)
     schema = "chunk long, content binary"
     parts = keys.select("a", "b").mapInArrow(partial(_partial_bits, bits, hashes), schema)
-    # Bitmaps of tasks meet on executors, chunk by chunk; the level itself is all that reaches the driver.
-    parts = parts.repartition("chunk").mapInArrow(_together, schema)
+    # There is a task for each file at most, or some for a large one. What they send together is bounded: else their
+    # bitmaps meet on executors, chunk by chunk, and the level itself is all that reaches the driver.
+    if len(keys.inputFiles()) * max(bits, CHUNK_BITS) // 8 > SENT_BYTES:
+        parts = parts.repartition("chunk").mapInArrow(_together, schema)
     table = np.zeros(bits // 8 + 1, dtype=np.uint8)
     size = CHUNK_BITS // 8
     for row in parts.toLocalIterator():
         begin = row["chunk"] * size
         part = np.frombuffer(bytes(row["content"]), dtype=np.uint8)
-        table[begin : begin + len(part)] = part
+        table[begin : begin + len(part)] |= part
     return Level(bits, hashes, table.tobytes())
 
 
