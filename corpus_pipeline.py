@@ -27,7 +27,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     table stays empty; further columns stay, whatever their names.
     """
     ship_package(spark)
-    return neardup.one_of_each(docs)
+    return neardup.one_of_each(docs, exhaustive=True)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,8 @@
    its `LONG_BANDS` finer bands. There each member names its `NEAREST` nearest of other classes; of two classes the
    `PAIR_EDGES` best edges are verified. This goes on while it finds links. The work grows with the members.
 6. With `exhaustive`, those buckets are then gone through all members with all, for pairs between two classes, until every
-   pair that agrees in `PLAUSIBLE` samples is in one class or was tested. This grows with the square of a bucket.
+   pair that agrees in `PLAUSIBLE` samples is in one class or was tested. This grows with the square of a bucket, in blocks of
+   bounded memory. The queries do this: it is the exact way for what the caps of steps 3 to 5 leave out.
 
 The weight of a shingle is its count times ln(1 + N / (df + N)). The smoothing by N keeps weights within a factor
 of 1.7: with less of it the shared text of a group of thousands of copies would weigh next to nothing against one
@@ -442,44 +443,47 @@ def _across(least: int, take: int, batches: Iterator[pa.RecordBatch]) -> Iterato
     key, rows = None, []
     out: list[tuple] = []
 
-    def work() -> None:
+    def flush() -> pa.RecordBatch:
+        columns = list(zip(*out)) or [[], [], []]
+        out.clear()
+        kinds = [pa.binary(), pa.binary(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["a", "b", "agree"])
+
+    def work() -> Iterator[pa.RecordBatch]:
         i, j = key[1:]
         numbers: dict[bytes, int] = {}
         kind = np.array([numbers.setdefault(r[3], len(numbers)) for r in rows])
+        if len(numbers) < 2:
+            return
         table = np.frombuffer(b"".join([r[2] for r in rows]), dtype=np.uint8).reshape(len(rows), -1)
         own = np.array([r[0] for r in rows])
-        more, pairs = False, {}
-        for v in range(len(rows)) if len(numbers) > 1 else ():
+        more = False
+        for v in range(len(rows)):
             others = np.flatnonzero((kind != kind[v]) & ((own != own[v]) | (i == j)))
             agree = (table[others] == table[v]).sum(axis=1)
             near = np.flatnonzero(agree >= least)
             if len(near) > take:
                 more = True
                 near = near[np.argpartition(agree[near], -take)[-take:]]
-            for u, n in zip(others[near].tolist(), agree[near].tolist()):
-                pairs[min(v, u), max(v, u)] = n
-        for (u, v), n in pairs.items():
-            out.append((*sorted((rows[u][1], rows[v][1])), n))
+            else:  # the other one names this pair too, unless it has more
+                near = near[(others[near] > v) | more]
+            out.extend((*sorted((rows[v][1], rows[u][1])), n) for u, n in zip(others[near].tolist(), agree[near].tolist()))
+            if len(out) > 10_000:  # all pairs of two blocks are too many to hold
+                yield flush()
         if more:
             out.append((None, None, None))
 
-    def flush() -> pa.RecordBatch:
-        columns = list(zip(*out)) or [[], [], []]
-        out.clear()
-        kinds = [pa.binary(), pa.binary(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["a", "b", "agree"])
-
     for batch in batches:
         for k, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
             if (k, i, j) != key:
                 if rows:
-                    work()
+                    yield from work()
                 key, rows = (k, i, j), []
             rows.append(row)
         if len(out) > 10_000:
             yield flush()
     if rows:
-        work()
+        yield from work()
     yield flush()
 
 
@@ -647,6 +651,23 @@ def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     return found.select(*nodes.columns, F.coalesce("of_class", "node").alias("class"))
 
 
+def relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, class once the edges a, b link the classes of `labels` (node, class).
+
+    Classes are joined, not their members: an edge is one between two classes, and those within a class are left out. So a
+    large class costs no more than a small one, however many edges made it."""
+    if labels is None:
+        return components(links)
+    one = _labelled(links.select(F.col("a").alias("node"), "b"), labels).select(F.col("class").alias("a"), F.col("b").alias("node"))
+    two = _labelled(one, labels).select("a", F.col("class").alias("b"))
+    linked = components(two.where(F.col("a") != F.col("b")).distinct())
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    alone = ends.join(labels.select("node"), "node", "left_anti").withColumn("class", F.col("node"))
+    side = _side(linked.select(F.col("node").alias("of"), F.col("class").alias("of_class")))
+    found = labels.unionByName(alone).join(side, F.col("class") == F.col("of"), "left")
+    return stored(found.select("node", F.coalesce("of_class", "class").alias("class")), "labels")
+
+
 def classes(
     docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text", exhaustive: bool = False
 ) -> DataFrame:
@@ -668,7 +689,7 @@ def classes(
     pool = stored(pool, "pool")
     needed = pool.select(F.col("a").alias("n")).union(pool.select(F.col("b").alias("n"))).distinct()
     texts = _texts(rows, firsts, needed)
-    links, labels, tested, take = None, None, None, 1
+    labels, tested, take = None, None, 1
     open_ = pool
     while not open_.isEmpty():
         ends = open_.select("a", "b", F.explode(F.array("a", "b")).alias("node"), "agree")
@@ -676,8 +697,7 @@ def classes(
         picked = stored(ends.withColumn("n", F.row_number().over(best)).where(F.col("n") <= take).select("a", "b").distinct(), "picked")
         tested = picked if tested is None else tested.union(picked)
         good = stored(verified(picked, texts, counts, least).select("a", "b"), "links")
-        links = good if links is None else links.union(good)
-        labels = components(links)
+        labels = relabelled(labels, good)
         one, two = (_side(labels.select(F.col("node").alias(f"{n}_node"), F.col("class").alias(f"{n}_class"))) for n in "ab")
         rest = open_.join(picked, ["a", "b"], "left_anti")
         rest = rest.join(one, F.col("a") == F.col("a_node"), "left").join(two, F.col("b") == F.col("b_node"), "left")
@@ -686,7 +706,7 @@ def classes(
         take *= 4
     def tried(pairs: DataFrame) -> bool:
         """Verify `pairs`, none of them tested before, and join the classes they link. Whether there are any links."""
-        nonlocal texts, links, labels, tested
+        nonlocal texts, labels, tested
         tested = pairs if tested is None else tested.union(pairs)
         # Members of parts that had no plausible pair inside them have not been looked up yet.
         ends = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
@@ -696,8 +716,7 @@ def classes(
         good = stored(verified(pairs, texts, counts, least).select("a", "b"), "links")
         if good.isEmpty():
             return False
-        links = good if links is None else links.union(good)
-        labels = components(links)
+        labels = relabelled(labels, good)
         return True
 
     def new(pairs: DataFrame) -> DataFrame:
@@ -735,14 +754,17 @@ def classes(
     return found.select("doc_id", "node", "class_id", "class_node", "n_texts")
 
 
-def one_of_each(docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text", exhaustive: bool = False
+) -> DataFrame:
     """The rows of `docs` that stand for their class: the one of smallest doc_id, with all its columns.
 
     A class without any id keeps one of its rows, and so does a class whose smallest id comes several times with equal
-    text. Null and empty texts are one class, of which one row stays. An empty table stays empty.
+    text. Null and empty texts are one class, of which one row stays. An empty table stays empty. `exhaustive`: as for
+    `classes`.
     """
     node, keep_node, keep_id = fresh(docs.columns, "node", "keep_node", "keep_id")
-    found = classes(docs, least, doc_id, text)
+    found = classes(docs, least, doc_id, text, exhaustive)
     chosen = found.groupBy("class_node").agg(F.first("class_id").alias(keep_id)).withColumnRenamed("class_node", keep_node)
     rows = docs.withColumn(node, F.unhex(F.md5(F.coalesce(text, F.lit("")))))
     same = (F.col(node) == F.col(keep_node)) & F.col(doc_id).eqNullSafe(F.col(keep_id))

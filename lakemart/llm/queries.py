@@ -20,7 +20,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neardup.classes(read(spark, sf_dir, "documents"))
+    found = neardup.classes(read(spark, sf_dir, "documents"), exhaustive=True)
     return found.select("doc_id", "class_id", "n_texts", (F.col("doc_id") == F.col("class_id")).alias("stays"))
 
 

@@ -3,11 +3,12 @@
 import random
 from itertools import combinations
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from llm.conftest import AWKWARD, WORDS, prose
 
-from lakemart.llm import neardup
+from lakemart.llm import neardup, queries
 
 
 def edited(text, changes, seed):
@@ -172,3 +173,41 @@ def test_components(spark):
     random.Random(1).shuffle(chain)
     found = {bytes(r["node"]): bytes(r["class"]) for r in neardup.components(spark.createDataFrame(chain, "a binary, b binary")).collect()}
     assert set(found.values()) == {b"\x0a", b"\x01"} and len(found) == 54 and found[b"\x3c"] == b"\x0a"
+
+
+@pytest.mark.parametrize("stage", [False, True])
+def test_the_queries_test_every_plausible_pair(spark, docs, monkeypatch, stage):
+    """Parts of ten members and finer bands that name nobody: what the caps leave out is found by going through all."""
+    monkeypatch.setattr(neardup, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(neardup, "LONG_LEAST", neardup.LONG_HASHES + 1)
+    rows = family(1, 100, 30)
+    df = docs(*rows)
+    want = by_hand(rows, neardup.sketch(df))
+    kept = corpus_pipeline.near_dedup(spark, df, "") if stage else neardup.one_of_each(df, exhaustive=True)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
+    if not stage:
+        monkeypatch.setattr(queries, "read", lambda *_: df)
+        assert {r["doc_id"]: r["class_id"] for r in queries.op1_weighted_minhash(spark, "").collect()} == want
+
+
+def test_across_names_every_pair_once_unless_there_are_more(spark):
+    sigs = np.zeros((40, neardup.HASHES), dtype=np.uint8)
+    members = [(7, bytes([i]), s.tobytes(), bytes([i % 20])) for i, s in enumerate(sigs)]
+    df = spark.createDataFrame(members, "key long, node binary, sig binary, class binary")
+    pairs = [(i, j) for i, j in combinations(range(40), 2) if i % 20 != j % 20]
+    every = [(r["a"][0], r["b"][0]) for r in neardup.edges_across(df, 100).collect()]
+    assert sorted(every) == pairs
+    some = [r["a"] for r in neardup.edges_across(df, 2).collect()]
+    assert None in some and 40 <= len(some) <= 81
+
+
+def test_only_classes_are_joined(spark, monkeypatch):
+    joined = []
+    components = neardup.components
+    monkeypatch.setattr(neardup, "components", lambda edges: joined.append(edges.count()) or components(edges))
+    node = lambda i: bytes([i])
+    frame = lambda pairs, names: spark.createDataFrame([(node(a), node(b)) for a, b in pairs], f"{names[0]} binary, {names[1]} binary")
+    labels = frame([(i, 1 if i < 50 else 50) for i in range(1, 60)], ("node", "class"))
+    links = frame([(i, i + 1) for i in range(1, 49)] + [(i, 59) for i in range(2, 40)] + [(0, 58), (70, 71)], "ab")
+    found = {r["node"][0]: r["class"][0] for r in neardup.relabelled(labels, links).collect()}
+    assert found == {**{i: 0 for i in range(60)}, 70: 70, 71: 70} and joined == [3]
