@@ -168,9 +168,9 @@ def spread_hot_keys(
         return F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)
 
     if left.isStreaming and hot is None:
-        return left.withColumn("_salt", salted(F.lit(STREAM_SALTS))), right.withColumn(
-            "_rsalt", F.explode(copied(F.lit(STREAM_SALTS)))
-        )
+        # Spark's estimate of the right side does not see its copies, and would broadcast all of them to each task.
+        copies = right.withColumn("_rsalt", F.explode(copied(F.lit(STREAM_SALTS)))).hint("merge")
+        return left.withColumn("_salt", salted(F.lit(STREAM_SALTS))), copies
     if hot is None:
         hot_table = stable(hot_keys(left, left_hash))
         # One row more than is allowed tells a long list from a short one.

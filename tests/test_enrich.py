@@ -239,3 +239,17 @@ def test_a_stream_splits_only_the_hot_keys_of_a_stored_sketch(spark, schema, tmp
     query = joined.writeStream.format("memory").queryName("by_sketch").trigger(availableNow=True).start()
     query.awaitTermination()
     assert rows(spark.table("by_sketch")) == rows(data.selectExpr("k", "concat('n', k) AS v"))
+
+
+def test_copies_of_a_side_that_is_too_large_are_not_broadcast_to_a_stream(spark, tmp_path, capsys):
+    spark.range(20).select(F.col("id").alias("k")).write.parquet(f"{tmp_path}/in")
+    dim = spark.range(5).select(F.col("id").alias("d"), F.concat(F.lit("n"), F.col("id")).alias("name"))
+    large = joins.SideProfile(joins.BROADCAST_ROWS + 1, 0, 1, ("d",))
+    stream = spark.readStream.schema("k long").parquet(f"{tmp_path}/in")
+    found = lookup_join(stream, dim, "k", "d", {"name": "name"}, large)
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    query = found.writeStream.format("memory").queryName("copies").trigger(availableNow=True)
+    query.option("checkpointLocation", f"{tmp_path}/checkpoint").start().awaitTermination()
+    assert rows(spark.table("copies")) == rows(spark.createDataFrame([(i, f"n{i}" if i < 5 else None) for i in range(20)], "k long, name string"))
