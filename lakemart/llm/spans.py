@@ -7,8 +7,9 @@ sentences and `MIN_WORDS` words is hashed. Equal runs are joined over all docume
 not the first of its kind covers it.
 
 A document sends each of its distinct runs once, with the places where it comes back, so a line repeated thousands
-of times in one text is one row. Firsts are found by a partial aggregate, and runs meet their first in a plain
-equi-join with one row for each repeated run: no pairs of documents are made.
+of times in one text is one row. Equal runs meet once, ranked by document, and all but the first go: nothing is stored,
+and no pairs of documents are made. A task that sees a run in several documents sends one of them to that meeting, so a run
+that very many documents share does not gather there.
 """
 
 from __future__ import annotations
@@ -19,17 +20,21 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import WORD, fresh, stored
+from lakemart.llm.common import WORD, fresh
 
 MIN_SENTENCES = 2
 MIN_WORDS = 12
 PART_WORDS = 20
 # Pairs of words on either side that a cut is compared with. A part without a cut ends after `PART_WORDS` all the same.
 NEAR = 3
+# Runs that a worker holds, and among which it finds firsts.
+RUNS_AT_ONCE = 100_000
 SENTENCE_END = re.compile(r"\n|[.!?][\x20\x09-\x0D]+")
 WORDS = re.compile(WORD)
 TWO_LONGS = struct.Struct("<qq")
@@ -37,11 +42,13 @@ TWO_LONGS = struct.Struct("<qq")
 
 def cuts(words: list[str]) -> list[int]:
     """Where a long sentence is cut: numbers of words that begin a part, from 0 on."""
-    crcs = [zlib.crc32(w.encode()) for w in words]
-    pairs = [(a * 0x9E3779B1 ^ b * 0x85EBCA6B) * 0xC2B2AE35 >> 16 & 0xFFFFFFFF for a, b in zip(crcs, crcs[1:])]
+    crcs = np.array([zlib.crc32(w.encode()) for w in words], dtype=np.uint64)
+    mixed = (crcs[:-1] * np.uint64(0x9E3779B1) ^ crcs[1:] * np.uint64(0x85EBCA6B)) * np.uint64(0xC2B2AE35)
+    pairs = (mixed >> np.uint64(16) & np.uint64(0xFFFFFFFF)).tolist()
     found, i = [0], 1
     while i < len(words):
-        if i < len(pairs) and pairs[i] == min(pairs[max(0, i - NEAR) : i + NEAR + 1]) and pairs[i] < min(pairs[max(0, i - NEAR) : i]):
+        # Most pairs are larger than the one before, which is told first.
+        if i < len(pairs) and pairs[i] < pairs[i - 1] and pairs[i] < min(pairs[max(0, i - NEAR) : i]) and pairs[i] == min(pairs[i : i + NEAR + 1]):
             found.append(i)
             i += NEAR  # none of the next few can be the smallest
         elif i - found[-1] >= PART_WORDS:
@@ -59,17 +66,24 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
         ends.append(len(text))
     begin = 0
     for end in ends:
-        words = list(WORDS.finditer(text, begin, end))
+        words = WORDS.findall(text, begin, end)
         if not words:
             if found:
                 found[-1] = (found[-1][0], end, found[-1][2])
                 begin = end
             continue  # blanks before the first sentence go with it
-        plain = [w[0] for w in words]
-        starts = cuts(plain) if len(words) > PART_WORDS else [0]
-        for i, after in zip(starts, [*starts[1:], len(words)]):
-            stop = words[after].start() if after < len(words) else end
-            found.append((begin, stop, plain[i:after]))
+        if len(words) <= PART_WORDS:
+            found.append((begin, end, words))
+            begin = end
+            continue
+        starts, at = [], begin
+        for w in words:  # white space alone lies between two words
+            starts.append(text.index(w, at))
+            at = starts[-1] + len(w)
+        first = cuts(words)
+        for i, after in zip(first, [*first[1:], len(words)]):
+            stop = starts[after] if after < len(words) else end
+            found.append((begin, stop, words[i:after]))
             begin = stop
     return found
 
@@ -89,24 +103,50 @@ def runs(parts: list[tuple[int, int, list[str]]]) -> Iterator[tuple[int, int, by
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct runs of each document: doc_id, t, a, b (the hash), i, n, again (further places in the same document).
+
+    Documents are taken in the order of id and hash, so of a few that share a run the first is known at once: the others
+    lose the hash, which need not be compared any more. A document of which a copy precedes it is left out."""
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
+    names = ["doc_id", "t", "a", "b", "i", "n", "again"]
     for batch in batches:
         places: list[int] = []
         columns: list[list] = [[] for _ in kinds]
-        for row, value in enumerate(batch.column(2)):
+        known: set[bytes] = set()
+
+        def flush() -> pa.RecordBatch:
+            at = pa.array(places, pa.int64())
+            arrays = [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c, k) for c, k in zip(columns, kinds))]
+            for held in (places, known, *columns):
+                held.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+
+        ids = batch.schema.field(0).type
+        ordered = not (pa.types.is_nested(ids) or pa.types.is_floating(ids))  # those that Arrow orders as Spark does
+        order = range(batch.num_rows)
+        if ordered:
+            keys = [(name, "ascending") for name in batch.schema.names[:2]]
+            order = pc.sort_indices(batch, sort_keys=keys, null_placement="at_start").to_pylist()
+        before = None
+        for row in order:
+            here = [batch.column(i)[row].as_py() for i in (0, 1)]
+            if here == before:
+                continue
+            before = here
             seen: dict[bytes, int] = {}
-            for i, n, key in runs(sentences(value.as_py() or "")):
+            for i, n, key in runs(sentences(batch.column(2)[row].as_py() or "")):
                 if key in seen:
                     columns[4][seen[key]].append(i)
                     continue
                 seen[key] = len(places)
                 places.append(row)
-                for column, x in zip(columns, (*TWO_LONGS.unpack(key), i, n, [])):
+                for column, x in zip(columns, (*((None, None) if key in known else TWO_LONGS.unpack(key)), i, n, [])):
                     column.append(x)
-        at = pa.array(places, pa.int64())
-        arrays = [batch.column(0).take(at), batch.column(1).take(at)]
-        arrays += [pa.array(c, k) for c, k in zip(columns, kinds)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "t", "a", "b", "i", "n", "again"])
+            if ordered:
+                known.update(seen)
+            if len(places) >= RUNS_AT_ONCE:
+                yield flush()
+        yield flush()
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
@@ -117,13 +157,14 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, t long, a long, b long, i int, n int, again array<int>"
-    rows = stored(docs.select("doc_id", "t", "text").mapInArrow(_rows, schema), "runs")
-    here = F.struct("doc_id", "t", "i")
-    firsts = rows.groupBy("a", "b").agg(F.min(here).alias("first"), F.max(here).alias("last"))
-    firsts = firsts.where(F.col("first") != F.col("last")).select("a", "b", "first")
-    later = rows.join(firsts, ["a", "b"]).where(here != F.col("first")).select("doc_id", "t", F.array("i").alias("starts"), "n")
-    local = rows.where(F.size("again") > 0).select("doc_id", "t", F.col("again").alias("starts"), "n")
-    places = later.union(local).select("doc_id", "t", "n", F.explode("starts").alias("i"))
+    rows = docs.select("doc_id", "t", "text").mapInArrow(_rows, schema)
+    # Runs known to be later ones have no hash; they are spread by document.
+    spread = F.when(F.col("a").isNull(), F.xxhash64("doc_id", "t", "i")).otherwise(F.lit(0))
+    rank = F.rank().over(Window.partitionBy("a", "b", "spread").orderBy("doc_id", "t", "i"))
+    ranked = rows.withColumn("spread", spread).withColumn("rank", rank)
+    later = F.col("a").isNull() | (F.col("rank") > 1)
+    starts = F.when(later, F.concat(F.array("i"), "again")).otherwise(F.col("again"))
+    places = ranked.select("doc_id", "t", "n", F.explode(starts).alias("i"))
     places = places.select("doc_id", "t", F.struct("i", "n").alias("place"))
     return places.groupBy("doc_id", "t").agg(F.collect_set("place").alias("places"))
 

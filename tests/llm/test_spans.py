@@ -96,6 +96,31 @@ def test_passages_pasted_mid_sentence(docs):
             assert all(at <= s["begin"] and s["end"] <= at + len(passage) + 1 for s in found[i])
 
 
+def test_a_run_of_many_documents_does_not_gather(docs):
+    """Of the documents of a batch that share a run one sends its hash; repeated rows send nothing; results stay."""
+    passage = prose(78, 60)
+    rows = [(i, f"{prose(3000 + (i or 0), 40)}\n{passage}\n{passage}") for i in (None, *range(20, 0, -1), 7, 7)]
+    df = docs(*rows).selectExpr("doc_id", "xxhash64(text) AS t", "text").coalesce(1)
+    batches = df.toArrow().combine_chunks().to_batches()
+    sent = [r for b in spans._rows(iter(batches)) for r in b.to_pylist()]
+    hashes = [(r["a"], r["b"]) for r in sent if r["a"] is not None]
+    assert len(hashes) == len(set(hashes)) and len(sent) > len(hashes)
+    assert {r["doc_id"] for r in sent if r["again"]} == {None, *range(1, 21)}
+    found = {(r["doc_id"], r["t"]): {tuple(p) for p in r["places"]} for r in spans.repeated_runs(df.repartition(3)).collect()}
+    assert {(r["doc_id"], r["t"]): {tuple(p) for p in r["places"]} for r in spans.repeated_runs(df).collect()} == found
+    kept = {r["doc_id"]: r["text"] for r in spans.dedup(docs(*rows)).collect()}
+    assert [i for i, t in kept.items() if passage in t] == [None]
+
+
+def test_runs_are_shuffled_once_and_not_stored(docs, monkeypatch):
+    from lakemart.llm import common
+
+    monkeypatch.setattr(common, "scratch_path", lambda *_: 1 / 0)
+    rows = docs(*[(i, f"{prose(i, 80)}\n{prose(77, 60)}") for i in range(4)]).selectExpr("doc_id", "xxhash64(text) AS t", "text")
+    found = spans.repeated_runs(rows)
+    assert {r["doc_id"] for r in found.collect()} == {1, 2, 3}
+
+
 def test_planted_passages(docs):
     passage = prose(77, 60)
     rows = [(i, f"{prose(i, 80)}\n{passage}\n{prose(500 + i, 80)}") for i in range(40)]
