@@ -15,9 +15,10 @@
    their pairs and still hold several classes get a second, longer signature of `LONG_HASHES` samples, and meet again in
    its `LONG_BANDS` finer bands. There each member names its `NEAREST` nearest of other classes; of two classes the
    `PAIR_EDGES` best edges are verified. This goes on while it finds links. The work grows with the members.
-6. With `exhaustive`, those buckets are then gone through all members with all, for pairs between two classes, until every
-   pair that agrees in `PLAUSIBLE` samples is in one class or was tested. This grows with the square of a bucket, in blocks of
-   bounded memory. The queries do this: it is the exact way for what the caps of steps 3 to 5 leave out.
+6. Those buckets are then gone through all members with all, unless `exhaustive` is turned off: it is the exact way for what
+   the caps of steps 3 to 5 leave out. Blocks of members meet two by two, with their texts, and a pair that agrees in
+   `PLAUSIBLE` samples is verified where it meets, in the first bucket it shares. Only links that join two classes leave a
+   task, fewer than it has members: no rows are made for pairs. The time alone grows with the square of a bucket.
 
 The weight of a shingle is its count times ln(1 + N / (df + N)). The smoothing by N keeps weights within a factor
 of 1.7: with less of it the shared text of a group of thousands of copies would weigh next to nothing against one
@@ -28,11 +29,11 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import fresh, stored
@@ -63,12 +64,11 @@ REFINE, REFINE_BYTES = 24, 4
 LONG_HASHES, LONG_BANDS = 256, 32
 LONG_LEAST = int(LONG_HASHES * SIMILARITY - 3 * (LONG_HASHES * SIMILARITY * (1 - SIMILARITY)) ** 0.5)
 PAIR_EDGES = 16
-# When buckets are gone through again, blocks of about so many times `BUCKET_ROWS` members meet two by two.
+# When buckets are gone through again, blocks of about so many times `BUCKET_ROWS` members, or so many bytes of text, meet
+# two by two.
 BLOCK = 4
-MORE = 16
+BLOCK_BYTES = 8 << 20
 WORDS_AT_ONCE = 200_000
-# Words whose hashes a worker remembers: a few tens of megabytes, which it keeps while it waits for other work.
-REMEMBERED = 100_000
 PHI = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -83,23 +83,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """Words and their 64-bit hashes as bytes, made when they are first asked for."""
-
-    def __missing__(self, word: str) -> bytes:
-        import xxhash
-
-        found = self[word] = xxhash.xxh3_64_digest(word)
-        return found
-
-
-_words = WordHashes()
-
-
 def _word_hashes(words: list[str]) -> np.ndarray:
-    if len(_words) > REMEMBERED:
-        _words.clear()
-    return np.frombuffer(b"".join(map(_words.__getitem__, words)), dtype=np.uint64)
+    import xxhash
+
+    # Hashing a word takes less time than looking it up.
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), dtype=np.uint64)
 
 
 def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -412,7 +400,7 @@ def candidate_edges(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = nodes.select("node", "sig", F.explode("bands").alias("key"))
     large = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET_ROWS)
     parts = F.coalesce(F.ceil(F.col("n") / BUCKET_ROWS), F.lit(1)).cast("long")
-    rows = rows.join(large, "key", "left").withColumn("parts", parts)
+    rows = rows.join(_side(stored(large, "large")), "key", "left").withColumn("parts", parts)
     # A few ways to cut, shared by bands: a pair is not kept apart by chance in all of them, and a star comes back in
     # several bands instead of a new one in each.
     part = F.pmod(F.xxhash64("node", F.pmod("key", F.lit(CUTS))), F.col("parts"))
@@ -487,22 +475,93 @@ def _across(least: int, take: int, batches: Iterator[pa.RecordBatch]) -> Iterato
     yield flush()
 
 
-def edges_across(members: DataFrame, take: int) -> DataFrame:
-    """a, b, agree: for each of `members` (key, node, sig, class) the `take` best pairs with other classes of its
-    bucket that are plausible, and rows without nodes where there are more.
+def _met(members: DataFrame, size: Column, *carried: str) -> DataFrame:
+    """The `members` (key, node, sig, class) of buckets of several classes, in blocks that meet two by two: key, i, j, own,
+    node, sig, class, carried. `size` is the number of bytes that a member brings along.
 
     Each pair of members meets in one group: that of their two blocks."""
-    held = F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high")
-    sizes = members.groupBy("key").agg(*held).where(F.col("low") != F.col("high")).select("key", "n")
-    blocks = F.ceil(F.col("n") / (BLOCK * BUCKET_ROWS)).cast("long")
-    rows = members.join(sizes, "key").withColumn("blocks", blocks)
+    held = F.count(F.lit(1)).alias("n"), F.sum(size).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")
+    sizes = members.groupBy("key").agg(*held).where(F.col("low") != F.col("high")).select("key", "n", "size")
+    blocks = F.ceil(F.greatest(F.col("n") / (BLOCK * BUCKET_ROWS), F.col("size") / BLOCK_BYTES)).cast("long")
+    rows = members.join(sizes.select("key", F.least(blocks, F.col("n")).alias("blocks")), "key")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "sig", "class")
-    near = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "sig", "class", *carried)
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def edges_across(members: DataFrame, take: int) -> DataFrame:
+    """a, b, agree: for each of `members` (key, node, sig, class) the `take` best pairs with other classes of its
+    bucket that are plausible, and rows without nodes where there are more."""
+    near = _met(members, F.lit(0))
     return near.mapInArrow(partial(_across, PLAUSIBLE, take), "a binary, b binary, agree int")
 
 
+def _linked(counts: bytes, least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links a < b that join the classes of a group wherever two texts reach the similarity.
+
+    Every pair of members of two classes that agrees in `PLAUSIBLE` samples is compared, unless it shares an earlier
+    band, where it is compared instead, or earlier links joined the two classes.
+
+    Input, sorted: key, i, j, own (the number of the member's block, i or j), node, sig, class, band, bands, text."""
+    key, rows = None, []
+    out: list[tuple[bytes, bytes]] = []
+
+    def work() -> None:
+        numbers: dict[bytes, int] = {}
+        kind = np.array([numbers.setdefault(r[3], len(numbers)) for r in rows])
+        if len(numbers) < 2:
+            return
+        own, band, bands = np.array([r[0] for r in rows]), rows[0][4], np.array([r[5] for r in rows])
+        table = np.frombuffer(b"".join([r[2] for r in rows]), dtype=np.uint8).reshape(len(rows), -1)
+        sets = [shingles(r[6]) for r in rows]
+        sizes = np.array([len(u) for u, _ in sets])
+        words = np.concatenate([u for u, _ in sets])
+        weight = np.split(weights(words, np.concatenate([tf for _, tf in sets]), counts), np.cumsum(sizes)[:-1])
+        different, at = np.unique(words, return_inverse=True)
+        places, sums, mine = np.split(at, np.cumsum(sizes)[:-1]), np.array([w.sum() for w in weight]), np.zeros(len(different))
+        for v in range(len(rows) - 1):
+            near = v + 1 + np.flatnonzero((kind[v + 1 :] != kind[v]) & ((own[v + 1 :] != own[v]) | (key[1] == key[2])))
+            near = near[(table[near] == table[v]).sum(axis=1) >= PLAUSIBLE]
+            near = near[(bands[near] == bands[v]).argmax(axis=1) == band]
+            if not len(near):
+                continue
+            mine[places[v]] = weight[v]
+            less = np.minimum(mine[np.concatenate([places[u] for u in near])], np.concatenate([weight[u] for u in near]))
+            mine[places[v]] = 0
+            both = np.add.reduceat(less, np.cumsum(sizes[near]) - sizes[near])
+            for u in near[both >= (least - 1e-6) * (sums[v] + sums[near] - both)].tolist():
+                # Sums in another order differ in the last digits: the pair is judged like any other.
+                if kind[u] != kind[v] and similarity(sets[v], sets[u], counts) >= least:
+                    kind[kind == kind[u]] = kind[v]
+                    out.append((min(rows[v][1], rows[u][1]), max(rows[v][1], rows[u][1])))
+
+    def flush() -> pa.RecordBatch:
+        columns = list(zip(*out)) or [[], []]
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["a", "b"])
+
+    for batch in batches:
+        for k, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if (k, i, j) != key:
+                if rows:
+                    work()
+                key, rows = (k, i, j), []
+            rows.append(row)
+        if len(out) > 10_000:
+            yield flush()
+    if rows:
+        work()
+    yield flush()
+
+
+def links_across(members: DataFrame, counts: bytes, least: float) -> DataFrame:
+    """a, b: links that join the classes of `members` (key, band, node, sig, bands, class, text), enough to leave no
+    plausible pair of a bucket that reaches the similarity in two classes."""
+    near = _met(members, F.octet_length("text"), "band", "bands", "text")
+    return near.mapInArrow(partial(_linked, counts, least), "a binary, b binary").distinct()
+
+
 # Finer bands.
 
 
@@ -599,9 +658,12 @@ def _verify(counts: bytes, least: float, batches: Iterator[pa.RecordBatch]) -> I
 
 
 def verified(pairs: DataFrame, texts: DataFrame, counts: bytes, least: float) -> DataFrame:
-    """The pairs a, b that reach the similarity. `texts`: node, text. Pairs and texts meet in equi-joins."""
-    left, right = (texts.select(F.col("node").alias(n), F.col("text").alias(f"{n}_text")) for n in "ab")
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
+    """The pairs a, b that reach the similarity. `texts`: node, text. Pairs and texts meet in equi-joins.
+
+    Few pairs go to the texts, so that no more than their own texts are shuffled."""
+    side = _side(pairs.select("a", "b"))
+    one, two = (texts.join(side, F.col("node") == F.col(n)).select("a", "b", F.col("text").alias(f"{n}_text")) for n in "ab")
+    met = one.join(two, ["a", "b"]).select("a", "b", "a_text", "b_text")
     return met.mapInArrow(partial(_verify, counts, least), "a binary, b binary, similarity double").distinct()
 
 
@@ -636,10 +698,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _texts(rows: DataFrame, firsts: DataFrame, needed: DataFrame) -> DataFrame:
     """node, text of the nodes `n` in `needed`."""
-    needed = needed.join(firsts, F.col("n") == F.col("node")).select("n", "first_id")
+    needed = stored(needed.join(firsts, F.col("n") == F.col("node")).select("n", "first_id"), "needed")
     # One row of each text, found by its id: copies do not meet in one task.
     same = (rows["node"] == F.col("n")) & rows["doc_id"].eqNullSafe(F.col("first_id"))
-    return stored(rows.join(needed, same).select("node", "text"), "texts")
+    return stored(rows.join(_side(needed), same).select("node", "text"), "texts")
 
 
 def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -669,7 +731,7 @@ def relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def classes(
-    docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text", exhaustive: bool = False
+    docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text", exhaustive: bool = True
 ) -> DataFrame:
     """One row for each document: doc_id, node (hash of the text), class_id, class_node.
 
@@ -677,7 +739,8 @@ def classes(
     next by `least` or more. `class_id` is the smallest doc_id of the class and `class_node` the text hash that goes
     with it. Equal texts are one class; a null text or one without words is like no other, except that copies of it
     are one class. Null ids: a class without any id has a null class_id. Repeated rows give repeated results. Other
-    columns are ignored; an empty table gives an empty result. `exhaustive` tests every plausible pair of a bucket.
+    columns are ignored; an empty table gives an empty result. Every plausible pair of a bucket is tested; without
+    `exhaustive`, large buckets are left with the pairs that finer bands name.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("node", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
@@ -687,8 +750,11 @@ def classes(
     firsts = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first_id")), "firsts")
     pool, left = candidate_edges(nodes)
     pool = stored(pool, "pool")
-    needed = pool.select(F.col("a").alias("n")).union(pool.select(F.col("b").alias("n"))).distinct()
-    texts = _texts(rows, firsts, needed)
+    each = nodes.select("node", "sig", "bands", F.posexplode("bands").alias("band", "key"))
+    left = stored(each.join(_side(left), "key"), "left")
+    # All texts that any step compares are looked up at once.
+    ends = [df.select(F.col(c).alias("n")) for df, c in ((pool, "a"), (pool, "b"), (left, "node"))]
+    texts = _texts(rows, firsts, reduce(DataFrame.union, ends).distinct())
     labels, tested, take = None, None, 1
     open_ = pool
     while not open_.isEmpty():
@@ -706,13 +772,8 @@ def classes(
         take *= 4
     def tried(pairs: DataFrame) -> bool:
         """Verify `pairs`, none of them tested before, and join the classes they link. Whether there are any links."""
-        nonlocal texts, labels, tested
+        nonlocal labels, tested
         tested = pairs if tested is None else tested.union(pairs)
-        # Members of parts that had no plausible pair inside them have not been looked up yet.
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
-        ends = ends.join(texts.select(F.col("node").alias("n")), "n", "left_anti")
-        if not ends.isEmpty():
-            texts = texts.union(_texts(rows, firsts, ends))
         good = stored(verified(pairs, texts, counts, least).select("a", "b"), "links")
         if good.isEmpty():
             return False
@@ -723,24 +784,21 @@ def classes(
         return stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "picked")
 
     if not left.isEmpty():
-        left = stored(nodes.select("node", "sig", F.explode("bands").alias("key")).join(_side(left), "key"), "left")
         several = _labelled(left, labels).groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
         several = several.where(F.col("low") != F.col("high")).select("key")
         unsettled = stored(left.join(several, "key").select(F.col("node").alias("n")).distinct(), "unsettled")
-        long = _texts(rows, firsts, unsettled).mapInArrow(partial(_sign, counts, True), SIGNED)
+        whole = texts.join(_side(unsettled), F.col("node") == F.col("n")).select("node", "text")
+        long = whole.mapInArrow(partial(_sign, counts, True), SIGNED)
         long = stored(long.dropDuplicates(["node"]), "long-signatures")
         while True:
             picked = new(named_edges(_labelled(long, labels)))
             if picked.isEmpty() or not tried(picked):
                 break
-        take, more = MORE, exhaustive
-        while more:
-            across = stored(edges_across(_labelled(left, labels), take), "across")
-            picked = new(across.where(F.col("a").isNotNull()).select("a", "b").distinct())
-            if not picked.isEmpty():
-                tried(picked)
-            more = not across.where(F.col("a").isNull()).isEmpty()
-            take *= MORE
+        if exhaustive:
+            members = _labelled(left.join(several, "key"), labels).join(whole.dropDuplicates(["node"]), "node")
+            links = stored(links_across(members, counts, least), "links")
+            if not links.isEmpty():
+                labels = relabelled(labels, links)
     member = firsts.withColumnsRenamed({"node": "of"})
     if labels is None:
         known = member.select("of", "first_id", F.col("of").alias("class"))
@@ -755,7 +813,7 @@ def classes(
 
 
 def one_of_each(
-    docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text", exhaustive: bool = False
+    docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text", exhaustive: bool = True
 ) -> DataFrame:
     """The rows of `docs` that stand for their class: the one of smallest doc_id, with all its columns.
 

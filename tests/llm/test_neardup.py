@@ -211,3 +211,44 @@ def test_only_classes_are_joined(spark, monkeypatch):
     links = frame([(i, i + 1) for i in range(1, 49)] + [(i, 59) for i in range(2, 40)] + [(0, 58), (70, 71)], "ab")
     found = {r["node"][0]: r["class"][0] for r in neardup.relabelled(labels, links).collect()}
     assert found == {**{i: 0 for i in range(60)}, 70: 70, 71: 70} and joined == [3]
+
+
+def test_the_default_leaves_no_cap_without_an_exact_way(docs, monkeypatch):
+    """Without any option, where parts of ten members and finer bands name nobody."""
+    monkeypatch.setattr(neardup, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(neardup, "LONG_LEAST", neardup.LONG_HASHES + 1)
+    rows = family(1, 100, 30)
+    df = docs(*rows)
+    want = by_hand(rows, neardup.sketch(df))
+    assert {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()} == want
+    assert sorted(r["doc_id"] for r in neardup.one_of_each(df).collect()) == sorted(set(want.values()))
+
+
+@pytest.mark.parametrize("block_bytes", [neardup.BLOCK_BYTES, 20_000])
+def test_pairs_of_a_bucket_are_verified_where_they_meet(spark, docs, monkeypatch, block_bytes):
+    """Rows that leave the tasks are links between classes, fewer than members, whatever the number of pairs."""
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", block_bytes)  # 20,000: blocks of about ten texts
+    rows = family(1, 60, 30, changed=9) + [(5000 + i, edited(prose(9, 200), 1 + i % 2, i)) for i in range(40)]
+    counts = neardup.sketch(docs(*rows))
+    sets = [neardup.shingles(t) for _, t in rows]
+    bands, samples = neardup.signatures(sets, counts)
+    node = lambda i: i.to_bytes(2, "big")
+    members = [(int(k), at, node(i), s.tobytes(), [int(b) for b in bs], node(i), rows[i][1])
+               for i, (bs, s) in enumerate(zip(bands, samples)) for at, k in enumerate(bs)]
+    df = spark.createDataFrame(members, "key long, band int, node binary, sig binary, bands array<long>, class binary, text string")
+    links = [(r["a"], r["b"]) for r in neardup.links_across(df, counts, neardup.SIMILARITY).collect()]
+    pairs = [(i, j) for i, j in combinations(range(len(rows)), 2) if set(bands[i].tolist()) & set(bands[j].tolist())]
+    plausible = [p for p in pairs if (samples[p[0]] == samples[p[1]]).sum() >= neardup.PLAUSIBLE]
+    good = [(node(i), node(j)) for i, j in plausible if neardup.similarity(sets[i], sets[j], counts) >= neardup.SIMILARITY]
+    assert set(links) <= set(good) and len(links) < len(plausible) / 4
+    joined = {(r["node"], r["class"]) for r in neardup.components(spark.createDataFrame(links, "a binary, b binary")).collect()}
+    assert joined == {(r["node"], r["class"]) for r in neardup.components(spark.createDataFrame(good, "a binary, b binary")).collect()}
+
+
+def test_the_texts_are_looked_up_once(docs, monkeypatch):
+    labels = []
+    stored = neardup.stored
+    monkeypatch.setattr(neardup, "stored", lambda df, label: labels.append(label) or stored(df, label))
+    monkeypatch.setattr(neardup, "BUCKET_ROWS", 10)
+    neardup.classes(docs(*family(1, 100, 30)), exhaustive=True).collect()
+    assert labels.count("texts") == 1 and "across" not in labels
