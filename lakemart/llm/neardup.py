@@ -751,7 +751,7 @@ def classes(
     pool, left = candidate_edges(nodes)
     pool = stored(pool, "pool")
     each = nodes.select("node", "sig", "bands", F.posexplode("bands").alias("band", "key"))
-    left = stored(each.join(_side(left), "key"), "left")
+    left = stored(each.join(_side(left), "key", "left_semi"), "left")
     # All texts that any step compares are looked up at once.
     ends = [df.select(F.col(c).alias("n")) for df, c in ((pool, "a"), (pool, "b"), (left, "node"))]
     texts = _texts(rows, firsts, reduce(DataFrame.union, ends).distinct())
@@ -786,7 +786,7 @@ def classes(
     if not left.isEmpty():
         several = _labelled(left, labels).groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
         several = several.where(F.col("low") != F.col("high")).select("key")
-        unsettled = stored(left.join(several, "key").select(F.col("node").alias("n")).distinct(), "unsettled")
+        unsettled = stored(left.join(several, "key", "left_semi").select(F.col("node").alias("n")).distinct(), "unsettled")
         whole = texts.join(_side(unsettled), F.col("node") == F.col("n")).select("node", "text")
         long = whole.mapInArrow(partial(_sign, counts, True), SIGNED)
         long = stored(long.dropDuplicates(["node"]), "long-signatures")
@@ -795,7 +795,7 @@ def classes(
             if picked.isEmpty() or not tried(picked):
                 break
         if exhaustive:
-            members = _labelled(left.join(several, "key"), labels).join(whole.dropDuplicates(["node"]), "node")
+            members = _labelled(left.join(several, "key", "left_semi"), labels).join(whole.dropDuplicates(["node"]), "node")
             links = stored(links_across(members, counts, least), "links")
             if not links.isEmpty():
                 labels = relabelled(labels, links)
